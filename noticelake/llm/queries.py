@@ -4,18 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticelake.llm import chat, sharding
+from noticelake.llm import chat, fingerprints, packing, sharding
 from noticelake.llm.common import table
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = chat.with_control_case(spark, table(spark, sf_dir, "conversations"))
     return chat.digests(chat.format_conversations(turns))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op4_chat": op4_chat, "op9_sharding": op9_sharding}
+QUERIES = {"op2_packing": op2_packing, "op4_chat": op4_chat, "op5_fingerprints": op5_fingerprints, "op9_sharding": op9_sharding}
 ORACLE_SQL = {"op4_chat": chat.ORACLE_SQL}
