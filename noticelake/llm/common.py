@@ -34,3 +34,11 @@ def join_sized(left: DataFrame, right: DataFrame, on: list[str], how: str = "lef
     Spark's own join (with adaptive skew splitting) takes over.
     """
     return left.join(F.broadcast(right) if right.count() <= max_rows else right, on, how)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

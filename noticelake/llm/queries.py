@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticelake.llm import chat, fingerprints, packing, sharding
+from noticelake.llm import chat, fingerprints, langid, packing, sharding
 from noticelake.llm.common import table
 
 
@@ -25,5 +25,9 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_packing": op2_packing, "op4_chat": op4_chat, "op5_fingerprints": op5_fingerprints, "op9_sharding": op9_sharding}
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op2_packing": op2_packing, "op4_chat": op4_chat, "op5_fingerprints": op5_fingerprints, "op9_sharding": op9_sharding, "op10_langid": op10_langid}
 ORACLE_SQL = {"op4_chat": chat.ORACLE_SQL}
