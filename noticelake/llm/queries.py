@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticelake.llm import chat, fingerprints, langid, packing, sharding
+from noticelake.llm import chat, fingerprints, langid, mixing, packing, quality, sharding
 from noticelake.llm.common import table
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -21,6 +25,10 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -29,5 +37,13 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_packing": op2_packing, "op4_chat": op4_chat, "op5_fingerprints": op5_fingerprints, "op9_sharding": op9_sharding, "op10_langid": op10_langid}
-ORACLE_SQL = {"op4_chat": chat.ORACLE_SQL}
+QUERIES = {
+    "op1_mixing": op1_mixing,
+    "op2_packing": op2_packing,
+    "op4_chat": op4_chat,
+    "op5_fingerprints": op5_fingerprints,
+    "op8_quality": op8_quality,
+    "op9_sharding": op9_sharding,
+    "op10_langid": op10_langid,
+}
+ORACLE_SQL = {"op1_mixing": mixing.ORACLE_SQL, "op4_chat": chat.ORACLE_SQL}
