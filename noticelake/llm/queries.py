@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticelake.llm import chat, fingerprints, langid, mixing, packing, quality, sharding
+from noticelake.llm import chat, fingerprints, langid, mixing, packing, quality, sharding, simjoin
 from noticelake.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_simjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simjoin.linked_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -42,6 +46,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op4_chat": op4_chat,
     "op5_fingerprints": op5_fingerprints,
+    "op7_simjoin": op7_simjoin,
     "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
     "op10_langid": op10_langid,
