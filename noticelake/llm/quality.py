@@ -84,9 +84,7 @@ def probabilities(flagged: DataFrame) -> DataFrame:
     counts = flagged.mapInPandas(_count, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     orders = {ORDER: checkpoint(counts)}
     for k in range(ORDER - 1, 0, -1):
-        orders[k] = orders[k + 1].groupBy(F.substring("gram", 2, k).alias("gram")).agg(F.count_if(F.col("n") > 0).alias("n"))
-        if k == ORDER - 1:
-            orders[k] = checkpoint(orders[k])
+        orders[k] = checkpoint(orders[k + 1].groupBy(F.substring("gram", 2, k).alias("gram")).agg(F.count_if(F.col("n") > 0).alias("n")))
     below: DataFrame | None = None
     for k in range(1, ORDER + 1):
         rows = orders[k]
@@ -103,8 +101,8 @@ def probabilities(flagged: DataFrame) -> DataFrame:
         contexts = rows.where(c > 0).groupBy("context").agg(F.sum("n").alias("total"), (F.sum(_discount(c, d)) / F.sum("n")).alias("mass"))
         rows = rows.join(contexts, "context", "left").join(below.withColumnRenamed("gram", "suffix"), "suffix")
         p = F.when(F.col("total").isNull(), F.col("p")).otherwise((c - _discount(c, d)) / F.col("total") + F.col("mass") * F.col("p"))
-        below = rows.select("gram", p.alias("p"))
-    return checkpoint(below.select("gram", F.log("p").alias("logp")))
+        below = checkpoint(rows.select("gram", p.alias("p")))
+    return below.select("gram", F.log("p").alias("logp"))
 
 
 class Lookup:
