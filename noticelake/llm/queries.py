@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from noticelake.llm import chat, fingerprints, langid, mixing, packing, quality, sharding, simjoin
+from noticelake.llm import chat, fingerprints, langid, mixing, packing, pages, quality, sharding, simjoin, vectors
 from noticelake.llm.common import table
 
 
@@ -16,6 +17,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = chat.with_control_case(spark, table(spark, sf_dir, "conversations"))
     return chat.digests(chat.format_conversations(turns))
@@ -25,6 +30,10 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op7_simjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simjoin.linked_documents(table(spark, sf_dir, "documents"))
 
@@ -44,8 +53,10 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
+    "op3_pages": op3_pages,
     "op4_chat": op4_chat,
     "op5_fingerprints": op5_fingerprints,
+    "op6_vectors": op6_vectors,
     "op7_simjoin": op7_simjoin,
     "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
