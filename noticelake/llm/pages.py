@@ -58,6 +58,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
         if not tag:
             continue
         if m["end"]:
+            left_out = out > 0
             if any(t == tag for t, _ in stack):
                 while True:
                     t, boiler = stack.pop()
@@ -67,7 +68,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
                         break
                 while commented and commented[-1] >= len(stack):
                     commented.pop()
-            yield tag, "", out > 0, article > 0
+            yield tag, "", left_out, article > 0
             continue
         boiler = tag in BOILER or bool(m["attrs"]) and tag not in ("body", "html") and _says_boiler(m["attrs"])
         if tag in ("article", "main") and not boiler and out and not commented:
