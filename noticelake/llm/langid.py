@@ -149,7 +149,7 @@ def learn(labelled: DataFrame, size: int = SLOTS, share: float = 0.2) -> Filters
             at = slots(b["gram"].to_numpy().view(np.uint64), size)
             yield pd.DataFrame({"slot": np.concatenate(at).astype(np.int64), "part": np.tile(b["part"], HASHES), "mask": np.tile(b["mask"], HASHES)})
 
-    set_bits = masks.mapInPandas(place, "slot long, part int, mask long").groupBy("slot", "part").agg(F.bit_or("mask").alias("mask")).toPandas()
+    set_bits = masks.mapInPandas(place, "slot long, part int, mask long").groupBy("slot", "part").agg(F.bit_or("mask").alias("mask")).toArrow()
     table = np.zeros(((len(totals) + 62) // 63, size), np.uint64)
     table[set_bits["part"].to_numpy(), set_bits["slot"].to_numpy()] = set_bits["mask"].to_numpy().view(np.uint64)
     return Filters([r["lang"] for r in totals], table)

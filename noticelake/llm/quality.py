@@ -143,8 +143,8 @@ def _scored_by_broadcast(docs: DataFrame, logp: DataFrame, nll: str, chars: str)
             keys = _keys("".join(b["gram"]))[::ORDER] if len(b) else np.zeros(0, np.uint64)
             yield pd.DataFrame({"key": keys.view(np.int64), "logp": b["logp"].astype(np.float32)})
 
-    model = logp.mapInPandas(keyed, "key long, logp float").toPandas()
-    sent = docs.sparkSession.sparkContext.broadcast((model["key"].to_numpy().view(np.uint64), model["logp"].to_numpy(np.float32)))
+    model = logp.mapInPandas(keyed, "key long, logp float").toArrow()
+    sent = docs.sparkSession.sparkContext.broadcast((model["key"].to_numpy().view(np.uint64), model["logp"].to_numpy()))
     schema = T.StructType([*docs.schema.fields, T.StructField(nll, T.DoubleType()), T.StructField(chars, T.LongType())])
     name = uuid.uuid4().hex
 
