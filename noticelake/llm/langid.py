@@ -97,7 +97,7 @@ class Filters:
         return total, np.clip((hits / n - fp) / np.maximum(1 - fp, 1e-9), 0, 1)
 
 
-def _sliced(texts: list[str | None], chars: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def _sliced(texts: list[str | None], chars: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Runs of texts of a bounded number of characters, at least one text each."""
     start = size = 0
     for i, t in enumerate(texts):

@@ -17,7 +17,7 @@ from collections.abc import Iterable, Iterator
 from struct import pack
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 SEPARATOR = 1
 TIERS = (128, 256, 512, 1024, 2048)
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, context int, step_group long"
+NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
 
 _WORD = re.compile(r"([^\W\d_]*)([!-&(-/:-@\[-`{-~]*)\Z")
 _ENCODERS: dict[str, "WordEncoder"] = {}
@@ -44,7 +45,7 @@ class WordEncoder:
     and punctuation goes to the model straight, any other one through the whole tokenizer.
     """
 
-    def __init__(self, path: str, most: int = 800_000):
+    def __init__(self, path: str, most: int = 300_000):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
@@ -153,6 +154,8 @@ class Packer:
 
     def pack(self, leave: int = 0) -> None:
         while self.waiting.ids > leave:
+            if leave and self.waiting.ids < self.tiers[-1]:
+                return  # more is to come that fills the gap
             first = self.waiting.take(self.tiers[-1])
             context = next(t for t in self.tiers if t >= first[2])
             while context > first[2] and self.waiting.ids < context - first[2]:
@@ -174,7 +177,7 @@ class Packer:
             self._fill(context, first)
 
 
-def _pack(batches: Iterator[pd.DataFrame], tokenizer: str, tiers: tuple, group_tokens: int, partition: int) -> Iterator[pd.DataFrame]:
+def _pack(texts: Iterable[tuple[int | None, str]], tokenizer: str, tiers: tuple, group_tokens: int, partition: int) -> Iterator[pa.RecordBatch]:
     enc, packer = encoder(tokenizer), Packer(tiers)
     docs: dict[int, tuple] = {}
     left: dict[int, int] = {}
@@ -183,7 +186,7 @@ def _pack(batches: Iterator[pd.DataFrame], tokenizer: str, tiers: tuple, group_t
     group = 0
     base = partition << 32
 
-    def flush() -> pd.DataFrame:
+    def flush() -> pa.RecordBatch:
         nonlocal sequences, group
         rows = []
         for context, window in packer.full:
@@ -202,19 +205,17 @@ def _pack(batches: Iterator[pd.DataFrame], tokenizer: str, tiers: tuple, group_t
                     del docs[doc], left[doc]
             sequences += 1
         packer.full.clear()
-        out = pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")])
-        out["doc_id"] = out["doc_id"].astype("Int64")
-        return out
-
-    for batch in batches:
-        for doc_id, text in zip(batch["doc_id"].tolist(), batch["text"].tolist(), strict=True):
-            ids = np.append(enc.encode(text), np.uint32(SEPARATOR)).astype("<u4")
-            docs[serial] = (None if doc_id is None or doc_id != doc_id else int(doc_id), ids)
-            left[serial] = len(ids)
-            packer.add(serial, len(ids))
-            serial += 1
-            if len(packer.full) * longest > 1 << 20:
-                yield flush()
+        columns = zip(*rows, strict=True) if rows else [[]] * len(NAMES)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if n == "context" else pa.int64()) for n, c in zip(NAMES, columns, strict=True)], names=NAMES)
+
+    for doc_id, text in texts:
+        ids = np.append(enc.encode(text), np.uint32(SEPARATOR)).astype("<u4")
+        docs[serial] = (doc_id, ids)
+        left[serial] = len(ids)
+        packer.add(serial, len(ids))
+        serial += 1
+        if len(packer.full) * longest > 1 << 20:
+            yield flush()
     packer.pack()
     yield flush()
 
@@ -230,10 +231,12 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, tiers: tuple =
     """
     tokenizer = tokenizer or default_tokenizer()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        yield from _pack(batches, tokenizer, tiers, group_tokens, TaskContext.get().partitionId())
+        # one text at a time leaves the batch
+        texts = ((i.as_py(), t.as_py()) for b in batches for i, t in zip(b.column(0), b.column(1), strict=True))
+        yield from _pack(texts, tokenizer, tiers, group_tokens, TaskContext.get().partitionId())
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInPandas(run, SCHEMA)
+    return rows.mapInArrow(run, SCHEMA)

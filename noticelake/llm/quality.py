@@ -43,7 +43,7 @@ def _keys(joined: str) -> np.ndarray:
     return key
 
 
-def _runs(texts: list[str], chars: int = 1 << 21) -> Iterator[slice]:
+def _runs(texts: list[str], chars: int = 1 << 20) -> Iterator[slice]:
     start = size = 0
     for i, t in enumerate(texts):
         size += len(t)
@@ -109,7 +109,7 @@ class Lookup:
     """Open addressing over 64-bit keys, filled and asked with whole arrays."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        size = 1 << max(4, int(2 * len(keys)).bit_length())
+        size = 1 << max(4, int(1.4 * len(keys)).bit_length())
         self.mask, self.keys, self.values = np.uint64(size - 1), np.zeros(size, np.uint64), np.zeros(size, np.float32)
         todo, step = np.arange(len(keys)), 0
         while len(todo):

@@ -51,7 +51,7 @@ def shingles(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
     bounds = np.searchsorted(starts, np.concatenate(([0], ends)))
     # a word's hash is the sum of its characters' hashes by their place in the word
     place = np.arange(len(code), dtype=np.uint64)
-    place -= np.repeat(np.concatenate((starts[:1] * 0, starts)).astype(np.uint64), np.diff(np.concatenate(([0], starts, [len(code)]))))
+    place -= np.repeat(np.concatenate(([0], starts)).astype(np.uint64), np.diff(np.concatenate(([0], starts, [len(code)]))))
     each = _mix((code.astype(np.uint64) + (place << np.uint64(24))) * _M1)
     each[~inside] = 0
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(each)))
@@ -81,7 +81,7 @@ def _chosen(s: np.ndarray, path: int, expected: float) -> np.ndarray:
     return np.unique(_mix(h[h <= np.uint64(min(int(limit * 2.0**64), 2**64 - 1))] + np.uint64(path))).view(np.int64)
 
 
-def _runs_of(texts: list[str], chars: int = 1 << 20) -> Iterator[tuple[int, list[np.ndarray]]]:
+def _runs_of(texts: list[str], chars: int = 1 << 19) -> Iterator[tuple[int, list[np.ndarray]]]:
     start = size = 0
     for i, t in enumerate(texts):
         size += len(t)
