@@ -130,9 +130,10 @@ def _ordered(docs: DataFrame) -> DataFrame:
     place: Column = F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in bounds]), lambda b: b < key)) if bounds else F.lit(0)
     placed = rows.withColumn("_key", key).withColumn("_range", place)
     firsts = sorted((r[0], r[1]) for r in placed.groupBy("_range").agg(F.min("_key")).collect())
-    guest = F.lit(None).cast("int")
-    for i, (_, least) in enumerate(firsts):
-        guest = F.when(F.col("_key") == least, firsts[i - 1][0]).otherwise(guest)
+    # the range before the one that a smallest doc_id opens; flat lookups, as there may be thousands of ranges
+    at = F.array_position(F.array(*[F.lit(least).cast("long") for _, least in firsts] or [F.lit(None).cast("long")]), F.col("_key"))
+    before = F.array(*[F.lit(firsts[i - 1][0]) for i in range(len(firsts))] or [F.lit(0)])
+    guest = F.when(at > 0, F.get(before, (at - 1).cast("int")))
     own, visiting = F.struct(F.col("_range").alias("r"), F.lit(0).alias("g")), F.struct(guest.alias("r"), F.lit(1).alias("g"))
     both = placed.withColumn("_at", F.explode(F.array_compact(F.array(own, F.when(guest.isNotNull(), visiting)))))
     return both.select("doc_id", "text", "_key", F.col("_at.r").alias("_range"), F.col("_at.g").alias("_guest")).repartitionById(n, "_range").sortWithinPartitions("_range", "_guest", "_key", "text")

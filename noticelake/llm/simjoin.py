@@ -225,12 +225,12 @@ def similar_classes(docs: DataFrame, threshold: float = THRESHOLD, runs: int = R
     deep = checkpoint(deep.join(sets.select("digest", F.col("own.doc_id").alias("doc_id")), "digest"))
     final = buckets.where(F.col("n") <= full)
     if deep.limit(1).count():
-        split = join_sized(rows, deep, ["doc_id"], "inner", 500_000).select("text", "digest", "full").mapInPandas(_split, "digest binary, bucket long").distinct()
+        split = join_sized(rows, deep, ["doc_id"], "inner", 200_000).select("text", "digest", "full").mapInPandas(_split, "digest binary, bucket long").distinct()
         split = checkpoint(split)
         final = final.unionByName(split.join(_sized(split), "bucket"))
     of = final.groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("own_buckets"))
     candidates = checkpoint(of.join(sets.select("digest", "copies", F.col("own.doc_id").alias("doc_id")), "digest"))
-    filled = join_sized(rows, candidates, ["doc_id"], "inner", 500_000).select("text", "digest", "copies", "own_buckets")
+    filled = join_sized(rows, candidates, ["doc_id"], "inner", 200_000).select("text", "digest", "copies", "own_buckets")
     filled = filled.mapInPandas(_sets, "digest binary, copies long, own_buckets array<struct<bucket: long, n: long>>, shingles binary")
     at = filled.select("digest", "copies", "shingles", F.col("own_buckets.bucket").alias("buckets"), F.explode("own_buckets").alias("at"))
     at = at.select("*", "at.bucket", F.when(F.col("at.n") > full, F.ceil(F.col("at.n") / (full // 2))).otherwise(1).cast("int").alias("blocks")).drop("at")
