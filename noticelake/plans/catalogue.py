@@ -11,7 +11,7 @@ from noticelake.functions import rules as R
 from noticelake.functions.dates import extract_deadline, is_expired
 from noticelake.functions.text import clean_html, context_lines, title_key
 from noticelake.functions.urls import canonical_url
-from noticelake.operators import attachments, classify, documents, feed, listing, publish, quality, reports, requirements, vacancies
+from noticelake.operators import attachments, candidates, classify, documents, feed, listing, publish, quality, reports, requirements, vacancies
 from noticelake.operators import pages as page_ops
 from noticelake.plans import posting_sql as S
 from noticelake.plans.postings import postings
@@ -507,3 +507,11 @@ def q49(spark, d):
     e = F.col("event_type")
     error = F.when(e == "click", "HTTP 404").when(e == "error", "Timeout").when(e == "signup", "HTTP 403").when(e == "purchase", "HTTP 503").otherwise("")
     return reports.access_summary(_read(spark, d, "events").select(F.col("user_id").alias("org"), ((e == "view") & (F.col("value") > 60)).alias("ok"), error.alias("error")))
+
+
+@query("q50_candidates", f"WITH {S.POSTINGS} SELECT posting_id AS page_id, 'row' AS tier, title, 'https://jobs.example/view.do?nttId=' || posting_id AS link FROM postings")
+def q50(spark, d):
+    cell = F.concat(F.lit("<table><tr><td>"), F.col("posting_id").cast("string"), F.lit("</td><td><a href='#' onclick=\"postView("), F.col("posting_id").cast("string"), F.lit(")\">"), "title", F.lit("</a></td><td>2026.01.02</td></tr></table><a href='/view.do?nttId=1'>다른 채용 공고</a>"))
+    listings = postings(spark, d).select(F.col("posting_id").alias("page_id"), "org", F.lit("https://jobs.example/list.do").alias("url"), cell.alias("html"))
+    adapters = listings.select("org").distinct().withColumn("template", F.lit("/view.do?nttId={id}"))
+    return candidates.candidates(listings, adapters).select("page_id", "tier", "title", "link")

@@ -179,3 +179,34 @@ def test_history_stream(spark, tmp_path):
     q.stop()
     row = spark.sql("SELECT * FROM history ORDER BY latest DESC").first()
     assert row["runs"] == 20 and row["healthy"] == 10
+
+
+def test_candidates_by_tier(spark):
+    from noticelake.operators import candidates
+
+    table = "<table><tr><td>{0}</td><td><a href='#' onclick=\"postView({0})\">직원 채용 공고 {0}</a></td><td>2026.01.02</td></tr></table><a href='/view.do?nttId=9'>다른 글 목록</a>"
+    rows = [
+        (1, "a", "https://a.kr/list.do", table.format(14905) + table.format(14905)),
+        (2, "b", "https://b.kr/list.do", "<a href='/board/view.do?nttId=5&amp;x=1'>직원 모집</a><a href='/board/view.do?nttId=5&x=1'>직원 모집</a><a href='/f.pdf'>공고문 파일</a>"),
+        (3, "b", "https://b.kr/", "<li data-url='/read.do?no=7' class='x'>경력 채용</li>"),
+        (4, "a", "https://a.kr/", None),
+    ]
+    pages_ = spark.createDataFrame(rows, "page_id long, org string, url string, html string")
+    adapters = spark.createDataFrame([("a", "/view.do?nttId={id}")], "org string, template string")
+    got = {(r["page_id"], r["tier"], r["title"], r["link"]) for r in candidates.candidates(pages_, adapters).collect()}
+    assert got == {
+        (1, "row", "직원 채용 공고 14905", "https://a.kr/view.do?nttId=14905"),
+        (2, "anchor", "직원 모집", "https://b.kr/board/view.do?nttId=5&x=1"),
+        (3, "block", "경력 채용", "https://b.kr/read.do?no=7"),
+    }
+    assert {r["page_id"]: r["visible"] for r in candidates.visible_counts(pages_).collect()} == {1: 1}
+
+
+def test_state_records_and_forms(spark, one):
+    from noticelake.operators import candidates
+
+    page = "<ul><li class='state_on'><strong>채용 공고</strong><a onclick=\"view('12')\">보기</a></li><li class='state_off'><strong>모집</strong></li></ul>"
+    got = candidates.state_records(spark.createDataFrame([(1, page)], "page_id long, html string")).collect()
+    assert [(r["title"], r["identity"]) for r in got] == [("채용 공고", "12"), ("모집", "")]
+    form = "<input name='a' value='1'><input name='a' value='2'><input type='submit' name='s' value='x'>"
+    assert one(candidates.form_fields, form) == {"a": "2", "pageIndex": "1"}
