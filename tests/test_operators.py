@@ -210,3 +210,28 @@ def test_state_records_and_forms(spark, one):
     assert [(r["title"], r["identity"]) for r in got] == [("채용 공고", "12"), ("모집", "")]
     form = "<input name='a' value='1'><input name='a' value='2'><input type='submit' name='s' value='x'>"
     assert one(candidates.form_fields, form) == {"a": "2", "pageIndex": "1"}
+
+
+def test_stage_diagnosis(spark):
+    from noticelake.operators import stages
+
+    base = {"org": "", "http_ok": True, "verify_ok": True, "list_status": "verified-exact", "pages": 1, "candidates": 3, "visible": 3, "anchors": 3, "blocks": 0, "title_matches": 3, "no_url": 0, "unsafe_url": 0, "list_ok": True, "detail_ok": True, "detail_urls": 3, "attempted": 3, "targets": 3, "missing_urls": 0, "validated": 3, "error": "", "empty_bodies": 0, "files": 1, "explicitly_none": False}
+    cases = [
+        ({}, "PIPELINE_SAMPLE_OK"),
+        ({"http_ok": False}, "HTTP_FAILED"),
+        ({"verify_ok": False}, "RECRUIT_VERIFY_FAILED"),
+        ({"list_status": "partial", "candidates": 0, "no_url": 2}, "LIST_DETAIL_SIGNAL_MISSING"),
+        ({"list_status": "partial", "candidates": 2}, "LIST_MISSING_POSTS"),
+        ({"detail_ok": False, "validated": 1, "error": "HTTP 404"}, "DETAIL_404"),
+        ({"detail_ok": False, "validated": 1}, "DETAIL_BODY_PARTIAL"),
+        ({"files": 0}, "ATTACHMENT_ZERO_UNRESOLVED"),
+        ({"files": None, "explicitly_none": True}, "PIPELINE_SAMPLE_OK"),
+    ]
+    schema = ", ".join(f"{k} {'string' if isinstance(v, str) else 'boolean' if isinstance(v, bool) else 'int'}" for k, v in base.items())
+    rows = [tuple((base | {"org": str(i)} | c)[k] for k in base) for i, (c, _) in enumerate(cases)]
+    actions = spark.createDataFrame([("HTTP_FAILED", "check the address")], "code string, action string")
+    got = {int(r["org"]): (r["cause"]["code"], r["action"]) for r in stages.diagnose(spark.createDataFrame(rows, schema), actions).collect()}
+    assert [got[i][0] for i in range(len(cases))] == [c for _, c in cases]
+    assert got[1][1] == "check the address" and got[0][1] == "read the evidence"
+    t = [r["t"] for r in spark.createDataFrame([("https://a.kr/x?idx=1", "GET"), ("https://a.kr/view/1", None), ("https://a.kr/", "post"), ("https://a.kr/", None)], "u string, m string").select(stages.detail_template(F.col("u"), F.col("m"), F.lit(False)).alias("t")).collect()]
+    assert t == ["QUERY_ID", "PATH_VIEW", "FORM_POST", "CUSTOM"]
