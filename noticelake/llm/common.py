@@ -27,6 +27,17 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def small_batches(df: DataFrame, records: int = 1000) -> None:
+    """Whole texts go to Python in batches of at most ``records`` rows, or fewer if the session says so.
+
+    A batch is held by the JVM and by the worker at once, several times over while it is converted.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(conf.get(key))
+    if now <= 0 or now > records:
+        conf.set(key, str(records))
+
+
 def join_sized(left: DataFrame, right: DataFrame, on: list[str], how: str = "left", max_rows: int = 100_000) -> DataFrame:
     """Join to a checkpointed side: broadcast it if its counted rows are few, else shuffle both sides.
 

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticelake.llm.common import partitions
+from noticelake.llm.common import partitions, small_batches
 
 SMALLEST, WINDOW, LONG, SHORT = 3, 7, 64, 32
 ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
@@ -176,4 +176,5 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     only row is followed by itself. A null text is empty: it has 0 characters and the fingerprint ``3::``.
     An empty table gives an empty result; other columns are not read.
     """
+    small_batches(docs)
     return _ordered(docs).select("doc_id", "text", "_range", "_guest").mapInPandas(_edit, SCHEMA)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from noticelake.llm.common import checkpoint, fresh
+from noticelake.llm.common import checkpoint, fresh, small_batches
 
 ORDERS = (2, 3, 4)
 HASHES = 2
@@ -133,6 +133,7 @@ def learn(labelled: DataFrame, size: int = SLOTS, share: float = 0.2) -> Filters
     where it is most frequent, so words that strayed into a language do not count. What comes to the driver
     is bounded by the filter's fixed size: a mask for each slot and 63 languages.
     """
+    small_batches(labelled)
     counts = labelled.select("text", "lang").dropna().mapInPandas(_count, "gram long, lang string, n long")
     counts = checkpoint(counts.groupBy("gram", "lang").agg(F.sum("n").alias("n")))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).orderBy("lang").collect()
@@ -162,6 +163,7 @@ def identify(docs: DataFrame, filters: Filters, lang: str = "lang_pred", score:
     the language with the largest corrected share of the text's n-grams, ties to the first by name; score
     is that share. Languages, sources and ids are not read.
     """
+    small_batches(docs)
     sent = docs.sparkSession.sparkContext.broadcast(filters)
     schema = T.StructType([*docs.schema.fields, T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())])
 

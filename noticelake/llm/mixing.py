@@ -102,15 +102,15 @@ def mix(docs: DataFrame, fraction: float = 1.0, max_epochs: int = 4, domains: di
     """
     leaf = {fresh(docs, prefix + k): v for k, v in _leaf(DOMAINS if domains is None else domains).items()}
     names = dict(zip(LEVELS, leaf, strict=True))
-    tokens = fresh(docs, prefix + "tokens")
+    tokens, epochs, last = (fresh(docs, prefix + n) for n in ("tokens", "epochs", "last"))
     weights = [DOMAIN_WEIGHTS if domain_weights is None else domain_weights, LANGUAGE_WEIGHTS if language_weights is None else language_weights, source_weights]
     rows = docs.withColumns(leaf).withColumn(tokens, word_count(F.col("text")))
     slim = checkpoint(rows.select("doc_id", *[F.col(n).alias(k) for k, n in names.items()], F.col(tokens).alias("tokens")))
     made = plan(slim, fraction, max_epochs, weights, seed)
-    made = made.select(*[F.col(k).alias(n) for k, n in names.items()], F.col("epochs").alias(prefix + "_epochs"), F.col("last").alias(prefix + "_last"))
+    made = made.select(*[F.col(k).alias(n) for k, n in names.items()], F.col("epochs").alias(epochs), F.col("last").alias(last))
     rows = join_sized(rows, made, list(leaf), "left")
-    within = F.coalesce((_order(F.col("doc_id"), F.col(prefix + "_epochs"), seed) <= F.col(prefix + "_last")).cast("int"), F.lit(0))
-    copies = (F.coalesce(F.col(prefix + "_epochs"), F.lit(0)) + within).cast("int").alias(fresh(docs, prefix + "copies"))
+    within = F.coalesce((_order(F.col("doc_id"), F.col(epochs), seed) <= F.col(last)).cast("int"), F.lit(0))
+    copies = (F.coalesce(F.col(epochs), F.lit(0)) + within).cast("int").alias(fresh(docs, prefix + "copies"))
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns], *leaf, tokens, copies)
 
 

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from noticelake.llm.common import small_batches
+
 
 SEPARATOR = 1
 TIERS = (128, 256, 512, 1024, 2048)
@@ -229,6 +231,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, tiers: tuple =
     step group holds windows of one context and as many of them as make up ``group_tokens`` places, so the
     groups of all tiers weigh the same. The ids of sequences and groups start with the task's number.
     """
+    small_batches(docs)
     tokenizer = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from noticelake.llm.common import small_batches
+
 #: Tags that part no blocks, tags without an end, tags whose content is never the article's, tags whose content is not markup.
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q ruby rb rt rp s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -157,6 +159,7 @@ def extract_pages(pages: DataFrame, weights: dict | None = None) -> DataFrame:
     The whole html counts, however long; a null one is empty, and its text too. Where no page is labelled, all
     words score alike. Repeated rows and null ids stay rows; an empty table gives an empty result; other columns are not read.
     """
+    small_batches(pages)
     weights = weights or learn(pages)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from noticelake.llm.common import checkpoint, fresh
+from noticelake.llm.common import checkpoint, fresh, small_batches
 
 ORDER = 5
 START, END = "\x02", "\x03"
@@ -207,6 +207,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, slack:
     of them gets the largest threshold of all, and all is kept where nothing is trusted. A null text is empty and
     counts its end alone. Repeated rows stay rows; an empty table gives an empty result.
     """
+    small_batches(docs)
     ids = checkpoint(trusted_ids(labels))
     mark, nll, chars, limit = (fresh(docs, n) for n in ("trusted", "nll", "scored_chars", "limit"))
     known = ids.select(F.col("doc_id").alias(mark + "_id"), F.lit(True).alias(mark))

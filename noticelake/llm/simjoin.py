@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticelake.llm.common import checkpoint, join_sized
+from noticelake.llm.common import checkpoint, fresh, join_sized, small_batches
 from noticelake.llm.langid import letters
 
 WORDS, THRESHOLD, RUNS = 5, 0.8, 8
@@ -211,6 +211,7 @@ def similar_classes(docs: DataFrame, threshold: float = THRESHOLD, runs: int = R
     set throughout and need no pairs. A document of fewer than five words is one shingle; one without words,
     and a null text, is linked to nothing and its own class. first marks the class's row with the smallest (doc_id, text_key).
     """
+    small_batches(docs)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("text_key", F.md5("text"))
     sketched = checkpoint(rows.mapInPandas(_sketch(runs, threshold), "doc_id long, text_key string, digest binary, paths array<long>"))
@@ -262,8 +263,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Documents without words are classes of their own; those of one doc_id and one text count as one.
     """
     found = checkpoint(similar_classes(docs).where("first").groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("rows")))
-    keep = found.select(F.col("doc_id").alias("_keep_id"), F.col("text_key").alias("_keep_key"))
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("_keep_id")) & (F.md5(F.coalesce("text", F.lit(""))) == F.col("_keep_key"))
+    kept_id, kept_key = fresh(docs, "kept_id"), fresh(docs, "kept_key")
+    keep = found.select(F.col("doc_id").alias(kept_id), F.col("text_key").alias(kept_key))
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col(kept_id)) & (F.md5(F.coalesce("text", F.lit(""))) == F.col(kept_key))
     kept = docs.join(F.broadcast(keep) if keep.count() <= 500_000 else keep, on, "left_semi")
     repeated = found.where(F.col("rows") > 1).limit(1).count()
     return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
