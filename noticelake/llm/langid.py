@@ -110,15 +110,17 @@ def _sliced(texts: list[str | None], chars: int = 1 << 19) -> Iterator[tuple[int
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Counts of n-grams by language, summed over a batch before they are shuffled."""
+    """Counts of n-grams, and of the texts that hold them, by language and fold, summed over a batch before they are shuffled."""
     for batch in batches:
-        for lang, rows in batch.groupby("lang"):
+        for (lang, fold), rows in batch.groupby(["lang", "fold"]):
             texts = rows["text"].tolist()
             for start, stop in _sliced(texts):
-                for keys, _ in grams(texts[start:stop]):
-                    n = pd.Series(keys).value_counts(sort=False)
-                    if len(n):
-                        yield pd.DataFrame({"gram": n.index.to_numpy().view(np.int64), "lang": lang, "n": n.to_numpy(np.int64)})
+                for keys, owner in grams(texts[start:stop]):
+                    if len(keys):
+                        codes, distinct = pd.factorize(keys)
+                        n = np.bincount(codes, minlength=len(distinct))
+                        each = pd.unique(codes * np.int64(stop - start) + owner) // (stop - start)
+                        yield pd.DataFrame({"gram": distinct.view(np.int64), "lang": lang, "fold": fold, "n": n, "texts": np.bincount(each, minlength=len(distinct))})
 
 
 def held_out(doc_id: Column) -> Column:
@@ -126,23 +128,22 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def learn(labelled: DataFrame, size: int = SLOTS, share: float = 0.2) -> Filters:
-    """Filters of all n-grams of all labelled rows (text, lang); rows with a null in either are left out.
-
-    An n-gram belongs to the languages in which its frequency is at least ``share`` of that in the language
-    where it is most frequent, so words that strayed into a language do not count. What comes to the driver
-    is bounded by the filter's fixed size: a mask for each slot and 63 languages.
-    """
+def _counted(labelled: DataFrame) -> DataFrame:
+    """(gram, lang, fold, n, texts) of labelled (text, lang, fold); rows with a null in text or lang are left out."""
     small_batches(labelled)
-    counts = labelled.select("text", "lang").dropna().mapInPandas(_count, "gram long, lang string, n long")
-    counts = checkpoint(counts.groupBy("gram", "lang").agg(F.sum("n").alias("n")))
+    counts = labelled.select("text", "lang", "fold").dropna().mapInPandas(_count, "gram long, lang string, fold int, n long, texts long")
+    return checkpoint(counts.groupBy("gram", "lang", "fold").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts")))
+
+
+def _filters(counts: DataFrame, size: int, share: float) -> Filters:
+    """Filters of counts (gram, lang, n, texts). A gram counts only if ``texts`` is over 0."""
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).orderBy("lang").collect()
     if not totals:
         return Filters([], np.zeros((0, size), np.uint64))
     number, total = (F.create_map(*[F.lit(x) for i, r in enumerate(totals) for x in (r["lang"], v(i, r))]) for v in (lambda i, r: i, lambda i, r: float(r["total"])))
-    rows = counts.select("gram", number[F.col("lang")].alias("i"), (F.col("n") / total[F.col("lang")]).alias("f"))
+    rows = counts.select("gram", "texts", number[F.col("lang")].alias("i"), (F.col("n") / total[F.col("lang")]).alias("f"))
     most = F.max("f").over(Window.partitionBy("gram"))
-    rows = rows.withColumn("most", most).where(F.col("f") >= share * F.col("most"))
+    rows = rows.withColumn("most", most).where((F.col("f") >= share * F.col("most")) & (F.col("texts") > 0))
     masks = rows.groupBy("gram", (F.col("i") / 63).cast("int").alias("part")).agg(F.expr("bit_or(shiftleft(1L, i % 63))").alias("mask"))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -156,29 +157,66 @@ def learn(labelled: DataFrame, size: int = SLOTS, share: float = 0.2) -> Filters
     return Filters([r["lang"] for r in totals], table)
 
 
-def identify(docs: DataFrame, filters: Filters, lang: str = "lang_pred", score: str = "score") -> DataFrame:
+def learn(labelled: DataFrame, size: int = SLOTS, share: float = 0.2) -> Filters:
+    """Filters of all n-grams of all labelled rows (text, lang); rows with a null in either are left out.
+
+    An n-gram belongs to the languages in which its frequency is at least ``share`` of that in the language
+    where it is most frequent, so words that strayed into a language do not count. What comes to the driver
+    is bounded by the filter's fixed size: a mask for each slot and 63 languages.
+    """
+    return _filters(_counted(labelled.withColumn("fold", F.lit(0))), size, share)
+
+
+def fold(text: Column) -> Column:
+    """0 or 1, by a hash of the text, so that copies of a text are in one fold."""
+    return F.pmod(F.xxhash64(F.lit("language"), text), F.lit(2)).cast("int")
+
+
+def learn_folds(labelled: DataFrame, size: int = SLOTS, share: float = 0.2) -> list[Filters]:
+    """For each fold the filters that the other fold's rows teach.
+
+    An n-gram counts if three texts of its language hold it; one is enough in a language with fewer than 30
+    texts in the fold.
+    """
+    rows = labelled.select("text", "lang", fold(F.col("text")).alias("fold"))
+    counts = _counted(rows)
+    sizes = {(r["lang"], r["fold"]): r["count"] for r in rows.dropna().groupBy("lang", "fold").count().collect()}
+    out = []
+    for other in (1, 0):
+        few = [lang for (lang, f), n in sizes.items() if f == other and n < 30]
+        enough = (F.col("texts") >= 3) | F.col("lang").isin(few)
+        out.append(_filters(counts.where(F.col("fold") == other).withColumn("texts", F.when(enough, F.col("texts")).otherwise(0)), size, share))
+    return out
+
+
+def identify(docs: DataFrame, filters: Filters | list[Filters], lang: str = "lang_pred", score: str = "score", by: str | None = None) -> DataFrame:
     """docs with lang and score added, in a streaming pass over their ``text``.
 
     lang is ``und`` with score 0 for a null text or one without a letter (or if nothing was learned), else
     the language with the largest corrected share of the text's n-grams, ties to the first by name; score
-    is that share. Languages, sources and ids are not read.
+    is that share. Languages, sources and ids are not read. With ``by``, a column of docs, filters is a list
+    and that column says which of them judge a row.
     """
     small_batches(docs)
-    sent = docs.sparkSession.sparkContext.broadcast(filters)
+    sent = docs.sparkSession.sparkContext.broadcast(filters if by else [filters])
     schema = T.StructType([*docs.schema.fields, T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())])
 
     def run(batches) -> Iterator:
         import pyarrow as pa
 
-        found: Filters = sent.value
         for b in batches:
             texts = b.column("text").to_pylist()
+            judges = b.column(by).to_numpy(zero_copy_only=False) if by else np.zeros(len(texts), np.int64)
             langs, scores = ["und"] * len(texts), np.zeros(len(texts))
-            for start, stop in _sliced(texts) if found.languages else ():
-                total, shares = found.shares([t or "" for t in texts[start:stop]])
-                best = shares.argmax(axis=1)
-                for i in np.flatnonzero(total):
-                    langs[start + i], scores[start + i] = found.languages[best[i]], shares[i, best[i]]
+            for start, stop in _sliced(texts):
+                for j, found in enumerate(sent.value):
+                    rows = start + np.flatnonzero(judges[start:stop] == j)
+                    if not len(rows) or not found.languages:
+                        continue
+                    total, shares = found.shares([texts[i] or "" for i in rows])
+                    best = shares.argmax(axis=1)
+                    for i in np.flatnonzero(total):
+                        langs[rows[i]], scores[rows[i]] = found.languages[best[i]], shares[i, best[i]]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(scores)], names=[*b.schema.names, lang, score])
 
     return docs.mapInArrow(run, schema)
@@ -196,11 +234,22 @@ def language_documents(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, least: float = 0.4) -> DataFrame:
+def keep_identified(docs: DataFrame, least: float = 0.85) -> DataFrame:
     """The rows of docs, all their columns unchanged, whose text is in one of the languages that docs teaches.
 
-    Rejected are texts without letters and texts less than ``least`` of whose n-grams are of any one language.
+    Each text is judged by filters that the other fold taught, so neither it nor a copy of it vouches for itself.
+    Rejected are texts without letters and texts with a score under their language's limit. The limit is ``least``
+    of the median score of the rows that are labelled with the language and found to be of it, or that median less
+    four times its distance to the lower quartile if this is lower; both stand although some of the labelled rows
+    are junk. A language with fewer than 20 such rows gets the limit of all of them.
     """
-    lang, score = fresh(docs, "lang_pred"), fresh(docs, "lang_score")
-    found = identify(docs, learn(docs), lang, score)
-    return found.where((F.col(lang) != "und") & (F.col(score) >= least)).drop(lang, score)
+    lang, score, part = fresh(docs, "lang_pred"), fresh(docs, "lang_score"), fresh(docs, "lang_fold")
+    found = checkpoint(identify(docs.withColumn(part, fold(F.col("text"))), learn_folds(docs), lang, score, part))
+    clean = found.where(F.col("lang") == F.col(lang))
+    quartiles = F.percentile_approx(score, [0.25, 0.5], 10_000)
+    limit = lambda q: min(least * q[1], q[1] - 4 * (q[1] - q[0]))
+    each = {r["l"]: limit(r["q"]) for r in clean.groupBy(F.col(lang).alias("l")).agg(quartiles.alias("q"), F.count(F.lit(1)).alias("n")).where("n >= 20").collect()}
+    overall = clean.agg(quartiles).first()[0]
+    rest = F.lit(limit(overall) if overall else 0.0)
+    limits = F.coalesce(F.create_map(*[F.lit(x) for pair in each.items() for x in pair])[F.col(lang)], rest) if each else rest
+    return found.where((F.col(lang) != "und") & (F.col(score) >= limits)).drop(lang, score, part)

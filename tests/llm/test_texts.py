@@ -184,6 +184,18 @@ def test_languages(spark):
     assert {r["lang_pred"] for r in langid.language_documents(docs(spark, [(1, "abc", None)])).collect()} == {"und"}
 
 
+def test_gibberish_and_mixed_texts_are_rejected(spark):
+    rng = random.Random(12)
+    rows = [(i, prose(rng, lang, rng.randrange(20, 80)), lang) for i, lang in enumerate(rng.choice(list(WORDS)) for _ in range(600))]
+    letters = lambda: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9))) for _ in range(60))
+    junk = [(1000 + i, letters(), rng.choice(list(WORDS))) for i in range(30)]
+    copied = [(1100 + i, junk[0][1], "xa") for i in range(10)]
+    mixed = [(1200 + i, prose(rng, "xa", 40) + " " + prose(rng, "zc", 40), rng.choice(["xa", "zc"])) for i in range(30)]
+    kept = {r["doc_id"] for r in langid.keep_identified(docs(spark, rows + junk + copied + mixed)).collect()}
+    assert not kept & {i for i, _, _ in junk + copied + mixed}
+    assert len(kept) >= 0.98 * len(rows)
+
+
 def test_filter_shares_are_corrected():
     keys = np.random.default_rng(1).integers(1, 2**63, 3000, np.uint64)
     masks = np.zeros((2, 4096), np.uint64)
