@@ -194,13 +194,16 @@ def with_scores(docs: DataFrame, logp: DataFrame, nll: str, chars: str, most: in
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
-    return labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    """The documents to which labels give quality 1 and toxic 0, and in no row anything else."""
+    clean = F.coalesce((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit(False))
+    each = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(clean).alias("clean"))
+    return each.where("clean").select("doc_id")
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, slack: float = 0.1, prior: float = 200.0, most: int = 6_000_000) -> DataFrame:
     """docs, all columns, with ``perplexity``, ``threshold`` and ``keep`` added (names with _ behind where docs has them).
 
-    Trusted are the documents that labels give quality 1; a fifth of them, by a hash of doc_id, only sets
+    Trusted are the documents that labels give quality 1 and toxic 0; a fifth of them, by a hash of doc_id, only sets
     the thresholds, all others train. A document's log perplexity is taken together with ``prior`` characters
     of the mean one of its language, so that a short text is not judged by a few characters. The threshold
     is the language's ``quantile`` over the held-out trusted documents, times e^slack; a language (or null) with fewer than 20

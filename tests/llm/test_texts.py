@@ -274,3 +274,13 @@ def test_classifier_and_both_ways_of_scoring(spark):
     assert good.columns == df.columns and good.count() == sum(r["keep"] for r in got)
     assert quality.quality_documents(df.limit(0), labels).count() == 0
     assert all(r["keep"] for r in quality.quality_documents(df.limit(20), labels.limit(0)).collect())
+
+
+def test_toxic_documents_are_not_trusted(spark):
+    rng = random.Random(13)
+    clean = [(i, prose(rng, "xa", rng.randrange(20, 60)), "xa") for i in range(400)]
+    toxic = [(1000 + i, prose(rng, "zc", rng.randrange(20, 60)), "xa") for i in range(60)]
+    labels = spark.createDataFrame([(i, 1, 0) for i, _, _ in clean] + [(i, 1, 1) for i, _, _ in toxic] + [(7, 1, 1), (8, 0, 0), (9, 1, None)], "doc_id long, quality int, toxic int")
+    assert {r["doc_id"] for r in quality.trusted_ids(labels).collect()} == set(range(400)) - {7, 8, 9}
+    kept = {r["doc_id"]: r["keep"] for r in quality.quality_documents(docs(spark, clean + toxic), labels).collect()}
+    assert not any(kept[i] for i, _, _ in toxic) and np.mean([kept[i] for i, _, _ in clean]) > 0.97
