@@ -200,14 +200,15 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return each.where("clean").select("doc_id")
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, slack: float = 0.1, prior: float = 200.0, most: int = 6_000_000) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, prior: float = 200.0, most: int = 6_000_000) -> DataFrame:
     """docs, all columns, with ``perplexity``, ``threshold`` and ``keep`` added (names with _ behind where docs has them).
 
     Trusted are the documents that labels give quality 1 and toxic 0; a fifth of them, by a hash of doc_id, only sets
     the thresholds, all others train. A document's log perplexity is taken together with ``prior`` characters
     of the mean one of its language, so that a short text is not judged by a few characters. The threshold
-    is the language's ``quantile`` over the held-out trusted documents, times e^slack; a language (or null) with fewer than 20
-    of them gets the largest threshold of all, and all is kept where nothing is trusted. A null text is empty and
+    is the language's ``quantile`` over the held-out trusted documents; a language (or null) with too few of
+    them to have one beyond it (fewer than 1 / (1 - quantile)) gets its mean times the ``quantile`` of all held-out documents' distances to the means of their languages (without any, the mean
+    of those means), and all is kept where nothing is trusted. A null text is empty and
     counts its end alone. Repeated rows stay rows; an empty table gives an empty result.
     """
     small_batches(docs)
@@ -225,12 +226,15 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, slack:
     means = judged.groupBy("lang").agg((F.sum("nll") / F.sum("chars")).alias("mean"), F.count(F.lit(1)).alias("docs"))
     shrunk = lambda s, n, mean: (s + prior * mean) / (n + prior)
     each = judged.join(means.withColumnRenamed("lang", "l"), F.col("lang").eqNullSafe(F.col("l"))).withColumn("x", shrunk(F.col("nll"), F.col("chars"), F.col("mean")))
-    table = each.groupBy("lang").agg(F.first("mean").alias("mean"), F.first("docs").alias("docs"), (F.percentile_approx("x", quantile, 10_000) + slack).alias("limit"))
-    table = checkpoint(table.select(F.col("lang").alias(limit + "_lang"), F.col("mean").alias(limit + "_mean"), F.when(F.col("docs") >= 20, F.col("limit")).alias(limit), F.col("limit").alias(limit + "_own")))
-    overall = table.agg(F.max(limit + "_own"), F.avg(limit + "_mean")).first()
+    each = checkpoint(each.select("lang", "mean", "docs", "x"))
+    table = each.groupBy("lang").agg(F.first("mean").alias("mean"), F.first("docs").alias("docs"), F.percentile_approx("x", quantile, 10_000).alias("limit"))
+    table = checkpoint(table.select(F.col("lang").alias(limit + "_lang"), F.col("mean").alias(limit + "_mean"), F.when(F.col("docs") * (1 - quantile) >= 1 - 1e-9, F.col("limit")).alias(limit)))
+    above = each.agg(F.percentile_approx(F.col("x") - F.col("mean"), quantile, 10_000)).first()[0]
+    overall = table.agg(F.avg(limit + "_mean")).first()[0]
     scored = with_scores(docs, logp, nll, chars, most)
     scored = scored.join(F.broadcast(table) if table.count() <= 10_000 else table, F.col("lang").eqNullSafe(F.col(limit + "_lang")), "left")
-    top, middle = F.coalesce(F.col(limit), F.lit(overall[0]).cast("double")), F.coalesce(F.col(limit + "_mean"), F.lit(overall[1]).cast("double"))
+    middle = F.coalesce(F.col(limit + "_mean"), F.lit(overall).cast("double"))
+    top = F.coalesce(F.col(limit), middle + F.lit(above).cast("double"))
     own = shrunk(F.col(nll), F.col(chars), F.coalesce(middle, F.lit(0.0)))
     out = [F.exp(own).alias(fresh(docs, "perplexity")), F.exp(top).alias(fresh(docs, "threshold")), F.coalesce(own <= top, F.lit(True)).alias(fresh(docs, "keep"))]
     return scored.select(*[F.col(f"`{c}`") for c in docs.columns], *out)

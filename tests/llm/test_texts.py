@@ -284,3 +284,20 @@ def test_toxic_documents_are_not_trusted(spark):
     assert {r["doc_id"] for r in quality.trusted_ids(labels).collect()} == set(range(400)) - {7, 8, 9}
     kept = {r["doc_id"]: r["keep"] for r in quality.quality_documents(docs(spark, clean + toxic), labels).collect()}
     assert not any(kept[i] for i, _, _ in toxic) and np.mean([kept[i] for i, _, _ in clean]) > 0.97
+
+
+def test_threshold_is_the_quantile_itself(spark):
+    rng = random.Random(14)
+    clean = [(i, prose(rng, "xa", rng.randrange(40, 80)), "xa") for i in range(600)]
+    weak = [(1000 + i, " ".join(["".join(rng.choice(WORDS["xa"].split()) for _ in range(3))] * 60), "xa") for i in range(60)]
+    few = [(2000 + i, prose(rng, "yb", rng.randrange(40, 80)), "yb") for i in range(20)]
+    labels = [(i, 1, 0) for i, _, _ in clean + few] + [(i, 0, 0) for i, _, _ in weak]
+    rows = quality.quality_documents(docs(spark, clean + weak + few), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    apart = {r[0] for r in spark.range(600).where(F.pmod(F.xxhash64(F.lit("quality"), F.col("id")), F.lit(5)) == 0).collect()}
+    held = sorted(r["perplexity"] for r in rows if r["doc_id"] in apart)
+    limits = {r["lang"]: r["threshold"] for r in rows}
+    assert limits["xa"] == pytest.approx(held[int(np.ceil(0.99 * len(held))) - 1])
+    kept = {r["doc_id"]: r["keep"] for r in rows}
+    assert np.mean([kept[i] for i, _, _ in clean]) > 0.98
+    assert np.mean([kept[i] for i, _, _ in weak]) < 0.6  # one word over and over
+    assert 0 < np.log(limits["yb"]) < np.log(limits["xa"]) + 0.1
