@@ -7,16 +7,15 @@ seen in trusted text or not, its interpolated probability. A second pass sums th
 
 from __future__ import annotations
 
-import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from noticelake.llm.common import checkpoint, fresh, small_batches
+from noticelake.llm.common import checkpoint, fresh, partitions, small_batches
 
 ORDER = 5
 START, END = "\x02", "\x03"
@@ -105,92 +104,101 @@ def probabilities(flagged: DataFrame) -> DataFrame:
     return below.select("gram", F.log("p").alias("logp"))
 
 
-class Lookup:
-    """Open addressing over 64-bit keys, filled and asked with whole arrays."""
-
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        size = 1 << max(4, int(1.4 * len(keys)).bit_length())
-        self.mask, self.keys, self.values = np.uint64(size - 1), np.zeros(size, np.uint64), np.zeros(size, np.float32)
-        todo, step = np.arange(len(keys)), 0
-        while len(todo):
-            at = (keys[todo] + np.uint64(step)) & self.mask
-            free = self.keys[at] == 0
-            self.keys[at[free]] = keys[todo[free]]
-            placed = self.keys[at] == keys[todo]
-            self.values[at[placed]] = values[todo[placed]]
-            todo, step = todo[~placed], step + 1
-
-    def get(self, keys: np.ndarray) -> np.ndarray:
-        at = keys & self.mask
-        out, todo = self.values[at], np.flatnonzero(self.keys[at] != keys)
-        step = 1
-        while len(todo):
-            at = (keys[todo] + np.uint64(step)) & self.mask
-            met = self.keys[at] == keys[todo]
-            out[todo[met]] = self.values[at[met]]
-            if (~met & (self.keys[at] == 0)).any():
-                raise KeyError("an n-gram of the corpus has no probability")
-            todo, step = todo[~met], step + 1
-        return out
-
-
-_LOOKUPS: dict[str, Lookup] = {}  # the last model that this worker used
-
-
-def _scored_by_broadcast(docs: DataFrame, logp: DataFrame, nll: str, chars: str) -> DataFrame:
-    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            keys = _keys("".join(b["gram"]))[::ORDER] if len(b) else np.zeros(0, np.uint64)
-            yield pd.DataFrame({"key": keys.view(np.int64), "logp": b["logp"].astype(np.float32)})
-
-    model = logp.mapInPandas(keyed, "key long, logp float").toArrow()
-    sent = docs.sparkSession.sparkContext.broadcast((model["key"].to_numpy().view(np.uint64), model["logp"].to_numpy()))
-    schema = T.StructType([*docs.schema.fields, T.StructField(nll, T.DoubleType()), T.StructField(chars, T.LongType())])
-    name = uuid.uuid4().hex
+def _packed(shards: int):
+    """For runs of texts (h, text) and each shard of n-grams one row: the n-grams, the texts that hold them and how often."""
 
-    def run(batches) -> Iterator:
-        import pyarrow as pa
-
-        if name not in _LOOKUPS:
-            _LOOKUPS.clear()
-            _LOOKUPS[name] = Lookup(*sent.value)
-        lookup = _LOOKUPS[name]
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            texts = [t or "" for t in b.column("text").to_pylist()]
-            total = np.zeros(len(texts))
-            for part in _runs(texts):
+            texts, h = b["text"].tolist(), b["h"].to_numpy(np.int64)
+            for part in _runs(texts, 1 << 21):
                 joined, at, owner = _joined(texts[part])
-                total[part] = -np.bincount(owner, lookup.get(_keys(joined)[at]), len(texts[part]))
-            n = np.array([len(t) + 1 for t in texts], np.int64)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(total), pa.array(n)], names=[*b.schema.names, nll, chars])
-
-    return docs.mapInArrow(run, schema)
-
-
-def _scored_by_join(docs: DataFrame, logp: DataFrame, nll: str, chars: str) -> DataFrame:
-    """The same through a shuffle: each document's n-gram counts meet the probabilities by n-gram, their sums meet the document."""
-    row = fresh(docs, "row")
-    docs = checkpoint(docs.withColumn(row, F.monotonically_increasing_id()))
-
-    def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                codes, distinct = pd.factorize(_keys(joined)[at])
+                place = np.argsort(distinct % np.uint64(shards), kind="stable")
+                rank = np.empty(len(place), np.int64)
+                rank[place] = np.arange(len(place))
+                m = len(texts[part])
+                pairs, n = np.unique(rank[codes] * m + owner, return_counts=True)
+                times = -(-n // 255)  # a count is a byte: larger ones take several entries
+                pairs, n = np.repeat(pairs, times), np.repeat(n - 255 * (times - 1), times)
+                n[np.arange(len(n)) != np.repeat(np.cumsum(times) - 1, times)] = 255
+                gram, doc = pairs // m, (pairs % m).astype(np.uint16)
+                keys = distinct[place]
+                edges = np.searchsorted(keys % np.uint64(shards), np.arange(shards + 1, dtype=np.uint64))
+                cuts = np.searchsorted(gram, edges)
+                held = np.bincount(gram, minlength=len(keys)).astype(np.uint32)
+                names, sizes = h[part], np.array([len(t) for t in texts[part]], np.int64)
+                rows = []
+                for s in np.flatnonzero(np.diff(edges)).tolist():
+                    g, e = slice(edges[s], edges[s + 1]), slice(cuts[s], cuts[s + 1])
+                    own, local = np.unique(doc[e], return_inverse=True)
+                    parts = (keys[g], held[g], local.astype(np.uint16), n[e].astype(np.uint8))
+                    rows.append((s, 1, zlib.compress(b"".join(x.tobytes() for x in parts), 1), len(keys[g]), names[own].tobytes(), sizes[own].tobytes()))
+                yield pd.DataFrame(rows, columns=["shard", "kind", "data", "grams", "h", "size"])
+
+    return run
+
+
+def _shards(shards: int):
+    """The rows of the probabilities, packed by shard: many rows for one shard."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for i, text in zip(b[row], b["text"].fillna(""), strict=True):
-                joined, at, _ = _joined([text])
-                n = pd.Series([joined[x : x + ORDER] for x in at.tolist()]).value_counts()
-                yield pd.DataFrame({row: i, "gram": n.index, "n": n.to_numpy()})
-
-    sums = docs.select(row, "text").mapInPandas(grams, f"`{row}` long, gram string, n long").join(logp, "gram")
-    sums = sums.groupBy(row).agg((-F.sum(F.col("n") * F.col("logp").cast("float"))).alias(nll), F.sum("n").alias(chars))
-    return docs.join(sums, row).drop(row)
+            if len(b):
+                keys = _keys("".join(b["gram"]))[::ORDER]
+                value = b["logp"].to_numpy(np.float32)
+                of = (keys % np.uint64(shards)).astype(np.int64)
+                yield pd.DataFrame([(s, 0, keys[of == s].tobytes(), int((of == s).sum()), value[of == s].tobytes(), b"") for s in np.unique(of).tolist()], columns=["shard", "kind", "data", "grams", "h", "size"])
+
+    return run
+
+
+def _summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows in order of shard and kind: the shard's probabilities, then runs of texts, whose sums come out."""
+    shard, got, keys, values = -1, [], None, None
+    for b in batches:
+        out = []
+        for s, kind, data, grams, h, size in b[["shard", "kind", "data", "grams", "h", "size"]].itertuples(index=False):
+            if s != shard:
+                shard, got, keys = s, [], None
+            if kind == 0:
+                got.append((np.frombuffer(data, np.uint64), np.frombuffer(h, np.float32)))
+                continue
+            if keys is None:
+                keys = np.concatenate([k for k, _ in got] or [np.zeros(0, np.uint64)])
+                values = np.concatenate([v for _, v in got] or [np.zeros(0, np.float32)])
+                order = np.argsort(keys)
+                keys, values, got = keys[order], values[order], []
+            raw = zlib.decompress(data)
+            asked, held = np.frombuffer(raw, np.uint64, grams), np.frombuffer(raw, np.uint32, grams, 8 * grams)
+            total = int(held.sum())
+            doc, n = np.frombuffer(raw, np.uint16, total, 12 * grams), np.frombuffer(raw, np.uint8, total, 12 * grams + 2 * total)
+            at = np.searchsorted(keys, asked)
+            if (at == len(keys)).any() or (keys[at] != asked).any():
+                raise KeyError("an n-gram of the corpus has no probability")
+            names = np.frombuffer(h, np.int64)
+            nll = -np.bincount(doc, np.repeat(values[at], held).astype(np.float64) * n, len(names))
+            out.append(pd.DataFrame({"h": names, "size": np.frombuffer(size, np.int64), "nll": nll, "n": np.bincount(doc, n, len(names)).astype(np.int64)}))
+        if out:
+            yield pd.concat(out)
 
 
-def with_scores(docs: DataFrame, logp: DataFrame, nll: str, chars: str, most: int = 6_000_000) -> DataFrame:
-    """docs with the negative log probability of its text and the number of characters that this sums.
+def with_scores(docs: DataFrame, logp: DataFrame, nll: str, chars: str, kept: list[str] | None = None, most: int = 2_000_000) -> DataFrame:
+    """docs (only the columns ``kept``, if given) with the negative log probability of its text and the number of characters that this sums.
 
-    The probabilities (12 bytes each) go to all tasks if at most ``most`` of them were counted, else they are
-    joined through a shuffle.
+    The documents' n-gram counts, summed over runs of texts, meet the probabilities shard by shard, at most about
+    ``most`` n-grams in each; neither passes through the driver, and a task holds one shard of the probabilities. The sums
+    come back by a hash of the text and its length; copies of a text share them.
     """
-    return (_scored_by_broadcast if logp.count() <= most else _scored_by_join)(docs, logp, nll, chars)
+    shards = max(partitions(docs.sparkSession), -(-logp.count() // max(most, 1)))
+    text, h, size = F.coalesce("text", F.lit("")), fresh(docs, "h"), fresh(docs, "size")
+    packed = "shard int, kind int, data binary, grams int, h binary, size binary"
+    counts = docs.select(text.alias("text"), F.xxhash64(text).alias("h")).mapInPandas(_packed(shards), packed)
+    both = logp.mapInPandas(_shards(shards), packed).unionByName(counts)
+    both = both.repartition(partitions(docs.sparkSession), "shard").sortWithinPartitions("shard", "kind")
+    sums = both.mapInPandas(_summed, "h long, size long, nll double, n long").groupBy("h", "size").agg(F.sum("nll").alias("nll"), F.sum("n").alias("n"))
+    sums = sums.select(F.col("h").alias(h), F.col("size").alias(size), (F.col("nll") * (F.col("size") + 1) / F.col("n")).alias(nll))
+    rows = docs.withColumns({h: F.xxhash64(text), size: F.length(text).cast("long")}).select(*[F.col(f"`{c}`") for c in kept or docs.columns], h, size)
+    return rows.join(sums, [h, size]).withColumn(chars, F.col(size) + 1).drop(h, size)
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -200,8 +208,8 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return each.where("clean").select("doc_id")
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, prior: float = 200.0, most: int = 6_000_000) -> DataFrame:
-    """docs, all columns, with ``perplexity``, ``threshold`` and ``keep`` added (names with _ behind where docs has them).
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, prior: float = 200.0, most: int = 2_000_000, kept: list[str] | None = None) -> DataFrame:
+    """docs, all columns (or those of ``kept``), with ``perplexity``, ``threshold`` and ``keep`` added (names with _ behind where docs has them).
 
     Trusted are the documents that labels give quality 1 and toxic 0; a fifth of them, by a hash of doc_id, only sets
     the thresholds, all others train. A document's log perplexity is taken together with ``prior`` characters
@@ -222,7 +230,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, prior:
     trains = F.coalesce(F.col(mark) & ~apart, F.lit(False))
     logp = probabilities(flagged.select(F.coalesce("text", F.lit("")).alias("text"), trains.alias("trusted")))
     judges = flagged.where(F.col(mark) & apart).select("lang", "text")
-    judged = checkpoint(with_scores(judges, logp, "nll", "chars", most).select("lang", "nll", "chars"))
+    judged = checkpoint(with_scores(judges, logp, "nll", "chars", most=most).select("lang", "nll", "chars"))
     means = judged.groupBy("lang").agg((F.sum("nll") / F.sum("chars")).alias("mean"), F.count(F.lit(1)).alias("docs"))
     shrunk = lambda s, n, mean: (s + prior * mean) / (n + prior)
     each = judged.join(means.withColumnRenamed("lang", "l"), F.col("lang").eqNullSafe(F.col("l"))).withColumn("x", shrunk(F.col("nll"), F.col("chars"), F.col("mean")))
@@ -231,18 +239,18 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, prior:
     table = checkpoint(table.select(F.col("lang").alias(limit + "_lang"), F.col("mean").alias(limit + "_mean"), F.when(F.col("docs") * (1 - quantile) >= 1 - 1e-9, F.col("limit")).alias(limit)))
     above = each.agg(F.percentile_approx(F.col("x") - F.col("mean"), quantile, 10_000)).first()[0]
     overall = table.agg(F.avg(limit + "_mean")).first()[0]
-    scored = with_scores(docs, logp, nll, chars, most)
+    scored = with_scores(docs, logp, nll, chars, kept, most)
     scored = scored.join(F.broadcast(table) if table.count() <= 10_000 else table, F.col("lang").eqNullSafe(F.col(limit + "_lang")), "left")
     middle = F.coalesce(F.col(limit + "_mean"), F.lit(overall).cast("double"))
     top = F.coalesce(F.col(limit), middle + F.lit(above).cast("double"))
     own = shrunk(F.col(nll), F.col(chars), F.coalesce(middle, F.lit(0.0)))
     out = [F.exp(own).alias(fresh(docs, "perplexity")), F.exp(top).alias(fresh(docs, "threshold")), F.coalesce(own <= top, F.lit(True)).alias(fresh(docs, "keep"))]
-    return scored.select(*[F.col(f"`{c}`") for c in docs.columns], *out)
+    return scored.select(*[F.col(f"`{c}`") for c in kept or docs.columns], *out)
 
 
 def quality_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per row of docs: doc_id, lang, perplexity, threshold, keep (see classify)."""
-    return classify(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang"), labels).drop("text")
+    return classify(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang"), labels, kept=["doc_id", "lang"])
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:

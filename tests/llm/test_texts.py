@@ -301,3 +301,23 @@ def test_threshold_is_the_quantile_itself(spark):
     assert np.mean([kept[i] for i, _, _ in clean]) > 0.98
     assert np.mean([kept[i] for i, _, _ in weak]) < 0.6  # one word over and over
     assert 0 < np.log(limits["yb"]) < np.log(limits["xa"]) + 0.1
+
+
+def test_no_model_passes_through_the_driver(spark, monkeypatch):
+    rng = random.Random(15)
+    rows = [(i, prose(rng, "xa", rng.randrange(1, 40)), "xa") for i in range(80)] + [(90, "a" * 3000, "xa"), (91, "a" * 3000, "yb"), (92, None, "xa")]
+    df = docs(spark, rows).select("doc_id", "text", "lang")
+    logp = quality.probabilities(df.select(F.coalesce("text", F.lit("")).alias("text"), (F.col("doc_id") < 60).alias("trusted")))
+    logs = {r["gram"]: r["logp"] for r in logp.collect()}
+
+    def no(*_):
+        raise AssertionError("a table came to the driver")
+
+    monkeypatch.setattr(type(df), "toArrow", no)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", no)
+    got = {r["doc_id"]: r for r in quality.with_scores(df, logp, "nll", "chars", most=50).collect()}
+    assert len(got) == len(rows)
+    for i, t, _ in rows:
+        m = quality.START * (quality.ORDER - 1) + (t or "") + quality.END
+        assert got[i]["chars"] == len(t or "") + 1
+        assert got[i]["nll"] == pytest.approx(-sum(logs[m[j : j + quality.ORDER]] for j in range(len(m) - quality.ORDER + 1)), rel=1e-5)
