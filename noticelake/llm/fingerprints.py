@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from noticelake.llm.common import partitions, small_batches
 
-SMALLEST, WINDOW, LONG, SHORT = 3, 7, 64, 32
+SMALLEST, WINDOW, LONG = 3, 7, 64
 ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
 _BASE = 0x9E3779B97F4A7C15
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]  # of the base and of its inverse modulo 2^64
@@ -46,7 +46,9 @@ def _rolling(a: np.ndarray) -> np.ndarray:
 def fingerprint(data: bytes) -> str:
     """Of the whole data, in time in proportion to its length. No data: ``3::``.
 
-    The length alone sets the block size, so an edit that keeps most of the length keeps it comparable.
+    The block size starts from the length; it is doubled while there are more than 64 chunks and halved while there
+    are fewer than 32 and half of it gives no more than 64, so no rest of the text is folded into one character. A
+    stretch without boundaries is cut into pieces of a fixed length, a sixteenth to an eighth of the text.
     """
     n = len(data)
     if not n:
@@ -59,19 +61,34 @@ def fingerprint(data: bytes) -> str:
     block = SMALLEST
     while block * LONG < n:
         block *= 2
-    ends = np.flatnonzero(roll % np.uint32(block) == block - 1)
-
-    def chunks(size: int, most: int) -> str:
-        at = ends[roll[ends] % np.uint32(size) == size - 1][: most - 1] + 1
-        starts = np.concatenate(([0], at))
-        stops = np.concatenate((at, [n]))
-        keep = stops > starts
-        starts, stops = starts[keep], stops[keep]
+    piece = 4 * block
+    marks = np.flatnonzero(roll % np.uint32(SMALLEST) == SMALLEST - 1)
+
+    def cut(size: int, piece: int) -> np.ndarray:
+        """Where chunks start, and the end of the text."""
+        at = marks[roll[marks] % np.uint32(size) == size - 1] + 1
+        edges = np.unique(np.concatenate(([0], at, [n])))
+        more = (np.diff(edges) - 1) // piece  # of each chunk so many more pieces
+        first = np.repeat(np.cumsum(more) - more, more)
+        return np.sort(np.concatenate((edges, np.repeat(edges[:-1], more) + piece * (np.arange(len(first)) - first + 1))))
+
+    edges = cut(block, piece)
+    while len(edges) - 1 > LONG:
+        block *= 2
+        edges = cut(block, piece)
+    while block > SMALLEST and len(edges) - 1 < LONG // 2:
+        finer = cut(block // 2, piece)
+        if len(finer) - 1 > LONG:
+            break
+        block, edges = block // 2, finer
+
+    def signature(edges: np.ndarray) -> str:
+        starts, stops = edges[:-1], edges[1:]
         h = (sums[stops] - sums[starts]) * inverses[starts]
         h ^= h >> np.uint64(29)
         return ALPHABET[((h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(58)).astype(np.int64)].tobytes().decode()
 
-    return f"{block}:{chunks(block, LONG)}:{chunks(2 * block, SHORT)}"
+    return f"{block}:{signature(edges)}:{signature(cut(2 * block, 2 * piece))}"
 
 
 def _common(x: str, y: str) -> bool:

@@ -158,6 +158,22 @@ def test_fingerprints_of_neighbours(spark):
     assert only["edited_sha256"] == hashlib.sha256(b"abab").hexdigest() and only["near_next"] == 1
 
 
+def test_signature_spans_repeated_texts():
+    rng = random.Random(16)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 8)))
+    near = []
+    for _ in range(60):
+        lines = [(word() + " ") * 60 for _ in range(12)]
+        whole = "".join(lines)
+        other = "".join(word() + " " for _ in range(len(whole)))[: len(whole) // 2]
+        block, x, y = fingerprints.fingerprint(whole.encode()).split(":")
+        assert 8 <= len(x) <= 64 and 1 <= len(y) <= 64 and int(block) >= 3
+        tail = fingerprints.fingerprint((whole[:-300] + "".join(word() + " " for _ in range(300))[:300]).encode())
+        assert tail.split(":", 1)[1] != f"{x}:{y}"
+        near.append(fingerprints.likeness([(f"{block}:{x}:{y}", fingerprints.fingerprint((whole[: len(whole) - len(other)] + other).encode()))])[0])
+    assert max(near) < 0.9
+
+
 # Languages
 
 WORDS = {"xa": "the of and ing tion er", "yb": "der die und ung sch keit", "zc": "que les des eau oi ment"}
