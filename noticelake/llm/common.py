@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,11 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpoint(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and read it back, so that a lost executor costs no recomputation.
 
-    The folder is the cluster's ``spark.checkpoint.dir``; only where none is set (tests) a local one is made.
+    The folder is the cluster's ``spark.checkpoint.dir``. Where none is set, one is made on a local master (tests);
+    on a cluster that is an error, as executors do not share the driver's folders.
     """
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="noticelake-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            folder = tempfile.mkdtemp(prefix="noticelake-")
+        sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
@@ -27,24 +36,44 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def small_batches(df: DataFrame, records: int = 1000) -> None:
-    """Whole texts go to Python in batches of at most ``records`` rows, or fewer if the session says so.
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", chars: int = 1 << 19, records: int = 1000) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Runs of rows of a bounded number of bytes of ``column``, at least one row each, with that column's values.
 
-    A batch is held by the JVM and by the worker at once, several times over while it is converted.
+    Only a run's values are Python objects at a time, however large the batch is that holds them.
     """
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(conf.get(key))
-    if now <= 0 or now > records:
-        conf.set(key, str(records))
+    for b in batches:
+        lengths = pa.compute.fill_null(pa.compute.binary_length(b.column(column)), 0).to_pylist()
+        start = size = 0
+        for i, n in enumerate(lengths):
+            if i > start and (size + n > chars or i - start >= records):
+                yield b.slice(start, i - start), b.column(column).slice(start, i - start).to_pylist()
+                start, size = i, 0
+            size += n
+        if start < len(lengths):
+            yield b.slice(start), b.column(column).slice(start).to_pylist()
+
+
+def pieces(text: str, chars: int = 1 << 20) -> Iterator[str]:
+    """The text in pieces of at most so many characters, each but the last ending at a character that no word holds.
+
+    Only a word of more than 4096 characters may be cut, at the same place in equal texts.
+    """
+    start = 0
+    while len(text) - start > chars:
+        end = start + chars
+        stop = next((i for i in range(end, max(start, end - 4096), -1) if not (text[i - 1].isalnum() or text[i - 1] == "_")), end)
+        yield text[start:stop]
+        start = stop
+    yield text[start:]
 
 
-def join_sized(left: DataFrame, right: DataFrame, on: list[str], how: str = "left", max_rows: int = 100_000) -> DataFrame:
-    """Join to a checkpointed side: broadcast it if its counted rows are few, else shuffle both sides.
+def join_sized(left: DataFrame, right: DataFrame, on: list[str], how: str = "left", max_bytes: int = 64 << 20, row_bytes: int = 200) -> DataFrame:
+    """Join to a checkpointed side: broadcast it if its counted rows of about ``row_bytes`` fit into ``max_bytes``, else shuffle both.
 
-    The count is of a table already written, so it costs one pass over that small table; above ``max_rows``
+    The count is of a table already written, so it costs one pass over that small table; above the bound
     Spark's own join (with adaptive skew splitting) takes over.
     """
-    return left.join(F.broadcast(right) if right.count() <= max_rows else right, on, how)
+    return left.join(F.broadcast(right) if right.count() * row_bytes <= max_bytes else right, on, how)
 
 
 def fresh(df: DataFrame, name: str) -> str:

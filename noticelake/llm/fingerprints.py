@@ -12,25 +12,28 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticelake.llm.common import partitions, small_batches
+from noticelake.llm.common import partitions, slices
 
 SMALLEST, WINDOW, LONG = 3, 7, 64
 ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
 _BASE = 0x9E3779B97F4A7C15
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]  # of the base and of its inverse modulo 2^64
+_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Bytes that are worked on at a time, so a long text needs little more memory than itself.
+BLOCK = 1 << 18
+_POWERS: list[np.ndarray] = []  # of the base and of its inverse modulo 2^64
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS[0]) < n:
-        size = max(n, 1 << 16, 2 * len(_POWERS[0]))
-        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            steps = np.full(size, base, np.uint64)
+def _powers() -> list[np.ndarray]:
+    if not _POWERS:
+        for base in (_BASE, _INVERSE):
+            steps = np.full(BLOCK + 1, base, np.uint64)
             steps[0] = 1
-            _POWERS[i] = np.multiply.accumulate(steps)
-    return _POWERS[0], _POWERS[1]
+            _POWERS.append(np.multiply.accumulate(steps))
+    return _POWERS
 
 
 def _rolling(a: np.ndarray) -> np.ndarray:
@@ -43,6 +46,34 @@ def _rolling(a: np.ndarray) -> np.ndarray:
     return roll + shifted
 
 
+def _marks(a: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the rolling hash triggers at a block size, and one more than the hash there."""
+    places, hashes = [], []
+    for start in range(0, len(a), BLOCK):
+        before = min(start, WINDOW - 1)
+        roll = _rolling(a[start - before : start + BLOCK].astype(np.uint32))[before:]
+        at = np.flatnonzero(roll % np.uint32(size) == size - 1)
+        places.append(at + start)
+        hashes.append(roll[at].astype(np.int64) + 1)
+    return np.concatenate(places), np.concatenate(hashes)
+
+
+def _sums(a: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """At each edge the sum of (byte + 1) times the base's power of its place, of all bytes before it."""
+    out, total = np.zeros(len(edges), np.uint64), np.zeros(1, np.uint64)
+    for start in range(0, len(a), BLOCK):
+        part = a[start : start + BLOCK]
+        first, last = np.searchsorted(edges, (start, start + len(part)), side="right")
+        cuts = edges[first:last] - start
+        terms = (part + np.uint64(1)) * _powers()[0][: len(part)]
+        scale = np.uint64(pow(_BASE, start, 1 << 64))
+        pieces = np.add.reduceat(terms, np.concatenate(([0], cuts[cuts < len(part)]))) * scale
+        upto = total + np.cumsum(pieces)
+        out[first:last] = upto[: last - first]
+        total = upto[-1:]
+    return out
+
+
 def fingerprint(data: bytes) -> str:
     """Of the whole data, in time in proportion to its length. No data: ``3::``.
 
@@ -53,22 +84,26 @@ def fingerprint(data: bytes) -> str:
     n = len(data)
     if not n:
         return f"{SMALLEST}::"
-    a = np.frombuffer(data, np.uint8).astype(np.uint32)
-    powers, inverses = _powers(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((a + np.uint32(1)) * powers[:n], out=sums[1:])
-    roll = _rolling(a)
+    a = np.frombuffer(data, np.uint8)
     block = SMALLEST
     while block * LONG < n:
         block *= 2
     piece = 4 * block
-    marks = np.flatnonzero(roll % np.uint32(SMALLEST) == SMALLEST - 1)
+    finest = max(SMALLEST, block // 8)
+    marks, hashes = _marks(a, finest)
+    ends = np.array([0, n])
 
     def cut(size: int, piece: int) -> np.ndarray:
         """Where chunks start, and the end of the text."""
-        at = marks[roll[marks] % np.uint32(size) == size - 1] + 1
-        edges = np.unique(np.concatenate(([0], at, [n])))
+        nonlocal finest, marks, hashes
+        if size < finest:
+            finest = max(SMALLEST, size // 8)
+            marks, hashes = _marks(a, finest)
+        at = marks[hashes % size == 0] + 1
+        edges = np.concatenate((ends[:1], at, ends[1:] if not len(at) or at[-1] < n else ends[:0]))
         more = (np.diff(edges) - 1) // piece  # of each chunk so many more pieces
+        if not more.any():
+            return edges
         first = np.repeat(np.cumsum(more) - more, more)
         return np.sort(np.concatenate((edges, np.repeat(edges[:-1], more) + piece * (np.arange(len(first)) - first + 1))))
 
@@ -83,8 +118,10 @@ def fingerprint(data: bytes) -> str:
         block, edges = block // 2, finer
 
     def signature(edges: np.ndarray) -> str:
-        starts, stops = edges[:-1], edges[1:]
-        h = (sums[stops] - sums[starts]) * inverses[starts]
+        sums = _sums(a, edges)
+        starts = edges[:-1]
+        inverses = _powers()[1][starts] if n <= BLOCK else np.array([pow(_INVERSE, x, 1 << 64) for x in starts.tolist()], np.uint64)
+        h = (sums[1:] - sums[:-1]) * inverses
         h ^= h >> np.uint64(29)
         return ALPHABET[((h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(58)).astype(np.int64)].tobytes().decode()
 
@@ -132,45 +169,69 @@ def likeness(pairs: list[tuple[str, str]]) -> np.ndarray:
     return out
 
 
+def _below(bounds: list[int], key: Column) -> Column:
+    """How many of the sorted bounds are smaller than key, in two steps of about the square root of their number."""
+    if not bounds:
+        return F.lit(0)
+    width = max(1, int(len(bounds) ** 0.5))
+    groups = [bounds[i : i + width] for i in range(0, len(bounds), width)]
+    smaller = lambda array: F.size(F.filter(array, lambda b: b < key))
+    whole = smaller(F.array(*[F.lit(g[-1]).cast("long") for g in groups]))  # groups all of which are smaller
+    nested = F.array(*[F.array(*[F.lit(b).cast("long") for b in g]) for g in [*groups, []]]) if len(groups) else F.array()
+    return (whole * width + smaller(F.get(nested, whole))).cast("int")
+
+
 def _ordered(docs: DataFrame) -> DataFrame:
     """docs in ranges of doc_id, each range in order and followed by a guest: the first row of the next one.
 
-    Only the bounds of the ranges and the smallest doc_id of each come to the driver, at most one of each for
-    a shuffle partition. The text is shuffled once. The last range's guest is the very first row.
+    Only the bounds of the ranges and the first place in each come to the driver, at most one of each for
+    a shuffle partition. The text is shuffled once. The last range's guest is the very first row. A doc_id that so many rows
+    have that it fills several ranges is dealt among them by a hash of the text, and is in order by it.
     """
     spark = docs.sparkSession
     n = partitions(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     key = F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long"))
-    bounds = rows.agg(F.percentile_approx(key, [(i + 1) / n for i in range(n - 1)] or [1.0], 10 * n)).first()[0] or []
-    bounds = sorted(set(bounds))
-    place: Column = F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in bounds]), lambda b: b < key)) if bounds else F.lit(0)
-    placed = rows.withColumn("_key", key).withColumn("_range", place)
-    firsts = sorted((r[0], r[1]) for r in placed.groupBy("_range").agg(F.min("_key")).collect())
-    # the range before the one that a smallest doc_id opens; flat lookups, as there may be thousands of ranges
-    at = F.array_position(F.array(*[F.lit(least).cast("long") for _, least in firsts] or [F.lit(None).cast("long")]), F.col("_key"))
-    before = F.array(*[F.lit(firsts[i - 1][0]) for i in range(len(firsts))] or [F.lit(0)])
-    guest = F.when(at > 0, F.get(before, (at - 1).cast("int")))
+    found = rows.agg(F.percentile_approx(key, [(i + 1) / n for i in range(n - 1)] or [1.0], 10 * n)).first()[0] or []
+    found = sorted(found)
+    often = {b: found.count(b) for b in set(found) if found.count(b) > 1}
+    place = _below(found, F.col("_key"))
+    if often:
+        share = F.coalesce(F.create_map(*[F.lit(x).cast(t) for b, m in often.items() for x, t in ((b, "long"), (m, "long"))])[F.col("_key")], F.lit(1))
+        place = place + F.floor(F.shiftrightunsigned(F.col("_hash"), 1) / F.lit(float(1 << 63)) * share).cast("int")
+    # only a doc_id that fills ranges needs the hash; all others are ordered by doc_id and then by text
+    spread = F.col("_key").isin(list(often)) if often else F.lit(False)
+    placed = rows.withColumn("_key", key).withColumn("_hash", F.when(spread, F.xxhash64("text")).otherwise(F.lit(0)).cast("long"))
+    placed = placed.withColumn("_order", F.shiftrightunsigned("_hash", 1)).withColumn("_range", place)
+    firsts = sorted((r[0], tuple(r[1])) for r in placed.groupBy("_range").agg(F.min(F.struct("_key", "_order"))).collect())
+    # the range before the one that a first place opens
+    at = {r: i for i, (r, _) in enumerate(firsts)}
+    size = max(at, default=0) + 1
+    opens = F.array(*[F.struct(F.lit(firsts[at[r]][1][0]).cast("long").alias("k"), F.lit(firsts[at[r]][1][1]).cast("long").alias("o"), F.lit(firsts[at[r] - 1][0]).alias("r")) if r in at else F.lit(None).cast("struct<k: bigint, o: bigint, r: int>") for r in range(size)])
+    mine = F.get(opens, F.col("_range"))
+    guest = F.when((mine.k == F.col("_key")) & (mine.o == F.col("_order")), mine.r)
     own, visiting = F.struct(F.col("_range").alias("r"), F.lit(0).alias("g")), F.struct(guest.alias("r"), F.lit(1).alias("g"))
     both = placed.withColumn("_at", F.explode(F.array_compact(F.array(own, F.when(guest.isNotNull(), visiting)))))
-    return both.select("doc_id", "text", "_key", F.col("_at.r").alias("_range"), F.col("_at.g").alias("_guest")).repartitionById(n, "_range").sortWithinPartitions("_range", "_guest", "_key", "text")
+    both = both.select("doc_id", "text", "_key", "_order", F.col("_at.r").alias("_range"), F.col("_at.g").alias("_guest"))
+    return both.repartitionById(n, "_range").sortWithinPartitions("_range", "_guest", "_key", "_order", "text")
 
 
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
-def _edit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _edit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: tuple | None = None  # the own row that waits for the one after it
 
-    def made(rows: list[tuple]) -> pd.DataFrame:
-        edited_likeness, next_likeness = likeness([(r[3], r[4]) for r in rows]), likeness([(r[3], r[5]) for r in rows])
-        out = pd.DataFrame([r[:5] for r in rows], columns=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint"])
-        out["doc_id"] = out["doc_id"].astype("Int64")
-        return out.assign(near_edited=edited_likeness, near_next=next_likeness)
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        likenesses = [likeness([(r[3], r[4]) for r in rows]), likeness([(r[3], r[5]) for r in rows])]
+        columns = zip(*[r[:5] for r in rows], strict=True)
+        types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string())
+        return pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in zip(columns, types, strict=True)], *map(pa.array, likenesses)], names=[c.split()[0] for c in SCHEMA.split(", ")])
 
-    for batch in batches:
+    for part, texts in slices(batches):
         rows = []
-        for doc_id, text, place, guest in zip(batch["doc_id"].tolist(), batch["text"].tolist(), batch["_range"].tolist(), batch["_guest"].tolist(), strict=True):
+        ids, places, guests = (part.column(c).to_pylist() for c in ("doc_id", "_range", "_guest"))
+        for doc_id, text, place, guest in zip(ids, texts, places, guests, strict=True):
             if held and held[2] != place:
                 raise ValueError("a range has no guest")
             if guest and not held:
@@ -181,7 +242,7 @@ def _edit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 half = len(before) // 2
                 edited = (before[: len(before) - half] + text[:half]).encode()
                 rows.append((before_id, len(before), hashlib.sha256(edited).hexdigest(), before_print, fingerprint(edited), own))
-            held = None if guest else (None if doc_id is None or doc_id != doc_id else int(doc_id), text, place, own)
+            held = None if guest else (doc_id, text, place, own)
         if rows:
             yield made(rows)
 
@@ -189,9 +250,8 @@ def _edit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """One row per row of docs: the fingerprints of its text and of its edited text, and their likenesses.
 
-    Order is by doc_id, a null one first, ties by text; the document after the last one is the first, so an
-    only row is followed by itself. A null text is empty: it has 0 characters and the fingerprint ``3::``.
-    An empty table gives an empty result; other columns are not read.
+    Order is by doc_id, a null one first, ties by text (by a hash of it, where one doc_id has more rows than a range
+    holds); the document after the last one is the first, so an only row is followed by itself. A null text is
+    empty: it has 0 characters and the fingerprint ``3::``. An empty table gives an empty result; other columns are not read.
     """
-    small_batches(docs)
-    return _ordered(docs).select("doc_id", "text", "_range", "_guest").mapInPandas(_edit, SCHEMA)
+    return _ordered(docs).select("doc_id", "text", "_range", "_guest").mapInArrow(_edit, SCHEMA)

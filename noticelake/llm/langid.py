@@ -7,20 +7,23 @@ corrected for the filter's false positives, and the largest decides.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from noticelake.llm.common import checkpoint, fresh, small_batches
+from noticelake.llm.common import checkpoint, fresh, pieces, slices
 
 ORDERS = (2, 3, 4)
 HASHES = 2
-SLOTS = 1 << 20
+#: The chance that an n-gram outside a language passes its filter: what the size is chosen for, and what is an error; and the most slots.
+FALSE_POSITIVES, TOO_FALSE, MOST_SLOTS = 0.01, 0.25, 1 << 24
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _LETTER: list[np.ndarray] = []
 
@@ -79,48 +82,50 @@ class Filters:
         bits = [np.count_nonzero(self.masks[i // 63] >> np.uint64(i % 63) & np.uint64(1)) for i in range(len(self.languages))]
         return (np.array(bits) / self.masks.shape[1]) ** HASHES
 
-    def shares(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def shares(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """For each text the number of its n-grams, and for each language the corrected share of those in its filter."""
         total = np.zeros(len(texts))
         hits = np.zeros((len(texts), len(self.languages)))
-        for keys, owner in grams(texts):
-            total += np.bincount(owner, minlength=len(texts))
-            at = slots(keys, self.masks.shape[1])
-            for g, masks in enumerate(self.masks):
-                found = masks[at[0]]
-                for x in at[1:]:
-                    found = found & masks[x]
-                for i in range(63 * g, min(63 * g + 63, len(self.languages))):
-                    hits[:, i] += np.bincount(owner, (found >> np.uint64(i - 63 * g)) & np.uint64(1), len(texts))
+        for lot in _windows(texts):
+            for keys, owner in grams(lot):
+                total += np.bincount(owner, minlength=len(texts))
+                at = slots(keys, self.masks.shape[1])
+                for g, masks in enumerate(self.masks):
+                    found = masks[at[0]]
+                    for x in at[1:]:
+                        found = found & masks[x]
+                    for i in range(63 * g, min(63 * g + 63, len(self.languages))):
+                        hits[:, i] += np.bincount(owner, (found >> np.uint64(i - 63 * g)) & np.uint64(1), len(texts))
         fp = self.false_positives()
         n = np.maximum(total, 1)[:, None]
         return total, np.clip((hits / n - fp) / np.maximum(1 - fp, 1e-9), 0, 1)
 
 
-def _sliced(texts: list[str | None], chars: int = 1 << 19) -> Iterator[tuple[int, int]]:
-    """Runs of texts of a bounded number of characters, at least one text each."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t or "")
-        if size > chars:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
-def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Counts of n-grams, and of the texts that hold them, by language and fold, summed over a batch before they are shuffled."""
-    for batch in batches:
-        for (lang, fold), rows in batch.groupby(["lang", "fold"]):
-            texts = rows["text"].tolist()
-            for start, stop in _sliced(texts):
-                for keys, owner in grams(texts[start:stop]):
+def _windows(texts: list[str | None]) -> Iterator[list[str]]:
+    """The texts as one lot; a single one, which may be long, comes in pieces that hold its very n-grams."""
+    if len(texts) == 1:
+        yield from ([piece] for piece in pieces(texts[0] or ""))
+    elif texts:
+        yield [t or "" for t in texts]
+
+
+COUNTED = "gram long, lang string, fold int, n long, texts long"
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of n-grams, and of the texts that hold them, by language and fold, summed over runs of texts before they are shuffled."""
+    for part, texts in slices(batches):
+        of = pd.MultiIndex.from_arrays([part.column("lang").to_pylist(), part.column("fold").to_pylist()])
+        for (lang, fold), rows in pd.Series(range(len(texts))).groupby(of).indices.items():
+            for lot in _windows([texts[i] for i in rows]):
+                for keys, owner in grams(lot):
                     if len(keys):
                         codes, distinct = pd.factorize(keys)
                         n = np.bincount(codes, minlength=len(distinct))
-                        each = pd.unique(codes * np.int64(stop - start) + owner) // (stop - start)
-                        yield pd.DataFrame({"gram": distinct.view(np.int64), "lang": lang, "fold": fold, "n": n, "texts": np.bincount(each, minlength=len(distinct))})
+                        held = np.bincount(pd.unique(codes * np.int64(len(lot)) + owner) // len(lot), minlength=len(distinct))
+                        m = len(distinct)
+                        columns = [pa.array(distinct.view(np.int64)), pa.array([lang] * m, pa.string()), pa.array(np.full(m, fold, np.int32)), pa.array(n.astype(np.int64)), pa.array(held.astype(np.int64))]
+                        yield pa.RecordBatch.from_arrays(columns, names=["gram", "lang", "fold", "n", "texts"])
 
 
 def held_out(doc_id: Column) -> Column:
@@ -130,14 +135,22 @@ def held_out(doc_id: Column) -> Column:
 
 def _counted(labelled: DataFrame) -> DataFrame:
     """(gram, lang, fold, n, texts) of labelled (text, lang, fold); rows with a null in text or lang are left out."""
-    small_batches(labelled)
-    counts = labelled.select("text", "lang", "fold").dropna().mapInPandas(_count, "gram long, lang string, fold int, n long, texts long")
+    counts = labelled.select("text", "lang", "fold").dropna().mapInArrow(_count, COUNTED)
     return checkpoint(counts.groupBy("gram", "lang", "fold").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts")))
 
 
-def _filters(counts: DataFrame, size: int, share: float) -> Filters:
+def filter_size(n: int, false_positives: float = FALSE_POSITIVES, most: int = MOST_SLOTS) -> int:
+    """Slots (a power of two) for n n-grams at a chance of false positives; with more than ``most`` that chance rises, to TOO_FALSE at most."""
+    needed = lambda p: HASHES * n / -math.log1p(-(p ** (1 / HASHES)))
+    if needed(TOO_FALSE) > most:
+        raise ValueError(f"{n} n-grams of a language need more than {most} slots; raise ``most`` (8 bytes a slot in the driver and each worker) or count fewer orders")
+    return min(most, 1 << max(16, math.ceil(math.log2(max(needed(false_positives), 1)))))
+
+
+def _filters(counts: DataFrame, size: int | None, share: float) -> Filters:
     """Filters of counts (gram, lang, n, texts). A gram counts only if ``texts`` is over 0."""
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).orderBy("lang").collect()
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"), F.count_if(F.col("texts") > 0).alias("grams")).orderBy("lang").collect()
+    size = size or filter_size(max((r["grams"] for r in totals), default=0))
     if not totals:
         return Filters([], np.zeros((0, size), np.uint64))
     number, total = (F.create_map(*[F.lit(x) for i, r in enumerate(totals) for x in (r["lang"], v(i, r))]) for v in (lambda i, r: i, lambda i, r: float(r["total"])))
@@ -157,12 +170,12 @@ def _filters(counts: DataFrame, size: int, share: float) -> Filters:
     return Filters([r["lang"] for r in totals], table)
 
 
-def learn(labelled: DataFrame, size: int = SLOTS, share: float = 0.2) -> Filters:
+def learn(labelled: DataFrame, size: int | None = None, share: float = 0.2) -> Filters:
     """Filters of all n-grams of all labelled rows (text, lang); rows with a null in either are left out.
 
     An n-gram belongs to the languages in which its frequency is at least ``share`` of that in the language
-    where it is most frequent, so words that strayed into a language do not count. What comes to the driver
-    is bounded by the filter's fixed size: a mask for each slot and 63 languages.
+    where it is most frequent, so words that strayed into a language do not count. The filter has ``size`` slots,
+    or as many as the language with the most n-grams needs (see filter_size, which bounds what comes to the driver: 8 bytes a slot for 63 languages).
     """
     return _filters(_counted(labelled.withColumn("fold", F.lit(0))), size, share)
 
@@ -172,7 +185,7 @@ def fold(text: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit("language"), text), F.lit(2)).cast("int")
 
 
-def learn_folds(labelled: DataFrame, size: int = SLOTS, share: float = 0.2) -> list[Filters]:
+def learn_folds(labelled: DataFrame, size: int | None = None, share: float = 0.2) -> list[Filters]:
     """For each fold the filters that the other fold's rows teach.
 
     An n-gram counts if three texts of its language hold it; one is enough in a language with fewer than 30
@@ -197,27 +210,21 @@ def identify(docs: DataFrame, filters: Filters | list[Filters], lang: str = "lan
     is that share. Languages, sources and ids are not read. With ``by``, a column of docs, filters is a list
     and that column says which of them judge a row.
     """
-    small_batches(docs)
     sent = docs.sparkSession.sparkContext.broadcast(filters if by else [filters])
     schema = T.StructType([*docs.schema.fields, T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())])
 
-    def run(batches) -> Iterator:
-        import pyarrow as pa
-
-        for b in batches:
-            texts = b.column("text").to_pylist()
-            judges = b.column(by).to_numpy(zero_copy_only=False) if by else np.zeros(len(texts), np.int64)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in slices(batches):
+            judges = part.column(by).to_numpy(zero_copy_only=False) if by else np.zeros(len(texts), np.int64)
             langs, scores = ["und"] * len(texts), np.zeros(len(texts))
-            for start, stop in _sliced(texts):
-                for j, found in enumerate(sent.value):
-                    rows = start + np.flatnonzero(judges[start:stop] == j)
-                    if not len(rows) or not found.languages:
-                        continue
-                    total, shares = found.shares([texts[i] or "" for i in rows])
+            for j, found in enumerate(sent.value):
+                rows = np.flatnonzero(judges == j)
+                if len(rows) and found.languages:
+                    total, shares = found.shares([texts[i] for i in rows])
                     best = shares.argmax(axis=1)
                     for i in np.flatnonzero(total):
                         langs[rows[i]], scores[rows[i]] = found.languages[best[i]], shares[i, best[i]]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(scores)], names=[*b.schema.names, lang, score])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(scores)], names=[*part.schema.names, lang, score])
 
     return docs.mapInArrow(run, schema)
 

@@ -21,8 +21,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticelake.llm.common import small_batches
-
 
 SEPARATOR = 1
 TIERS = (128, 256, 512, 1024, 2048)
@@ -77,7 +75,18 @@ class WordEncoder:
         ids = self.whole.encode(chunk, add_special_tokens=False).ids
         return pack(f"<{len(ids)}I", *ids)
 
-    def encode(self, text: str) -> np.ndarray:
+    def encode(self, text: str, chars: int = 1 << 20) -> np.ndarray:
+        parts, start = [], 0
+        while len(text) - start > chars:  # a long text comes in windows that end at a blank
+            stop = max(text.rfind(" ", start, start + chars), text.rfind("\n", start, start + chars))
+            if stop < 0:
+                break
+            parts.append(self._encode(text[start:stop]))
+            start = stop + 1
+        parts.append(self._encode(text[start:] if start else text))
+        return np.concatenate(parts) if len(parts) > 1 else parts[0]
+
+    def _encode(self, text: str) -> np.ndarray:
         known, chunks = self.known, text.replace("\n", " ").split(" ")
         if len(known) > self.most:
             known.clear()
@@ -231,7 +240,6 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, tiers: tuple =
     step group holds windows of one context and as many of them as make up ``group_tokens`` places, so the
     groups of all tiers weigh the same. The ids of sequences and groups start with the task's number.
     """
-    small_batches(docs)
     tokenizer = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,34 +1,43 @@
 """Quality by an interpolated modified Kneser-Ney character n-gram model of trusted text (operator 8).
 
-All counts are Spark tables, sharded by n-gram: those of the highest order come from the texts, the lower
-ones count left extensions, and a join on the context and one on the suffix give each n-gram of the corpus,
-seen in trusted text or not, its interpolated probability. A second pass sums them over each document.
+The distinct n-grams of a run of texts, with how often trusted ones hold them, are packed by shard. Merged shard
+by shard they are the counts of the highest order; the lower orders count left extensions, and a join on the
+context and one on the suffix give each n-gram of the corpus, seen in trusted text or not, its interpolated probability.
+For scores the runs' n-grams meet the probabilities shard by shard, and the answers meet the run's texts.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from noticelake.llm.common import checkpoint, fresh, partitions, small_batches
+from noticelake.llm.common import checkpoint, fresh, partitions, slices
 
 ORDER = 5
 START, END = "\x02", "\x03"
+#: Bytes of text of a run; the runs of a partition are cut the same way whenever it is read.
+RUN = 32 << 20
+#: The column with a row's partition: not that of the task, which a union numbers anew.
+PARTITION = "partition of the run"
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _joined(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray]:
-    """The texts with marks of start and end, the places where an n-gram starts, and the texts these are of."""
+def _windows(texts: list[str], chars: int = 1 << 20) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """The texts with marks of start and end, the places where an n-gram starts, and the texts these are of; a long text comes in several windows."""
     marked = [START * (ORDER - 1) + t + END for t in texts]
-    sizes = np.array([len(t) for t in marked])
-    owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes - (ORDER - 1))
-    at = np.arange(len(owner)) + owner.astype(np.int64) * (ORDER - 1)
-    return "".join(marked), at, owner
+    if len(marked) == 1:
+        for i in range(0, len(marked[0]) - ORDER + 1, chars):
+            window = marked[0][i : i + chars + ORDER - 1]
+            yield window, np.arange(len(window) - ORDER + 1), np.zeros(len(window) - ORDER + 1, np.int32)
+    elif marked:
+        owner = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) - (ORDER - 1) for t in marked])
+        yield "".join(marked), np.arange(len(owner)) + owner.astype(np.int64) * (ORDER - 1), owner
 
 
 def _keys(joined: str) -> np.ndarray:
@@ -42,28 +51,115 @@ def _keys(joined: str) -> np.ndarray:
     return key
 
 
-def _runs(texts: list[str], chars: int = 1 << 20) -> Iterator[slice]:
-    start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size > chars:
-            yield slice(start, i + 1)
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield slice(start, len(texts))
+def _point_keys(points: np.ndarray) -> np.ndarray:
+    """The keys of n-grams given as rows of code points."""
+    key = np.zeros(len(points), np.uint64)
+    for k in range(ORDER):
+        key = (key ^ points[:, k].astype(np.uint64)) * _M
+        key ^= key >> np.uint64(32)
+    return key
 
 
-def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(gram, n): how often trusted texts hold an n-gram, with 0 for one that only others hold; summed over runs of texts."""
-    for batch in batches:
-        texts, trusted = batch["text"].tolist(), batch["trusted"].to_numpy(bool)
-        for run in _runs(texts):
-            joined, at, owner = _joined(texts[run])
-            codes, distinct = pd.factorize(_keys(joined)[at])
-            first = np.zeros(len(distinct), np.int64)
-            first[codes[::-1]] = at[::-1]
-            n = np.bincount(codes, trusted[run][owner], len(distinct)).astype(np.int64)
-            yield pd.DataFrame({"gram": [joined[i : i + ORDER] for i in first.tolist()], "n": n})
+def _pack(x: np.ndarray) -> bytes:
+    return zstandard.compress(np.ascontiguousarray(x).tobytes(), 3)
+
+
+def _unpack(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data), kind)
+
+
+class Grams:
+    """Distinct n-grams with counts: keys in order, the code points of each and its count; additions are merged in large lots."""
+
+    def __init__(self, lot: int = 1 << 20):
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.lot, self.rows = lot, 0
+
+    def add(self, keys: np.ndarray, points: np.ndarray, n: np.ndarray) -> None:
+        self.parts.append((keys, points, n))
+        self.rows += len(keys)
+        if self.rows > 2 * len(self.parts[0][0]) + self.lot:
+            self.merge()
+
+    def merge(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not self.parts:
+            return np.zeros(0, np.uint64), np.zeros((0, ORDER), np.uint32), np.zeros(0, np.int64)
+        if len(self.parts) > 1:
+            keys, first, place = np.unique(np.concatenate([p[0] for p in self.parts]), return_index=True, return_inverse=True)
+            n = np.bincount(place, np.concatenate([p[2] for p in self.parts]), len(keys)).astype(np.int64)
+            self.parts = [(keys, np.concatenate([p[1] for p in self.parts])[first], n)]
+            self.rows = len(keys)
+        return self.parts[0]
+
+
+def _run_numbers(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, pa.RecordBatch, list[str]]]:
+    """Rows in order with the number of their run, made of their partition's number and that of the characters before them; batches have no say in it."""
+    before = 0
+    for part, texts in slices(batches, chars=1 << 20):
+        base = part.column(PARTITION)[0].as_py() << 32
+        texts = [t or "" for t in texts]
+        starts = before + np.cumsum([0, *[len(t) for t in texts]])
+        before = int(starts[-1])
+        runs = starts[:-1] // size
+        cuts = [0, *(np.flatnonzero(np.diff(runs)) + 1).tolist(), len(texts)]
+        for i, j in zip(cuts, cuts[1:], strict=False):
+            yield base + int(runs[i]), part.slice(i, j - i), texts[i:j]
+
+
+ASKED = "run long, shard int, grams binary, n binary"
+
+
+def _asked(docs: DataFrame, shards: int, size: int = RUN) -> DataFrame:
+    """For each run of docs(text, trusted) and each shard its distinct n-grams and how often trusted texts hold them."""
+
+    def rows(run: int, found: Grams) -> pa.RecordBatch:
+        keys, points, n = found.merge()
+        of = keys % np.uint64(shards)
+        order = np.lexsort((*points.T[::-1], of))
+        points, n = points[order], n[order]
+        cuts = np.searchsorted(of[order], np.arange(shards + 1, dtype=np.uint64)).tolist()
+        full = [(s, slice(a, b)) for s, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
+        columns = [pa.array([run] * len(full), pa.int64()), pa.array([s for s, _ in full], pa.int32())]
+        packed = [pa.array([_pack(points[at].T) for _, at in full], pa.binary()), pa.array([_pack(n[at].astype(np.uint32)) for _, at in full], pa.binary())]
+        return pa.RecordBatch.from_arrays([*columns, *packed], names=["run", "shard", "grams", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, found = -1, Grams()
+        for number, part, texts in _run_numbers(batches, size):
+            if number != current and current >= 0:
+                yield rows(current, found)
+                found = Grams()
+            current = number
+            trusted = part.column("trusted").to_numpy(zero_copy_only=False).astype(bool)
+            for joined, at, owner in _windows(texts):
+                keys, first, place = np.unique(_keys(joined)[at], return_index=True, return_inverse=True)
+                code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+                found.add(keys, code[at[first][:, None] + np.arange(ORDER)], np.bincount(place[trusted[owner]], minlength=len(keys)))
+        if current >= 0:
+            yield rows(current, found)
+
+    return docs.select("text", "trusted", F.spark_partition_id().alias(PARTITION)).mapInArrow(run, ASKED)
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of one shard after the other; each of its n-grams comes out once, with its count."""
+
+    def rows(found: Grams) -> Iterator[pa.RecordBatch]:
+        _, points, n = found.merge()
+        for i in range(0, len(n), 100_000):
+            text = np.ascontiguousarray(points[i : i + 100_000], "<u4").tobytes().decode("utf-32-le", "surrogatepass")
+            yield pa.RecordBatch.from_arrays([pa.array([text[j : j + ORDER] for j in range(0, len(text), ORDER)], pa.string()), pa.array(n[i : i + 100_000], pa.int64())], names=["gram", "n"])
+
+    shard, found = -1, Grams()
+    for b in batches:
+        for s, grams, n in zip(b.column("shard").to_pylist(), b.column("grams"), b.column("n"), strict=True):
+            if s != shard:
+                yield from rows(found)
+                shard, found = s, Grams()
+            points = np.ascontiguousarray(_unpack(grams.as_py(), np.uint32).reshape(ORDER, -1).T)
+            order = np.argsort(keys := _point_keys(points))
+            found.add(keys[order], points[order], _unpack(n.as_py(), np.uint32)[order].astype(np.int64))
+    yield from rows(found)
 
 
 def _discount(c: Column, d: list[float]) -> Column:
@@ -78,10 +174,10 @@ def _discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
     return [min(max(k - (k + 1) * y * b / a, 0.05), k) for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
 
 
-def probabilities(flagged: DataFrame) -> DataFrame:
-    """(gram, logp) of every n-gram of flagged(text, trusted): the interpolated modified Kneser-Ney model of all its trusted text."""
-    counts = flagged.mapInPandas(_count, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    orders = {ORDER: checkpoint(counts)}
+def probabilities(asked: DataFrame) -> DataFrame:
+    """(gram, logp) of every n-gram of asked: the interpolated modified Kneser-Ney model of all its trusted text."""
+    n = partitions(asked.sparkSession)
+    orders = {ORDER: checkpoint(asked.select("shard", "grams", "n").repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(_merged, "gram string, n long"))}
     for k in range(ORDER - 1, 0, -1):
         orders[k] = checkpoint(orders[k + 1].groupBy(F.substring("gram", 2, k).alias("gram")).agg(F.count_if(F.col("n") > 0).alias("n")))
     below: DataFrame | None = None
@@ -104,101 +200,111 @@ def probabilities(flagged: DataFrame) -> DataFrame:
     return below.select("gram", F.log("p").alias("logp"))
 
 
-def _packed(shards: int):
-    """For runs of texts (h, text) and each shard of n-grams one row: the n-grams, the texts that hold them and how often."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            texts, h = b["text"].tolist(), b["h"].to_numpy(np.int64)
-            for part in _runs(texts, 1 << 21):
-                joined, at, owner = _joined(texts[part])
-                codes, distinct = pd.factorize(_keys(joined)[at])
-                place = np.argsort(distinct % np.uint64(shards), kind="stable")
-                rank = np.empty(len(place), np.int64)
-                rank[place] = np.arange(len(place))
-                m = len(texts[part])
-                pairs, n = np.unique(rank[codes] * m + owner, return_counts=True)
-                times = -(-n // 255)  # a count is a byte: larger ones take several entries
-                pairs, n = np.repeat(pairs, times), np.repeat(n - 255 * (times - 1), times)
-                n[np.arange(len(n)) != np.repeat(np.cumsum(times) - 1, times)] = 255
-                gram, doc = pairs // m, (pairs % m).astype(np.uint16)
-                keys = distinct[place]
-                edges = np.searchsorted(keys % np.uint64(shards), np.arange(shards + 1, dtype=np.uint64))
-                cuts = np.searchsorted(gram, edges)
-                held = np.bincount(gram, minlength=len(keys)).astype(np.uint32)
-                names, sizes = h[part], np.array([len(t) for t in texts[part]], np.int64)
-                rows = []
-                for s in np.flatnonzero(np.diff(edges)).tolist():
-                    g, e = slice(edges[s], edges[s + 1]), slice(cuts[s], cuts[s + 1])
-                    own, local = np.unique(doc[e], return_inverse=True)
-                    parts = (keys[g], held[g], local.astype(np.uint16), n[e].astype(np.uint8))
-                    rows.append((s, 1, zlib.compress(b"".join(x.tobytes() for x in parts), 1), len(keys[g]), names[own].tobytes(), sizes[own].tobytes()))
-                yield pd.DataFrame(rows, columns=["shard", "kind", "data", "grams", "h", "size"])
-
-    return run
-
-
-def _shards(shards: int):
-    """The rows of the probabilities, packed by shard: many rows for one shard."""
+def _by_shard(shards: int):
+    """The probabilities, packed by shard: many rows for one shard."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if len(b):
-                keys = _keys("".join(b["gram"]))[::ORDER]
-                value = b["logp"].to_numpy(np.float32)
+            if b.num_rows:
+                keys = _keys("".join(b.column("gram").to_pylist()))[::ORDER]
+                value = b.column("logp").to_numpy().astype(np.float32)
                 of = (keys % np.uint64(shards)).astype(np.int64)
-                yield pd.DataFrame([(s, 0, keys[of == s].tobytes(), int((of == s).sum()), value[of == s].tobytes(), b"") for s in np.unique(of).tolist()], columns=["shard", "kind", "data", "grams", "h", "size"])
+                found = np.unique(of).tolist()
+                packed = [pa.array([x[of == s].tobytes() for s in found], pa.binary()) for x in (keys, value)]
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(found), pa.int64()), pa.array(found, pa.int32()), *packed], names=["run", "shard", "grams", "n"])
 
     return run
 
 
-def _summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows in order of shard and kind: the shard's probabilities, then runs of texts, whose sums come out."""
+def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of one shard after the other, its probabilities (without a run) first; each run's n-grams come out with theirs."""
     shard, got, keys, values = -1, [], None, None
     for b in batches:
         out = []
-        for s, kind, data, grams, h, size in b[["shard", "kind", "data", "grams", "h", "size"]].itertuples(index=False):
+        for run, s, grams, n in zip(b.column("run").to_pylist(), b.column("shard").to_pylist(), b.column("grams"), b.column("n"), strict=True):
             if s != shard:
                 shard, got, keys = s, [], None
-            if kind == 0:
-                got.append((np.frombuffer(data, np.uint64), np.frombuffer(h, np.float32)))
+            if run is None:
+                got.append((np.frombuffer(grams.as_py(), np.uint64), np.frombuffer(n.as_py(), np.float32)))
                 continue
             if keys is None:
-                keys = np.concatenate([k for k, _ in got] or [np.zeros(0, np.uint64)])
-                values = np.concatenate([v for _, v in got] or [np.zeros(0, np.float32)])
+                keys, values = np.concatenate([k for k, _ in got]), np.concatenate([v for _, v in got])
                 order = np.argsort(keys)
                 keys, values, got = keys[order], values[order], []
-            raw = zlib.decompress(data)
-            asked, held = np.frombuffer(raw, np.uint64, grams), np.frombuffer(raw, np.uint32, grams, 8 * grams)
-            total = int(held.sum())
-            doc, n = np.frombuffer(raw, np.uint16, total, 12 * grams), np.frombuffer(raw, np.uint8, total, 12 * grams + 2 * total)
-            at = np.searchsorted(keys, asked)
-            if (at == len(keys)).any() or (keys[at] != asked).any():
+            asked = _point_keys(np.ascontiguousarray(_unpack(grams.as_py(), np.uint32).reshape(ORDER, -1).T))
+            at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+            if (keys[at] != asked).any():
                 raise KeyError("an n-gram of the corpus has no probability")
-            names = np.frombuffer(h, np.int64)
-            nll = -np.bincount(doc, np.repeat(values[at], held).astype(np.float64) * n, len(names))
-            out.append(pd.DataFrame({"h": names, "size": np.frombuffer(size, np.int64), "nll": nll, "n": np.bincount(doc, n, len(names)).astype(np.int64)}))
+            out.append((run, grams.as_py(), _pack(values[at])))
         if out:
-            yield pd.concat(out)
+            columns = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["run", "grams", "data"])
+
+
+def _carried(size: int):
+    """The rows, packed, with the numbers of their runs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, part, _ in _run_numbers(batches, size):
+            sink = pa.BufferOutputStream()
+            part = part.drop_columns([PARTITION])
+            with pa.ipc.new_stream(sink, part.schema) as w:
+                w.write_batch(part)
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.nulls(1, pa.binary()), pa.array([zstandard.compress(sink.getvalue(), 3)], pa.binary())], names=["run", "grams", "data"])
+
+    return run
+
+
+def _scored(kept: list[str], names: list[str]):
+    """Rows of one run after the other, its n-grams' probabilities first; its texts' sums come out with the columns ``kept``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, got, keys, values = None, [], None, None
+        for b in batches:
+            for number, grams, data in zip(b.column("run").to_pylist(), b.column("grams"), b.column("data"), strict=True):
+                if number != current:
+                    current, got, keys = number, [], None
+                if grams.is_valid:
+                    got.append((_point_keys(np.ascontiguousarray(_unpack(grams.as_py(), np.uint32).reshape(ORDER, -1).T)), _unpack(data.as_py(), np.float32)))
+                    continue
+                if keys is None:
+                    keys, values = np.concatenate([k for k, _ in got]), np.concatenate([v for _, v in got])
+                    order = np.argsort(keys)
+                    keys, values, got = keys[order], values[order], []
+                for part in pa.ipc.open_stream(zstandard.decompress(data.as_py())):
+                    texts = [t or "" for t in part.column("text").to_pylist()]
+                    nll = np.zeros(len(texts))
+                    for joined, at, owner in _windows(texts):
+                        asked = _keys(joined)[at]
+                        place = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+                        if (keys[place] != asked).any():
+                            raise KeyError("the rows of a run are not those that asked")
+                        nll -= np.bincount(owner, values[place].astype(np.float64), len(texts))
+                    columns = [part.column(c) for c in kept]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(nll), pa.array([len(t) + 1 for t in texts], pa.int64())], names=names)
+
+    return run
 
 
-def with_scores(docs: DataFrame, logp: DataFrame, nll: str, chars: str, kept: list[str] | None = None, most: int = 2_000_000) -> DataFrame:
+def with_scores(docs: DataFrame, logp: DataFrame, nll: str, chars: str, kept: list[str] | None = None, asked: DataFrame | None = None, size: int = RUN) -> DataFrame:
     """docs (only the columns ``kept``, if given) with the negative log probability of its text and the number of characters that this sums.
 
-    The documents' n-gram counts, summed over runs of texts, meet the probabilities shard by shard, at most about
-    ``most`` n-grams in each; neither passes through the driver, and a task holds one shard of the probabilities. The sums
-    come back by a hash of the text and its length; copies of a text share them.
+    A run's distinct n-grams (``asked``, made here if not given) meet the probabilities shard by shard, and go back to
+    the run, where its texts wait. Neither passes through the driver; a task holds one shard of the probabilities
+    and one run's. docs is read twice and must have the same rows in the same partitions both times, as a table of files has; else an error tells.
     """
-    shards = max(partitions(docs.sparkSession), -(-logp.count() // max(most, 1)))
-    text, h, size = F.coalesce("text", F.lit("")), fresh(docs, "h"), fresh(docs, "size")
-    packed = "shard int, kind int, data binary, grams int, h binary, size binary"
-    counts = docs.select(text.alias("text"), F.xxhash64(text).alias("h")).mapInPandas(_packed(shards), packed)
-    both = logp.mapInPandas(_shards(shards), packed).unionByName(counts)
-    both = both.repartition(partitions(docs.sparkSession), "shard").sortWithinPartitions("shard", "kind")
-    sums = both.mapInPandas(_summed, "h long, size long, nll double, n long").groupBy("h", "size").agg(F.sum("nll").alias("nll"), F.sum("n").alias("n"))
-    sums = sums.select(F.col("h").alias(h), F.col("size").alias(size), (F.col("nll") * (F.col("size") + 1) / F.col("n")).alias(nll))
-    rows = docs.withColumns({h: F.xxhash64(text), size: F.length(text).cast("long")}).select(*[F.col(f"`{c}`") for c in kept or docs.columns], h, size)
-    return rows.join(sums, [h, size]).withColumn(chars, F.col(size) + 1).drop(h, size)
+    n = partitions(docs.sparkSession)
+    kept = kept or docs.columns
+    if asked is None:
+        asked = _asked(docs.select("text", F.lit(False).alias("trusted")), n, size)
+    packed = logp.mapInArrow(_by_shard(n), ASKED)
+    both = packed.unionByName(asked).repartition(n, "shard").sortWithinPartitions("shard", F.asc_nulls_first("run"))
+    answers = both.mapInArrow(_answers, "run long, grams binary, data binary")
+    texts = docs.select(*[F.col(f"`{c}`") for c in kept], *([] if "text" in kept else ["text"]), F.spark_partition_id().alias(PARTITION)).mapInArrow(_carried(size), "run long, grams binary, data binary")
+    rows = answers.unionByName(texts).repartition(n, "run").sortWithinPartitions("run", F.col("grams").isNull())
+    fields = {f.name: f for f in docs.schema.fields}
+    schema = T.StructType([*[fields[c] for c in kept], T.StructField(nll, T.DoubleType()), T.StructField(chars, T.LongType())])
+    return rows.mapInArrow(_scored(kept, [f.name for f in schema.fields]), schema)
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -208,7 +314,7 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return each.where("clean").select("doc_id")
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, prior: float = 200.0, most: int = 2_000_000, kept: list[str] | None = None) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, prior: float = 200.0, kept: list[str] | None = None, size: int = RUN) -> DataFrame:
     """docs, all columns (or those of ``kept``), with ``perplexity``, ``threshold`` and ``keep`` added (names with _ behind where docs has them).
 
     Trusted are the documents that labels give quality 1 and toxic 0; a fifth of them, by a hash of doc_id, only sets
@@ -219,7 +325,6 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, prior:
     of those means), and all is kept where nothing is trusted. A null text is empty and
     counts its end alone. Repeated rows stay rows; an empty table gives an empty result.
     """
-    small_batches(docs)
     ids = checkpoint(trusted_ids(labels))
     mark, nll, chars, limit = (fresh(docs, n) for n in ("trusted", "nll", "scored_chars", "limit"))
     known = ids.select(F.col("doc_id").alias(mark + "_id"), F.lit(True).alias(mark))
@@ -227,10 +332,14 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, prior:
     flag = lambda df: df.join(F.broadcast(known) if small else known, F.col("doc_id") == F.col(mark + "_id"), "left").drop(mark + "_id")
     apart = F.pmod(F.xxhash64(F.lit("quality"), F.col("doc_id").cast("long")), F.lit(5)) == 0
     flagged = flag(docs)
+    if not small:  # a shuffled join gives no order to rely on: written, its rows stay where they are
+        flagged = checkpoint(flagged)
+        docs = flagged.drop(mark)
     trains = F.coalesce(F.col(mark) & ~apart, F.lit(False))
-    logp = probabilities(flagged.select(F.coalesce("text", F.lit("")).alias("text"), trains.alias("trusted")))
+    asked = checkpoint(_asked(flagged.select("text", trains.alias("trusted")), partitions(docs.sparkSession), size))
+    logp = probabilities(asked)
     judges = flagged.where(F.col(mark) & apart).select("lang", "text")
-    judged = checkpoint(with_scores(judges, logp, "nll", "chars", most=most).select("lang", "nll", "chars"))
+    judged = checkpoint(with_scores(judges, logp, "nll", "chars", ["lang"], size=size))
     means = judged.groupBy("lang").agg((F.sum("nll") / F.sum("chars")).alias("mean"), F.count(F.lit(1)).alias("docs"))
     shrunk = lambda s, n, mean: (s + prior * mean) / (n + prior)
     each = judged.join(means.withColumnRenamed("lang", "l"), F.col("lang").eqNullSafe(F.col("l"))).withColumn("x", shrunk(F.col("nll"), F.col("chars"), F.col("mean")))
@@ -239,7 +348,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, prior:
     table = checkpoint(table.select(F.col("lang").alias(limit + "_lang"), F.col("mean").alias(limit + "_mean"), F.when(F.col("docs") * (1 - quantile) >= 1 - 1e-9, F.col("limit")).alias(limit)))
     above = each.agg(F.percentile_approx(F.col("x") - F.col("mean"), quantile, 10_000)).first()[0]
     overall = table.agg(F.avg(limit + "_mean")).first()[0]
-    scored = with_scores(docs, logp, nll, chars, kept, most)
+    scored = with_scores(docs, logp, nll, chars, kept, asked, size)
     scored = scored.join(F.broadcast(table) if table.count() <= 10_000 else table, F.col("lang").eqNullSafe(F.col(limit + "_lang")), "left")
     middle = F.coalesce(F.col(limit + "_mean"), F.lit(overall).cast("double"))
     top = F.coalesce(F.col(limit), middle + F.lit(above).cast("double"))

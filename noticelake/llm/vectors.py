@@ -1,25 +1,30 @@
 """Approximate nearest neighbours in a hierarchical k-means tree (operator 6).
 
-The tree is fitted on a bounded sample and indexes every row by descent to a leaf. A query opens leaves best
-bin first: a priority queue holds the branches passed by, by their distance from the query. How many leaves
-a query opens is widened until a sample of queries, held against brute force, reaches the wanted recall.
+The top of the tree is fitted on a bounded sample and sent to all tasks; every row descends to a leaf of it. Leaves with too many
+rows are split again by trees of their own, fitted in the tasks, level by level until leaves are small. A query opens leaves best
+bin first: a priority queue holds the branches passed by, by their distance from the query, and from level to level a query keeps
+the nearest branches of all that it has met. How many leaves a query opens is widened until a sample of queries, held against brute
+force over the whole table, reaches the wanted recall.
 """
 
 from __future__ import annotations
 
 import heapq
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from noticelake.llm.common import checkpoint, join_sized
 
-#: Rows that the tree is fitted on and calibrated with, at most; the children of a node; the rows of a group of a leaf, about.
-SAMPLE, BRANCH, GROUP = 20_000, 8, 4096
+#: Rows that a tree is fitted on, about; the children of a node; the rows of a group of a leaf, about; the leaves of one tree, at most.
+SAMPLE, BRANCH, GROUP, FAN = 20_000, 8, 4096, 4095
+#: A leaf of more rows than this is split; levels of trees below the top, at most; queries that calibrate; leaves opened at first.
+LEAF, LEVELS, CALIBRATED, WIDTH = 256, 4, 200, 16
 
 
 @dataclass
@@ -45,13 +50,13 @@ class Tree:
             todo = todo[[len(self.children[n]) > 0 for n in node[todo]]]
         return self.leaf[node]
 
-    def open(self, q: np.ndarray) -> Iterator[int]:
-        """Leaves in the order of a best-bin-first traversal."""
+    def open(self, q: np.ndarray) -> Iterator[tuple[float, int]]:
+        """Leaves, with the squared distance of their centres, in the order of a best-bin-first traversal."""
         queue = [(0.0, 0)]
         while queue:
-            _, node = heapq.heappop(queue)
+            d, node = heapq.heappop(queue)
             if not len(self.children[node]):
-                yield int(self.leaf[node])
+                yield d, int(self.leaf[node])
                 continue
             kids = self.children[node]
             for d, k in zip(_distances(q[None], self.centroids[kids])[0].tolist(), kids.tolist(), strict=True):
@@ -70,11 +75,12 @@ def _exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 def fit(sample: np.ndarray, leaf_rows: int, branch: int = BRANCH, rounds: int = 12, seed: int = 1) -> Tree:
     """Split the sample by k-means until a node has ``leaf_rows`` or fewer, or only equal rows."""
     rng = np.random.default_rng(seed)
+    leaves = 1
     centroids, children, parts = [sample.mean(axis=0) if len(sample) else np.zeros(1)], [np.zeros(0, np.int64)], [sample]
     i = 0
     while i < len(parts):
         x = parts[i]
-        if len(x) > leaf_rows and (x != x[0]).any():
+        if len(x) > leaf_rows and leaves + branch <= FAN and (x != x[0]).any():
             distinct = np.unique(x, axis=0)
             c = distinct[rng.choice(len(distinct), min(branch, len(distinct)), replace=False)]
             for _ in range(rounds):
@@ -83,6 +89,7 @@ def fit(sample: np.ndarray, leaf_rows: int, branch: int = BRANCH, rounds: int =
             near = _distances(x, c).argmin(axis=1)
             used = [k for k in range(len(c)) if (near == k).any()]
             if len(used) > 1:
+                leaves += len(used) - 1
                 children[i] = np.arange(len(parts), len(parts) + len(used))
                 for k in used:
                     centroids.append(c[k])
@@ -94,19 +101,6 @@ def fit(sample: np.ndarray, leaf_rows: int, branch: int = BRANCH, rounds: int =
     return Tree(np.stack(centroids), children, np.where(ends, np.cumsum(ends) - 1, -1))
 
 
-def calibrate(tree: Tree, sample: np.ndarray, k: int, recall: float, queries: int = 200) -> int:
-    """How many leaves to open so that the sample's own queries find ``recall`` of their k nearest among the sample."""
-    leaf = tree.place(sample)
-    needed: list[int] = []
-    for q in np.linspace(0, len(sample) - 1, min(queries, len(sample))).astype(int):
-        d = _exact(sample[q], sample)
-        d[q] = np.inf
-        nearest = np.argsort(d, kind="stable")[: min(k, len(sample) - 1)]
-        rank = {n: i for i, n in enumerate(tree.open(sample[q]))}
-        needed += [rank[x] + 1 for x in leaf[nearest]]
-    return int(np.quantile(needed, recall, method="higher")) if needed else tree.leaves
-
-
 def _valid(vector: Column) -> Column:
     """Not null or empty, all components finite, not all of them zero."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -117,41 +111,147 @@ def _matrix(vectors) -> np.ndarray:
     return np.array([np.asarray(v, np.float64) for v in vectors]) if len(vectors) else np.zeros((0, 1))
 
 
-def search(rows: DataFrame, query: Column, k: int = 10, recall: float = 0.98, sample: int = SAMPLE, leaf_rows: int = 64) -> DataFrame:
+def _first_copies(rows: DataFrame, most: int) -> DataFrame:
+    """Of equal vectors the rows with the smallest ids: no more of them can be among a query's nearest."""
+    order = Window.partitionBy(F.xxhash64("v"), F.col("v")).orderBy("vec_id")
+    return rows.withColumn("copy", F.row_number().over(order)).where(F.col("copy") <= most).drop("copy")
+
+
+def _dealt(rows: DataFrame, sizes: DataFrame, key: str) -> DataFrame:
+    """rows with part: the group of their leaf that a hash of key deals them to."""
+    return join_sized(rows, sizes, ["leaf"], "inner").withColumn("part", F.pmod(F.xxhash64(key), F.col("groups")).cast("int")).drop("n", "groups")
+
+
+def _sizes(placed: DataFrame) -> DataFrame:
+    return checkpoint(placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).withColumn("groups", F.ceil(F.col("n") / GROUP).cast("int")))
+
+
+def _in_parts(trees: DataFrame) -> DataFrame:
+    return trees.select("leaf", "tree", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"))
+
+
+def _split(placed: DataFrame, sizes: DataFrame, sample: int, leaf_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The trees of leaves with too many rows, and all rows with the leaves that these give: 4096 times the leaf, plus 1 and the tree's leaf if it was split."""
+
+    def fitted(group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"leaf": group["leaf"].iloc[:1], "tree": [pickle.dumps(fit(_matrix(group.sort_values("vec_id")["v"]), leaf_rows))]})
+
+    big = sizes.where(F.col("n") > LEAF)
+    # sampled evenly, so that a tree's own leaves hold about LEAF rows of all
+    near = join_sized(placed, big, ["leaf"], "inner").where(F.pmod(F.xxhash64(F.lit("split"), "vec_id"), F.lit(1 << 20)) < F.least(F.lit(1.0), sample / F.col("n")) * (1 << 20))
+    trees = near.select("leaf", "vec_id", "v").groupBy("leaf").applyInPandas(fitted, "leaf long, tree binary")
+    trees = checkpoint(trees.join(big.select("leaf", "groups"), "leaf"))
+
+    def descend(rows: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
+        below = pickle.loads(tree["tree"].iloc[0]).place(_matrix(rows["v"])) + 1 if len(tree) and len(rows) else 0
+        return rows[["vec_id", "v"]].assign(leaf=rows["leaf"] * (FAN + 1) + below)
+
+    deep = _dealt(placed, big, "vec_id").groupBy("leaf", "part").cogroup(_in_parts(trees).groupBy("leaf", "part")).applyInPandas(descend, "vec_id long, v array<double>, leaf long")
+    small = join_sized(placed, big.select("leaf"), ["leaf"], "left_anti").select("vec_id", "v", (F.col("leaf") * (FAN + 1)).alias("leaf"))
+    return trees, checkpoint(deep.unionByName(small))
+
+
+def _routes(asked: DataFrame, top: Tree, levels: list[DataFrame], width: int) -> DataFrame:
+    """(query_id, q, leaves): for each row of asked (query_id, q) the nearest ``width`` leaves met, in order, as structs of distance and leaf."""
+    sent = asked.sparkSession.sparkContext.broadcast(top)
+
+    def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            found = [[{"d": d, "leaf": leaf} for (d, leaf), _ in zip(sent.value.open(np.asarray(q, np.float64)), range(width), strict=False)] for q in b["q"]]
+            yield b.assign(leaves=found)
+
+    def deeper(asked: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple] = []
+        below = pickle.loads(tree["tree"].iloc[0]) if len(tree) else None
+        for query_id, q, d, leaf in asked[["query_id", "q", "d", "leaf"]].itertuples(index=False):
+            found = [(x, k + 1) for (x, k), _ in zip(below.open(np.asarray(q, np.float64)), range(width), strict=False)] if below else [(d, 0)]
+            out += [(query_id, q, x, leaf * (FAN + 1) + k) for x, k in found]
+        return pd.DataFrame(out, columns=["query_id", "q", "d", "leaf"])
+
+    routed = asked.mapInPandas(plan, "query_id long, q array<double>, leaves array<struct<d: double, leaf: long>>")
+    for trees in levels:
+        open_leaves = routed.select("query_id", "q", F.explode("leaves").alias("at")).select("query_id", "q", "at.d", "at.leaf")
+        open_leaves = open_leaves.join(trees.select("leaf", "groups"), "leaf", "left")
+        open_leaves = open_leaves.withColumn("part", F.pmod(F.xxhash64("query_id"), F.coalesce("groups", F.lit(1))).cast("int")).drop("groups")
+        met = open_leaves.groupBy("leaf", "part").cogroup(_in_parts(trees).groupBy("leaf", "part")).applyInPandas(deeper, "query_id long, q array<double>, d double, leaf long")
+        routed = met.groupBy("query_id").agg(F.first("q").alias("q"), F.slice(F.array_sort(F.collect_list(F.struct("d", "leaf"))), 1, width).alias("leaves"))
+    return routed
+
+
+def _nearest(rows: DataFrame, asked: list[tuple[int, list[float]]], k: int) -> DataFrame:
+    """(query_id, vec_id): the k nearest of all rows for a bounded number of queries, by brute force in blocks."""
+    sent = rows.sparkSession.sparkContext.broadcast(asked)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            ids, x = b["vec_id"].to_numpy(), _matrix(b["v"])
+            for query_id, q in sent.value:
+                d = np.where(ids == query_id, np.inf, _exact(np.asarray(q), x) if len(x) else np.zeros(0))
+                best = np.lexsort((ids, d))[:k]
+                best = best[np.isfinite(d[best])]
+                yield pd.DataFrame({"query_id": query_id, "vec_id": ids[best], "score": d[best]})
+
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    return rows.mapInPandas(run, "query_id long, vec_id long, score double").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def calibrate(placed: DataFrame, top: Tree, levels: list[DataFrame], k: int, recall: float, queries: int = CALIBRATED) -> int:
+    """How many leaves to open so that this share of the k nearest of a sample of rows, among all rows, lies in them."""
+    spark = placed.sparkSession
+    chosen = placed.orderBy(F.xxhash64(F.lit("calibrate"), "vec_id"), "vec_id").select("vec_id", "v").limit(queries).collect()
+    if not chosen:
+        return 1
+    asked = [(r["vec_id"], r["v"]) for r in chosen]
+    true = _nearest(placed.select("vec_id", "v"), asked, k).select("query_id", "vec_id")
+    true = checkpoint(join_sized(placed.select("vec_id", "leaf"), checkpoint(true), ["vec_id"], "inner").select("query_id", "leaf"))
+    width = WIDTH
+    while True:
+        routes = _routes(spark.createDataFrame(asked, "query_id long, q array<double>"), top, levels, width)
+        place = F.array_position(F.transform("leaves", lambda x: x.leaf), F.col("leaf"))
+        ranks = sorted(r[0] or width * 2 for r in true.join(routes, "query_id").select(place).collect())
+        if not ranks:
+            return 1
+        needed = ranks[max(0, int(np.ceil(recall * len(ranks))) - 1)]
+        if needed <= width:
+            return needed
+        width *= 2
+
+
+def search(rows: DataFrame, query: Column, k: int = 10, recall: float = 0.99, sample: int = SAMPLE, leaf_rows: int = 64, calibrated: int = CALIBRATED) -> DataFrame:
     """For each row for which ``query`` holds, its k nearest other rows found: query_id, rank, vec_id, score.
 
     rows has vec_id and embedding. Vectors that are null, empty, zero, of another length than most or hold a null or
     non-finite component take no part, neither do rows with a null vec_id. Nearness is the Euclidean distance in double precision;
     ties go to the smaller vec_id. Rows of one vec_id are candidates each, but not for the query of their own id,
-    and such queries are one. The sample is what a hash of vec_id puts first. An empty table gives an empty result.
+    and such queries are one. Samples are what a hash of vec_id puts first. An empty table gives an empty result.
     """
-    spark = rows.sparkSession
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v")).where(F.col("vec_id").isNotNull() & _valid(F.col("v")))
     size = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     rows = rows.where(F.size("v") == (size["n"] if size else 0))
     n = size["count"] if size else 0
     picked = rows.where(F.pmod(F.xxhash64(F.lit("sample"), "vec_id"), F.lit(1 << 20)) < int(min(1.0, sample / max(n, 1)) * (1 << 20)))
-    x = _matrix([r["v"] for r in picked.select("v", "vec_id").orderBy("vec_id").limit(2 * sample).toLocalIterator()])
-    tree = fit(x, leaf_rows)
-    # what the sample misses of a leaf's rows lies as its own do, so a share of leaves serves both
-    opened = min(tree.leaves, calibrate(tree, x, k, recall) + 1) if n > 2000 else tree.leaves
-    sent = spark.sparkContext.broadcast(tree)
+    top = fit(_matrix([r["v"] for r in picked.select("v", "vec_id").orderBy("vec_id").limit(2 * sample).toLocalIterator()]), leaf_rows)
+    sent = rows.sparkSession.sparkContext.broadcast(top)
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield b.assign(leaf=sent.value.place(_matrix(b["v"])) if len(b) else np.zeros(0, np.int64))
 
-    def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for vec_id, v in zip(b["vec_id"], b["v"], strict=True):
-                leaves = [leaf for leaf, _ in zip(sent.value.open(np.asarray(v, np.float64)), range(opened), strict=False)]
-                yield pd.DataFrame({"query_id": vec_id, "q": [v] * len(leaves), "leaf": leaves})
-
-    placed = checkpoint(rows.mapInPandas(index, "vec_id long, v array<double>, leaf long"))
-    groups = checkpoint(placed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("groups")))
-    candidates = join_sized(placed, groups, ["leaf"], "inner").select("vec_id", "v", "leaf", F.pmod(F.xxhash64("vec_id"), F.col("groups")).cast("int").alias("part"))
-    asked = rows.where(query).dropDuplicates(["vec_id"]).mapInPandas(plan, "query_id long, q array<double>, leaf long")
-    asked = join_sized(asked, groups, ["leaf"], "inner").select("query_id", "q", "leaf", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"))
+    placed = checkpoint(_first_copies(rows, k + 1).mapInPandas(index, "vec_id long, v array<double>, leaf long"))
+    sizes = _sizes(placed)
+    levels: list[DataFrame] = []
+    while len(levels) < LEVELS and sizes.where(F.col("n") > LEAF).limit(1).count():
+        trees, placed = _split(placed, sizes, sample, leaf_rows)
+        levels.append(trees)
+        sizes = _sizes(placed)
+    opened = calibrate(placed, top, levels, k, recall, calibrated)
+    candidates = _dealt(placed, sizes, "vec_id")
+    asked = rows.where(query).dropDuplicates(["vec_id"]).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+    # as every leaf has a row, so many more leaves have k other rows, if there are any
+    asked = _routes(asked, top, levels, opened + k + 1).select("query_id", "q", F.posexplode("leaves.leaf").alias("pos", "leaf"))
+    before = F.sum("n").over(Window.partitionBy("query_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1))
+    asked = join_sized(asked, sizes, ["leaf"], "inner").withColumn("before", F.coalesce(before, F.lit(0))).where((F.col("pos") < opened) | (F.col("before") <= k))
+    asked = asked.select("query_id", "q", "leaf", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"))
 
     def compare(asked: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         out = []

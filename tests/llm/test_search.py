@@ -106,7 +106,7 @@ def test_search_of_few_rows_is_exact(spark):
     rows += [(500, None), (501, [0.0] * 4), (502, [1.0, None, 1.0, 1.0]), (503, [1.0, float("nan"), 1.0, 1.0]), (504, [float("inf")] * 4), (505, [1.0]), (506, []), (None, f([1, 1, 1, 1])), (7, f([1, 0, 0, 0]))]
     df = spark.createDataFrame(rows, EMBEDDINGS).withColumns({"leaf": F.lit("clash"), "v": F.lit(1)})
     got = defaultdict(list)
-    for r in vectors.search(df, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect():
+    for r in vectors.search(df, F.col("vec_id") % 100 == 0, recall=1.0, leaf_rows=20, calibrated=1000).orderBy("query_id", "rank").collect():
         got[r["query_id"]].append((r["vec_id"], r["score"]))
         assert len(got[r["query_id"]]) == r["rank"]
     want = _nearest(rows)
@@ -117,23 +117,32 @@ def test_search_of_few_rows_is_exact(spark):
     assert vectors.search(df.where("vec_id = 100"), F.col("vec_id") % 100 == 0).count() == 0
 
 
-def test_search_reaches_the_recall(spark):
+def test_search_reaches_the_recall(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "LEAF", 60)
+    monkeypatch.setattr(vectors, "GROUP", 40)
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(30, 4)) * 4
-    rows = [(i, [float(x) for x in (centres[i % 30] + rng.normal(size=4)).astype(np.float32)]) for i in range(6000)]
-    got = defaultdict(set)
-    for r in vectors.search(spark.createDataFrame(rows, EMBEDDINGS), F.col("vec_id") % 100 == 0, sample=1500).collect():
-        got[r["query_id"]].add(r["vec_id"])
+    rows = [(i, [float(x) for x in (centres[i % 30] + rng.normal(size=4)).astype(np.float32)]) for i in range(6000)] + [(10_000 + i, [1.0, 2.0, 3.0, 4.0]) for i in range(3000)]
+    levels = []
+    split = vectors._split
+    monkeypatch.setattr(vectors, "_split", lambda *a: levels.append(1) or split(*a))
+    got = defaultdict(list)
+    found = vectors.search(spark.createDataFrame(rows, EMBEDDINGS), F.col("vec_id") % 100 == 0, sample=150, leaf_rows=20)
+    for r in found.orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append(r["vec_id"])
+    assert len(levels) > 1
     want = _nearest(rows)
-    assert np.mean([len(got[q] & {i for i, _ in want[q]}) / 10 for q in want]) >= 0.9
+    assert set(got) == set(want) and all(len(x) == 10 for x in got.values())
+    assert np.mean([len(set(got[q]) & {i for i, _ in want[q]}) / 10 for q in want]) >= 0.95
+    assert got[10_500] == list(range(10_000, 10_010))  # of equal vectors the smallest ids
 
 
 def test_tree_opens_every_leaf_once():
     x = np.random.default_rng(4).normal(size=(500, 3))
     tree = vectors.fit(x, 20)
-    assert sorted(tree.open(x[0])) == list(range(tree.leaves)) and next(tree.open(x[0])) in range(tree.leaves)
+    assert sorted(leaf for _, leaf in tree.open(x[0])) == list(range(tree.leaves))
     assert vectors.fit(np.ones((50, 3)), 5).leaves == 1
-    assert vectors.calibrate(tree, x, 10, 1.0) <= tree.leaves
+    assert [next(tree.open(tree.centroids[i]))[1] for i in range(len(tree.leaf)) if tree.leaf[i] >= 0][0] in range(tree.leaves)
 
 
 def test_pipeline(spark):
