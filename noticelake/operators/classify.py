@@ -20,12 +20,14 @@ NOT_REGULAR = r"비정규직|정규직\s*전환\s*(?:없음|불가)"
 def has_excluded_employment(text: Column) -> Column:
     """Harmless mentions of temporary work go first, all of them, and then any excluded kind counts."""
     rest = reduce(lambda c, p: F.regexp_replace(c, p, " "), R.TEMPORARY_BENIGN, text)
+    rest = F.when(text.contains(R.TEMPORARY), rest).otherwise(text)
     return R.any_of(rest, [*R.EXCLUDED_EMPLOYMENT, *R.TEMPORARY_STRONG])
 
 
-def employment(text: Column) -> Column:
+def employment(text: Column, excluded: Column | None = None) -> Column:
+    """excluded: has_excluded_employment of the text, where it is at hand."""
     regular = text.rlike(REGULAR) & ~text.rlike(NOT_REGULAR)
-    kinds = F.when(has_excluded_employment(text), EXCLUDED).when(text.rlike(r"무기계약직|기간의\s*정함이\s*없는\s*근로계약"), "무기계약직")
+    kinds = F.when(has_excluded_employment(text) if excluded is None else excluded, EXCLUDED).when(text.rlike(r"무기계약직|기간의\s*정함이\s*없는\s*근로계약"), "무기계약직")
     for kind in ("공무직", "상용직", "일반직"):
         kinds = kinds.when(text.contains(kind), kind)
     return kinds.when(regular, REGULAR).otherwise(UNKNOWN_EMPLOYMENT)
@@ -35,9 +37,15 @@ def education(text: Column) -> Column:
     return F.when(R.any_of(text, R.DEGREE_REQUIRED), DEGREE).when(R.any_of(text, R.HIGH_SCHOOL_OK), HIGH_SCHOOL).otherwise(UNKNOWN_EDUCATION)
 
 
-def location(text: Column) -> Column:
+def labelled_places(text: Column) -> Column:
+    """The lines that are labelled as a place of work."""
+    return F.left(F.array_join(F.filter(cell_lines(text), lambda x: x.rlike("(?i)" + R.LOCATION_LABEL)), " "), F.lit(1200))
+
+
+def location(text: Column, labelled: Column | None = None) -> Column:
     """From the labelled lines if there are any, else from the head of the text; other regions count in labelled lines only."""
-    labelled = F.left(F.array_join(F.filter(cell_lines(text), lambda x: x.rlike("(?i)" + R.LOCATION_LABEL)), " "), F.lit(1200))
+    if labelled is None:
+        return R.bind(labelled_places(text), lambda x: location(text, x))
     target = F.when(labelled != "", labelled).otherwise(F.left(text, F.lit(2400)))
     here, nationwide = target.rlike(R.ULSAN), target.rlike(R.NATIONWIDE)
     elsewhere = F.replace(labelled, F.lit("울산"), F.lit("")).rlike(R.OTHER_REGION)
@@ -51,12 +59,14 @@ def category(text: Column) -> Column:
 def cross_validate(detail: Column, document: Column) -> Column:
     """checked, conflict and reasons: where the page and its documents contradict each other."""
     checked = F.length(document) >= 40
+    none = F.array().cast("array<string>")
     conflicts = R.reasons(
         (checked & employment(detail).isin(R.ALLOWED_EMPLOYMENT) & (employment(document) == EXCLUDED), "본문과 첨부문서의 고용형태 충돌"),
         (checked & (education(detail) == HIGH_SCHOOL) & (education(document) == DEGREE), "본문과 첨부문서의 학력 조건 충돌"),
         (checked & (location(detail) == ULSAN) & (location(document) == ELSEWHERE), "본문과 첨부문서의 근무지 충돌"),
     )
-    return F.struct(checked.alias("checked"), (F.size(conflicts) > 0).alias("conflict"), conflicts.alias("reasons"))
+    told = F.when(checked, conflicts).otherwise(none)
+    return R.bind(told, lambda x: F.struct(checked.alias("checked"), (F.size(x) > 0).alias("conflict"), x.alias("reasons")))
 
 
 def decision_evidence(text: Column) -> Column:
@@ -78,7 +88,8 @@ def analyze(postings: DataFrame, structured: Column | None = None) -> DataFrame:
     df = postings.withColumns({c: text(c) for c in ("title", "list_text", "detail_text", "document_text")})
     df = df.withColumn("full_text", F.regexp_replace(F.concat_ws("\n", F.trim("title"), "list_text", "detail_text", "document_text"), r"[ \t]+", " "))
     full = F.col("full_text")
-    df = df.withColumns({"education": education(full), "employment": employment(full), "location": location(full), "category": category(full), "cross": cross_validate(F.col("detail_text"), F.col("document_text"))})
+    df = df.withColumns({"_excluded": has_excluded_employment(full), "_places": labelled_places(full)})  # each is used twice and more
+    df = df.withColumns({"education": education(full), "employment": employment(full, F.col("_excluded")), "location": location(full, F.col("_places")), "category": category(full), "cross": cross_validate(F.col("detail_text"), F.col("document_text"))})
     allowed, high, ulsan = F.col("employment").isin(R.ALLOWED_EMPLOYMENT), F.col("education") == HIGH_SCHOOL, F.col("location") == ULSAN
     ok, detail = F.coalesce(F.col("detail_ok"), F.lit(False)), F.col("detail_text")
     signals = high.cast("int") + ulsan.cast("int") + allowed.cast("int") + detail.rlike(r"채용인원|모집인원|\d+명").cast("int")
@@ -86,7 +97,7 @@ def analyze(postings: DataFrame, structured: Column | None = None) -> DataFrame:
     sufficient = (F.length(detail) >= 120) | ((signals >= least) & (F.length(detail) >= 55))
     excludes = R.reasons(
         (R.any_of(F.trim("title"), R.NON_JOB), "채용공고가 아닌 안내·결과 공지"),
-        (has_excluded_employment(full), "인턴·기간제·계약직 등 제외 고용형태"),
+        (F.col("_excluded"), "인턴·기간제·계약직 등 제외 고용형태"),
         (R.any_of(F.trim("title"), R.LICENSE_JOB) | R.any_of(full, R.REQUIRED_LICENSE), "전문면허·전문자격 필수 직무"),
         (F.col("education") == DEGREE, "전문학사·학사 이상 조건"),
         (F.col("location") == ELSEWHERE, "울산 단일 근무가 아님"),
@@ -115,7 +126,7 @@ def analyze(postings: DataFrame, structured: Column | None = None) -> DataFrame:
             "status": F.when(F.col("recommended"), "지원 추천").when(F.col("excluded"), "제외").otherwise("확인 필요"),
             "evidence": decision_evidence(full),
         }
-    )
+    ).drop("_excluded", "_places")
 
 
 def legacy_analyze(postings: DataFrame, deadline: Column, as_of: str) -> DataFrame:

@@ -101,6 +101,12 @@ def unmatched(rows: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
     return rows.select(*keys).exceptAll(others.select(*keys))
 
 
+def missing_counts(rows: DataFrame, found: Column, keys: list[str]) -> DataFrame:
+    """How many rows of each key are beyond those that are found, where rows says itself which are: one aggregate, no second reading."""
+    counts = rows.groupBy(*keys).agg((F.count(F.lit(1)) - F.count_if(found)).alias("missing"))
+    return counts.where("missing > 0")
+
+
 def match_records(candidates: DataFrame, records: DataFrame) -> DataFrame:
     """Greedy one-to-one match of each page's candidate titles to its visible records, in candidate order.
 

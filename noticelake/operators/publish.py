@@ -52,6 +52,11 @@ def guard(feed: DataFrame, metrics: DataFrame) -> DataFrame:
     return feed
 
 
+def feed_order(jobs: DataFrame) -> list[Column]:
+    """The order of the feed, of the columns that jobs has; an unknown deadline comes last."""
+    orders = {"recommended": F.desc("recommended"), "quality_score": F.desc("quality_score"), "fit_score": F.desc("fit_score"), "deadline": F.coalesce(F.nullif(F.col("deadline"), F.lit("")), F.lit("9999-12-31"))}
+    return [o for c, o in orders.items() if c in jobs.columns]
+
+
 def ranked_feed(jobs: DataFrame, order: str, limit: int = 200) -> DataFrame:
-    deadline = F.coalesce(F.nullif(F.col("deadline"), F.lit("")), F.lit("9999-12-31"))
-    return jobs.orderBy(F.desc("recommended"), F.desc("quality_score"), F.desc("fit_score"), deadline, order).limit(limit)
+    return jobs.orderBy(*feed_order(jobs), order).limit(limit)

@@ -72,12 +72,13 @@ def score_quality(analysed: DataFrame) -> DataFrame:
 
 
 def validate(jobs: DataFrame) -> DataFrame:
-    """Adds errors and valid to scored rows; raw is the row's detail text, vacancy_count and vacancy_name are optional."""
+    """Adds errors, warnings and valid to scored rows; raw is the row's detail text. vacancy_count, vacancy_name and splitter_version are optional."""
     raw = F.concat(F.coalesce("title", F.lit("")), F.lit("\n"), F.coalesce("detail_text", F.lit("")))
     link = F.coalesce(F.col("link"), F.lit(""))
     path = F.regexp_extract(link, r"^[a-zA-Z][\w+.-]*://[^/?#]*([^?#]*)", 1)
     count = F.coalesce(F.col("vacancy_count"), F.lit(1)) if "vacancy_count" in jobs.columns else F.lit(1)
     name = F.coalesce(F.col("vacancy_name"), F.lit("")) if "vacancy_name" in jobs.columns else F.lit("")
+    version = F.coalesce(F.col("splitter_version"), F.lit("")) if "splitter_version" in jobs.columns else F.lit("")
     errors = R.reasons(
         ((F.coalesce("org", F.lit("")) == "") | (F.coalesce("title", F.lit("")) == ""), "기관 또는 제목 누락"),
         (link == "", "원문 링크 누락"),
@@ -93,21 +94,30 @@ def validate(jobs: DataFrame) -> DataFrame:
         (F.col("quality_score") < THRESHOLD, "품질점수 미달"),
         (~F.coalesce(F.col("detail_ok"), F.lit(False)), "상세 원문 미검증"),
         ((count > 1) & (name == ""), "다중 직군 이름 누락"),
+        ((count > 1) & (version == ""), "직군 분리 버전 누락"),
     )
-    return jobs.withColumn("errors", errors).withColumn("valid", F.size("errors") == 0)
+    warnings = R.reasons((F.coalesce("deadline", F.lit("")) == "", "마감일 미확인"))
+    return jobs.withColumns({"errors": errors, "warnings": warnings}).withColumn("valid", F.size("errors") == 0)
 
 
 def job_key(*parts: str) -> Column:
     return F.lower(squash(F.concat_ws("|", *[F.coalesce(F.col(p), F.lit("")) for p in parts])))
 
 
+def vacancy_key(jobs: DataFrame) -> Column:
+    """What makes a job a duplicate: organisation, original title (the title, where there is none) and name of the vacancy."""
+    title = F.coalesce(F.nullif(F.col("original_title"), F.lit("")), F.col("title")) if "original_title" in jobs.columns else F.col("title")
+    name = F.col("vacancy_name") if "vacancy_name" in jobs.columns else F.lit("")
+    return F.lower(squash(F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in (F.col("org"), title, name)])))
+
+
 def collection_issues(jobs: DataFrame, order: str) -> DataFrame:
-    """One row per issue: the errors of an invalid job, and a duplicate of a job with a smaller ``order``.
+    """One row per issue: the errors of an invalid job, and a duplicate (see vacancy_key) of a job with a smaller ``order``.
 
     The first job of each key comes from an aggregate that Spark combines before it shuffles, so a key that
     many rows share gathers in no task.
     """
-    keyed = validate(jobs).withColumn("job_key", job_key("org", "title"))
+    keyed = validate(jobs).withColumn("job_key", vacancy_key(jobs))
     firsts = keyed.groupBy("job_key").agg(F.min(order).alias("first_order"))
     marked = keyed.join(firsts, "job_key")
     duplicate = F.when(F.col(order) != F.col("first_order"), F.array(F.lit("중복 공고"))).otherwise(F.array().cast("array<string>"))

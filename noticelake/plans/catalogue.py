@@ -14,7 +14,7 @@ from noticelake.functions.urls import canonical_url
 from noticelake.operators import attachments, candidates, classify, documents, feed, listing, publish, quality, reports, requirements, vacancies
 from noticelake.operators import pages as page_ops
 from noticelake.plans import posting_sql as S
-from noticelake.plans.postings import postings
+from noticelake.plans.postings import postings, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -38,6 +38,10 @@ def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def _pages(spark: SparkSession, d: str) -> DataFrame:
+    return spread(_read(spark, d, "pages"), "page_id")
+
+
 def _joined(c):
     return F.array_join(c, ";")
 
@@ -62,12 +66,12 @@ _TITLE = r"""trim(regexp_replace(regexp_replace(regexp_extract(html, '(?i)<title
 @query("q01_clean_text", f"WITH c AS (SELECT page_id, {_CLEAN} AS t FROM pages) SELECT page_id, length(t) AS chars, md5(t) AS digest FROM c")
 def q01(spark, d):
     t = clean_html(F.col("html"))
-    return _read(spark, d, "pages").select("page_id", F.length(t).cast("long").alias("chars"), F.md5(t).alias("digest"))
+    return _pages(spark, d).select("page_id", F.length(t).cast("long").alias("chars"), F.md5(t).alias("digest"))
 
 
 @query("q02_page_title", f"SELECT page_id, {_TITLE} AS title FROM pages")
 def q02(spark, d):
-    return _read(spark, d, "pages").select("page_id", page_ops.page_title(F.col("html")).alias("title"))
+    return _pages(spark, d).select("page_id", page_ops.page_title(F.col("html")).alias("title"))
 
 
 @query(
@@ -77,12 +81,12 @@ def q02(spark, d):
     SELECT page_id, host || replace(replace(url_encode(href), '%2F', '/'), '%2C', ',') AS url, trim(regexp_replace(regexp_replace(label, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS title FROM a WHERE trim(label) <> ''""",
 )
 def q03(spark, d):
-    return page_ops.anchors(_read(spark, d, "pages")).select("page_id", "url", "title")
+    return page_ops.anchors(_pages(spark, d)).select("page_id", "url", "title")
 
 
 @query("q04_selector_counts", "SELECT page_id, " + ", ".join(f"CAST(len(regexp_extract_all(html, '{p.replace(chr(39), chr(39) * 2)}')) AS BIGINT) AS {n}" for n, p in page_ops.SELECTORS.items()) + " FROM pages")
 def q04(spark, d):
-    return page_ops.selector_counts(_read(spark, d, "pages"))
+    return page_ops.selector_counts(_pages(spark, d))
 
 
 _BOARD = r"""CASE WHEN regexp_matches(url, '(?i)job-?alio|alio\.go\.kr') OR regexp_matches(html, '잡알리오|(?i:JOB-?ALIO)') THEN 'JOB_ALIO' WHEN regexp_matches(html, '(?i)<iframe\b') THEN 'IFRAME'
@@ -92,12 +96,12 @@ _BOARD = r"""CASE WHEN regexp_matches(url, '(?i)job-?alio|alio\.go\.kr') OR rege
 
 @query("q05_board_type", f"SELECT page_id, {_BOARD} AS type FROM pages")
 def q05(spark, d):
-    return _read(spark, d, "pages").select("page_id", page_ops.board_type(F.col("html"), F.col("url"), F.lit("text/html"))["type"].alias("type"))
+    return _pages(spark, d).select("page_id", page_ops.board_type(F.col("html"), F.col("url"), F.lit("text/html"))["type"].alias("type"))
 
 
 def _verified(spark, d):
     host = F.regexp_extract("url", r"^[a-z]+://([^/?#]+)", 1)
-    fetched = _read(spark, d, "pages").withColumns({"status": F.lit(200), "content_type": F.lit("text/html"), "org": F.element_at(F.split(host, r"\."), -3), "access_priority": (F.col("page_id") % 3).cast("int"), "host": host})
+    fetched = _pages(spark, d).withColumns({"status": F.lit(200), "content_type": F.lit("text/html"), "org": F.element_at(F.split(host, r"\."), -3), "access_priority": (F.col("page_id") % 3).cast("int"), "host": host})
     return page_ops.verify_pages(fetched)
 
 
@@ -129,19 +133,19 @@ def q07(spark, d):
     return page_ops.best_pages(_verified(spark, d), ["org"]).select("org", "page_id", "score")
 
 
-@query("q08_canonical_url", r"WITH b AS (SELECT page_id, rtrim(regexp_extract(url, '^([^?#]*)', 1), '/') AS base FROM pages) SELECT page_id, base || '?menuNo=3&nttId=' || page_id AS identified, base AS listed FROM b")
+@query("q08_canonical_url", r"WITH b AS (SELECT page_id, rtrim(regexp_extract(url, '^([^?#]*)', 1), '/') AS base FROM pages) SELECT page_id, base || '/?menuNo=3&nttId=' || page_id AS identified, base AS listed FROM b")
 def q08(spark, d):
     base = F.rtrim(F.regexp_extract("url", r"^([^?#]*)", 1), F.lit("/"))
     identified = canonical_url(F.concat(base, F.lit("/?page=2&nttId="), F.col("page_id").cast("string"), F.lit("&menuNo=3#top")))
     listed = canonical_url(F.concat(base, F.lit("?pageIndex=2&menuNo=3#list")))
-    return _read(spark, d, "pages").select("page_id", F.replace(identified, F.lit("/?"), F.lit("?")).alias("identified"), listed.alias("listed"))
+    return _pages(spark, d).select("page_id", identified.alias("identified"), listed.alias("listed"))
 
 
 @query("q09_detail_body", "WITH b AS (SELECT page_id, regexp_extract(html, '(?i)<article\\b[^>]*>([\\s\\S]*?)</article>', 1) AS inner_html, html AS whole FROM pages), "
     f"c AS (SELECT page_id, (SELECT {_CLEAN} FROM (SELECT inner_html AS html)) AS t, (SELECT {_CLEAN} FROM (SELECT whole AS html)) AS w FROM b), d AS (SELECT page_id, CASE WHEN length(t) >= 80 THEN t ELSE w END AS t FROM c) SELECT page_id, length(t) AS chars, md5(t) AS digest FROM d")
 def q09(spark, d):
     t = page_ops.detail_body(F.col("html"), page_ops.page_title(F.col("html")))
-    return _read(spark, d, "pages").select("page_id", F.length(t).cast("long").alias("chars"), F.md5(t).alias("digest"))
+    return _pages(spark, d).select("page_id", F.length(t).cast("long").alias("chars"), F.md5(t).alias("digest"))
 
 
 # Listings
@@ -201,7 +205,7 @@ def q13(spark, d):
 @query("q14_missing_extra", f"WITH {_SELECT}, r AS (SELECT org, {S.title_key('title')} AS title_key FROM selected), c AS (SELECT org, {S.title_key('title')} AS title_key FROM selected WHERE len(reasons) = 0) SELECT org, title_key, count(*) AS missing FROM (SELECT * FROM r EXCEPT ALL SELECT * FROM c) GROUP BY 1, 2")
 def q14(spark, d):
     rows = listing.select_candidates(postings(spark, d)).withColumn("title_key", title_key(F.col("title")))
-    return listing.unmatched(rows, rows.where("accepted"), ["org", "title_key"]).groupBy("org", "title_key").agg(F.count(F.lit(1)).alias("missing"))
+    return listing.missing_counts(rows, F.col("accepted"), ["org", "title_key"])
 
 
 @query("q15_root_cause", f"""WITH {_BY_ORG} SELECT org, CASE WHEN visible IS NULL AND all_rows = 0 AND candidates > 0 THEN 'DOM_COUNT_ZERO' WHEN visible IS NULL AND all_rows > 0 THEN 'COUNTER_SELECTOR_MISMATCH'
@@ -459,13 +463,13 @@ _SHAPES = [
 @query("q42_attachments")
 def q42(spark, d):
     made = F.element_at(F.array(*[F.lit(s) for s in _SHAPES]), (F.col("page_id") % 3 + 1).cast("int"))
-    pages = _read(spark, d, "pages").withColumn("html", F.concat(F.replace(made, F.lit("{0}"), F.col("page_id").cast("string")), "html"))
+    pages = _pages(spark, d).withColumn("html", F.concat(F.replace(made, F.lit("{0}"), F.col("page_id").cast("string")), "html"))
     return attachments.extract_attachments(pages).select("page_id", "pos", "name", "type", "url", "method", "body")
 
 
 @query("q43_record_match")
 def q43(spark, d):
-    rows = page_ops.anchors(_read(spark, d, "pages"))
+    rows = page_ops.anchors(_pages(spark, d))
     candidates = rows.where("pos % 3 <> 2").select("page_id", "pos", "title")
     records = rows.select("page_id", F.col("pos").alias("rec"), F.concat("title", F.lit(" "), F.col("pos").cast("string")).alias("record"))
     return listing.match_records(candidates, records)

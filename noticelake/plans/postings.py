@@ -29,11 +29,17 @@ def _nth(values: list[str], i: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (i + 1).cast("int"))
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """df over all cores, if it is read in fewer parts: small files would leave a long analysis to a few tasks. Large tables stay as they are read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """posting_id, cust, org, title, list_text, detail_text, document_text, link, detail_ok, documents_read and collected_at."""
     read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
-    orders = read("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    who = read("customer").select("c_custkey", "c_nationkey").join(read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    orders = spread(read("orders").select("o_orderkey", "o_custkey", "o_orderdate"), "o_orderkey")
+    who = spread(read("customer").select("c_custkey", "c_nationkey"), "c_custkey").join(read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     df = orders.join(who, F.col("o_custkey") == F.col("c_custkey"))
     k, c, org = F.col("o_orderkey"), F.col("o_custkey"), F.col("n_name")
     when = F.col("o_orderdate")

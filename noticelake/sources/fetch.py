@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from noticelake.operators.documents import decode_bytes
+from noticelake.operators.publish import feed_order
 
 SOURCE = T.StructType(
     [
@@ -86,17 +88,20 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
     """The jobs of a published feed, by a fixed schema; no feed yet is an empty table."""
     try:
         df = spark.read.schema(T.StructType([T.StructField("jobs", T.ArrayType(JOB))])).option("multiLine", True).json(path)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], JOB)
     return df.select(F.explode("jobs").alias("j")).select("j.*")
 
 
 def write_feed(jobs: DataFrame, path: str, limit: int = 200) -> None:
-    """One JSON document of at most ``limit`` jobs: the published feed is bounded by contract."""
+    """One JSON document of the first ``limit`` jobs in the feed's order: the published feed is bounded by contract."""
     columns = [c for c in JOB.fieldNames() if c in jobs.columns]
-    jobs.limit(limit).agg(F.collect_list(F.struct(*columns)).alias("jobs")).coalesce(1).write.mode("overwrite").json(path)
+    ties = [c for c in ("org", "title", "link") if c in jobs.columns]
+    place = F.row_number().over(Window.orderBy("_place"))  # over at most ``limit`` rows
+    best = jobs.orderBy(*feed_order(jobs), *ties).limit(limit).withColumn("_place", F.monotonically_increasing_id()).withColumn("_place", place)
+    best.agg(F.transform(F.array_sort(F.collect_list(F.struct("_place", F.struct(*columns).alias("job")))), lambda x: x["job"]).alias("jobs")).coalesce(1).write.mode("overwrite").json(path)
 
 
 def without_retired(df: DataFrame, retired: DataFrame, org: str = "org") -> DataFrame:

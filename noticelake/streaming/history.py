@@ -45,11 +45,13 @@ def merge_batches(read: Callable[[], DataFrame], write: Callable[[DataFrame, int
     """For foreachBatch: the published jobs and a batch of new ones become one table of preferred jobs.
 
     read gives the current table and write replaces it by a version named by the batch; a batch that runs twice
-    writes the same version again.
+    writes the same version again: a published job stays before those of the batch, and these are in the order of their content.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
         both = read().withColumn("_age", F.lit(0)).unionByName(batch.withColumn("_age", F.lit(1)), allowMissingColumns=True)
-        write(preferred_jobs(both, "_age").drop("_age"), number)
+        content = F.to_json(F.struct(*[c for c in both.columns if c != "_age"]))
+        both = both.withColumn("_order", F.concat(F.col("_age").cast("string"), F.sha2(content, 256)))
+        write(preferred_jobs(both, "_order").drop("_age", "_order"), number)
 
     return merge
