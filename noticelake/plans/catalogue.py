@@ -460,25 +460,50 @@ _SHAPES = [
 ]
 
 
-@query("q42_attachments")
+@query(
+    "q42_attachments",
+    r"""WITH p AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]+') AS host FROM pages)
+SELECT page_id, 0 AS pos, '첨부 공고문.pdf' AS name, 'pdf' AS type, host || '/f/' || page_id || '.pdf' AS url, 'GET' AS method, '' AS body FROM p WHERE page_id % 3 = 0
+UNION ALL SELECT page_id, 1, '원서', 'hwp', host || '/down/' || page_id || '.hwp', 'GET', '' FROM p WHERE page_id % 3 = 0
+UNION ALL SELECT page_id, 0, '첨부파일', 'unknown', host || '/cmm/fms/FileDown.do?atchFileId=FILE_' || page_id || '&fileSn=1', 'GET', '' FROM p WHERE page_id % 3 = 1
+UNION ALL SELECT page_id, 0, 'action="/file/download.do" method="post"', 'unknown', host || '/file/download.do', 'POST', 'fileId=' || page_id FROM p WHERE page_id % 3 = 2""",
+)
 def q42(spark, d):
     made = F.element_at(F.array(*[F.lit(s) for s in _SHAPES]), (F.col("page_id") % 3 + 1).cast("int"))
     pages = _pages(spark, d).withColumn("html", F.concat(F.replace(made, F.lit("{0}"), F.col("page_id").cast("string")), "html"))
     return attachments.extract_attachments(pages).select("page_id", "pos", "name", "type", "url", "method", "body")
 
 
-@query("q43_record_match")
+@query(
+    "q43_record_match",
+    r"""WITH a AS (SELECT page_id, regexp_extract_all(html, '(?i)<a\b[^>]*href\s*=\s*["'']([^"'']+)["''][^>]*>([\s\S]*?)</a>', 2) AS labels FROM pages),
+    b AS (SELECT page_id, unnest(labels) AS label, generate_subscripts(labels, 1) - 1 AS pos FROM a)
+    SELECT page_id, CAST(pos AS INT) AS pos, CASE WHEN pos % 3 = 2 THEN 'none ' ELSE 'no' END || 'x' || pos || 'x ' || label AS title, CAST(CASE WHEN pos % 3 <> 2 THEN 100 - pos END AS INT) AS rec FROM b WHERE trim(label) <> ''""",
+)
 def q43(spark, d):
+    """Each link's title, with a number that tells it from others, against records in the opposite order; every third title is of no record."""
     rows = page_ops.anchors(_pages(spark, d))
-    candidates = rows.where("pos % 3 <> 2").select("page_id", "pos", "title")
-    records = rows.select("page_id", F.col("pos").alias("rec"), F.concat("title", F.lit(" "), F.col("pos").cast("string")).alias("record"))
+    number = F.concat(F.lit("x"), F.col("pos").cast("string"), F.lit("x "))
+    candidates = rows.select("page_id", "pos", F.concat(F.when(F.col("pos") % 3 == 2, "none ").otherwise("no"), number, "title").alias("title"))
+    records = rows.select("page_id", (100 - F.col("pos")).alias("rec"), F.concat(F.lit("2026-01-02 no"), number, "title", F.lit(" view")).alias("record"))
     return listing.match_records(candidates, records)
 
 
-@query("q44_document_types")
+_HEADS = [("255044462d312e37", "pdf"), ("89504e470d0a1a0a", "png"), ("ffd8ffe0", "jpg"), ("49492a00", "tiff"), ("3c21646f63747970652068746d6c3e", "html"), ("504b0304", None), ("3f20", None)]
+
+
+@query(
+    "q44_document_types",
+    f"""WITH f AS (SELECT doc_id, doc_id % 7 AS head, {documents.TYPES}[doc_id % 12 + 1] AS named FROM documents)
+SELECT doc_id, CASE WHEN head < 5 THEN {[t or '' for _, t in _HEADS]}[head + 1] WHEN named = 'jpeg' THEN 'jpg' ELSE named END AS detected_type,
+  CASE WHEN head < 4 THEN 'magic' WHEN head = 4 THEN 'html-response' ELSE 'filename-or-hint' END AS detection_reason FROM f""",
+)
 def q44(spark, d):
-    heads = F.array(*[F.lit(b) for b in (b"%PDF-1.7", b"\x89PNG\r\n\x1a\n", b"\xff\xd8\xff\xe0", b"II*\x00", b"<!doctype html><html>", b"PK\x03\x04", b"?")])
-    files = _read(spark, d, "documents").select("doc_id", F.element_at(heads, (F.col("doc_id") % 7 + 1).cast("int")).alias("content"), F.lit("").alias("content_type"), F.lit("").alias("disposition"), F.concat(F.lit("https://a.example/f."), F.element_at(F.array(*[F.lit(t) for t in documents.TYPES]), (F.col("doc_id") % 12 + 1).cast("int"))).alias("url"), F.lit("").alias("hinted_type"))
+    """Bytes of all texts behind the heads of formats, two of which tell nothing (one looks zipped but is not)."""
+    head = F.element_at(F.array(*[F.unhex(F.lit(h)) for h, _ in _HEADS]), (F.col("doc_id") % 7 + 1).cast("int"))
+    content = F.concat(head, F.encode(F.coalesce("text", F.lit("")), "utf-8"))
+    named = F.concat(F.lit("https://a.example/f."), F.element_at(F.array(*[F.lit(t) for t in documents.TYPES]), (F.col("doc_id") % 12 + 1).cast("int")))
+    files = _read(spark, d, "documents").select("doc_id", content.alias("content"), F.lit("").alias("content_type"), F.lit("").alias("disposition"), named.alias("url"), F.lit("").alias("hinted_type"))
     return documents.detect_types(files).select("doc_id", "detected_type", "detection_reason")
 
 

@@ -61,14 +61,26 @@ def test_detail_body_prefers_the_title(spark):
         ('<form action="/board/list.do"><input name="fileSeq" value="9"></form><img src="/images/logo/x.png" alt="로고">', []),
     ],
 )
-def test_attachments(html, urls):
-    assert [a["url"] for a in attachments.page_attachments(html, "https://o.kr/bbs/view.do")] == urls
+def test_attachments(spark, html, urls):
+    df = spark.createDataFrame([(1, "https://o.kr/bbs/view.do", html)], "page_id long, url string, html string")
+    assert [r["url"] for r in attachments.extract_attachments(df).orderBy("pos").collect()] == urls
 
 
 def test_attachments_as_rows(spark):
     df = spark.createDataFrame([(1, "https://o.kr/", '<a href="/a.pdf">공고.pdf</a><a href="/a.pdf#p">공고.pdf</a>'), (2, None, None)], "page_id long, url string, html string")
     rows = attachments.extract_attachments(df).collect()
     assert [(r["page_id"], r["type"]) for r in rows] == [(1, "pdf")]
+    many = "".join(f'<img src="/f/{i}.png" alt="첨부 {i}">' for i in range(30)) + '<a href="/z.hwp">원서</a>' + "x" * 500
+    rows = attachments.extract_attachments(spark.createDataFrame([(1, "https://o.kr/", many)], "page_id long, url string, html string")).orderBy("pos").collect()
+    assert [r["pos"] for r in rows] == list(range(24)) and rows[0]["url"] == "https://o.kr/z.hwp" and rows[1]["name"] == "첨부 0"
+
+
+def test_element_surroundings(spark):
+    page = "a" * 600 + "<a href='/x'>l</a>" + "b" * 600
+    row = attachments.elements(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string"), "page_id").first()
+    assert row["around"] == "a" * 450 + "<a href='/x'>l</a>" + "b" * 450
+    row = attachments.elements(spark.createDataFrame([(1, "u", "<a href='/x'>l</a>" + "b" * 600)], "page_id long, url string, html string"), "page_id").first()
+    assert row["around"] == "<a href='/x'>l</a>" + "b" * 450
 
 
 def _zip(**entries):
