@@ -13,6 +13,7 @@ from noticelake.functions.text import cell_lines, evidence
 EXCLUDED, UNKNOWN_EMPLOYMENT = "제외 고용형태", "고용형태 확인 필요"
 HIGH_SCHOOL, DEGREE, UNKNOWN_EDUCATION = "고졸 가능", "고졸 지원 어려움", "학력 확인 필요"
 ULSAN, ELSEWHERE, UNKNOWN_LOCATION = "울산", "울산 외 또는 복수지역", "근무지 확인 필요"
+RECOMMENDED, EXCLUDED_STATUS, REVIEW = "지원 추천", "제외", "확인 필요"
 REGULAR = r"정규직"
 NOT_REGULAR = r"비정규직|정규직\s*전환\s*(?:없음|불가)"
 
@@ -123,7 +124,7 @@ def analyze(postings: DataFrame, structured: Column | None = None) -> DataFrame:
         {
             "review_needed": review,
             "fit_score": F.when(F.col("recommended"), 100).when(F.col("excluded"), 0).otherwise(score),
-            "status": F.when(F.col("recommended"), "지원 추천").when(F.col("excluded"), "제외").otherwise("확인 필요"),
+            "status": F.when(F.col("recommended"), RECOMMENDED).when(F.col("excluded"), EXCLUDED_STATUS).otherwise(REVIEW),
             "evidence": decision_evidence(full),
         }
     ).drop("_excluded", "_places")

@@ -61,6 +61,11 @@ def listing_status(visible: Column, candidates: Column) -> Column:
     return F.when(visible.isNotNull(), F.when(visible == candidates, "exact").when(candidates == 0, "failed").otherwise("partial")).otherwise(F.when(candidates == 0, "empty-or-wrong-page").otherwise("count-unavailable"))
 
 
+def verified_status(status: Column, verified: Column) -> Column:
+    """exact is told apart by whether the records prove it."""
+    return F.when(status == "exact", F.when(verified, "verified-exact").otherwise("count-exact-unverified")).otherwise(status)
+
+
 def counter_reason(visible: Column, rows: Column, unique: Column, candidates: Column) -> Column:
     return (
         F.when(visible.isNull() & (rows == 0) & (candidates > 0), "DOM_COUNT_ZERO")
@@ -101,6 +106,27 @@ def unmatched(rows: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
     return rows.select(*keys).exceptAll(others.select(*keys))
 
 
+def verify_listings(candidates: DataFrame, records: DataFrame, templates: DataFrame) -> DataFrame:
+    """page_id, template, record_count, candidate_count, matched_count, verified and level of each page of templates (page_id, template).
+
+    A list is proved if it has candidates, as many as visible records, and each is of a record of its own (see match_records).
+    """
+    matched = match_records(candidates, records).groupBy("page_id").agg(F.count(F.lit(1)).alias("candidate_count"), F.count("rec").alias("matched_count"))
+    shown = records.groupBy("page_id").agg(F.count(F.lit(1)).alias("record_count"))
+    df = templates.join(matched, "page_id", "left").join(shown, "page_id", "left").fillna(0, ["candidate_count", "matched_count", "record_count"])
+    verified = (F.col("candidate_count") > 0) & (F.col("candidate_count") == F.col("record_count")) & (F.col("matched_count") == F.col("record_count"))
+    level = F.when(verified, F.concat(F.lit("TEMPLATE_"), "template", F.lit("_EXACT"))).otherwise("TEMPLATE_RECORD_MISMATCH")
+    return df.select("page_id", "template", "record_count", "candidate_count", "matched_count", verified.alias("verified"), level.alias("level"))
+
+
+def verification_template(url: Column, html: Column, org: Column, adapters: dict[str, str] | None = None) -> Column:
+    """Which visible records prove a list: the cards of the shared platform, what an adapter says of the organisation, data, else table rows."""
+    out = F.when(url.rlike(r"(?i)job\.alio\.go\.kr"), "ALIO_CARD")
+    for name, template in (adapters or {}).items():
+        out = out.when((org == name) & (html.rlike(r"^\s*\{") if template == "API_CONTENT" else F.lit(True)), template)
+    return out.otherwise("TABLE_RECORD")
+
+
 def missing_counts(rows: DataFrame, found: Column, keys: list[str]) -> DataFrame:
     """How many rows of each key are beyond those that are found, where rows says itself which are: one aggregate, no second reading."""
     counts = rows.groupBy(*keys).agg((F.count(F.lit(1)) - F.count_if(found)).alias("missing"))

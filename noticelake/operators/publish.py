@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from noticelake.functions.dates import is_expired
 from noticelake.functions.text import title_key
+from noticelake.operators.classify import HIGH_SCHOOL, REVIEW
 
 
 def revision_rank(title: Column) -> Column:
@@ -52,6 +53,39 @@ def guard(feed: DataFrame, metrics: DataFrame) -> DataFrame:
     return feed
 
 
+#: Counters of sources that a run's statistics sum up.
+COUNTERS = ("rejected", "detail_failures", "detail_attempted", "detail_validated", "attachments_discovered", "downloads_attempted", "attachments_downloaded", "documents_attempted", "documents_parsed", "vacancies_detected", "vacancies_accepted", "vacancies_rejected")
+
+
+def statistics(jobs: DataFrame, sources: DataFrame, issues: DataFrame, passing: int = 85) -> DataFrame:
+    """One row of a run's published numbers: of jobs, of its sources (ok, degraded, failed and the counters) and of the QA issues.
+
+    A job passes at its own quality_threshold, or at ``passing`` where it has none. Each side is an aggregate that Spark combines before it shuffles.
+    """
+    score = F.coalesce(F.col("quality_score"), F.lit(0))
+    threshold = F.coalesce(F.col("quality_threshold"), F.lit(passing)) if "quality_threshold" in jobs.columns else F.lit(passing)
+    retained = F.count_if("retained") if "retained" in jobs.columns else F.lit(0).cast("long")
+    of_jobs = jobs.agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if("recommended").alias("recommended"),
+        F.count_if(F.col("education") == HIGH_SCHOOL).alias("high_school_suitable"),
+        F.count_if("detail_ok").alias("detail_checked"),
+        F.count_if(F.col("status") == REVIEW).alias("review_needed"),
+        F.count_if(score >= threshold).alias("quality_passed"),
+        F.coalesce(F.floor(F.avg(score) + 0.5), F.lit(0)).cast("long").alias("average_quality_score"),
+        retained.alias("retained_jobs"),
+    )
+    of_sources = sources.agg(
+        F.count(F.lit(1)).alias("source_count"),
+        F.count_if("ok").alias("success"),
+        F.count_if("degraded").alias("degraded_sources"),
+        F.count_if("failed").alias("failed_sources"),
+        *[F.coalesce(F.sum(F.col(c).cast("long")), F.lit(0)).alias(c) for c in COUNTERS],
+    )
+    of_issues = issues.agg(F.count(F.lit(1)).alias("qa_issue_count")).withColumn("qa_passed", F.col("qa_issue_count") == 0)
+    return of_sources.crossJoin(of_jobs).crossJoin(of_issues)  # each side is one row
+
+
 def feed_order(jobs: DataFrame) -> list[Column]:
     """The order of the feed, of the columns that jobs has; an unknown deadline comes last."""
     orders = {"recommended": F.desc("recommended"), "quality_score": F.desc("quality_score"), "fit_score": F.desc("fit_score"), "deadline": F.coalesce(F.nullif(F.col("deadline"), F.lit("")), F.lit("9999-12-31"))}

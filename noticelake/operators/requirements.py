@@ -73,6 +73,32 @@ def eligibility(df: DataFrame, profile: DataFrame) -> DataFrame:
     return df.withColumn("support_status", F.when(degree | lacks, "ineligible").when(F.size("unresolved") > 0, "needs-review").otherwise("eligible-or-no-hard-conflict"))
 
 
+def samples(postings: DataFrame, order: str) -> DataFrame:
+    """One row for each real posting or vacancy of an organisation: sample_key, org, requirements and what backs them, the first by ``order``.
+
+    postings has requirements and the texts they come from. The key is the link, else the vacancy's name, else the title; a row without any
+    text is no sample, and neither is one that only a file's name names. The first of a key comes from a struct's minimum, combined before the shuffle.
+    """
+    filled = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
+    name = F.coalesce(F.nullif(F.col("vacancy_name"), F.lit("")), F.col("title")) if "vacancy_name" in postings.columns else F.col("title")
+    df = postings.withColumns({"from_document": filled("document_text"), "from_detail": filled("detail_text"), "from_list": filled("list_text"), "_name": F.coalesce(name, F.lit(""))})
+    file_only = F.trim("_name").rlike(r"(?i)\.(?:pdf|hwp|hwpx|docx?|xlsx?|zip)$") & ~filled("link")
+    df = df.where((F.col("from_document") | F.col("from_detail") | F.col("from_list")) & ~file_only)
+    df = df.withColumn("sample_key", F.concat_ws("::", "org", F.coalesce(F.nullif(F.col("link"), F.lit("")), F.col("_name"))))
+    kept = ["org", "title", "requirements", "from_document", "from_detail", "from_list"]
+    return df.groupBy("sample_key").agg(F.min_by(F.struct(*kept), order).alias("s")).select("sample_key", "s.*")
+
+
+def category_report(sampled: DataFrame) -> DataFrame:
+    """For each of the eight categories: postings that have it, its items by level, and the institutions in order and number."""
+    item = lambda k: lambda x: F.struct(F.lit(k).alias("category"), x["level"].alias("level"))
+    block = lambda k: F.transform(F.col(f"requirements.{k}.values"), lambda v: F.struct(F.lit(k).alias("category"), F.col(f"requirements.{k}.level").alias("level")))
+    items = F.flatten(F.array(*[F.transform(F.col(f"requirements.{k}"), item(k)) for k in ("licenses", "experience", "major", "identity", "other")], *[block(k) for k in ("education", "location", "employment")]))
+    rows = sampled.select("sample_key", "org", F.explode(items).alias("i")).groupBy("i.category", "sample_key", "org").agg(*[F.count_if(F.col("i.level") == v).alias(v) for v in (REQUIRED, PREFERRED, UNKNOWN)])
+    sums = [F.sum(v).alias(v) for v in (REQUIRED, PREFERRED, UNKNOWN)]
+    return rows.groupBy("category").agg(F.count(F.lit(1)).alias("postings"), *sums, F.array_sort(F.collect_set("org")).alias("institutions")).withColumn("institution_count", F.size("institutions").cast("long"))
+
+
 def category_stats(df: DataFrame) -> DataFrame:
     """For each category: how many items are required, preferred and unknown, and how many institutions name it."""
     kinds = ("licenses", "experience", "major", "identity", "other")

@@ -235,9 +235,10 @@ def q16(spark, d):
     return rows.select("posting_id", "v.id", "v.name", "v.source", "v.confidence")
 
 
-_LINES = f"""{S.POSTINGS}, lines AS (SELECT posting_id, org, unnest(list_filter(list_transform(regexp_split_to_array(concat_ws(chr(10), nullif(title, ''), nullif(list_text, ''), nullif(detail_text, ''), nullif(document_text, '')), '\\r?\\n|。'),
-  lambda x: trim(regexp_replace(x, '[ \\t]+', ' ', 'g'))), lambda x: x <> '')) AS line FROM postings),
+_LINES_OF = f"""lines AS (SELECT posting_id, org, unnest(list_filter(list_transform(regexp_split_to_array(concat_ws(chr(10), nullif(title, ''), nullif(list_text, ''), nullif(detail_text, ''), nullif(document_text, '')), '\\r?\\n|。'),
+  lambda x: trim(regexp_replace(x, '[ \\t]+', ' ', 'g'))), lambda x: x <> '')) AS line FROM {{0}}),
 leveled AS (SELECT *, CASE WHEN {S.has("line", R.PREFERRED_LEVEL)} THEN 'preferred' WHEN {S.has("line", R.REQUIRED_LEVEL)} THEN 'required' ELSE 'unknown' END AS level FROM lines)"""
+_LINES = f"{S.POSTINGS}, {_LINES_OF.replace('{0}', 'postings')}"
 
 
 @query("q17_requirement_lines", f"WITH {_LINES} SELECT posting_id, left(line, 260) AS value, level FROM leveled WHERE {S.has('line', R.LICENSE_LINE)}")
@@ -246,10 +247,11 @@ def q17(spark, d):
     return rows.select("posting_id", "r.value", "r.level")
 
 
-_KINDS = f"""{_LINES}, kinds AS (SELECT 'licenses' AS category, org, level FROM leveled WHERE {S.has("line", R.LICENSE_LINE)}
-  UNION ALL SELECT 'experience', org, CASE WHEN regexp_matches(line, '신입\\s*가능|경력\\s*무관') THEN 'unknown' WHEN regexp_matches(line, '\\d+\\s*년\\s*이상') THEN 'required' ELSE level END FROM leveled WHERE {S.has("line", R.EXPERIENCE_LINE)}
-  UNION ALL SELECT 'major', org, level FROM leveled WHERE {S.has("line", R.MAJOR_LINE)} UNION ALL SELECT 'identity', org, level FROM leveled WHERE {S.has("line", R.IDENTITY_LINE)}
-  UNION ALL SELECT 'other', org, level FROM leveled WHERE {S.has("line", R.OTHER_LINE)})"""
+_KINDS_OF = f"""kinds AS (SELECT 'licenses' AS category, posting_id, org, level FROM leveled WHERE {S.has("line", R.LICENSE_LINE)}
+  UNION ALL SELECT 'experience', posting_id, org, CASE WHEN regexp_matches(line, '신입\\s*가능|경력\\s*무관') THEN 'unknown' WHEN regexp_matches(line, '\\d+\\s*년\\s*이상') THEN 'required' ELSE level END FROM leveled WHERE {S.has("line", R.EXPERIENCE_LINE)}
+  UNION ALL SELECT 'major', posting_id, org, level FROM leveled WHERE {S.has("line", R.MAJOR_LINE)} UNION ALL SELECT 'identity', posting_id, org, level FROM leveled WHERE {S.has("line", R.IDENTITY_LINE)}
+  UNION ALL SELECT 'other', posting_id, org, level FROM leveled WHERE {S.has("line", R.OTHER_LINE)})"""
+_KINDS = f"{_LINES}, {_KINDS_OF}"
 
 
 @query("q18_category_stats", f"WITH {_KINDS} SELECT category, count(*) FILTER (level = 'required') AS required, count(*) FILTER (level = 'preferred') AS preferred, count(*) FILTER (level = 'unknown') AS unknown, count(DISTINCT org) AS institutions FROM kinds GROUP BY 1")
@@ -518,7 +520,7 @@ def q46(spark, d):
     return rows.select("posting_id", _joined("requirements.location.values").alias("places"), _joined("requirements.employment.values").alias("kinds"))
 
 
-@query("q47_vacancy_verdicts")
+@query("q47_vacancy_verdicts", f"WITH {S.of_vacancies(S.ANALYSIS)} SELECT posting_id, vacancy_id AS id, title, employment, education, location, recommended, fit_score FROM analysis")
 def q47(spark, d):
     rows = vacancies.analyze_vacancies(postings(spark, d))
     return rows.select("posting_id", "vacancy.id", "title", "employment", "education", "location", "recommended", "fit_score")
@@ -544,3 +546,115 @@ def q50(spark, d):
     listings = postings(spark, d).select(F.col("posting_id").alias("page_id"), "org", F.lit("https://jobs.example/list.do").alias("url"), cell.alias("html"))
     adapters = listings.select("org").distinct().withColumn("template", F.lit("/view.do?nttId={id}"))
     return candidates.candidates(listings, adapters).select("page_id", "tier", "title", "link")
+
+
+# Runs end to end
+
+_ORGS = "SELECT n_name AS org, length(n_name) % 3 AS state FROM nation"
+
+
+def _sources(spark, d, jobs: DataFrame) -> DataFrame:
+    """Sources in three states by name, with the counters of their postings."""
+    found = {
+        "rejected": F.count_if("excluded"),
+        "detail_failures": F.count_if(~F.col("detail_ok")),
+        "detail_attempted": F.count(F.lit(1)),
+        "detail_validated": F.count_if("detail_ok"),
+        "attachments_discovered": F.sum("documents_read"),
+        "downloads_attempted": F.sum("documents_read"),
+        "attachments_downloaded": F.sum(F.when(F.col("detail_ok"), F.col("documents_read"))),
+        "documents_attempted": F.sum("documents_read"),
+        "documents_parsed": F.count_if("cross.checked"),
+        "vacancies_detected": F.count(F.lit(1)),
+        "vacancies_accepted": F.count_if("recommended"),
+        "vacancies_rejected": F.count_if(~F.col("recommended")),
+    }
+    counters = jobs.groupBy("org").agg(*[c.alias(n) for n, c in found.items()])
+    state = _read(spark, d, "nation").select(F.col("n_name").alias("org"), (F.length("n_name") % 3).alias("state"))
+    return state.join(counters, "org", "left").withColumns({"ok": F.col("state") != 0, "degraded": F.col("state") == 1, "failed": F.col("state") == 0})
+
+
+@query(
+    "q51_statistics",
+    f"""WITH {S.QUALITY}, s AS ({_ORGS}), j AS (SELECT count(*) AS total, count_if(recommended) AS recommended, count_if({S.HIGH}) AS high_school_suitable, count_if(detail_ok) AS detail_checked, count_if(status = '확인 필요') AS review_needed,
+  count_if(quality_score >= 85) AS quality_passed, CAST(floor(avg(quality_score) + 0.5) AS BIGINT) AS average_quality_score, CAST(0 AS BIGINT) AS retained_jobs FROM validated),
+c AS (SELECT count_if(excluded) AS rejected, count_if(NOT detail_ok) AS detail_failures, count(*) AS detail_attempted, count_if(detail_ok) AS detail_validated, CAST(sum(documents_read) AS BIGINT) AS attachments_discovered,
+  CAST(sum(documents_read) AS BIGINT) AS downloads_attempted, CAST(sum(documents_read) FILTER (detail_ok) AS BIGINT) AS attachments_downloaded, CAST(sum(documents_read) AS BIGINT) AS documents_attempted, count_if(checked) AS documents_parsed,
+  count(*) AS vacancies_detected, count_if(recommended) AS vacancies_accepted, count_if(NOT recommended) AS vacancies_rejected FROM validated),
+o AS (SELECT count(*) AS source_count, count_if(state <> 0) AS success, count_if(state = 1) AS degraded_sources, count_if(state = 0) AS failed_sources FROM s),
+i AS (SELECT (SELECT coalesce(sum(len(errors)), 0) FROM validated) + (SELECT count(*) FROM (SELECT 1 FROM validated QUALIFY row_number() OVER (PARTITION BY {_JOB_KEY} ORDER BY posting_id) > 1)) AS n)
+SELECT o.*, j.*, c.*, CAST(n AS BIGINT) AS qa_issue_count, n = 0 AS qa_passed FROM o, j, c, i""",
+)
+def q51(spark, d):
+    jobs = _scored(spark, d)
+    return publish.statistics(jobs, _sources(spark, d, jobs), quality.collection_issues(jobs, "posting_id"))
+
+
+_VALUES = " UNION ALL ".join(
+    f"SELECT '{category}', posting_id, org, CASE WHEN {needed} THEN 'required' ELSE 'unknown' END FROM (SELECT *, unnest({values}) AS v FROM whole)"
+    for category, values, needed in (
+        ("location", f"list_filter({R.LOCATION_VALUES}, lambda v: contains(t, v))", S.has("t", "근무지|근무지역|근무장소|근무예정지|배치예정지")),
+        ("employment", f"list_filter({R.EMPLOYMENT_VALUES}, lambda v: contains(t, v))", S.has("t", r"(채용|고용|근로)\s*(형태|유형|구분)|정규직|무기계약직|공무직|기간제|계약직|인턴")),
+    )
+)
+_EDUCATION = " UNION ALL ".join(f"SELECT DISTINCT 'education', posting_id, org, 'required', '{v}' AS v FROM lines WHERE {S.has('line', p)}" for v, p in R.EDUCATION_VALUES)
+
+
+@query(
+    "q52_requirement_report",
+    f"""WITH {S.POSTINGS}, sampled AS (SELECT * FROM postings QUALIFY row_number() OVER (PARTITION BY org, CASE WHEN link <> '' THEN link ELSE title END ORDER BY posting_id) = 1),
+{_LINES_OF.replace('{0}', 'sampled')}, {_KINDS_OF}, whole AS (SELECT posting_id, org, concat_ws(chr(10), nullif(title, ''), nullif(list_text, ''), nullif(detail_text, ''), nullif(document_text, '')) AS t FROM sampled),
+everything AS (SELECT category, posting_id, org, level FROM kinds UNION ALL {_VALUES} UNION ALL SELECT 'education', posting_id, org, 'required' FROM ({_EDUCATION}))
+SELECT category, count(DISTINCT posting_id) AS postings, count_if(level = 'required') AS required, count_if(level = 'preferred') AS preferred, count_if(level = 'unknown') AS unknown,
+  array_to_string(list_sort(list_distinct(list(org))), ';') AS institutions, count(DISTINCT org) AS institution_count FROM everything GROUP BY 1""",
+)
+def q52(spark, d):
+    sampled = requirements.samples(requirements.with_requirements(postings(spark, d)), "posting_id")
+    return requirements.category_report(sampled).withColumn("institutions", _joined("institutions"))
+
+
+@query(
+    "q53_list_verification",
+    r"""WITH a AS (SELECT page_id, regexp_extract_all(html, '(?i)<a\b[^>]*href\s*=\s*["'']([^"'']+)["''][^>]*>([\s\S]*?)</a>', 2) AS labels FROM pages),
+    b AS (SELECT page_id, unnest(labels) AS label, generate_subscripts(labels, 1) - 1 AS pos FROM a),
+    c AS (SELECT page_id, count(*) AS n, count_if(pos = 1) AS second FROM b WHERE trim(label) <> '' GROUP BY 1),
+    d AS (SELECT p.page_id, coalesce(n, 0) AS record_count, coalesce(n, 0) - CASE WHEN p.page_id % 4 = 1 THEN coalesce(second, 0) ELSE 0 END AS candidate_count, coalesce(second, 0) AS second FROM pages p LEFT JOIN c USING (page_id)),
+    e AS (SELECT *, candidate_count - CASE WHEN page_id % 4 = 2 THEN second ELSE 0 END AS matched_count FROM d),
+    f AS (SELECT *, candidate_count > 0 AND candidate_count = record_count AND matched_count = record_count AS verified FROM e)
+    SELECT page_id, 'TABLE_RECORD' AS template, record_count, candidate_count, matched_count, verified, CASE WHEN verified THEN 'TEMPLATE_TABLE_RECORD_EXACT' ELSE 'TEMPLATE_RECORD_MISMATCH' END AS level,
+      CASE WHEN candidate_count = record_count THEN CASE WHEN verified THEN 'verified-exact' ELSE 'count-exact-unverified' END WHEN candidate_count = 0 THEN 'failed' ELSE 'partial' END AS status FROM f""",
+)
+def q53(spark, d):
+    """The links of each page as records; of pages 4n + 1 the second candidate is missing, of pages 4n + 2 it says something else."""
+    pages = _pages(spark, d)
+    rows = page_ops.anchors(pages)
+    number = F.concat(F.lit("nox"), F.col("pos").cast("string"), F.lit("x "))
+    records = rows.select("page_id", F.col("pos").alias("rec"), F.concat(number, "title", F.lit(" 2026.01.02")).alias("record"))
+    other = (F.col("page_id") % 4 == 2) & (F.col("pos") == 1)
+    shown = rows.where(~((F.col("page_id") % 4 == 1) & (F.col("pos") == 1)))
+    shown = shown.select("page_id", "pos", F.concat(F.when(other, "none ").otherwise(""), number, "title").alias("title"))
+    template = listing.verification_template(F.col("url"), F.col("html"), F.lit(""))
+    got = listing.verify_listings(shown, records, pages.select("page_id", template.alias("template")))
+    status = listing.verified_status(listing.listing_status(F.col("record_count"), F.col("candidate_count")), F.col("verified"))
+    return got.withColumn("status", status)
+
+
+@query(
+    "q54_published_feed",
+    f"""WITH {S.of_vacancies(S.QUALITY)}, whole AS (SELECT *, len(errors) + CASE WHEN vacancy_count > 1 AND vacancy_name = '' THEN 1 ELSE 0 END AS n_errors FROM validated WHERE link <> '' AND NOT (deadline <> '' AND deadline < '{S.AS_OF}')),
+best AS (SELECT * FROM whole WHERE n_errors = 0 QUALIFY row_number() OVER (PARTITION BY org, {S.title_key("title")}, vacancy_name ORDER BY {S.REVISION} DESC, deadline DESC, detail_ok DESC, fit_score DESC, posting_id, vacancy_id) = 1)
+SELECT posting_id, vacancy_id, org, title, status, quality_score, fit_score, deadline FROM best ORDER BY recommended DESC, quality_score DESC, fit_score DESC, CASE WHEN deadline = '' THEN '9999-12-31' ELSE deadline END, posting_id, vacancy_id LIMIT 200""",
+)
+def q54(spark, d):
+    """From listing pages to the feed: candidates, their details, the vacancies of each, quality, the QA gate, preferred jobs, order and limit."""
+    notices = postings(spark, d)
+    row = F.concat(F.lit("<table><tr><td>"), F.col("posting_id").cast("string"), F.lit("</td><td><a href='"), F.col("link"), F.lit("'>"), "title", F.lit(" 채용</a></td><td>2026.01.02</td></tr></table>"))
+    listings = notices.where("link <> ''").select(F.col("posting_id").alias("page_id"), "org", F.lit("https://jobs.example/list.do").alias("url"), row.alias("html"))
+    found = candidates.candidates(listings).select(F.col("page_id").alias("posting_id"))
+    jobs = vacancies.analyze_vacancies(notices.join(found, "posting_id", "left_semi")).withColumn("vacancy_id", F.col("vacancy.id"))
+    jobs = jobs.withColumn("deadline", extract_deadline(F.col("detail_text"), S.YEAR)).withColumn("splitter_version", F.lit(vacancies.VERSION))
+    jobs = quality.validate(quality.score_quality(jobs)).where("valid").where(~is_expired(F.col("deadline"), _as_of()))
+    kept = ["posting_id", "vacancy_id", "vacancy_name", "org", "title", "status", "recommended", "quality_score", "fit_score", "deadline", "detail_ok"]
+    jobs = jobs.select(*kept, F.struct("posting_id", "vacancy_id").alias("order"))
+    best = publish.ranked_feed(publish.preferred_jobs(jobs, "order"), "order")
+    return best.select("posting_id", "vacancy_id", "org", "title", "status", "quality_score", "fit_score", "deadline")
