@@ -44,8 +44,8 @@ def grams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     code = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
     owner = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) for t in lowered])
     letter = letters()[code]
-    keep = letter.copy()  # of each run of other characters one stays
-    keep[1:] |= letter[:-1]
+    keep = letter.copy()  # of each run of other characters in a text one stays
+    keep[1:] |= letter[:-1] | (owner[1:] != owner[:-1])
     keep[:1] = True
     code, owner, letter = np.where(letter, code, 32).astype(np.uint64)[keep], owner[keep], letter[keep]
     for n in ORDERS:

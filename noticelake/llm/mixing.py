@@ -13,6 +13,8 @@ DOMAINS = {"reference": ["src1", "src2", "src3", "src4"], "forum": ["src5", "src
 DOMAIN_WEIGHTS = {"web": 6, "reference": 3, "forum": 3}
 LANGUAGE_WEIGHTS = {"en": 6, "de": 2, "fr": 2, "es": 2}
 LEVELS = ("domain", "language", "source")
+#: A range of so many documents is put in order by itself.
+SMALL = 250
 SEED = "mix-1"
 
 
@@ -69,9 +71,14 @@ def plan(slim: DataFrame, fraction: float, max_epochs: int, weights: list, seed:
     """For each leaf its budget, whole epochs and, of the epoch after these, the last place that the budget takes.
 
     slim has doc_id, the leaf and tokens of each document. The last epoch's prefix is found from the tokens in
-    each of 4096 ranges of places and then within the one range of each leaf where its budget ends.
+    each of 256 ranges of places, then in each of 256 parts of the one range of each leaf where its budget ends, and so on until
+    such ranges are small. A leaf of which a weight is 0 can take nothing.
     """
-    leaves = checkpoint(slim.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens")).withColumn("capacity", F.col("tokens") * max_epochs))
+    positive = F.lit(True)
+    for level, w in zip(LEVELS, weights, strict=True):
+        positive = positive & (_weight(level, w) > 0)
+    leaves = slim.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens"))
+    leaves = checkpoint(leaves.withColumn("capacity", F.when(positive, F.col("tokens") * max_epochs).otherwise(0)))
     total = leaves.agg(F.sum("tokens")).first()[0] or 0
     budgets = None
     for depth in range(len(LEVELS)):
@@ -80,11 +87,18 @@ def plan(slim: DataFrame, fraction: float, max_epochs: int, weights: list, seed:
     budgets = budgets.withColumn("epochs", F.when(F.col("total") > 0, F.floor(F.col("budget") / F.col("total"))).otherwise(0).cast("long"))
     budgets = checkpoint(budgets.withColumn("rest", F.col("budget") - F.col("epochs") * F.col("total")))
     placed = join_sized(slim, budgets.where(F.col("rest") > 0), list(LEVELS), "inner").withColumn("place", _order(F.col("doc_id"), F.col("epochs"), seed))
-    placed = checkpoint(placed.select(*LEVELS, "rest", "tokens", "place").withColumn("range", F.substring("place", 1, 3)))
-    ranges = placed.groupBy(*LEVELS, "rest", "range").agg(F.sum("tokens").alias("n"))
-    up_to = F.sum("n").over(Window.partitionBy(*LEVELS).orderBy("range"))
-    cut = ranges.withColumn("before", up_to - F.col("n")).where((F.col("before") < F.col("rest")) & (F.col("rest") <= F.col("before") + F.col("n"))).select(*LEVELS, "range", "before")
-    inside = placed.join(cut, [*LEVELS, "range"]).groupBy(*LEVELS, "rest", "before", "place").agg(F.sum("tokens").alias("n"))
+    placed = checkpoint(placed.select(*LEVELS, "rest", "tokens", "place").withColumn("before", F.lit(0).cast("long")))
+    for digits in range(2, 33, 2):
+        up_to = F.sum("n").over(Window.partitionBy(*LEVELS).orderBy("range"))
+        ranges = placed.groupBy(*LEVELS, "rest", "before", F.substring("place", 1, digits).alias("range")).agg(F.sum("tokens").alias("n"), F.count(F.lit(1)).alias("docs"))
+        ranges = ranges.withColumn("start", F.col("before") + up_to - F.col("n"))
+        cut = checkpoint(ranges.where((F.col("start") < F.col("rest")) & (F.col("rest") <= F.col("start") + F.col("n"))).select(*LEVELS, "range", "start", "docs"))
+        inside = join_sized(placed.withColumn("range", F.substring("place", 1, digits)), cut, [*LEVELS, "range"], "inner")
+        placed = inside.select(*LEVELS, "rest", "tokens", "place", F.col("start").alias("before"))
+        if (cut.agg(F.max("docs")).first()[0] or 0) <= SMALL:
+            break
+        placed = checkpoint(placed)
+    inside = placed.groupBy(*LEVELS, "rest", "before", "place").agg(F.sum("tokens").alias("n"))
     sofar = F.sum("n").over(Window.partitionBy(*LEVELS).orderBy("place"))
     last = inside.withColumn("start", F.col("before") + sofar - F.col("n")).where(F.col("start") < F.col("rest")).groupBy(*LEVELS).agg(F.max("place").alias("last"))
     return checkpoint(budgets.join(last, list(LEVELS), "left").select(*LEVELS, "budget", "epochs", "last"))

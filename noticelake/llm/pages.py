@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticelake.llm.common import slices
+from noticelake.llm.common import checkpoint, slices
 
 #: Tags that part no blocks, tags without an end, tags that are taken for boilerplate until pages tell, tags whose content is not markup.
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q ruby rb rt rp s samp small span strike strong sub sup time tt u var wbr".split())
@@ -199,6 +199,7 @@ def learn(pages: DataFrame) -> Weights:
     """Weights from all labelled pages; a name that hardly any of them has keeps its prior."""
     rows = pages.where(F.col("html").isNotNull()).select("html").mapInArrow(_count, COUNTED)
     sums = rows.groupBy("key").agg(*[F.sum(F.when(F.col("inside") == side, F.col(c))).alias(f"{c}_{name}") for c in ("words", "tags") for side, name in ((True, "in"), (False, "out"))], F.sum("pages").alias("pages"))
+    sums = checkpoint(sums)  # one pass over the pages
     labelled = sums.where(F.col("key").isNull()).first()
     out = Weights()
     if labelled:

@@ -134,6 +134,25 @@ def _mixture(rows, domains, dw, lw, seed, epochs=4):
     return Counter(out)
 
 
+def test_nothing_goes_where_a_weight_is_zero(spark):
+    rows = [(i, "w " * 10, "en", f"src{i % 2}") for i in range(60)]
+    df = spark.createDataFrame([(*r, 1) for r in rows], TABLE)
+    taken = lambda **w: {r["mix_domain"]: r["n"] for r in mixing.mix(df, **w).groupBy("mix_domain").agg(F.sum("mix_copies").alias("n")).collect()}
+    assert taken(domain_weights={"web": 0, "reference": 0}) == {"web": 0, "reference": 0}
+    assert taken(domain_weights={"web": 0}, fraction=0.5) == {"web": 0, "reference": 30}
+    assert taken(domain_weights={"web": 0}, max_epochs=1) == {"web": 0, "reference": 30}
+    assert set(taken(language_weights={"en": 0}).values()) == {0}
+
+
+def test_prefix_of_a_large_leaf(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SMALL", 2)  # ranges of ranges
+    rng = random.Random(4)
+    rows = [(i, " ".join(["w"] * rng.randrange(1, 9)), "en", rng.choice(["src0", "src1"])) for i in range(3000)]
+    df = spark.createDataFrame([(*r, 1) for r in rows], TABLE)
+    got = Counter((r["doc_id"], r["tokens"], r["copies"]) for r in mixing.mixture(df).collect())
+    assert got == _mixture(rows, mixing.DOMAINS, mixing.DOMAIN_WEIGHTS, mixing.LANGUAGE_WEIGHTS, mixing.SEED)
+
+
 def test_mixing_against_brute_force(spark):
     rng = random.Random(3)
     rows = [(i, " ".join(["w"] * rng.randrange(30)), rng.choice(["en", "en", "en", "de", None]), rng.choice(["src0"] * 6 + ["src1", "src5", "src7", None])) for i in range(800)]

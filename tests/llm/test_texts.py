@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -10,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from noticelake.llm import fingerprints, langid, packing, pages, quality
+from noticelake.llm import fingerprints, langid, packing, pages, quality, simjoin
 
 TABLE = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -78,6 +79,32 @@ def test_pieces(spark):
     assert packing.pack_documents(docs(spark, rows).limit(0)).count() == 0
 
 
+def test_contexts_and_step_groups(spark):
+    rng = random.Random(7)
+    rows = [(i, " ".join(["alpha"] * rng.randrange(1, 4000)), "en") for i in range(80)]
+    got = packing.pack_documents(docs(spark, rows).coalesce(1)).toPandas()
+    windows = got.groupby(["context", "step_group", "sequence_id"])["length"].sum().reset_index()
+    assert set(windows["context"]) <= set(packing.TIERS) and (windows["length"] <= windows["context"]).all()
+    assert (windows["length"] < windows["context"]).sum() <= 1
+    groups = windows.groupby(["context", "step_group"]).size().reset_index(name="n")
+    assert groups["step_group"].is_unique
+    full = groups["n"] * groups["context"] == 1 << 16
+    assert (~full).groupby(groups["context"]).sum().max() <= 1  # of each context the last group is open
+
+
+def test_long_texts_come_out_as_they_are():
+    long = "Wort für Wort, " * 150_000
+    enc = packing.encoder(packing.default_tokenizer())
+    assert (enc.encode(long) == np.concatenate([enc._encode("Wort für Wort,")] * 150_000)).all()
+    exact = sum(len(k) for k, _ in langid.grams([long]))
+    assert sum(len(k) for lot in langid._windows([long]) for k, _ in langid.grams(lot)) == exact
+    rng = random.Random(1)
+    words = [f"w{rng.randrange(50)}" for _ in range(400_000)]
+    assert len(simjoin.shingles([" ".join(words)])[0]) == len({tuple(words[i : i + 5]) for i in range(len(words) - 4)})
+    marked = quality.START * (quality.ORDER - 1) + long + quality.END
+    assert sum(len(at) for _, at, _ in quality._windows([long])) == len(marked) - quality.ORDER + 1
+
+
 # Pages
 
 PAGE = """<!DOCTYPE html><html><head><title>t</title><script>var a="<p>no</p>";</script></head><body><nav><ul><li><a href="/">Home</a></li></ul></nav>
@@ -168,6 +195,70 @@ def _lcs(x, y):
     return row[-1]
 
 
+def _by_hand(data):
+    """The fingerprint in plain loops."""
+    n, sizes = len(data), []
+    if not n:
+        return "3::"
+    block = 3
+    while block * 64 < n:
+        block *= 2
+    piece = 4 * block
+    rolled = []
+    for i in range(n):
+        window = [(k, data[i - k]) for k in range(min(7, i + 1))]
+        mixed = 0
+        for k, b in window:
+            mixed ^= (b << 5 * k) & 0xFFFFFFFF
+        rolled.append((sum(b * (8 - k) for k, b in window) + mixed) & 0xFFFFFFFF)
+
+    def chunks(size, piece):
+        out, start = [], 0
+        for i in range(n):
+            if rolled[i] % size == size - 1 or i == n - 1:
+                while i + 1 - start > piece:
+                    out.append((start, start + piece))
+                    start += piece
+                out.append((start, i + 1))
+                start = i + 1
+        return out
+
+    while len(chunks(block, piece)) > 64:
+        block *= 2
+    while block > 3 and len(chunks(block, piece)) < 32 and len(chunks(block // 2, piece)) <= 64:
+        block //= 2
+    for size, long in ((block, piece), (2 * block, 2 * piece)):
+        text = ""
+        for a, b in chunks(size, long):
+            h = sum((data[i] + 1) * pow(0x9E3779B97F4A7C15, i - a, 1 << 64) for i in range(a, b)) % (1 << 64)
+            h ^= h >> 29
+            text += "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"[(h * 0xBF58476D1CE4E5B9 % (1 << 64)) >> 58]
+        sizes.append(text)
+    return f"{block}:{sizes[0]}:{sizes[1]}"
+
+
+def test_fingerprint_against_plain_loops(monkeypatch):
+    rng = random.Random(2)
+    texts = [b"", b"a", b"ab" * 40, b"x" * 900, *(bytes(rng.choice(b"abc de\n") for _ in range(n)) for n in (5, 63, 400, 1500)), "é日本 ".encode() * 90]
+    for t in texts:
+        assert fingerprints.fingerprint(t) == _by_hand(t)
+    monkeypatch.setattr(fingerprints, "BLOCK", 50)  # many blocks
+    monkeypatch.setattr(fingerprints, "_POWERS", [])
+    for t in texts:
+        assert fingerprints.fingerprint(t) == _by_hand(t)
+
+
+def test_a_doc_id_of_most_rows(spark):
+    rng = random.Random(9)
+    text = lambda: "".join(rng.choice("abcdef ") for _ in range(60))
+    rows = [(5, text(), "en") for _ in range(300)] + [(i, text(), "en") for i in range(40)]
+    got = fingerprints.fingerprint_documents(docs(spark, rows))
+    assert got.rdd.glom().map(len).max() < 300 and got.count() == len(rows)
+    shas = Counter(r["edited_sha256"] for r in got.collect())
+    before = Counter(hashlib.sha256((t[:30] + n[:30]).encode()).hexdigest() for t, n in [(a, b) for _, a, _ in rows for _, b, _ in rows])
+    assert len(shas) == len(rows) and not shas - before
+
+
 def test_likeness_is_edit_distance():
     rng = random.Random(4)
     pairs = []
@@ -255,6 +346,40 @@ def test_gibberish_and_mixed_texts_are_rejected(spark):
     assert len(kept) >= 0.98 * len(rows)
 
 
+def test_shares_against_sets(spark):
+    rng = random.Random(21)
+    rows = [(i, prose(rng, lang, rng.randrange(1, 30)), lang) for i, lang in enumerate(rng.choice(list(WORDS)) for _ in range(150))]
+    filters = langid.learn(docs(spark, rows))
+    assert filters.masks.shape[1] == 1 << 16 and filters.languages == sorted(WORDS)
+
+    def named(text):
+        out = Counter()
+        for word in "".join(c if c.isalpha() else " " for c in text.lower()).split():
+            word = f" {word} "
+            out.update((n, word[i : i + n]) for n in langid.ORDERS for i in range(len(word) - n + 1))
+        return out
+
+    held = {lang: Counter() for lang in filters.languages}
+    for _, t, lang in rows:
+        held[lang].update(named(t))
+    share = {g: {lang: c[g] / sum(c.values()) for lang, c in held.items() if g in c} for g in set().union(*held.values())}
+    known = {lang: {g for g, s in share.items() if s.get(lang, 0) >= 0.2 * max(s.values()) and lang in s} for lang in held}
+    texts = [prose(rng, lang, 25) for lang in WORDS for _ in range(10)] + ["", "12", "zzz qqq"]
+    total, shares = filters.shares(texts)
+    for t, n, got in zip(texts, total, shares, strict=True):
+        want = named(t)
+        assert n == sum(want.values())
+        for lang, x in zip(filters.languages, got, strict=True):
+            assert abs(x - sum(c for g, c in want.items() if g in known[lang]) / max(sum(want.values()), 1)) < 0.03
+
+
+def test_filter_size_follows_the_data():
+    assert langid.filter_size(1000) == 1 << 16 and langid.filter_size(200_000) == 1 << 22
+    assert langid.filter_size(3_000_000) == langid.MOST_SLOTS
+    with pytest.raises(ValueError, match="slots"):
+        langid.filter_size(50_000_000)
+
+
 def test_filter_shares_are_corrected():
     keys = np.random.default_rng(1).integers(1, 2**63, 3000, np.uint64)
     masks = np.zeros((2, 4096), np.uint64)
