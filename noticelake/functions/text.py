@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The only named references that are decoded; the ampersand comes last so that nothing is decoded twice.
 NAMED = [("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "), ("&amp;", "&")]
@@ -98,3 +102,40 @@ def context_lines(c: Column) -> Column:
 def evidence(lines: Column, pattern: str, limit: int, chars: int) -> Column:
     """The first lines that the pattern is in, cut to a length; equal ones among these count once."""
     return F.array_distinct(F.transform(F.slice(F.filter(lines, lambda x: x.rlike(pattern)), 1, limit), lambda x: F.left(x, F.lit(chars))))
+
+
+def compact(c: Column, most: int = 18_000) -> Column:
+    return F.left(F.replace(c, F.lit("\u0000"), F.lit("")), F.lit(most))
+
+
+@F.pandas_udf(T.StringType())
+def composed(c: pd.Series) -> pd.Series:
+    """Unicode's canonical composition, which Spark has no function for."""
+    return c.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
+
+
+@F.pandas_udf(T.StringType())
+def compatible(c: pd.Series) -> pd.Series:
+    """Unicode's compatibility composition."""
+    return c.map(lambda x: unicodedata.normalize("NFKC", x), na_action="ignore")
+
+
+def canonical_org(c: Column) -> Column:
+    return F.trim(F.regexp_replace(composed(F.coalesce(F.nullif(c, F.lit("")), F.lit("unknown"))), r"[\s_-]+", " "))
+
+
+def slug(c: Column) -> Column:
+    """A name of letters, digits and Hangul, at most 80 long."""
+    bare = F.regexp_replace(F.regexp_replace(canonical_org(c), r"[^a-zA-Z0-9가-힣]+", "_"), r"^_+|_+$", "")
+    return F.coalesce(F.nullif(F.left(bare, F.lit(80)), F.lit("")), F.lit("unknown"))
+
+
+def safe_name(c: Column) -> Column:
+    """A name that file systems take, at most 100 long."""
+    bare = F.regexp_replace(F.regexp_replace(c, r"[\\/:*?\"<>|]", "_"), r"\s+", "_")
+    return F.coalesce(F.nullif(F.left(bare, F.lit(100)), F.lit("")), F.lit("unknown"))
+
+
+def diagnostic_name(c: Column) -> Column:
+    """Letters and digits of any script, the rest as _, at most 120 long."""
+    return F.left(F.regexp_replace(compatible(F.coalesce(c, F.lit(""))), r"[^\p{L}\p{N}]+", "_"), F.lit(120))

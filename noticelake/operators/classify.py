@@ -138,3 +138,13 @@ def legacy_analyze(postings: DataFrame, deadline: Column, as_of: str) -> DataFra
     score = F.when(eligibility == HIGH_SCHOOL, 100).when(eligibility == DEGREE, 0).otherwise(30)
     score = score + F.when(text.rlike("울산"), 15).otherwise(0) + F.when(R.any_of(text, R.ALLOWED_EMPLOYMENT), 10).otherwise(0)
     return postings.withColumns({"legacy_eligibility": eligibility, "legacy_score": F.least(F.greatest(score, F.lit(0)), F.lit(100)), "legacy_open": (deadline != "") & (deadline >= as_of)})
+
+
+def target_job(postings: DataFrame, deadline: Column, as_of: str) -> DataFrame:
+    """Adds target and target_reasons, the rules of the oldest gate that a posting breaks: nine, over title and detail together."""
+    both = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("detail_text", F.lit("")))
+    broken = [(R.any_of(F.col("_both"), patterns), name) for name, patterns in R.TARGET_EXCLUDED.items()]
+    broken += [(~F.col("_both").rlike(pattern), f"no {name}") for name, pattern in R.TARGET_REQUIRED.items()]
+    broken += [(~((F.coalesce(deadline, F.lit("")) != "") & (deadline >= as_of)), "not open")]
+    df = postings.withColumn("_both", both).withColumn("target_reasons", R.reasons(*broken)).drop("_both")
+    return df.withColumn("target", F.size("target_reasons") == 0)

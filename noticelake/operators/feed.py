@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticelake.functions.dates import days_left
-from noticelake.operators.classify import HIGH_SCHOOL
+from noticelake.operators.classify import DEGREE, HIGH_SCHOOL
 from noticelake.operators.quality import job_key
 
 
@@ -61,3 +61,21 @@ def expected_institutions(institutions: DataFrame, month: int) -> DataFrame:
 
 def find_institutions(institutions: DataFrame, q: str) -> DataFrame:
     return institutions.where(F.lower("name").contains(q.lower()))
+
+
+def summary_lines(flagged: DataFrame) -> DataFrame:
+    """Adds summary, at most four lines on a flagged job: two reasons of its quality, then school, place, employment and deadline."""
+    reasons = F.slice(F.coalesce("quality_reasons", F.array().cast("array<string>")), 1, 2) if "quality_reasons" in flagged.columns else F.array().cast("array<string>")
+    deadline = F.coalesce(F.col("deadline"), F.lit(""))
+    school = F.when(F.col("fit"), "고졸 또는 학력무관 문구가 확인됐습니다.").when(F.col("education") == DEGREE, "대졸 이상 조건이 확인됐습니다.").otherwise("학력 조건은 원문 확인이 필요합니다.")
+    until = F.when(deadline != "", F.concat(F.lit("마감일은 "), deadline, F.lit("입니다."))).otherwise("마감일은 원문에서 확인해야 합니다.")
+    lines = F.array(school, F.when(F.col("ulsan"), "울산 근무 관련 키워드가 포함돼 있습니다."), F.when(F.col("regular"), F.concat("employment", F.lit(" 공고입니다."))), until)
+    return flagged.withColumn("summary", F.slice(F.concat(reasons, F.array_compact(lines)), 1, 4))
+
+
+def deadline_label(days: Column, deadline: Column) -> Column:
+    return F.when(days.isNull(), "마감 확인").when(days == 0, "오늘 마감").when(days == 1, "D-1").when((days > 1) & (days <= 3), F.concat(F.lit("D-"), days.cast("string"))).otherwise(deadline)
+
+
+def top_recommended(flagged: DataFrame, order: list, most: int = 5) -> DataFrame:
+    return flagged.where(F.col("fit") & F.col("ulsan") & F.col("regular")).orderBy(*order).limit(most)

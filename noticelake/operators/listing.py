@@ -16,6 +16,20 @@ def valid_title(title: Column) -> Column:
     return F.coalesce(gate & ~R.any_of(title, [*R.NON_JOB, *R.EXCLUDED_EMPLOYMENT, *R.LICENSE_JOB]), F.lit(False))
 
 
+def recruitment_title(title: Column) -> Column:
+    """The older title gate: 7 to 180 characters, a sign of recruitment and none of other notices."""
+    return F.coalesce(F.length(title).between(7, 180) & ~R.any_of(title, R.LEGACY_EXCLUDE) & R.any_of(title, R.LEGACY_RECRUITMENT), F.lit(False))
+
+
+def recruit_detail_url(url: Column) -> Column:
+    return url.rlike("(?i)recruit") & ~url.rlike("(?i)" + R.fused(R.FILE_URL))
+
+
+def detail_failures(reason_counts: DataFrame) -> DataFrame:
+    """For each source the rejections (org, reason, n) whose reason is a failed detail page."""
+    return reason_counts.groupBy("org").agg(F.sum(F.when(F.col("reason").rlike(R.DETAIL_FAILURE), F.col("n")).otherwise(0)).alias("detail_failures"))
+
+
 def select_candidates(candidates: DataFrame) -> DataFrame:
     """Adds reasons, signals and accepted (no reasons); rejected rows stay, so accepted and rejected make up the input."""
     title, text = squash(F.coalesce("title", F.lit(""))), squash(F.coalesce("list_text", F.lit("")))

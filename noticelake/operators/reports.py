@@ -65,6 +65,31 @@ def funnel(stages: DataFrame) -> DataFrame:
     return rows.withColumn("ratio", F.when(F.col("of") == 0, 0.0).otherwise(F.round(F.col("n") / F.col("of"), 6)))
 
 
+def merge_stages(probe: DataFrame, collector: DataFrame) -> DataFrame:
+    """The probe's stage rows with download and analysis from what the collector counted for the same organisation.
+
+    probe: org, access, list, detail, discovery, download, analysis and nothing_to_read (no posts, or none with attachments); collector:
+    org, downloads_attempted, attachments_downloaded, documents_attempted, documents_parsed. Where nothing is to be read both stages are
+    not required; where the collector tried, its counts decide; else the probe's own result stays.
+    """
+    df = probe.join(collector, "org", "left")
+
+    def stage(own: str, tried: str, done: str) -> Column:
+        n, good = F.coalesce(tried, F.lit(0)), F.coalesce(done, F.lit(0))
+        made = lambda ok, status, mode: F.struct(ok.alias("ok"), status.alias("status"), n.alias("attempted"), good.alias("succeeded"), F.lit(mode).alias("mode"))
+        counted = F.when(good == n, "success").when(good > 0, "partial").otherwise("failed")
+        probed = F.when(F.col(own).isNull(), "not-attempted").when(F.col(own), "success").otherwise("failed")
+        idle = F.struct(F.lit(True).alias("ok"), F.lit("not-required").alias("status"), F.lit(0).cast("long").alias("attempted"), F.lit(0).cast("long").alias("succeeded"), F.lit("not-required").alias("mode"))
+        return F.when(F.coalesce("nothing_to_read", F.lit(False)), idle).when(n > 0, made(good == n, counted, "collector")).otherwise(made(F.coalesce(own, F.lit(False)), probed, "probe"))
+
+    df = df.withColumns({"download": stage("download", "downloads_attempted", "attachments_downloaded"), "analysis": stage("analysis", "documents_attempted", "documents_parsed")})
+    found, read, parsed = F.coalesce("discovery", F.lit(False)), F.col("download.ok"), F.col("analysis.ok")
+    done = F.coalesce("access", F.lit(False)) & F.coalesce("list", F.lit(False)) & F.coalesce("detail", F.lit(False)) & found & read & parsed
+    bottleneck = F.when(done, F.when(F.coalesce("nothing_to_read", F.lit(False)), "전체 파이프라인 통과 · 첨부/문서분석 대상 없음").otherwise("전체 파이프라인 통과"))
+    bottleneck = bottleneck.when(F.coalesce("detail", F.lit(False)) & ~found, "첨부 발견/추출").when(found & ~read, "첨부 다운로드").when(read & ~parsed, "문서 분석").otherwise("")
+    return df.select("org", "access", "list", "detail", "discovery", "download", "analysis", bottleneck.alias("bottleneck"))
+
+
 def access_summary(attempts: DataFrame) -> DataFrame:
     """For each organisation of an attempt table (org, ok, error): code of its access."""
     e = F.coalesce(F.col("error"), F.lit(""))

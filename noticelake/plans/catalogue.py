@@ -11,7 +11,7 @@ from noticelake.functions import rules as R
 from noticelake.functions.dates import extract_deadline, is_expired
 from noticelake.functions.text import clean_html, context_lines, title_key
 from noticelake.functions.urls import canonical_url
-from noticelake.operators import attachments, candidates, classify, documents, feed, listing, publish, quality, reports, requirements, vacancies
+from noticelake.operators import attachments, candidates, classify, documents, evidence, feed, listing, publish, quality, reports, requirements, vacancies
 from noticelake.operators import pages as page_ops
 from noticelake.plans import posting_sql as S
 from noticelake.plans.postings import postings, spread
@@ -658,3 +658,87 @@ def q54(spark, d):
     jobs = jobs.select(*kept, F.struct("posting_id", "vacancy_id").alias("order"))
     best = publish.ranked_feed(publish.preferred_jobs(jobs, "order"), "order")
     return best.select("posting_id", "vacancy_id", "org", "title", "status", "quality_score", "fit_score", "deadline")
+
+
+# Older gates, evidence, merged stages and what a reader sees
+
+
+@query(
+    "q55_target_jobs",
+    f"""WITH {S.ANALYSIS}, b AS (SELECT posting_id, deadline, title || ' ' || detail_text AS t, title FROM analysis) SELECT posting_id, array_to_string({
+        S.told(*[(S.has("t", p), f"'{n}'") for n, p in R.TARGET_EXCLUDED.items()], *[(f"NOT {S.has('t', p)}", f"'no {n}'") for n, p in R.TARGET_REQUIRED.items()], (f"NOT (deadline <> '' AND deadline >= '{S.AS_OF}')", "'not open'"))
+    }, ';') AS reasons, length(title) BETWEEN 7 AND 180 AND NOT {S.has("title", R.LEGACY_EXCLUDE)} AND {S.has("title", R.LEGACY_RECRUITMENT)} AS titled FROM b""",
+)
+def q55(spark, d):
+    rows = postings(spark, d).withColumn("deadline", extract_deadline(F.col("detail_text"), S.YEAR))
+    rows = classify.target_job(rows, F.col("deadline"), S.AS_OF)
+    return rows.select("posting_id", _joined("target_reasons").alias("reasons"), listing.recruitment_title(F.col("title")).alias("titled"))
+
+
+_SHOWN = ["<table><tr><td>채용 공고 ", "</td></tr></table><script>function go(){location.href='/view.do?n=", "'}</script>"]
+
+
+@query(
+    "q56_page_artifacts",
+    f"""WITH p AS (SELECT page_id, url, html, substr('{_SHOWN[0]}', 8) || page_id || '</td></tr>' AS first_row, 'href=''/view.do?n=' || page_id || '''' AS second FROM pages)
+SELECT page_id, 'list' AS stage, 200 AS status, CAST(length(html) + length('{"".join(_SHOWN).replace(chr(39), chr(39) * 2)}') + 2 * length(CAST(page_id AS VARCHAR)) AS INT) AS html_length,
+  first_row || '|' || second AS snippets, 'function go(){{location.href=''/view.do?n=' || page_id || '''}}' AS scripts FROM p""",
+)
+def q56(spark, d):
+    number = F.col("page_id").cast("string")
+    shown = F.concat(F.lit(_SHOWN[0]), number, F.lit(_SHOWN[1]), number, F.lit(_SHOWN[2]), "html")
+    pages = _pages(spark, d).withColumns({"html": shown, "org": number, "status": F.lit(200), "content_type": F.lit("text/html")})
+    rows = evidence.page_artifacts(pages, "list")
+    return rows.select(F.col("org").cast("long").alias("page_id"), "stage", "status", "html_length", F.array_join("snippets", "|").alias("snippets"), F.array_join("scripts", "|").alias("scripts"))
+
+
+_MERGED = f"""p AS ({_STAGES} WHERE NOT ({_HALF}) GROUP BY 1), c AS (SELECT user_id AS org, count_if(event_type = 'click') AS tried, count_if(event_type = 'click' AND value > 20) AS got, count_if(event_type = 'view') AS read, count_if(event_type = 'view' AND value > 5) AS parsed FROM events WHERE {_HALF} GROUP BY 1),
+m AS (SELECT *, org % 10 = 0 AS idle, coalesce(tried, 0) AS t, coalesce(got, 0) AS g, coalesce(read, 0) AS r, coalesce(parsed, 0) AS d FROM p LEFT JOIN c USING (org)),
+s AS (SELECT *, CASE WHEN idle THEN 'not-required' WHEN t > 0 THEN CASE WHEN g = t THEN 'success' WHEN g > 0 THEN 'partial' ELSE 'failed' END WHEN download THEN 'success' ELSE 'failed' END AS ds,
+  CASE WHEN idle THEN 'not-required' WHEN r > 0 THEN CASE WHEN d = r THEN 'success' WHEN d > 0 THEN 'partial' ELSE 'failed' END WHEN analysis THEN 'success' ELSE 'failed' END AS an FROM m),
+k AS (SELECT *, ds IN ('success', 'not-required') AS dok, an IN ('success', 'not-required') AS aok FROM s)"""
+
+
+@query(
+    "q57_merged_stages",
+    f"""WITH {_MERGED} SELECT org, ds AS download, an AS analysis, CASE WHEN access AND list AND detail AND discovery AND dok AND aok THEN CASE WHEN idle THEN '전체 파이프라인 통과 · 첨부/문서분석 대상 없음' ELSE '전체 파이프라인 통과' END
+  WHEN detail AND NOT discovery THEN '첨부 발견/추출' WHEN discovery AND NOT dok THEN '첨부 다운로드' WHEN dok AND NOT aok THEN '문서 분석' ELSE '' END AS bottleneck FROM k""",
+)
+def q57(spark, d):
+    events = _read(spark, d, "events")
+    late = F.col("ts") >= F.lit("2024-01-16").cast("timestamp")
+    probe = _stages(events.where(~late)).withColumn("nothing_to_read", F.col("org") % 10 == 0)
+    of = lambda kind, least: F.count_if((F.col("event_type") == kind) & (F.col("value") > least))
+    any_of = lambda kind: F.count_if(F.col("event_type") == kind)
+    collector = events.where(late).groupBy(F.col("user_id").alias("org")).agg(any_of("click").alias("downloads_attempted"), of("click", 20).alias("attachments_downloaded"), any_of("view").alias("documents_attempted"), of("view", 5).alias("documents_parsed"))
+    rows = reports.merge_stages(probe, collector)
+    return rows.select("org", F.col("download.status").alias("download"), F.col("analysis.status").alias("analysis"), "bottleneck")
+
+
+@query(
+    "q58_job_cards",
+    f"""WITH {_FLAGGED}, lines AS (SELECT posting_id, days_left, deadline, list_filter([CASE WHEN fit THEN '고졸 또는 학력무관 문구가 확인됐습니다.' WHEN education = '{classify.DEGREE}' THEN '대졸 이상 조건이 확인됐습니다.' ELSE '학력 조건은 원문 확인이 필요합니다.' END,
+  CASE WHEN ulsan THEN '울산 근무 관련 키워드가 포함돼 있습니다.' END, CASE WHEN regular THEN employment || ' 공고입니다.' END, CASE WHEN deadline <> '' THEN '마감일은 ' || deadline || '입니다.' ELSE '마감일은 원문에서 확인해야 합니다.' END], lambda x: x IS NOT NULL) AS s FROM ranked)
+SELECT posting_id, array_to_string(s[1:4], '|') AS summary, CASE WHEN days_left IS NULL THEN '마감 확인' WHEN days_left = 0 THEN '오늘 마감' WHEN days_left = 1 THEN 'D-1' WHEN days_left BETWEEN 2 AND 3 THEN 'D-' || days_left ELSE deadline END AS label FROM lines""",
+)
+def q58(spark, d):
+    rows = feed.summary_lines(_flagged(spark, d))
+    return rows.select("posting_id", F.array_join("summary", "|").alias("summary"), feed.deadline_label(F.col("days_left"), F.col("deadline")).alias("label"))
+
+
+@query("q59_detail_requests", f"WITH {S.POSTINGS} SELECT posting_id, CASE WHEN length(org) % 2 = 0 THEN 'POST' ELSE 'GET' END AS method, CASE WHEN length(org) % 2 = 0 THEN '/board/view.do' ELSE '/read?idx=' || posting_id END AS link, CASE WHEN length(org) % 2 = 0 THEN 'mode=view&bcIdx=' || posting_id ELSE '' END AS body FROM postings WHERE length(org) % 3 <> 0")
+def q59(spark, d):
+    """Two kinds of rules: a form that is posted, and an address; a third of the organisations has none."""
+    blocks = postings(spark, d).select("posting_id", "org", F.concat(F.when(F.length("org") % 2 == 0, "<a onclick=\"fnView('").otherwise("<a data-idx=\"('"), F.col("posting_id").cast("string"), F.lit("')\">")).alias("block"))
+    posted = F.length("org") % 2 == 0
+    rules = _read(spark, d, "nation").select(F.col("n_name").alias("org")).where(F.length("org") % 3 != 0)
+    rules = rules.select("org", F.when(posted, r"fnView\('(\d+)'\)").otherwise(r"data-idx=\W+(\d+)").alias("id_pattern"), F.when(posted, "post").otherwise("get").alias("method"), F.when(posted, "/board/view.do").otherwise("/read?idx={id}").alias("template"), F.when(posted, "mode=view&bcIdx={id}").alias("body"))
+    return candidates.detail_requests(blocks, rules).select("posting_id", "method", "link", "body")
+
+
+@query("q60_detail_failures", "WITH r AS (SELECT user_id AS org, CASE event_type WHEN 'click' THEN 'detail page empty' WHEN 'view' THEN 'timeout' WHEN 'error' THEN 'HTTP 404' WHEN 'signup' THEN 'Title mismatch' ELSE 'excluded' END AS reason FROM events) SELECT org, CAST(count_if(reason NOT IN ('timeout', 'excluded')) AS BIGINT) AS detail_failures FROM r GROUP BY 1")
+def q60(spark, d):
+    e = F.col("event_type")
+    reason = F.when(e == "click", "detail page empty").when(e == "view", "timeout").when(e == "error", "HTTP 404").when(e == "signup", "Title mismatch").otherwise("excluded")
+    counts = _read(spark, d, "events").groupBy(F.col("user_id").alias("org"), reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    return listing.detail_failures(counts)

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,3 +106,33 @@ def write_feed(jobs: DataFrame, path: str, limit: int = 200) -> None:
 
 def without_retired(df: DataFrame, retired: DataFrame, org: str = "org") -> DataFrame:
     return df.join(retired.select(F.col("org").alias(org)).distinct(), org, "left_anti")
+
+
+SEARCH = "https://job.alio.go.kr/mobile2021/recruit/recruit.do"
+
+
+def search_url(org: Column) -> Column:
+    """The shared platform's search for the postings of one organisation."""
+    return F.concat(F.lit(SEARCH + "?order=REG_DATE&org_name="), F.url_encode(org), F.lit("&search_yn=Y"))
+
+
+def template_summary(sources: DataFrame, templates: DataFrame) -> DataFrame:
+    """For each source one struct of what its report says about access."""
+    df = sources.join(templates, "access_template", "left")
+    chain = F.coalesce("transport_chain", "template_chain")
+    urls = F.size(F.array_distinct(F.array_compact(F.concat(F.coalesce("access_urls", F.array().cast("array<string>")), F.array("url")))))
+    return df.select("org", F.struct(F.col("access_template").alias("id"), "label", chain.alias("transports"), urls.alias("addresses"), F.col("transport_chain").isNotNull().alias("own")).alias("access"))
+
+
+REPORT = T.StructType([T.StructField("sources", T.ArrayType(T.StructType([T.StructField("org", T.StringType()), T.StructField("health", T.StringType())] + [T.StructField(s, T.StructType([T.StructField("ok", T.BooleanType()), T.StructField("status", T.StringType())])) for s in ("access", "list", "detail", "attachmentDiscovery", "attachmentDownload", "documentAnalysis")])))])
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """The stage rows of a probe's report, one for each organisation; no report yet is an empty table."""
+    try:
+        df = spark.read.schema(REPORT).option("multiLine", True).json(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        df = spark.createDataFrame([], REPORT)
+    return df.select(F.explode("sources").alias("s")).select("s.*")

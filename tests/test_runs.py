@@ -7,7 +7,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from noticelake.operators import classify, documents, feed, listing, pages, publish, quality, requirements
+from noticelake.functions import text
+from noticelake.operators import attachments, candidates, classify, documents, evidence, feed, listing, pages, publish, quality, reports, requirements
 from noticelake.sources import fetch
 from noticelake.streaming.history import merge_batches
 
@@ -115,6 +116,66 @@ def test_small_operators(spark):
     assert fetch.without_retired(spark.createDataFrame([("a",), ("b",)], "org string"), spark.createDataFrame([("b",)], "org string")).count() == 1
 
 
+@pytest.mark.parametrize(
+    "make,value,want",
+    [
+        (text.slug, "울산 - 공단(주)", "울산_공단_주"),
+        (text.slug, "", "unknown"),
+        (text.slug, "\u110b\u116e\u11af", "울"),
+        (text.safe_name, 'a/b:c d', "a_b_c_d"),
+        (text.diagnostic_name, "Ａ１ (x)", "A1_x_"),
+        (text.compact, "a\u0000b", "ab"),
+        (fetch.search_url, "울산 공단", "https://job.alio.go.kr/mobile2021/recruit/recruit.do?order=REG_DATE&org_name=%EC%9A%B8%EC%82%B0+%EA%B3%B5%EB%8B%A8&search_yn=Y"),
+        (attachments.alternate_address, "https://www.ubimc.or.kr/cop/cmm/fms/FileDown.do?a=1", "https://www.ubimc.or.kr/cmm/fms/FileDown.do?a=1"),
+        (attachments.alternate_address, "https://o.kr/cop/cmm/fms/FileDown.do?a=1", None),
+        (candidates.platform_url, "recruitView('303191')", "https://job.alio.go.kr/mobile2021/recruit/recruitView.do?idx=303191"),
+        (candidates.platform_url, "location='/x/view.do?idx=12'", "/x/view.do?idx=12"),
+        (candidates.platform_url, "idx: 45678", "https://job.alio.go.kr/mobile2021/recruit/recruitView.do?idx=45678"),
+        (candidates.platform_url, "go()", ""),
+        (listing.recruitment_title, "2026년 직원 채용 공고", True),
+        (listing.recruitment_title, "직원 채용 합격자 안내", False),
+        (listing.recruitment_title, None, False),
+        (listing.recruit_detail_url, "https://a.kr/recruitView.do", True),
+        (listing.recruit_detail_url, "https://a.kr/recruit/a.pdf", False),
+    ],
+)
+def test_names_addresses_and_titles(one, make, value, want):
+    assert one(make, value) == want
+
+
+@pytest.mark.parametrize("block,link,want", [("<li>x</li>", "https://a.kr/view.do?idx=1", True), ("<tr><td>x</td></tr>", "", True), ("<li onclick='a()'>x</li>", "", True), ("<li>2026.01.02</li>", "", True), ("<li>조회수 3</li>", "", True), ("<li>menu</li>", "https://a.kr/", False)])
+def test_records_of_boards(one, block, link, want):
+    assert one(candidates.looks_like_record, block, link) == want
+
+
+def test_gateways_give_their_best_file(spark):
+    page = '<html><a href="/f/1.hwp">응시원서.hwp</a><a href="/f/2.pdf">채용공고.pdf</a><a href="/fileList?x=1">첨부 download</a></html>'.encode()
+    rows = [(1, "https://o.kr/fileList?x=1", bytearray(page), "text/html"), (2, "https://o.kr/board/list.do", bytearray(page), "text/html"), (3, "https://o.kr/attach/3", bytearray(b"%PDF-1"), "application/pdf"), (4, "https://o.kr/attach/4", bytearray(b"<html></html>"), None)]
+    got = attachments.through_gateways(spark.createDataFrame(rows, "file_id long, url string, content binary, content_type string")).collect()
+    assert [(r["file_id"], r["url"], r["type"]) for r in got] == [(1, "https://o.kr/f/2.pdf", "pdf")]
+
+
+def test_evidence_is_of_sources_that_are_not_healthy(spark):
+    report = spark.createDataFrame([("a", "healthy"), ("울산 공단", "failed"), ("c", "degraded")], "org string, health string")
+    fetched = spark.createDataFrame([("a", "u", "x"), ("울산 공단", "u", "<li>채용</li><script>location.href='/view'</script>" + "<li>채용 2</li>" * 30)], "org string, url string, html string").withColumns({"status": F.lit(200), "content_type": F.lit(None).cast("string")})
+    got = {r["org"]: r for r in evidence.unhealthy_evidence(report, evidence.page_artifacts(fetched)).collect()}
+    assert set(got) == {"울산 공단", "c"} and got["울산 공단"]["folder"] == "울산_공단" and got["c"]["snippets"] is None
+    assert len(got["울산 공단"]["snippets"]) == 3 and got["울산 공단"]["scripts"] == ["location.href='/view'"]
+
+
+def test_merged_stages(spark):
+    probe = spark.createDataFrame([("a", True, True, True, True, False, False, False), ("b", True, True, True, True, None, None, True), ("c", True, True, True, True, True, True, False)], "org string, access boolean, list boolean, detail boolean, discovery boolean, download boolean, analysis boolean, nothing_to_read boolean")
+    counts = spark.createDataFrame([("a", 3, 2, 2, 2)], "org string, downloads_attempted long, attachments_downloaded long, documents_attempted long, documents_parsed long")
+    got = {r["org"]: (r["download"]["status"], r["download"]["mode"], r["analysis"]["ok"], r["bottleneck"]) for r in reports.merge_stages(probe, counts).collect()}
+    assert got == {"a": ("partial", "collector", True, "첨부 다운로드"), "b": ("not-required", "not-required", True, "전체 파이프라인 통과 · 첨부/문서분석 대상 없음"), "c": ("success", "probe", True, "전체 파이프라인 통과")}
+
+
+def test_reports_are_read(spark, tmp_path):
+    (tmp_path / "r.json").write_text('{"sources": [{"org": "a", "health": "failed", "list": {"ok": true, "status": "verified-empty"}}]}')
+    row = fetch.read_report(spark, str(tmp_path / "r.json")).first()
+    assert (row["org"], row["list"]["ok"], row["access"]) == ("a", True, None) and fetch.read_report(spark, str(tmp_path / "no.json")).count() == 0
+
+
 def test_entry_without_the_subpackage_and_with_a_broken_one(tmp_path):
     code = "import sys; sys.path.insert(0, {0!r}); import __spark_entry__ as e; print(sum(q.startswith('op') for q in e.queries()), len(e.queries()) > 50)"
     bare = tmp_path / "bare"
