@@ -89,14 +89,26 @@ def q04(spark, d):
     return page_ops.selector_counts(_pages(spark, d))
 
 
-_BOARD = r"""CASE WHEN regexp_matches(url, '(?i)job-?alio|alio\.go\.kr') OR regexp_matches(html, '잡알리오|(?i:JOB-?ALIO)') THEN 'JOB_ALIO' WHEN regexp_matches(html, '(?i)<iframe\b') THEN 'IFRAME'
-  WHEN regexp_matches(html, '^\s*[\[{]') THEN 'API' WHEN regexp_matches(html, '(?i)<table\b') AND regexp_matches(html, '(?i)<tr\b') THEN 'HTML_TABLE'
-  WHEN regexp_matches(html, '(?i)<(?:ul|ol)\b') AND regexp_matches(html, '(?i)<li\b') THEN 'UL_LIST' ELSE 'UNKNOWN' END"""
+#: A page for each rung of the ladder and what it is; the last one is the page itself.
+_BOARDS = [
+    ("<p>잡알리오</p>", "JOB_ALIO", "high"),
+    ("<iframe src='/x'></iframe>", "IFRAME", "high"),
+    ('{"content": []}', "API", "high"),
+    ('<div id="root"></div><script src="/a/app.1.js"></script>', "SPA", "medium"),
+    ("<table><tr><td>x</td></tr></table><ul><li>y</li></ul>", "HTML_TABLE", "high"),
+    ("<ol><li>x</li></ol>", "UL_LIST", "medium"),
+    ("<div class='board-item'>x</div><div id='post1'>y</div>", "DIV_CARD", "medium"),
+    ("<p>x</p><script>fetch('/y')</script>", "API", "low"),
+    ("<p>x</p>", "UNKNOWN", "low"),
+    (None, "UL_LIST", "medium"),
+]
 
 
-@query("q05_board_type", f"SELECT page_id, {_BOARD} AS type FROM pages")
+@query("q05_board_type", f"SELECT page_id, {[t for _, t, _ in _BOARDS]}[page_id % {len(_BOARDS)} + 1] AS type, {[c for _, _, c in _BOARDS]}[page_id % {len(_BOARDS)} + 1] AS confidence FROM pages")
 def q05(spark, d):
-    return _pages(spark, d).select("page_id", page_ops.board_type(F.col("html"), F.col("url"), F.lit("text/html"))["type"].alias("type"))
+    made = F.element_at(F.array(*[F.lit(h) for h, _, _ in _BOARDS]), (F.col("page_id") % len(_BOARDS) + 1).cast("int"))
+    kind = page_ops.board_type(F.coalesce(made, "html"), F.col("url"), F.lit("text/html"))
+    return _pages(spark, d).select("page_id", kind["type"].alias("type"), kind["confidence"].alias("confidence"))
 
 
 def _verified(spark, d):
@@ -141,11 +153,27 @@ def q08(spark, d):
     return _pages(spark, d).select("page_id", identified.alias("identified"), listed.alias("listed"))
 
 
-@query("q09_detail_body", "WITH b AS (SELECT page_id, regexp_extract(html, '(?i)<article\\b[^>]*>([\\s\\S]*?)</article>', 1) AS inner_html, html AS whole FROM pages), "
-    f"c AS (SELECT page_id, (SELECT {_CLEAN} FROM (SELECT inner_html AS html)) AS t, (SELECT {_CLEAN} FROM (SELECT whole AS html)) AS w FROM b), d AS (SELECT page_id, CASE WHEN length(t) >= 80 THEN t ELSE w END AS t FROM c) SELECT page_id, length(t) AS chars, md5(t) AS digest FROM d")
+#: Pages with a shorter block that holds the title's words, with blocks that are too short, and with two equal ones but for their length.
+_BODIES = [
+    "<title>alpha beta</title><div class='view-content'>" + "alpha beta " * 9 + "</div><article>" + "gamma " * 40 + "</article>",
+    "<title>alpha</title><article>too short</article><p>alpha</p>",
+    "<title>none</title><div id='bbs_view'>" + "delta " * 20 + "</div><article>" + "omega " * 30 + "</article>",
+]
+_BODY_TEXTS = ["alpha beta " * 9, "alpha too short alpha", "omega " * 30]
+
+
+@query(
+    "q09_detail_body",
+    "WITH b AS (SELECT page_id, regexp_extract(html, '(?i)<article\\b[^>]*>([\\s\\S]*?)</article>', 1) AS inner_html, html AS whole FROM pages), "
+    f"c AS (SELECT page_id, (SELECT {_CLEAN} FROM (SELECT inner_html AS html)) AS t, (SELECT {_CLEAN} FROM (SELECT whole AS html)) AS w FROM b), "
+    f"d AS (SELECT page_id, CASE WHEN page_id % 6 < 3 THEN {[t.strip() for t in _BODY_TEXTS]}[page_id % 6 + 1] WHEN length(t) >= 80 THEN t ELSE w END AS t FROM c) SELECT page_id, length(t) AS chars, md5(t) AS digest FROM d",
+)
 def q09(spark, d):
+    made = F.element_at(F.array(*[F.lit(h) for h in [*_BODIES, None, None, None]]), (F.col("page_id") % 6 + 1).cast("int"))
+    html = F.coalesce(made, "html")
+    rows = _pages(spark, d).select("page_id", html.alias("html"))
     t = page_ops.detail_body(F.col("html"), page_ops.page_title(F.col("html")))
-    return _pages(spark, d).select("page_id", F.length(t).cast("long").alias("chars"), F.md5(t).alias("digest"))
+    return rows.select("page_id", F.length(t).cast("long").alias("chars"), F.md5(t).alias("digest"))
 
 
 # Listings
@@ -228,10 +256,15 @@ numbered AS (SELECT *, sum(CAST(head AS INT)) OVER (PARTITION BY posting_id ORDE
 blocks AS (SELECT posting_id, block, string_agg(line, ' ' ORDER BY pos) AS body, regexp_replace(first(line ORDER BY pos), '^(?:모집|채용)?\s*(?:분야|직무|직종|직렬|구분)\s*[:：]?\s*', '') AS name FROM numbered WHERE block > 0 GROUP BY 1, 2 HAVING length(string_agg(line, ' ' ORDER BY pos)) >= 25),
 two AS (SELECT posting_id FROM blocks GROUP BY 1 HAVING count(*) >= 2)
 SELECT posting_id, 'vacancy-' || row_number() OVER (PARTITION BY posting_id ORDER BY block) AS id, name, 'section' AS source, 0.82 AS confidence FROM blocks WHERE posting_id IN (FROM two)
-UNION ALL SELECT posting_id, 'vacancy-1', title, 'single', 0.45 FROM postings WHERE posting_id NOT IN (FROM two)""".replace("0.82 AS", "CAST(0.82 AS DOUBLE) AS"),
+UNION ALL SELECT posting_id, 'vacancy-1', title, 'single', 0.45 FROM postings WHERE posting_id NOT IN (FROM two)
+UNION ALL SELECT -1 - r_regionkey, 'vacancy-' || i, ['행정', '전산 개발'][i], 'table-row', 0.72 FROM region, unnest([1, 2]) AS u(i)""".replace("0.82 AS", "CAST(0.82 AS DOUBLE) AS"),
 )
 def q16(spark, d):
-    rows = vacancies.with_vacancies(postings(spark, d)).select("posting_id", F.explode("vacancies").alias("v"))
+    """All postings, and a table with a row for each vacancy for each region; a row said twice counts once."""
+    table = "분야 | 인원\n1. 행정 | 정규직 | 울산 | 2명\n2. 전산 개발 | 공무직 | 서울 | 1명\n2. 전산 개발 | 공무직 | 서울 | 1명\n문의처 | 총무"
+    made = _read(spark, d, "region").select((-1 - F.col("r_regionkey")).cast("long").alias("posting_id"), F.lit("표").alias("title"), F.lit(table).alias("detail_text"), F.lit("").alias("document_text"))
+    texts = postings(spark, d).select(*made.columns).unionByName(made)
+    rows = vacancies.with_vacancies(texts).select("posting_id", F.explode("vacancies").alias("v"))
     return rows.select("posting_id", "v.id", "v.name", "v.source", "v.confidence")
 
 
@@ -373,9 +406,14 @@ def q32(spark, d):
     return rows.select("org", "health", reports.difficulty(F.col("cause.code")).alias("difficulty"), reports.priority(F.col("cause.stage"), F.col("cause.code"))["score"].alias("priority"))
 
 
-@query("q33_primary_cause", f"WITH {_REPORT} SELECT stage, code, count(*) AS n FROM coded GROUP BY 1, 2")
+_DAILY = _REPORT.replace("user_id AS org", "user_id * 100 + day(ts) AS org")
+
+
+@query("q33_primary_cause", f"WITH {_DAILY} SELECT stage, code, count(*) AS n FROM coded GROUP BY 1, 2")
 def q33(spark, d):
-    return _report(_read(spark, d, "events")).groupBy("cause.stage", "cause.code").agg(F.count(F.lit(1)).alias("n"))
+    """Over each day of each organisation, so that every stage fails somewhere."""
+    events = _read(spark, d, "events").withColumn("user_id", F.col("user_id") * 100 + F.dayofmonth("ts"))
+    return _report(events).groupBy("cause.stage", "cause.code").agg(F.count(F.lit(1)).alias("n"))
 
 
 _HALF = "ts >= TIMESTAMP '2024-01-16'"
@@ -540,10 +578,15 @@ def q49(spark, d):
     return reports.access_summary(_read(spark, d, "events").select(F.col("user_id").alias("org"), ((e == "view") & (F.col("value") > 60)).alias("ok"), error.alias("error")))
 
 
-@query("q50_candidates", f"WITH {S.POSTINGS} SELECT posting_id AS page_id, 'row' AS tier, title, 'https://jobs.example/view.do?nttId=' || posting_id AS link FROM postings")
+@query("q50_candidates", f"WITH {S.POSTINGS} SELECT posting_id AS page_id, ['row', 'anchor', 'block'][posting_id % 3 + 1] AS tier, title, 'https://jobs.example/view.do?nttId=' || posting_id AS link FROM postings")
 def q50(spark, d):
-    cell = F.concat(F.lit("<table><tr><td>"), F.col("posting_id").cast("string"), F.lit("</td><td><a href='#' onclick=\"postView("), F.col("posting_id").cast("string"), F.lit(")\">"), "title", F.lit("</a></td><td>2026.01.02</td></tr></table><a href='/view.do?nttId=1'>다른 채용 공고</a>"))
-    listings = postings(spark, d).select(F.col("posting_id").alias("page_id"), "org", F.lit("https://jobs.example/list.do").alias("url"), cell.alias("html"))
+    """A third of the pages for each tier; those with rows also have a link, which does not count."""
+    number = F.col("posting_id").cast("string")
+    row = F.concat(F.lit("<table><tr><td>"), number, F.lit("</td><td><a href='#' onclick=\"postView("), number, F.lit(")\">"), "title", F.lit("</a></td><td>2026.01.02</td></tr></table><a href='/view.do?nttId=1'>다른 채용 공고</a>"))
+    anchor = F.concat(F.lit("<p><a href='/view.do?nttId="), number, F.lit("'>"), "title", F.lit("</a><a href='/view.do?nttId=2'>목록</a><a href='/a.pdf'>다른 채용 공고</a></p>"))
+    block = F.concat(F.lit("<ul><li onclick=\"location.href='/view.do?nttId="), number, F.lit("'\">"), "title", F.lit("</li></ul>"))
+    html = F.when(F.col("posting_id") % 3 == 0, row).when(F.col("posting_id") % 3 == 1, anchor).otherwise(block)
+    listings = postings(spark, d).select(F.col("posting_id").alias("page_id"), "org", F.lit("https://jobs.example/list.do").alias("url"), html.alias("html"))
     adapters = listings.select("org").distinct().withColumn("template", F.lit("/view.do?nttId={id}"))
     return candidates.candidates(listings, adapters).select("page_id", "tier", "title", "link")
 
