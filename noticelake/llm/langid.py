@@ -248,10 +248,18 @@ def keep_identified(docs: DataFrame, least: float = 0.85) -> DataFrame:
     Rejected are texts without letters and texts with a score under their language's limit. The limit is ``least``
     of the median score of the rows that are labelled with the language and found to be of it, or that median less
     four times its distance to the lower quartile if this is lower; both stand although some of the labelled rows
-    are junk. A language with fewer than 20 such rows gets the limit of all of them.
+    are junk. A language with fewer than 20 such rows gets the limit of all of them. A text with letters that nobody can judge stays: one whose
+    labelled language the other fold does not teach, and any if that fold teaches none. Null and empty texts go, repeated rows
+    stay or go together, and an empty table gives an empty result.
     """
     lang, score, part = fresh(docs, "lang_pred"), fresh(docs, "lang_score"), fresh(docs, "lang_fold")
-    found = checkpoint(identify(docs.withColumn(part, fold(F.col("text"))), learn_folds(docs), lang, score, part))
+    filters = learn_folds(docs)
+    found = checkpoint(identify(docs.withColumn(part, fold(F.col("text"))), filters, lang, score, part))
+    untaught = F.lit(False)
+    for j, f in enumerate(filters):
+        unknown = F.coalesce(~F.col("lang").isin(f.languages), F.lit(False)) if f.languages else F.lit(True)
+        untaught = untaught | ((F.col(part) == j) & unknown)
+    untaught = untaught & F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}")
     clean = found.where(F.col("lang") == F.col(lang))
     quartiles = F.percentile_approx(score, [0.25, 0.5], 10_000)
     limit = lambda q: min(least * q[1], q[1] - 4 * (q[1] - q[0]))
@@ -259,4 +267,4 @@ def keep_identified(docs: DataFrame, least: float = 0.85) -> DataFrame:
     overall = clean.agg(quartiles).first()[0]
     rest = F.lit(limit(overall) if overall else 0.0)
     limits = F.coalesce(F.create_map(*[F.lit(x) for pair in each.items() for x in pair])[F.col(lang)], rest) if each else rest
-    return found.where((F.col(lang) != "und") & (F.col(score) >= limits)).drop(lang, score, part)
+    return found.where(untaught | ((F.col(lang) != "und") & (F.col(score) >= limits))).drop(lang, score, part)

@@ -23,8 +23,6 @@ ORDER = 5
 START, END = "\x02", "\x03"
 #: Bytes of text of a run; the runs of a partition are cut the same way whenever it is read.
 RUN = 32 << 20
-#: The column with a row's partition: not that of the task, which a union numbers anew.
-PARTITION = "partition of the run"
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -92,11 +90,14 @@ class Grams:
         return self.parts[0]
 
 
-def _run_numbers(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, pa.RecordBatch, list[str]]]:
-    """Rows in order with the number of their run, made of their partition's number and that of the characters before them; batches have no say in it."""
+def _run_numbers(batches: Iterator[pa.RecordBatch], size: int, partition: str) -> Iterator[tuple[int, pa.RecordBatch, list[str]]]:
+    """Rows in order with the number of their run, made of their partition's number and that of the characters before them; batches have no say in it.
+
+    The partition is a column: a task's own number is not it where Spark joins tables in a union.
+    """
     before = 0
     for part, texts in slices(batches, chars=1 << 20):
-        base = part.column(PARTITION)[0].as_py() << 32
+        base = part.column(partition)[0].as_py() << 32
         texts = [t or "" for t in texts]
         starts = before + np.cumsum([0, *[len(t) for t in texts]])
         before = int(starts[-1])
@@ -125,7 +126,7 @@ def _asked(docs: DataFrame, shards: int, size: int = RUN) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, found = -1, Grams()
-        for number, part, texts in _run_numbers(batches, size):
+        for number, part, texts in _run_numbers(batches, size, "partition"):
             if number != current and current >= 0:
                 yield rows(current, found)
                 found = Grams()
@@ -138,7 +139,7 @@ def _asked(docs: DataFrame, shards: int, size: int = RUN) -> DataFrame:
         if current >= 0:
             yield rows(current, found)
 
-    return docs.select("text", "trusted", F.spark_partition_id().alias(PARTITION)).mapInArrow(run, ASKED)
+    return docs.select("text", "trusted", F.spark_partition_id().alias("partition")).mapInArrow(run, ASKED)
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,13 +242,13 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["run", "grams", "data"])
 
 
-def _carried(size: int):
+def _carried(size: int, partition: str):
     """The rows, packed, with the numbers of their runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, part, _ in _run_numbers(batches, size):
+        for number, part, _ in _run_numbers(batches, size, partition):
             sink = pa.BufferOutputStream()
-            part = part.drop_columns([PARTITION])
+            part = part.drop_columns([partition])
             with pa.ipc.new_stream(sink, part.schema) as w:
                 w.write_batch(part)
             yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.nulls(1, pa.binary()), pa.array([zstandard.compress(sink.getvalue(), 3)], pa.binary())], names=["run", "grams", "data"])
@@ -300,7 +301,8 @@ def with_scores(docs: DataFrame, logp: DataFrame, nll: str, chars: str, kept: li
     packed = logp.mapInArrow(_by_shard(n), ASKED)
     both = packed.unionByName(asked).repartition(n, "shard").sortWithinPartitions("shard", F.asc_nulls_first("run"))
     answers = both.mapInArrow(_answers, "run long, grams binary, data binary")
-    texts = docs.select(*[F.col(f"`{c}`") for c in kept], *([] if "text" in kept else ["text"]), F.spark_partition_id().alias(PARTITION)).mapInArrow(_carried(size), "run long, grams binary, data binary")
+    partition = fresh(docs, "partition")
+    texts = docs.select(*[F.col(f"`{c}`") for c in kept], *([] if "text" in kept else ["text"]), F.spark_partition_id().alias(partition)).mapInArrow(_carried(size, partition), "run long, grams binary, data binary")
     rows = answers.unionByName(texts).repartition(n, "run").sortWithinPartitions("run", F.col("grams").isNull())
     fields = {f.name: f for f in docs.schema.fields}
     schema = T.StructType([*[fields[c] for c in kept], T.StructField(nll, T.DoubleType()), T.StructField(chars, T.LongType())])

@@ -160,6 +160,31 @@ def test_pipeline(spark):
     assert run["length"].sum() == docs.toPandas()["length"].sum() and (run["length"] > 0).all()
 
 
+def test_stages_of_odd_rows(spark):
+    pipeline = importlib.import_module("corpus_pipeline")
+    rng = random.Random(31)
+    words = {"en": ["the", "and", "ing", "ation", "ther"], "de": ["der", "und", "schaft", "keit", "ung"]}
+    text = lambda lang, n: " ".join("".join(rng.choice(words[lang]) for _ in range(rng.randrange(1, 4))) for _ in range(n))
+    rows = [(i, text(lang, rng.randrange(20, 90)), lang, f"src{i % 3}", 1) for i, lang in enumerate(rng.choice(["en", "de"]) for _ in range(200))]
+    rows += [(300, None, "en", None, None), (301, "", None, "src1", 0), (302, "!! 12", "de", "src1", 5), (None, text("en", 40), "en", "src0", 1), (5, rows[5][1], rows[5][2], "src2", 1), (303, text("de", 20_000), "de", "src1", 1), (304, text("en", 30), None, "src1", 1), (305, text("de", 30), "xx", "src1", 1)]
+    rows += [rows[7]] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns({"keep": F.lit("k"), "first": F.lit(1), "tokens": F.lit("t"), "lang_pred": F.lit("l"), "partition": F.lit(0), "run": F.lit("r"), "links": F.lit(2)})
+    sizes = []
+    for _, stage in pipeline.STAGES[:4]:
+        kept = stage(spark, docs, SF)
+        assert kept.columns == docs.columns
+        sizes.append((docs.count(), kept.count()))
+        assert stage(spark, docs.limit(0), SF).count() == 0
+        docs = spark.createDataFrame(kept.collect(), docs.schema)
+    ids = {r["doc_id"] for r in docs.collect()}
+    assert sizes[0][1] >= 0.95 * sizes[0][0] - 3 and sizes[1][1] >= 0.95 * sizes[1][0] and not ids & {300, 301, 302}
+    pieces = pipeline.pack(spark, docs, SF)
+    assert pieces.select("doc_id").distinct().count() == len(ids) and pipeline.pack(spark, docs.limit(0), SF).count() == 0
+    one = spark.createDataFrame([(1, text("en", 30), "en", "src1", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in pipeline.STAGES[:4]:
+        assert stage(spark, one, SF).count() >= 1
+
+
 def test_registered_queries_run(spark):
     from noticelake.llm import queries
 
