@@ -225,7 +225,7 @@ def extract(text: str, weights: Weights) -> str:
     """The blocks of the best region, one in a line.
 
     A word weighs as little as in any element around it. Elements whose words weigh little and whose sum is negative
-    are left out, and only their own tags count in the scan. The region is widened to the element that it lies in, and to those around
+    are left out, and only their own tags count in the scan, by half. The region is widened to the element that it lies in, and to those around
     that one as long as their sums do not fall; the body is none of them.
     """
     page = parse(text)
@@ -241,7 +241,7 @@ def extract(text: str, weights: Weights) -> str:
     for (e, _, _), x in zip(page.tokens, scores, strict=True):
         left_out[low[e]] += x
     out = [low[e] > 0 and left_out[low[e]] < 0 for e in range(n)]
-    scores = [0.0 if out[e] and (not is_tag or low[e] != e) else x for (e, is_tag, _), x in zip(page.tokens, scores, strict=True)]
+    scores = [x if not out[e] else x / 2 if is_tag and low[e] == e else 0.0 for (e, is_tag, _), x in zip(page.tokens, scores, strict=True)]
     start, stop = best_run(scores)
     if start == stop:
         return ""
