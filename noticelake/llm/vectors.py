@@ -19,10 +19,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from noticelake.llm.common import checkpoint, join_sized
+from noticelake.llm.common import checkpoint, join_sized, partitions
 
 #: Rows that a tree is fitted on, about; the children of a node; the rows of a group of a leaf, about; the leaves of one tree, at most.
 SAMPLE, BRANCH, GROUP, FAN = 20_000, 8, 4096, 4095
+#: The rows of a bucket of leaves, about, that a task compares queries with.
+BUCKET = 20_000
 #: A leaf of more rows than this is split; levels of trees below the top, at most; queries that calibrate; leaves opened at first.
 LEAF, LEVELS, CALIBRATED, WIDTH = 256, 4, 200, 16
 
@@ -130,6 +132,10 @@ def _in_parts(trees: DataFrame) -> DataFrame:
     return trees.select("leaf", "tree", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"))
 
 
+def _bucket(buckets: int, *keys: str) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
 def _split(placed: DataFrame, sizes: DataFrame, sample: int, leaf_rows: int) -> tuple[DataFrame, DataFrame]:
     """The trees of leaves with too many rows, and all rows with the leaves that these give: 4096 times the leaf, plus 1 and the tree's leaf if it was split."""
 
@@ -152,29 +158,37 @@ def _split(placed: DataFrame, sizes: DataFrame, sample: int, leaf_rows: int) ->
 
 
 def _routes(asked: DataFrame, top: Tree, levels: list[DataFrame], width: int) -> DataFrame:
-    """(query_id, q, leaves): for each row of asked (query_id, q) the nearest ``width`` leaves met, in order, as structs of distance and leaf."""
+    """(query_id, leaves): for each row of asked (query_id, q) the nearest ``width`` leaves met, in order, as structs of distance and leaf.
+
+    From level to level queries and leaves travel without their vectors; a query's vector goes once to each bucket of trees that it opens.
+    """
     sent = asked.sparkSession.sparkContext.broadcast(top)
+    n = partitions(asked.sparkSession)
 
     def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             found = [[{"d": d, "leaf": leaf} for (d, leaf), _ in zip(sent.value.open(np.asarray(q, np.float64)), range(width), strict=False)] for q in b["q"]]
-            yield b.assign(leaves=found)
+            yield pd.DataFrame({"query_id": b["query_id"], "leaves": found})
 
-    def deeper(asked: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
+    def deeper(asked: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
+        known = {leaf: pickle.loads(tree) for leaf, tree in zip(trees["leaf"], trees["tree"], strict=True)}
         out: list[tuple] = []
-        below = pickle.loads(tree["tree"].iloc[0]) if len(tree) else None
-        for query_id, q, d, leaf in asked[["query_id", "q", "d", "leaf"]].itertuples(index=False):
-            found = [(x, k + 1) for (x, k), _ in zip(below.open(np.asarray(q, np.float64)), range(width), strict=False)] if below else [(d, 0)]
-            out += [(query_id, q, x, leaf * (FAN + 1) + k) for x, k in found]
-        return pd.DataFrame(out, columns=["query_id", "q", "d", "leaf"])
-
-    routed = asked.mapInPandas(plan, "query_id long, q array<double>, leaves array<struct<d: double, leaf: long>>")
+        for query_id, q, at in asked[["query_id", "q", "at"]].itertuples(index=False):
+            q, found = np.asarray(q, np.float64), []
+            for x in at:
+                if x["leaf"] in known:
+                    found += [(d, x["leaf"] * (FAN + 1) + k + 1) for (d, k), _ in zip(known[x["leaf"]].open(q), range(width), strict=False)]
+                else:
+                    found.append((x["d"], x["leaf"] * (FAN + 1)))
+            out += [(query_id, d, leaf) for d, leaf in sorted(found)[:width]]
+        return pd.DataFrame(out, columns=["query_id", "d", "leaf"])
+
+    routed = asked.mapInPandas(plan, "query_id long, leaves array<struct<d: double, leaf: long>>")
     for trees in levels:
-        open_leaves = routed.select("query_id", "q", F.explode("leaves").alias("at")).select("query_id", "q", "at.d", "at.leaf")
-        open_leaves = open_leaves.join(trees.select("leaf", "groups"), "leaf", "left")
-        open_leaves = open_leaves.withColumn("part", F.pmod(F.xxhash64("query_id"), F.coalesce("groups", F.lit(1))).cast("int")).drop("groups")
-        met = open_leaves.groupBy("leaf", "part").cogroup(_in_parts(trees).groupBy("leaf", "part")).applyInPandas(deeper, "query_id long, q array<double>, d double, leaf long")
-        routed = met.groupBy("query_id").agg(F.first("q").alias("q"), F.slice(F.array_sort(F.collect_list(F.struct("d", "leaf"))), 1, width).alias("leaves"))
+        opened = routed.select("query_id", F.explode("leaves").alias("at")).groupBy("query_id", _bucket(n, "at.leaf").alias("bucket")).agg(F.collect_list("at").alias("at"))
+        opened = opened.join(asked, "query_id").groupBy("bucket")
+        met = opened.cogroup(trees.select("leaf", "tree", _bucket(n, "leaf").alias("bucket")).groupBy("bucket")).applyInPandas(deeper, "query_id long, d double, leaf long")
+        routed = met.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("d", "leaf"))), 1, width).alias("leaves"))
     return routed
 
 
@@ -217,7 +231,7 @@ def calibrate(placed: DataFrame, top: Tree, levels: list[DataFrame], k: int, rec
         width *= 2
 
 
-def search(rows: DataFrame, query: Column, k: int = 10, recall: float = 0.99, sample: int = SAMPLE, leaf_rows: int = 64, calibrated: int = CALIBRATED) -> DataFrame:
+def search(rows: DataFrame, query: Column, k: int = 10, recall: float = 0.95, sample: int = SAMPLE, leaf_rows: int = 64, calibrated: int = CALIBRATED) -> DataFrame:
     """For each row for which ``query`` holds, its k nearest other rows found: query_id, rank, vec_id, score.
 
     rows has vec_id and embedding. Vectors that are null, empty, zero, of another length than most or hold a null or
@@ -245,28 +259,31 @@ def search(rows: DataFrame, query: Column, k: int = 10, recall: float = 0.99, sa
         levels.append(trees)
         sizes = _sizes(placed)
     opened = calibrate(placed, top, levels, k, recall, calibrated)
-    candidates = _dealt(placed, sizes, "vec_id")
-    asked = rows.where(query).dropDuplicates(["vec_id"]).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+    buckets = max(partitions(rows.sparkSession), -(-n // BUCKET))
+    candidates = _dealt(placed, sizes, "vec_id").withColumn("bucket", _bucket(buckets, "leaf", "part"))
+    asked = checkpoint(rows.where(query).dropDuplicates(["vec_id"]).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")))
     # as every leaf has a row, so many more leaves have k other rows, if there are any
-    asked = _routes(asked, top, levels, opened + k + 1).select("query_id", "q", F.posexplode("leaves.leaf").alias("pos", "leaf"))
+    routes = _routes(asked, top, levels, opened + k + 1).select("query_id", F.posexplode("leaves.leaf").alias("pos", "leaf"))
     before = F.sum("n").over(Window.partitionBy("query_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1))
-    asked = join_sized(asked, sizes, ["leaf"], "inner").withColumn("before", F.coalesce(before, F.lit(0))).where((F.col("pos") < opened) | (F.col("before") <= k))
-    asked = asked.select("query_id", "q", "leaf", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"))
+    routes = join_sized(routes, sizes, ["leaf"], "inner").withColumn("before", F.coalesce(before, F.lit(0))).where((F.col("pos") < opened) | (F.col("before") <= k))
+    routes = routes.select("query_id", "leaf", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"))
+    routes = routes.groupBy("query_id", _bucket(buckets, "leaf", "part").alias("bucket")).agg(F.collect_set("leaf").alias("leaves")).join(asked, "query_id")
 
     def compare(asked: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(asked) and len(found):
-            found = found.sort_values("vec_id", kind="stable")
-            ids, x = found["vec_id"].to_numpy(), _matrix(found["v"])
-            for query_id, q in zip(asked["query_id"], asked["q"], strict=True):
-                d = _exact(np.asarray(q, np.float64), x)
-                d[ids == query_id] = np.nan
-                best = np.argsort(d, kind="stable")[:k]
-                best = best[~np.isnan(d[best])]
-                out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[best], "score": d[best]}))
+            found = found.sort_values(["leaf", "vec_id"], kind="stable")
+            leaf, ids, x = found["leaf"].to_numpy(), found["vec_id"].to_numpy(), _matrix(found["v"])
+            for query_id, q, leaves in zip(asked["query_id"], asked["q"], asked["leaves"], strict=True):
+                low, high = np.searchsorted(leaf, np.asarray(leaves)), np.searchsorted(leaf, np.asarray(leaves), side="right")
+                at = np.concatenate([np.arange(a, b) for a, b in zip(low.tolist(), high.tolist(), strict=True)])
+                at = at[ids[at] != query_id]
+                d = _exact(np.asarray(q, np.float64), x[at])
+                best = np.lexsort((ids[at], d))[:k]
+                out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[at[best]], "score": d[best]}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
 
-    near = asked.groupBy("leaf", "part").cogroup(candidates.groupBy("leaf", "part")).applyInPandas(compare, "query_id long, vec_id long, score double")
+    near = routes.groupBy("bucket").cogroup(candidates.groupBy("bucket")).applyInPandas(compare, "query_id long, vec_id long, score double")
     best = near.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("score", "vec_id"))), 1, k).alias("best"))
     best = best.select("query_id", F.posexplode("best").alias("pos", "hit"))
     return best.select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), F.col("hit.score").alias("score"))
