@@ -148,6 +148,27 @@ def test_records_of_boards(one, block, link, want):
     assert one(candidates.looks_like_record, block, link) == want
 
 
+def test_platform_rows_without_links(spark):
+    row = "<tr><td>1</td><td class='tit'>2026년 {0} 직원 채용 공고</td><td>2026.07.01</td><td onclick=\"recruitView('{1}')\">보기</td></tr>" + "x" * 950
+    html = "<table>" + row.format("행정", 10001) + row.format("시설", 10002) + row.format("시설", 10002) + "<td onclick='goView(77777)'>번호</td></table>"
+    df = spark.createDataFrame([(1, "o", html), (2, "o", None)], "page_id long, org string, html string")
+    got = candidates.platform_candidates(df).orderBy("pos").collect()
+    assert [(r["title"], r["link"][-5:]) for r in got] == [("2026년 행정 직원 채용 공고", "10001"), ("2026년 시설 직원 채용 공고", "10002")]
+
+
+def test_links_by_profile(spark):
+    links = spark.createDataFrame([("a", "https://www.a.kr/portal/post/view.do"), ("a", "https://b.kr/portal/post/view.do"), ("a", "https://a.kr/x?bcIdx=3"), ("b", "https://b.kr/read.do?idx=1"), ("b", "https://b.kr/")], "org string, link string")
+    profiles = spark.createDataFrame([("a", ["a.kr"], r"/post/view\.do$", r"(?i)^(?:idx|bcIdx)$")], "org string, hosts array<string>, detail_path string, detail_param string")
+    assert [r["is_detail"] for r in candidates.profiled_links(links, profiles).orderBy("org", F.desc("link")).collect()] == [True, False, True, True, False]
+
+
+def test_enclosing_blocks(spark):
+    page = "<ul><li class=a>one</li><li><a onclick='go(1)'>two</a></li></ul>"
+    df = spark.createDataFrame([(page,), ("no go(2) tags",)], "html string").select(F.explode(text.occurrences(F.col("html"), r"go\(\d\)", 100)).alias("o"))
+    got = [r["b"] for r in df.select(text.enclosing_block(F.col("o.before"), F.col("o.found"), F.col("o.after")).alias("b")).collect()]
+    assert got == ["<li><a onclick='go(1)'>two</a></li>", "no go(2) tags"]
+
+
 def test_gateways_give_their_best_file(spark):
     page = '<html><a href="/f/1.hwp">응시원서.hwp</a><a href="/f/2.pdf">채용공고.pdf</a><a href="/fileList?x=1">첨부 download</a></html>'.encode()
     rows = [(1, "https://o.kr/fileList?x=1", bytearray(page), "text/html"), (2, "https://o.kr/board/list.do", bytearray(page), "text/html"), (3, "https://o.kr/attach/3", bytearray(b"%PDF-1"), "application/pdf"), (4, "https://o.kr/attach/4", bytearray(b"<html></html>"), None)]
