@@ -696,7 +696,7 @@ def q54(spark, d):
     found = candidates.candidates(listings).select(F.col("page_id").alias("posting_id"))
     jobs = vacancies.analyze_vacancies(notices.join(found, "posting_id", "left_semi")).withColumn("vacancy_id", F.col("vacancy.id"))
     jobs = jobs.withColumn("deadline", extract_deadline(F.col("detail_text"), S.YEAR)).withColumn("splitter_version", F.lit(vacancies.VERSION))
-    jobs = quality.validate(quality.score_quality(jobs)).where("valid").where(~is_expired(F.col("deadline"), _as_of()))
+    jobs = R.settled(quality.validate(quality.score_quality(jobs)), "valid", "deadline").where("valid").where(~is_expired(F.col("deadline"), _as_of()))
     kept = ["posting_id", "vacancy_id", "vacancy_name", "org", "title", "status", "recommended", "quality_score", "fit_score", "deadline", "detail_ok"]
     jobs = jobs.select(*kept, F.struct("posting_id", "vacancy_id").alias("order"))
     best = publish.ranked_feed(publish.preferred_jobs(jobs, "order"), "order")
