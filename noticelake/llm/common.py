@@ -6,7 +6,7 @@ import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +42,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", chars: int =
     Only a run's values are Python objects at a time, however large the batch is that holds them.
     """
     for b in batches:
-        lengths = pa.compute.fill_null(pa.compute.binary_length(b.column(column)), 0).to_pylist()
+        lengths = pc.fill_null(pc.binary_length(b.column(column)), 0).to_pylist()
         start = size = 0
         for i, n in enumerate(lengths):
             if i > start and (size + n > chars or i - start >= records):
