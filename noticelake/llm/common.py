@@ -23,7 +23,7 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        folder = sc.getConf().get("spark.checkpoint.dir")
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
         if not folder:
             if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")

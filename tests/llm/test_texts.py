@@ -505,3 +505,37 @@ def test_no_model_passes_through_the_driver(spark, monkeypatch):
         m = quality.START * (quality.ORDER - 1) + (t or "") + quality.END
         assert got[i]["chars"] == len(t or "") + 1
         assert got[i]["nll"] == pytest.approx(-sum(logs[m[j : j + quality.ORDER]] for j in range(len(m) - quality.ORDER + 1)), rel=1e-5)
+
+
+# Shared helpers
+
+
+def test_checkpoints_need_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from noticelake.llm import common
+
+    undefined = SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: SimpleNamespace(isDefined=lambda: False)))
+    chosen = []
+    context = lambda master: SimpleNamespace(_jsc=undefined, master=master, getConf=lambda: {}, setCheckpointDir=chosen.append)
+    frame = lambda master, folder=None: SimpleNamespace(sparkSession=SimpleNamespace(sparkContext=context(master), conf=SimpleNamespace(get=lambda *_: folder)), checkpoint=lambda eager: "written")
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            common.checkpoint(frame(master))
+    assert common.checkpoint(frame("yarn", "hdfs:///shared")) == "written" and chosen == ["hdfs:///shared"]
+    assert common.checkpoint(frame("local[2]")) == "written"
+
+
+def test_slices_and_pieces():
+    import pyarrow as pa
+
+    from noticelake.llm import common
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["a" * 10, None, "b" * 30, "", "c" * 5]), pa.array(range(5))], names=["text", "i"])
+    got = list(common.slices([batch, batch.slice(0, 0)], chars=12, records=2))
+    assert [t for _, texts in got for t in texts] == batch.column("text").to_pylist() and [p.num_rows for p, _ in got] == [2, 1, 2]
+    assert [i for p, _ in got for i in p.column("i").to_pylist()] == list(range(5))
+    text = "wörter und, mehr_wörter " * 700
+    cut = list(common.pieces(text, 5000))
+    assert "".join(cut) == text and all(len(c) <= 5000 for c in cut) and all(not c[-1].isalnum() and c[-1] != "_" for c in cut)
+    assert list(common.pieces("")) == [""] and "".join(common.pieces("x" * 20_000, 5000)) == "x" * 20_000
