@@ -82,3 +82,15 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def crc32_sql(text: str) -> str:
+    """A DuckDB expression for the unsigned crc32 of a text's UTF-8 bytes (null: null), by its definition: a table of the remainders of all half bytes."""
+    table = []
+    for half in range(16):
+        for _ in range(4):
+            half = half >> 1 ^ (0xEDB88320 if half & 1 else 0)
+        table.append(half)
+    halves = f"list_transform(range(strlen({text}) * 2), lambda k: strpos('0123456789ABCDEF', substr(hex(encode({text})), k + 2 - 2 * (k % 2), 1)) - 1)"
+    step = f"xor(r >> 4, ({table}::BIGINT[])[(xor(r, h) & 15) + 1])"
+    return f"CASE WHEN {text} IS NOT NULL THEN xor(list_reduce(list_prepend(4294967295::BIGINT, {halves}::BIGINT[]), lambda r, h: {step}), 4294967295::BIGINT) END"

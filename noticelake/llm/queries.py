@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticelake.llm import chat, fingerprints, langid, mixing, packing, pages, quality, sharding, simjoin, vectors
+from noticelake.llm import chat, fingerprints, langid, merkle, mixing, packing, pages, quality, sharding, simjoin, spelling, vectors
 from noticelake.llm.common import table
 
 
@@ -50,6 +50,14 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_spellings(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
@@ -61,5 +69,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
     "op10_langid": op10_langid,
+    "op11_merkle": op11_merkle,
+    "op13_spelling": op13_spelling,
 }
-ORACLE_SQL = {"op1_mixing": mixing.ORACLE_SQL, "op4_chat": chat.ORACLE_SQL}
+ORACLE_SQL = {"op1_mixing": mixing.ORACLE_SQL, "op4_chat": chat.ORACLE_SQL, "op11_merkle": merkle.ORACLE_SQL, "op13_spelling": spelling.ORACLE_SQL}
