@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticelake.llm import chat, fingerprints, langid, merkle, mixing, packing, pages, quality, sharding, simjoin, spelling, vectors
+from noticelake.llm import chat, fingerprints, langid, merkle, mixing, packing, pages, quality, sharding, simjoin, spelling, toxicity, vectors
 from noticelake.llm.common import table
 
 
@@ -54,6 +54,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_spellings(table(spark, sf_dir, "documents"))
 
@@ -70,6 +74,7 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_langid": op10_langid,
     "op11_merkle": op11_merkle,
+    "op12_toxicity": op12_toxicity,
     "op13_spelling": op13_spelling,
 }
 ORACLE_SQL = {"op1_mixing": mixing.ORACLE_SQL, "op4_chat": chat.ORACLE_SQL, "op11_merkle": merkle.ORACLE_SQL, "op13_spelling": spelling.ORACLE_SQL}
