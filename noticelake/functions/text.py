@@ -139,29 +139,3 @@ def safe_name(c: Column) -> Column:
 def diagnostic_name(c: Column) -> Column:
     """Letters and digits of any script, the rest as _, at most 120 long."""
     return F.left(F.regexp_replace(compatible(F.coalesce(c, F.lit(""))), r"[^\p{L}\p{N}]+", "_"), F.lit(120))
-
-
-def occurrences(html: Column, pattern: str, around: int) -> Column:
-    """For each place where a pattern is found a struct: pos, found, and up to ``around`` characters before and after it."""
-    found = F.regexp_extract_all(html, F.lit(pattern), F.lit(0))
-    gaps = F.arrays_zip(F.split(html, pattern, -1).alias("gap"), found.alias("found"))
-    step = lambda acc, z: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(z["gap"]) + F.coalesce(F.length(z["found"]), F.lit(0))))
-    ends = F.aggregate(gaps, F.array(F.lit(0)), step)
-
-    def place(ends: Column) -> Column:
-        def one(x: Column, i: Column) -> Column:
-            end = ends[i + 1]
-            start = end - F.length(x)
-            before = F.substring(html, F.greatest(start - around, F.lit(0)) + 1, F.least(start, F.lit(around)))
-            return F.struct(i.alias("pos"), x.alias("found"), before.alias("before"), F.substring(html, end + 1, F.lit(around)).alias("after"))
-
-        return F.transform(found, one)
-
-    return F.transform(F.array(ends), place)[0]
-
-
-def enclosing_block(before: Column, found: Column, after: Column) -> Column:
-    """From the nearest start of a row, item or division before to the nearest end of one after; without either the text as far as it goes."""
-    start = F.regexp_extract(before, r"(?is)^.*(<(?:tr|li|div)\b.*)$", 1)
-    end = F.regexp_extract(after, r"(?is)^(.*?</(?:tr|li|div)>)", 1)
-    return F.concat(F.coalesce(F.nullif(start, F.lit("")), before), found, F.coalesce(F.nullif(end, F.lit("")), after))

@@ -494,21 +494,38 @@ def q41(spark, d):
 # Operators that SQL does not express
 
 _SHAPES = [
-    '<ul class="file_list"><li><a href="/f/{0}.pdf">첨부 공고문.pdf</a></li><li><a data-url="/down/{0}.hwp">원서</a></li></ul>',
-    "<a href=\"#\" onclick=\"fn_egov_downFile('FILE_{0}','1')\">첨부파일</a>",
-    '<form action="/file/download.do" method="post"><input name="fileId" value="{0}"></form><img src="/images/logo/a.png" alt="logo">',
+    '<ul class="file_list"><li><a href="/f/{0}.pdf">첨부 공고문.pdf</a></li><li><a data-url="/down/{0}.hwp">원서</a></li><li><a href="/f/{0}.pdf#p2">첨부 공고문.pdf</a></li><li><a href="/view.do?n={0}">다음 글</a></li></ul>',
+    "<a href=\"#\" onclick=\"fn_egov_downFile('FILE_{0}','1')\">첨부파일</a><a href='/z/{0}.zip'>서식 <b>모음</b></a>",
+    '<form action="/file/download.do" method="post"><input name="fileId" value="{0}"></form><img src="/images/logo/a.png" alt="logo"><a href="#" onclick="location.href=\'/file/{0}.docx\'">원서 {0}</a>',
 ]
+_LINK, _FORM = r"(?i)<a\b([^>]*)>([\s\S]*?)</a>", r"(?i)<form\b([^>]*)>([\s\S]*?)</form>"
+_VALUE = r"""regexp_extract({0}, '(?i)\s{1}\s*=\s*"([^"]*)"', 1)"""
+
+
+def _in_html(pattern: str) -> str:
+    """Attributes, inner text and place of each element of a page in SQL."""
+    return f"SELECT page_id, host, unnest(regexp_extract_all(html, '{pattern}', 1)) AS attrs, unnest(regexp_extract_all(html, '{pattern}', 2)) AS inner_html, generate_subscripts(regexp_extract_all(html, '{pattern}', 1), 1) AS pos FROM h"
 
 
 @query(
     "q42_attachments",
-    r"""WITH p AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]+') AS host FROM pages)
-SELECT page_id, 0 AS pos, '첨부 공고문.pdf' AS name, 'pdf' AS type, host || '/f/' || page_id || '.pdf' AS url, 'GET' AS method, '' AS body FROM p WHERE page_id % 3 = 0
-UNION ALL SELECT page_id, 1, '원서', 'hwp', host || '/down/' || page_id || '.hwp', 'GET', '' FROM p WHERE page_id % 3 = 0
-UNION ALL SELECT page_id, 0, '첨부파일', 'unknown', host || '/cmm/fms/FileDown.do?atchFileId=FILE_' || page_id || '&fileSn=1', 'GET', '' FROM p WHERE page_id % 3 = 1
-UNION ALL SELECT page_id, 0, 'action="/file/download.do" method="post"', 'unknown', host || '/file/download.do', 'POST', 'fileId=' || page_id FROM p WHERE page_id % 3 = 2""",
+    rf"""WITH h AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]+') AS host, replace([{", ".join("'" + x.replace("'", "''") + "'" for x in _SHAPES)}][page_id % 3 + 1], '{{0}}', page_id::VARCHAR) || html AS html FROM pages),
+a AS ({_in_html(_LINK)}), f AS ({_in_html(_FORM)}),
+l AS (SELECT *, trim(regexp_replace(regexp_replace(inner_html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS label,
+  coalesce(nullif({_VALUE.format("attrs", "href")}, ''), regexp_extract(attrs, '(?i)\shref\s*=\s*''([^'']*)''', 1)) AS href, {_VALUE.format("attrs", "onclick")} AS click, {_VALUE.format("attrs", "data-url")} AS data FROM a),
+o AS (SELECT page_id, host, pos, 0 AS n, label, href AS raw FROM l WHERE regexp_matches(href || ' ' || label, '{attachments.FILE_EXT}')
+  UNION ALL SELECT page_id, host, pos, 1, label, '/cmm/fms/FileDown.do?atchFileId=' || regexp_extract(click, '''(FILE_[\w-]+)''', 1) || '&fileSn=' || regexp_extract(click, '''(\d+)''\)', 1) FROM l WHERE contains(click, 'fn_egov_downFile(''FILE_')
+  UNION ALL SELECT page_id, host, pos, 1, label, regexp_extract(click, 'location\.href\s*=\s*''([^'']+)''', 1) FROM l WHERE regexp_matches(click, 'location\.href\s*=\s*''[^'']+\.(?:pdf|hwpx?|docx?|xlsx?|zip)''')
+  UNION ALL SELECT page_id, host, pos, 2, label, data FROM l WHERE regexp_matches(data, '{attachments.FILE_EXT}')),
+g AS (SELECT page_id, host, 0 AS kind, pos, n, label, raw, 'GET' AS method, '' AS body FROM o WHERE raw <> '' AND NOT starts_with(raw, '#')
+  UNION ALL SELECT page_id, host, 2, pos, 0, trim(attrs), {_VALUE.format("attrs", "action")} AS action, upper({_VALUE.format("attrs", "method")}),
+    array_to_string(list_transform(regexp_extract_all(inner_html, '(?i)<input\b([^>]*)>', 1), lambda x: regexp_extract(x, 'name="([^"]*)"', 1) || '=' || regexp_extract(x, 'value="([^"]*)"', 1)), '&') FROM f WHERE regexp_matches(action, '{attachments.DOWNLOAD_PATH}')),
+u AS (SELECT page_id, kind, pos, n, label, host || raw AS url, method, body, lower(regexp_extract(host || raw || ' ' || label, '{attachments.FILE_EXT}', 1)) AS type FROM g
+  QUALIFY row_number() OVER (PARTITION BY page_id, regexp_replace(raw, '#.*', '') ORDER BY kind, pos, n) = 1)
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY kind, pos, n) - 1 AS INT) AS pos, label AS name, CASE WHEN type = '' THEN 'unknown' ELSE type END AS type, url, method, body FROM u""",
 )
 def q42(spark, d):
+    """Shapes of attachments before the text of every page: links, data attributes, scripts, a form; repeated ones, and links that are none."""
     made = F.element_at(F.array(*[F.lit(s) for s in _SHAPES]), (F.col("page_id") % 3 + 1).cast("int"))
     pages = _pages(spark, d).withColumn("html", F.concat(F.replace(made, F.lit("{0}"), F.col("page_id").cast("string")), "html"))
     return attachments.extract_attachments(pages).select("page_id", "pos", "name", "type", "url", "method", "body")

@@ -7,7 +7,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from noticelake.operators import attachments, documents, feed, listing, pages, publish, reports
+from noticelake.operators import attachments, documents, elements, feed, listing, pages, publish, reports
 from noticelake.sources import fetch
 from noticelake.streaming import history
 
@@ -77,9 +77,9 @@ def test_attachments_as_rows(spark):
 
 def test_element_surroundings(spark):
     page = "a" * 600 + "<a href='/x'>l</a>" + "b" * 600
-    row = attachments.elements(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string"), "page_id").first()
+    row = elements.elements(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string"), "page_id").first()
     assert row["around"] == "a" * 450 + "<a href='/x'>l</a>" + "b" * 450
-    row = attachments.elements(spark.createDataFrame([(1, "u", "<a href='/x'>l</a>" + "b" * 600)], "page_id long, url string, html string"), "page_id").first()
+    row = elements.elements(spark.createDataFrame([(1, "u", "<a href='/x'>l</a>" + "b" * 600)], "page_id long, url string, html string"), "page_id").first()
     assert row["around"] == "<a href='/x'>l</a>" + "b" * 450
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from noticelake.functions import text
-from noticelake.operators import attachments, candidates, classify, documents, evidence, feed, listing, pages, publish, quality, reports, requirements
+from noticelake.operators import attachments, candidates, classify, documents, elements, evidence, feed, listing, pages, publish, quality, reports, requirements
 from noticelake.sources import fetch
 from noticelake.streaming.history import merge_batches
 
@@ -163,10 +163,28 @@ def test_links_by_profile(spark):
 
 
 def test_enclosing_blocks(spark):
-    page = "<ul><li class=a>one</li><li><a onclick='go(1)'>two</a></li></ul>"
-    df = spark.createDataFrame([(page,), ("no go(2) tags",)], "html string").select(F.explode(text.occurrences(F.col("html"), r"go\(\d\)", 100)).alias("o"))
-    got = [r["b"] for r in df.select(text.enclosing_block(F.col("o.before"), F.col("o.found"), F.col("o.after")).alias("b")).collect()]
-    assert got == ["<li><a onclick='go(1)'>two</a></li>", "no go(2) tags"]
+    long = "<div>" + "x" * 13_000 + "<tr>go(3)</tr></div>"
+    pages = ["<ul><li class=a>one</li><li><a onclick='go(1)'>two</a></li></ul>", "no go(2) tags", long, "<div><li>go(4)</div>", None]
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id int, html string")
+    got = [r["block"] for r in elements.occurrences(df, ["page_id"], r"go\(\d\)").orderBy("page_id").collect()]
+    assert got == ["<li><a onclick='go(1)'>two</a></li>", "no go(2) tags", "<tr>go(3)</tr>", "<div><li>go(4)</div>"]
+    assert elements.Page("<div>" + "x" * 13_000 + "go(1)</div>").block(13_005) == "x" * 1200 + "go(1)</div>"
+
+
+def test_elements_take_time_in_proportion(spark):
+    """10,000 links, as many that never end, and blocks: each page is one pass."""
+    import time
+
+    link = "<li><a href='/view.do?idx={0}' onclick=\"go({0})\">공고 {0}</a> <img src='/f/{0}.png'> " + "글" * 90 + "</li>"
+    whole = "<script>function go(n){location.href='/down.do?file='+n;}</script>" + "".join(link.replace("{0}", str(i)) for i in range(10_000))
+    assert len(whole) > 1_500_000
+    start = time.time()
+    page = elements.Page(whole)
+    found = list(page.elements())
+    assert [x[:2] for x in found[:2]] == [(0, 0), (1, 0)] and len(found) == 20_000
+    assert page.block(found[-2][2]).startswith("<li><a href='/view.do?idx=9999'")
+    assert not list(elements.Page("<a href='x'>" * 20_000 + "<a " * 20_000).elements())
+    assert time.time() - start < 4
 
 
 def test_gateways_give_their_best_file(spark):
