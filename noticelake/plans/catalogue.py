@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from noticelake.functions import rules as R
 from noticelake.functions.dates import extract_deadline, is_expired
 from noticelake.functions.text import clean_html, context_lines, title_key
 from noticelake.functions.urls import canonical_url
-from noticelake.operators import attachments, candidates, classify, documents, evidence, feed, listing, publish, quality, reports, requirements, vacancies
+from noticelake.operators import adapters, attachments, candidates, classify, documents, evidence, feed, listing, publish, quality, reports, requirements, vacancies
 from noticelake.operators import pages as page_ops
 from noticelake.plans import posting_sql as S
 from noticelake.plans.postings import postings, spread
@@ -595,17 +596,45 @@ def q49(spark, d):
     return reports.access_summary(_read(spark, d, "events").select(F.col("user_id").alias("org"), ((e == "view") & (F.col("value") > 60)).alias("ok"), error.alias("error")))
 
 
-@query("q50_candidates", f"WITH {S.POSTINGS} SELECT posting_id AS page_id, ['row', 'anchor', 'block'][posting_id % 3 + 1] AS tier, title, 'https://jobs.example/view.do?nttId=' || posting_id AS link FROM postings")
+_VALID = f"length(title) BETWEEN 6 AND 220 AND {S.has('title', R.RECRUITMENT)} AND NOT {S.has('title', R.STAGE_NOISE + '|채용절차|전형일정')} AND NOT {S.has('title', [*R.NON_JOB, *R.EXCLUDED_EMPLOYMENT, *R.LICENSE_JOB])}"
+#: Listings of one post by kind: a row whose number an adapter knows, a link, a clickable block, JSON, a row that leads nowhere, a row by a rule of two numbers.
+_LISTINGS = [
+    "<table><tr><td>1</td><td><a href='#' onclick=\"postView({0})\">{1}</a></td><td>2026.01.02</td></tr></table><a href='/view.do?nttId=1'>다른 채용 공고</a>",
+    "<p><a href='/view.do?nttId={0}'>{1}</a><a href='/view.do?nttId=2'>목록</a><a href='/a.pdf'>다른 채용 공고</a><a href='https://other.example/view.do?nttId=3'>다른 곳의 채용 공고</a></p>",
+    "<ul><li onclick=\"location.href='/view.do?nttId={0}'\"><b class='tit'>{1}</b> 2026.01.02</li></ul>",
+    '{{"content": [{{"id": {0}, "title": "{1}", "state": "open"}}, {{"title": "번호 없는 채용 공고"}}, {{"id": {0}, "title": "{1}"}}]}}',
+    "<table><tr><td>1</td><td><a href='#' onclick=\"go()\">{1}</a></td><td>2026.01.02</td></tr></table>",
+    "<table><tr onclick=\"fnMove('A{0}','7')\"><td>1</td><td>{1}</td><td>2026.01.02</td></tr></table>",
+]
+_MOVE = (r"fnMove\(\s*[\"']([^\"']+)[\"']\s*,\s*[\"']?(\d+)[\"']?\s*\)", ["id", "row"], False, None, None, "POST", "/r/view.do", [("sid", "{id}"), ("rnum", "{row}")], [("pageIndex", "1"), ("sid", "{id}"), ("rnum", "{row}")], None, None, None, None)
+
+
+def _listing_sql() -> str:
+    shapes = ", ".join("'" + x.replace("{{", "{").replace("}}", "}").replace("'", "''") + "'" for x in _LISTINGS)
+    return f"h AS (SELECT posting_id AS page_id, posting_id % {len(_LISTINGS)} AS kind, replace(replace([{shapes}][posting_id % {len(_LISTINGS)} + 1], '{{0}}', posting_id::VARCHAR), '{{1}}', title) AS html FROM postings)"
+
+
+@query(
+    "q50_candidates",
+    rf"""WITH {S.POSTINGS}, {_listing_sql()},
+t AS (SELECT page_id, kind, html, CASE kind WHEN 0 THEN regexp_extract(html, '<a[^>]*>([^<]*)</a>', 1) WHEN 1 THEN regexp_extract(html, '<a[^>]*>([^<]*)</a>', 1) WHEN 2 THEN regexp_extract(html, '<b[^>]*>([^<]*)</b>', 1)
+  WHEN 3 THEN json_extract_string(html, '$.content[0].title') WHEN 4 THEN regexp_extract(html, '<a[^>]*>([^<]*)</a>', 1) ELSE regexp_extract(html, '<td>([^<]*)</td><td>2026', 1) END AS title FROM h)
+SELECT page_id, ['row', 'anchor', 'block', 'api', 'row', 'row'][kind + 1] AS tier, title, kind = 4 AS list_only,
+  'https://jobs.example' || CASE kind WHEN 0 THEN '/view.do?nttId=' || regexp_extract(html, 'postView\((\d+)', 1) WHEN 1 THEN regexp_extract(html, 'href=''([^'']+)', 1) WHEN 2 THEN regexp_extract(html, 'location\.href=''([^'']+)', 1)
+    WHEN 3 THEN '/read/' || json_extract_string(html, '$.content[0].id') WHEN 4 THEN '/list.do#list-row-0' ELSE '/r/view.do?sid=' || regexp_extract(html, 'fnMove\(''([^'']+)', 1) || '&rnum=' || regexp_extract(html, ',''(\d+)''\)', 1) END AS link,
+  CASE WHEN kind = 5 THEN 'pageIndex=1&sid=' || regexp_extract(html, 'fnMove\(''([^'']+)', 1) || '&rnum=7' ELSE '' END AS body
+FROM t WHERE kind <> 3 OR ({_VALID})""",
+)
 def q50(spark, d):
-    """A third of the pages for each tier; those with rows also have a link, which does not count."""
-    number = F.col("posting_id").cast("string")
-    row = F.concat(F.lit("<table><tr><td>"), number, F.lit("</td><td><a href='#' onclick=\"postView("), number, F.lit(")\">"), "title", F.lit("</a></td><td>2026.01.02</td></tr></table><a href='/view.do?nttId=1'>다른 채용 공고</a>"))
-    anchor = F.concat(F.lit("<p><a href='/view.do?nttId="), number, F.lit("'>"), "title", F.lit("</a><a href='/view.do?nttId=2'>목록</a><a href='/a.pdf'>다른 채용 공고</a></p>"))
-    block = F.concat(F.lit("<ul><li onclick=\"location.href='/view.do?nttId="), number, F.lit("'\">"), "title", F.lit("</li></ul>"))
-    html = F.when(F.col("posting_id") % 3 == 0, row).when(F.col("posting_id") % 3 == 1, anchor).otherwise(block)
-    listings = postings(spark, d).select(F.col("posting_id").alias("page_id"), "org", F.lit("https://jobs.example/list.do").alias("url"), html.alias("html"))
-    adapters = listings.select("org").distinct().withColumn("template", F.lit("/view.do?nttId={id}"))
-    return candidates.candidates(listings, adapters).select("page_id", "tier", "title", "link")
+    """Six kinds of listings, each by its own way: with links to other hosts, files, navigation and posts without a number, which do not count."""
+    shape = F.element_at(F.array(*[F.lit(x.replace("{{", "{").replace("}}", "}")) for x in _LISTINGS]), (F.col("posting_id") % len(_LISTINGS) + 1).cast("int"))
+    html = F.replace(F.replace(shape, F.lit("{0}"), F.col("posting_id").cast("string")), F.lit("{1}"), F.col("title"))
+    pages = postings(spark, d).select(F.col("posting_id").alias("page_id"), "org", F.lit("https://jobs.example/list.do").alias("url"), html.alias("html"))
+    orgs = [r["n_name"] for r in _read(spark, d, "nation").select("n_name").collect()]
+    known = spark.createDataFrame([(o, "/view.do?nttId={id}") for o in orgs], "org string, template string")
+    rules = adapters.table_of(spark, adapters.RULES, [(o, *_MOVE) for o in orgs])
+    json = adapters.table_of(spark, adapters.LISTINGS, [(o, "$.content", ["$.no", "$.id"], ["$.title"], None, "https://jobs.example/read/{id}") for o in orgs])
+    return candidates.candidates(pages, known, rules=rules, listings=json).select("page_id", "tier", "title", "list_only", "link", "body")
 
 
 # Runs end to end
@@ -786,14 +815,41 @@ def q58(spark, d):
     return rows.select("posting_id", F.array_join("summary", "|").alias("summary"), feed.deadline_label(F.col("days_left"), F.col("deadline")).alias("label"))
 
 
-@query("q59_detail_requests", f"WITH {S.POSTINGS} SELECT posting_id, CASE WHEN length(org) % 2 = 0 THEN 'POST' ELSE 'GET' END AS method, CASE WHEN length(org) % 2 = 0 THEN '/board/view.do' ELSE '/read?idx=' || posting_id END AS link, CASE WHEN length(org) % 2 = 0 THEN 'mode=view&bcIdx=' || posting_id ELSE '' END AS body FROM postings WHERE length(org) % 3 <> 0")
+#: Blocks of one post by kind: a call with two values, a row whose year is in it, in the page or nowhere, several addresses of which two are the same.
+_BLOCKS = [
+    "<tr onclick=\"fnMove('A {0}', '{1}')\"><td>x</td></tr>",
+    "<tr><td><a href=\"javascript:fn_Detail({0})\">x</a></td><td>{2}</td></tr>",
+    "<tr><td><a href='?k={0}'>x</a><b k='{0}'> k=77{1}</b></td></tr>",
+]
+_DETAIL_FORM = "<form name='frm'><input type='hidden' name='siteCd' value='9'><input type='submit' name='go' value='1'><input name='boardNo' value=''></form>{3}"
+_DETAIL_YEAR = (r"fn_Detail\s*\(\s*[\"']?(\d+)", ["id"], False, [("year", "text", r"\b(20\d{2})[-./년]"), ("year", "page", r"itemyear\s*=\s*[\"'](20\d{2})[\"']")], [("year", "2026")], "POST", "/jobView.do", [("boardNo", "{id}")], [("boardNo", "{id}"), ("itemyear", "{year}")], "frm", [("searchfield", "ALL"), ("item8", "")], None, None)
+_ALL_KEYS = (r"(?:[?&]k=|\bk\s*[=:,(]\s*[\"']?)(\d{3,})", ["k"], True, None, None, "GET", "/3/1/2/2", [("k", "{k}"), ("pc", "{pc}")], None, None, None, None, None)
+
+
+@query(
+    "q59_detail_requests",
+    rf"""WITH {S.POSTINGS}, k AS (SELECT *, length(org) % 4 AS kind FROM postings),
+b AS (SELECT posting_id, kind, replace(replace(replace([{", ".join("'" + x.replace("'", "''") + "'" for x in _BLOCKS)}][kind + 1], '{{0}}', (posting_id + 100)::VARCHAR), '{{1}}', (posting_id % 97)::VARCHAR), '{{2}}', CASE WHEN posting_id % 2 = 0 THEN (2020 + posting_id % 5) || '.01.02' ELSE '-' END) AS block,
+  CASE WHEN posting_id % 4 = 1 THEN '<script>itemyear="2019"</script>' ELSE '' END AS page FROM k WHERE kind < 3),
+v AS (SELECT posting_id, kind, block, page, regexp_extract(block, 'fnMove\(''([^'']+)''', 1) AS id, regexp_extract(block, ', ''(\d+)''\)', 1) AS row, regexp_extract(block, 'fn_Detail\((\d+)', 1) AS number,
+  coalesce(nullif(regexp_extract(block, '(20\d\d)\.', 1), ''), nullif(regexp_extract(page, 'itemyear="(20\d\d)"', 1), ''), '2026') AS year, list_distinct(regexp_extract_all(block, 'k=''?(\d\d\d+)', 1)) AS keys FROM b),
+u AS (SELECT posting_id, unnest(keys) AS key FROM v WHERE kind = 2)
+SELECT posting_id, 'POST' AS method, 'https://jobs.example/r/view.do?sid=' || replace(id, ' ', '+') || '&rnum=' || row AS link, 'https://jobs.example/r/view.do' AS request_url, 'pageIndex=1&sid=' || replace(id, ' ', '+') || '&rnum=' || row AS body FROM v WHERE kind = 0
+UNION ALL SELECT posting_id, 'POST', 'https://jobs.example/jobView.do?boardNo=' || number, 'https://jobs.example/jobView.do', 'siteCd=9&boardNo=' || number || '&itemyear=' || year || '&searchfield=ALL&item8=' FROM v WHERE kind = 1
+UNION ALL SELECT posting_id, 'GET', 'https://jobs.example/3/1/2/2?k=' || key, 'https://jobs.example/3/1/2/2?k=' || key, '' FROM u""",
+)
 def q59(spark, d):
-    """Two kinds of rules: a form that is posted, and an address; a third of the organisations has none."""
-    blocks = postings(spark, d).select("posting_id", "org", F.concat(F.when(F.length("org") % 2 == 0, "<a onclick=\"fnView('").otherwise("<a data-idx=\"('"), F.col("posting_id").cast("string"), F.lit("')\">")).alias("block"))
-    posted = F.length("org") % 2 == 0
-    rules = _read(spark, d, "nation").select(F.col("n_name").alias("org")).where(F.length("org") % 3 != 0)
-    rules = rules.select("org", F.when(posted, r"fnView\('(\d+)'\)").otherwise(r"data-idx=\W+(\d+)").alias("id_pattern"), F.when(posted, "post").otherwise("get").alias("method"), F.when(posted, "/board/view.do").otherwise("/read?idx={id}").alias("template"), F.when(posted, "mode=view&bcIdx={id}").alias("body"))
-    return candidates.detail_requests(blocks, rules).select("posting_id", "method", "link", "body")
+    """Rules with two values, with a form of the page, a recovered year and a default, and with all matches; a quarter of the names has none."""
+    kind = F.length("org") % 4
+    shape = F.element_at(F.array(*[F.lit(x) for x in _BLOCKS]), kind + 1)
+    year = F.when(F.col("posting_id") % 2 == 0, F.concat((2020 + F.col("posting_id") % 5).cast("string"), F.lit(".01.02"))).otherwise("-")
+    fill = {"{0}": (F.col("posting_id") + 100).cast("string"), "{1}": (F.col("posting_id") % 97).cast("string"), "{2}": year}
+    block = functools.reduce(lambda c, x: F.replace(c, F.lit(x[0]), x[1]), fill.items(), shape)
+    page = F.replace(F.lit(_DETAIL_FORM), F.lit("{3}"), F.when(F.col("posting_id") % 4 == 1, '<script>itemyear="2019"</script>').otherwise(""))
+    blocks = postings(spark, d).where(kind < 3).select("posting_id", "org", F.lit("https://jobs.example/list.do").alias("url"), block.alias("block"), page.alias("html"))
+    orgs = [r["n_name"] for r in _read(spark, d, "nation").select("n_name").collect()]
+    rules = adapters.table_of(spark, adapters.RULES, [(o, *(_MOVE, _DETAIL_YEAR, _ALL_KEYS)[len(o) % 4]) for o in orgs if len(o) % 4 < 3])
+    return adapters.detail_requests(blocks, rules).select("posting_id", "method", "link", "request_url", "body")
 
 
 @query("q60_detail_failures", "WITH r AS (SELECT user_id AS org, CASE event_type WHEN 'click' THEN 'detail page empty' WHEN 'view' THEN 'timeout' WHEN 'error' THEN 'HTTP 404' WHEN 'signup' THEN 'Title mismatch' ELSE 'excluded' END AS reason FROM events) SELECT org, CAST(count_if(reason NOT IN ('timeout', 'excluded')) AS BIGINT) AS detail_failures FROM r GROUP BY 1")
