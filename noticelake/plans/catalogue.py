@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import functools
+import io
+import zipfile
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +15,7 @@ from noticelake.functions import rules as R
 from noticelake.functions.dates import extract_deadline, is_expired
 from noticelake.functions.text import clean_html, context_lines, title_key
 from noticelake.functions.urls import canonical_url
-from noticelake.operators import adapters, attachments, candidates, classify, documents, evidence, feed, listing, publish, quality, reports, requirements, vacancies
+from noticelake.operators import adapters, attachments, candidates, classify, documents, enrich, evidence, feed, listing, publish, quality, reports, requirements, vacancies
 from noticelake.operators import pages as page_ops
 from noticelake.plans import posting_sql as S
 from noticelake.plans.postings import postings, spread
@@ -858,3 +861,70 @@ def q60(spark, d):
     reason = F.when(e == "click", "detail page empty").when(e == "view", "timeout").when(e == "error", "HTTP 404").when(e == "signup", "Title mismatch").otherwise("excluded")
     counts = _read(spark, d, "events").groupBy(F.col("user_id").alias("org"), reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
     return listing.detail_failures(counts)
+
+
+# A run from html and bytes
+
+_PAD = "근무조건과 전형절차에 관한 문의는 담당부서로 하시기 바라며 자세한 내용은 붙임 문서를 확인하시고 기한 안에 서류를 내시기 바랍니다. 제출한 서류는 돌려드립니다."
+
+
+@F.pandas_udf("binary")
+def _docx(text: pd.Series) -> pd.Series:
+    """A document of one paragraph."""
+
+    def one(t: str) -> bytes:
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            z.writestr("word/document.xml", f"<w:document><w:p>{t}</w:p></w:document>")
+        return out.getvalue()
+
+    return text.map(one)
+
+
+def _run(spark, d):
+    """Listing pages, detail pages and files of all postings, and the journal of the run over them."""
+    notices = postings(spark, d)
+    number = F.col("posting_id").cast("string")
+    row = F.concat(F.lit("<table><tr><td>"), number, F.lit("</td><td><a href='"), "link", F.lit("'>"), "title", F.lit("</a></td><td>"), F.expr("substring(list_text, length(title) + 2)"), F.lit("</td></tr></table>"))
+    listings = notices.select(F.col("posting_id").alias("page_id"), "org", F.lit("https://jobs.example/list").alias("url"), row.alias("html"))
+    found = candidates.candidates(listings).withColumnRenamed("page_id", "candidate")
+    body = F.concat(F.lit("<html><head><title>"), "title", F.lit("</title></head><body><article>"), F.replace("detail_text", F.lit("\n"), F.lit("<br>")), F.lit(f"<br>{_PAD}</article>"), F.when(F.col("document_text") != "", F.concat(F.lit("<a href='/f/"), number, F.lit(".docx'>채용공고.docx</a>"))).otherwise(""), F.lit("</body></html>"))
+    answers = notices.where("link LIKE '%view.do%'").select(F.col("link").alias("request_url"), F.lit("").alias("body"), F.col("link").alias("final_url"), F.when(F.col("detail_ok"), 200).otherwise(404).alias("status"), F.lit("text/html").alias("content_type"), body.alias("html"))
+    files = notices.where("document_text <> ''").select(F.concat(F.lit("https://jobs.example/f/"), number, F.lit(".docx")).alias("url"), _docx("document_text").alias("content"), F.lit("").alias("content_type"), F.lit("").alias("disposition"))
+    return enrich.enrich(found.select("candidate", "org", "title", "list_text", "link", "list_only", "request_url", "body"), answers, files, _as_of(), S.YEAR)
+
+
+def _journal_sql() -> str:
+    """The same journal from the postings: what decides before the vacancies, then the analysis of what is left."""
+    sql = S.of_vacancies(S.QUALITY).replace("notices AS (", "raw AS (", 1).replace(f"{S.deadline('flat')} AS deadline", "whole_deadline AS deadline")
+    at = sql.index("lines AS (")
+    whole = "title || chr(10) || list_text || chr(10) || detail_text || chr(10) || document_text"
+    told = _SELECT.split("selected AS (SELECT *, ", 1)[1].rsplit(" AS reasons FROM postings)", 1)[0]
+    before = rf"""fixture AS (SELECT posting_id, org, title, posting_id || ' ' || list_text AS list_text, detail_text || chr(10) || '{_PAD}' AS detail_text, document_text, detail_ok, documents_read,
+  CASE WHEN contains(link, 'view.do') THEN 'https://jobs.example/board/view.do?menuNo=3&nttId=' || posting_id ELSE '' END AS link FROM raw),
+selected AS (SELECT *, {told} AS reasons, {S.squash(whole)} AS whole FROM fixture),
+staged AS (SELECT *, {S.deadline("whole")} AS whole_deadline FROM selected),
+decided AS (SELECT *, CASE WHEN len(reasons) > 0 THEN 'list-rejected' WHEN link = '' THEN 'list-extracted' WHEN NOT detail_ok THEN 'detail-rejected' WHEN whole_deadline <> '' AND whole_deadline < '{S.AS_OF}' THEN 'expired' WHEN {S.has("whole", enrich.CLOSED)} THEN 'closed' END AS told FROM staged),
+notices AS (SELECT * EXCLUDE (reasons, whole, told) FROM decided WHERE told IS NULL),
+"""
+    short = S.told(
+        (f"NOT recommended AND NOT ({S.HIGH})", "'학력=' || education"),
+        (f"NOT recommended AND NOT ({S.ALLOWED})", "'고용형태=' || employment"),
+        (f"NOT recommended AND NOT ({S.ULSAN})", "'근무지=' || location"),
+        ("signals < 3", "'채용 구조 부족'"),
+        ("ratio < 0.4 AND len(words) >= 3", "'제목-원문 일치도 낮음'"),
+    )
+    late = S.told((f"NOT ({S.HIGH})", "'학력 조건 미확인'"), (f"NOT ({S.ULSAN})", "'울산 단일 근무 미확인'"), (f"NOT ({S.ALLOWED})", "'허용 고용형태 미확인'"), ("deadline = ''", "'마감일 미확인'"))
+    after = rf""",
+late AS (SELECT *, CASE WHEN excluded THEN 'excluded' WHEN NOT recommended THEN 'review-needed' WHEN NOT quality_passed THEN 'quality-rejected' WHEN len(errors) > 0 THEN 'invalid' ELSE 'accepted' END AS verdict, list_concat({short}, conflicts, {late}) AS short FROM validated)
+SELECT posting_id AS candidate, CASE told WHEN 'list-rejected' THEN 'list-selection' WHEN 'list-extracted' THEN 'list-only' ELSE '' END AS vacancy_id, title, told AS status,
+  CASE told WHEN 'list-rejected' THEN array_to_string(reasons, ', ') WHEN 'list-extracted' THEN '{enrich.PENDING}' WHEN 'detail-rejected' THEN 'HTTP 404' WHEN 'expired' THEN '{enrich.EXPIRED}' ELSE '{enrich.CLOSED_REASON}' END AS reason FROM decided WHERE told IS NOT NULL
+UNION ALL SELECT posting_id, vacancy_id, title, verdict, CASE verdict WHEN 'excluded' THEN array_to_string(exclude_reasons, ', ') WHEN 'invalid' THEN array_to_string(errors, ', ') WHEN 'accepted' THEN '' ELSE array_to_string(short, ', ') END FROM late"""
+    return "WITH " + sql[:at] + before + sql[at:] + after
+
+
+@query("q61_enrichment_journal", _journal_sql())
+def q61(spark, d):
+    """Titles and links cut from listing pages, texts from detail pages and files: every candidate or vacancy with how far it came and why."""
+    journal, _ = _run(spark, d)
+    return journal.select("candidate", "vacancy_id", "title", "status", "reason")
