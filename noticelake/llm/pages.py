@@ -8,6 +8,7 @@ region of the highest sum; runs with a negative sum in it are left out.
 
 from __future__ import annotations
 
+import bisect
 import html
 import math
 import re
@@ -25,7 +26,10 @@ from noticelake.llm.common import checkpoint, slices
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q ruby rb rt rp s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BOILER = set("nav header footer aside form menu dialog button select textarea iframe object applet canvas head title fieldset datalist".split())
-RAW = "script|style|noscript|template|svg|math|textarea|iframe|title"
+RAW = set("script style title textarea iframe".split())
+#: Elements whose content is left out, and what ends the first two of them wherever it stands.
+HIDDEN = set("svg math template noscript".split())
+BREAKS = set("article aside blockquote body br center dd div dl dt em footer h1 h2 h3 h4 h5 h6 head header hr img li main nav ol p pre section span strong table td tr ul".split())
 #: Words of a class, id or role that are taken for boilerplate until pages tell.
 NAMES = set(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar side aside menu nav navbar navigation breadcrumb breadcrumbs header masthead footer foot "
@@ -40,13 +44,12 @@ UNSEEN, LEAST, MOST, LOW = -0.7, -1.5, -0.02, 0.25
 RARE = 1e-4
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<tag>[a-z][\w:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|<[a-z][^>]*(?:>|\Z)|(?P<text>[^<]+|<)",
+    r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[a-z][\w:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|<[a-z][^>]*(?:>|\Z)|(?P<text>[^<]+|<)",
     re.I | re.S,
 )
 _NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-
-
+_ENDS = re.compile(rf"</({'|'.join(sorted(RAW | HIDDEN))})\s*>", re.I)
 
 
 @dataclass
@@ -74,33 +77,55 @@ def parse(page: str) -> Page:
 
     Ends close the nearest open element of their name, with all that is open in it; an end without one counts
     for nothing. An article or main element ends what is left open of menus and adverts, but not of comments.
+    The content of scripts and the like is passed over to their end; pictures and templates are elements whose content gives no tokens,
+    and their parent's end is theirs. Of either kind those that close themselves or have no end at all hold nothing.
     """
     out = Page()
     stack: list[int] = []
     opened: Counter = Counter()
-    suspects = comments = 0  # open elements with names of boilerplate, and those of comments
+    suspects = comments = hidden = 0  # open elements with names of boilerplate, those of comments, those without content
+    ends: dict[str, list[int]] = {}
+    for m in _ENDS.finditer(page):
+        ends.setdefault(m[1].lower(), []).append(m.end())
 
     def close() -> int:
-        nonlocal suspects, comments
+        nonlocal suspects, comments, hidden
         e = stack.pop()
         opened[out.tags[e]] -= 1
         suspects -= any(map(_prior, out.keys[e]))
         comments -= any(k.startswith(".comment") for k in out.keys[e])
+        hidden -= out.tags[e] in HIDDEN
         return e
 
-    for m in _TOKEN.finditer(page):
+    pos = 0
+    while m := _TOKEN.match(page, pos):
+        pos = m.end()
         if m["text"]:
-            out.tokens.append((stack[-1] if stack else 0, False, m["text"]))
+            if not hidden:
+                out.tokens.append((stack[-1] if stack else 0, False, m["text"]))
             continue
         tag = (m["tag"] or "").lower()
         if not tag:
             continue
         if m["end"]:
             if opened[tag]:
+                seen = not hidden
                 while out.tags[e := close()] != tag:
                     pass
-                out.tokens.append((e, True, ""))
+                if seen or not (hidden or tag in HIDDEN):
+                    out.tokens.append((e, True, ""))
             continue
+        attrs = m["attrs"] or ""
+        if tag in RAW or tag in HIDDEN:
+            last = ends.get(tag, [])
+            at = bisect.bisect_left(last, pos)
+            if attrs.endswith("/") or at == len(last):
+                continue
+            if tag in RAW:
+                pos = last[at]
+                continue
+        while hidden and tag in BREAKS and (opened["svg"] or opened["math"]):
+            close()
         if tag in ("article", "main") and suspects and not comments:
             while suspects:
                 close()
@@ -109,9 +134,11 @@ def parse(page: str) -> Page:
         e = len(out.tags)
         out.tags.append(tag)
         out.parents.append(stack[-1] if stack else 0)
-        out.keys.append(_keys(tag, m["attrs"] or ""))
-        out.tokens.append((e, True, ""))
-        if tag not in VOID and not (m["attrs"] or "").endswith("/"):
+        out.keys.append(_keys(tag, attrs))
+        hidden += tag in HIDDEN
+        if not hidden:
+            out.tokens.append((e, True, ""))
+        if tag not in VOID and not attrs.endswith("/"):
             stack.append(e)
             opened[tag] += 1
             suspects += any(map(_prior, out.keys[e]))

@@ -178,6 +178,26 @@ def test_hostile_pages_end():
 # Fingerprints
 
 
+def test_pictures_and_templates_take_no_text_away():
+    """What closes itself, never ends or ends elsewhere keeps nothing that follows; what it holds is left out."""
+    a, b = " ".join(["eins"] * 60), " ".join(["zwei"] * 60)
+    page = "<body><nav><a>menu</a></nav><article><p>{0}</p>{1}<p>{2}</p></article><footer>foot</footer></body>"
+    want = pages.extract(page.format(a, "", b), pages.Weights())
+    assert want == a + "\n" + b
+    icons = ["<{0}/>", "<{0} class='i'/>", "<{0}>", "<{0} a=1>", "<{0}>x x</{0}>", "<{0} b='>'>x</{0}>", "<{0}/>" * 50]
+    for tag in ("svg", "math", "template", "noscript", "iframe", "script", "style", "textarea", "title"):
+        for icon in icons:
+            assert pages.extract(page.format(a, icon.format(tag), b), pages.Weights()) == want, (tag, icon)
+            assert pages.extract(page.format(a, "<p>" + icon.format(tag) + "</p>", b), pages.Weights()) == want, (tag, icon)
+    for misnested in ("<p><svg></p>", "<p><svg><path d='1'></p>", "<svg><p>" + "drei " * 9 + "</p></svg>", "<p><noscript></p>", "</svg></template>"):
+        text = pages.extract(page.format(a, misnested, b) + "<svg></svg><noscript></noscript>", pages.Weights())
+        assert text.startswith(a) and text.endswith(b), misnested
+    inline = pages.extract(f"<article><p>{a} x<svg><path/>y</svg>z {b}</p></article>", pages.Weights())
+    assert inline == f"{a} xz {b}"
+    for hostile in ("<svg>" * 100_000, "<script>" * 100_000, "<svg><p>" * 50_000 + "</svg>", "<iframe/>" * 100_000 + "</iframe>"):
+        pages.extract(hostile, pages.Weights())
+
+
 def test_rolling_hash_depends_on_seven_bytes_only():
     rng = np.random.default_rng(1)
     a, b = rng.integers(0, 256, 500, np.uint8), rng.integers(0, 256, 500, np.uint8)
