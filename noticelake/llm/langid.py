@@ -22,8 +22,8 @@ from noticelake.llm.common import checkpoint, fresh, pieces, slices
 
 ORDERS = (2, 3, 4)
 HASHES = 2
-#: The chance that an n-gram outside a language passes its filter: what the size is chosen for, and what is an error; and the most slots.
-FALSE_POSITIVES, TOO_FALSE, MOST_SLOTS = 0.01, 0.25, 1 << 24
+#: The chance that an n-gram outside a language passes its filter: what the size is chosen for, and the most that is let happen; the most slots, and those of a block.
+FALSE_POSITIVES, TOO_FALSE, MOST_SLOTS, BLOCK = 0.01, 0.25, 1 << 24, 1 << 16
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _LETTER: list[np.ndarray] = []
 
@@ -140,23 +140,41 @@ def _counted(labelled: DataFrame) -> DataFrame:
 
 
 def filter_size(n: int, false_positives: float = FALSE_POSITIVES, most: int = MOST_SLOTS) -> int:
-    """Slots (a power of two) for n n-grams at a chance of false positives; with more than ``most`` that chance rises, to TOO_FALSE at most."""
-    needed = lambda p: HASHES * n / -math.log1p(-(p ** (1 / HASHES)))
-    if needed(TOO_FALSE) > most:
-        raise ValueError(f"{n} n-grams of a language need more than {most} slots; raise ``most`` (8 bytes a slot in the driver and each worker) or count fewer orders")
-    return min(most, 1 << max(16, math.ceil(math.log2(max(needed(false_positives), 1)))))
-
-
-def _filters(counts: DataFrame, size: int | None, share: float) -> Filters:
-    """Filters of counts (gram, lang, n, texts). A gram counts only if ``texts`` is over 0."""
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"), F.count_if(F.col("texts") > 0).alias("grams")).orderBy("lang").collect()
-    size = size or filter_size(max((r["grams"] for r in totals), default=0))
-    if not totals:
+    """Slots (a power of two) for n n-grams at a chance of false positives; with more than ``most`` that chance rises."""
+    needed = HASHES * n / -math.log1p(-(false_positives ** (1 / HASHES)))
+    return min(most, 1 << max(16, math.ceil(math.log2(max(needed, 1)))))
+
+
+def least_count(histograms: dict[str, dict[int, int]], most: int = MOST_SLOTS) -> int:
+    """How often an n-gram must occur in a language to count: the least power of two with which the filter of ``most`` slots has a chance of false positives of TOO_FALSE at most.
+
+    histograms: for each language how many n-grams occur 2^k to 2^(k + 1) - 1 times. Rare n-grams tell least of a language, and are most of a large corpus; all count as long as they fit.
+    """
+    room = most * -math.log1p(-(TOO_FALSE ** (1 / HASHES))) / HASHES
+    k = 0
+    while any(sum(n for b, n in h.items() if b >= k) > room for h in histograms.values()):
+        k += 1
+    return 1 << k
+
+
+def _filters(counts: DataFrame, size: int | None, share: float, most: int = MOST_SLOTS) -> Filters:
+    """Filters of counts (gram, lang, n, texts). A gram counts only if ``texts`` is over 0 and its language holds it least_count times.
+
+    The bits come to the driver as blocks of 65,536 slots: 8 bytes a slot, of ``most`` slots for 63 languages.
+    """
+    held = F.col("texts") > 0
+    found = counts.groupBy("lang", F.floor(F.log2("n")).cast("int").alias("k")).agg(F.sum("n").alias("total"), F.count_if(held).alias("grams")).collect()
+    languages = sorted({r["lang"] for r in found})
+    histograms = {x: {r["k"]: r["grams"] for r in found if r["lang"] == x} for x in languages}
+    least = least_count(histograms, most)
+    size = size or filter_size(max((sum(n for k, n in h.items() if 1 << k >= least) for h in histograms.values()), default=0), most=most)
+    if not languages:
         return Filters([], np.zeros((0, size), np.uint64))
-    number, total = (F.create_map(*[F.lit(x) for i, r in enumerate(totals) for x in (r["lang"], v(i, r))]) for v in (lambda i, r: i, lambda i, r: float(r["total"])))
-    rows = counts.select("gram", "texts", number[F.col("lang")].alias("i"), (F.col("n") / total[F.col("lang")]).alias("f"))
-    most = F.max("f").over(Window.partitionBy("gram"))
-    rows = rows.withColumn("most", most).where((F.col("f") >= share * F.col("most")) & (F.col("texts") > 0))
+    totals = {x: float(sum(r["total"] for r in found if r["lang"] == x)) for x in languages}
+    number, total = (F.create_map(*[F.lit(x) for pair in pairs for x in pair]) for pairs in ([(x, i) for i, x in enumerate(languages)], totals.items()))
+    rows = counts.select("gram", "n", "texts", number[F.col("lang")].alias("i"), (F.col("n") / total[F.col("lang")]).alias("f"))
+    highest = F.max("f").over(Window.partitionBy("gram"))
+    rows = rows.withColumn("most", highest).where((F.col("f") >= share * F.col("most")) & held & (F.col("n") >= least))
     masks = rows.groupBy("gram", (F.col("i") / 63).cast("int").alias("part")).agg(F.expr("bit_or(shiftleft(1L, i % 63))").alias("mask"))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -164,10 +182,18 @@ def _filters(counts: DataFrame, size: int | None, share: float) -> Filters:
             at = slots(b["gram"].to_numpy().view(np.uint64), size)
             yield pd.DataFrame({"slot": np.concatenate(at).astype(np.int64), "part": np.tile(b["part"], HASHES), "mask": np.tile(b["mask"], HASHES)})
 
-    set_bits = masks.mapInPandas(place, "slot long, part int, mask long").groupBy("slot", "part").agg(F.bit_or("mask").alias("mask")).toArrow()
-    table = np.zeros(((len(totals) + 62) // 63, size), np.uint64)
-    table[set_bits["part"].to_numpy(), set_bits["slot"].to_numpy()] = set_bits["mask"].to_numpy().view(np.uint64)
-    return Filters([r["lang"] for r in totals], table)
+    def block(bits: pa.Table) -> pa.Table:
+        out = np.zeros(min(size, BLOCK), np.int64)
+        out[bits["slot"].to_numpy() % BLOCK] = bits["mask"].to_numpy()
+        return pa.table([bits["part"][:1], bits["block"][:1], pa.array([out.tobytes()])], names=["part", "block", "bits"])
+
+    bits = masks.mapInPandas(place, "slot long, part int, mask long").groupBy("slot", "part").agg(F.bit_or("mask").alias("mask"))
+    blocks = bits.withColumn("block", F.expr(f"slot div {BLOCK}")).groupBy("part", "block").applyInArrow(block, "part int, block long, bits binary")
+    table = np.zeros(((len(languages) + 62) // 63, size), np.uint64)
+    for r in blocks.collect():
+        start = r["block"] * BLOCK
+        table[r["part"], start : start + BLOCK] = np.frombuffer(r["bits"], np.uint64)
+    return Filters(languages, table)
 
 
 def learn(labelled: DataFrame, size: int | None = None, share: float = 0.2) -> Filters:
@@ -175,7 +201,7 @@ def learn(labelled: DataFrame, size: int | None = None, share: float = 0.2) -> F
 
     An n-gram belongs to the languages in which its frequency is at least ``share`` of that in the language
     where it is most frequent, so words that strayed into a language do not count. The filter has ``size`` slots,
-    or as many as the language with the most n-grams needs (see filter_size, which bounds what comes to the driver: 8 bytes a slot for 63 languages).
+    or as many as the language with the most n-grams needs (see filter_size), and takes n-grams from a number of occurrences on that lets it serve (see least_count).
     """
     return _filters(_counted(labelled.withColumn("fold", F.lit(0))), size, share)
 

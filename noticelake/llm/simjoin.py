@@ -302,7 +302,7 @@ def similar_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     and _) have a Jaccard similarity of ``threshold`` or more. links counts the other rows that a document is linked to;
     a class is a connected component and class_id its smallest doc_id, null last. Documents of equal sets are one
     set throughout and need no pairs. The runs (``runs_for`` the recall, if not given) are doubled until the measured recall is reached,
-    at most three times. A document of fewer than five words is one shingle; one without words,
+    at most three times, and a recall that is lower even then is an error. A document of fewer than five words is one shingle; one without words,
     and a null text, is linked to nothing and its own class. first marks the class's row with the smallest (doc_id, text_key).
     """
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -314,9 +314,11 @@ def similar_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float
         sets = sketched.where(F.col("digest").isNotNull()).groupBy("digest").agg(own, F.count(F.lit(1)).alias("copies"), F.first("paths").alias("paths"))
         sets = checkpoint(sets)
         found = _links(rows, sets, threshold, full)
-        if measured_recall(rows, sets, found, threshold) >= recall:
+        if (reached := measured_recall(rows, sets, found, threshold)) >= recall:
             break
         runs *= 2
+    else:
+        raise RuntimeError(f"{runs // 2} runs reach a recall of {reached:.4f} and not {recall}; give more runs")
 
     links = found.groupBy("digest").agg(F.sum("links").alias("links"))
     named = _components(found).join(sets.select("digest", "own"), "digest")

@@ -395,9 +395,29 @@ def test_shares_against_sets(spark):
 
 def test_filter_size_follows_the_data():
     assert langid.filter_size(1000) == 1 << 16 and langid.filter_size(200_000) == 1 << 22
-    assert langid.filter_size(3_000_000) == langid.MOST_SLOTS
-    with pytest.raises(ValueError, match="slots"):
-        langid.filter_size(50_000_000)
+    assert langid.filter_size(3_000_000) == langid.filter_size(50_000_000) == langid.MOST_SLOTS
+    # 5.8 million n-grams of a language fit; of twenty million those that occur four times or more
+    assert langid.least_count({"a": {0: 5_800_000}, "b": {}}) == 1
+    assert langid.least_count({"a": {0: 12_000_000, 1: 5_000_000, 2: 2_500_000, 5: 500_000}, "b": {0: 9}}) == 4
+    assert langid.least_count({}) == 1
+
+
+def test_filters_hold_the_frequent_grams_of_large_vocabularies(spark):
+    """A filter far too small for all n-grams still tells languages apart by those that are frequent."""
+    r = random.Random(8)
+    rows = []
+    for i in range(400):
+        lang = ("a", "b")[i % 2]
+        common = r.choices(["haus", "baum", "wind"] if lang == "a" else ["casa", "arbol", "viento"], k=20)
+        rare = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(60)]
+        rows.append((" ".join(common + rare), lang))
+    df = spark.createDataFrame(rows, "text string, lang string").withColumn("fold", F.lit(0))
+    small = langid._filters(langid._counted(df), None, 0.2, most=1 << 16)
+    assert small.masks.shape == (1, 1 << 16) and (small.false_positives() <= langid.TOO_FALSE).all()
+    total, shares = small.shares(["haus baum wind haus", "casa viento arbol"])
+    assert shares.argmax(axis=1).tolist() == [0, 1] and (total > 0).all()
+    whole = langid._filters(langid._counted(df), None, 0.2)
+    assert whole.masks.shape[1] > 1 << 16
 
 
 def test_filter_shares_are_corrected():
