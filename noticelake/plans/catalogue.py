@@ -15,7 +15,7 @@ from noticelake.functions import rules as R
 from noticelake.functions.dates import extract_deadline, is_expired
 from noticelake.functions.text import clean_html, context_lines, title_key
 from noticelake.functions.urls import canonical_url
-from noticelake.operators import adapters, attachments, candidates, classify, documents, enrich, evidence, feed, listing, publish, quality, reports, requirements, vacancies
+from noticelake.operators import adapters, attachments, candidates, classify, documents, enrich, evidence, feed, listing, publish, quality, reports, requirements, trace, vacancies
 from noticelake.operators import pages as page_ops
 from noticelake.plans import posting_sql as S
 from noticelake.plans.postings import postings, spread
@@ -928,3 +928,56 @@ def q61(spark, d):
     """Titles and links cut from listing pages, texts from detail pages and files: every candidate or vacancy with how far it came and why."""
     journal, _ = _run(spark, d)
     return journal.select("candidate", "vacancy_id", "title", "status", "reason")
+
+
+# Rows and candidates
+
+
+def _boards(spark, d) -> tuple[DataFrame, DataFrame]:
+    """A board for each customer, a row for each of the customer's postings, every fifth without an action and some without a date; and candidates: the rows that act, without every
+    seventh, and for every fourth board one that is no row."""
+    rows = postings(spark, d)
+    number = F.col("posting_id").cast("string")
+    shown = F.when(F.col("posting_id") % 5 == 0, F.col("title")).otherwise(F.concat(F.lit("<a href='/view.do?nttId="), number, F.lit("'>"), "title", F.lit("</a>")))
+    block = F.concat(F.lit("<tr><td>"), F.when(F.col("posting_id") % 3 == 0, "새 글").otherwise("7"), F.lit("</td><td>"), shown, F.lit("</td><td>"), F.when(F.col("posting_id") % 3 == 0, "").otherwise("2026.01.02"), F.lit("</td></tr>"))
+    whole = F.concat(F.lit("<table><tr><th>제목</th></tr>"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("posting_id", block.alias("b")))), lambda x: x["b"]), ""), F.lit("</table>"))
+    pages = rows.groupBy(F.col("cust").alias("page_id")).agg(whole.alias("html"), F.count(F.lit(1)).alias("n"))
+    found = rows.where("posting_id % 5 <> 0 AND posting_id % 7 <> 0").select(F.col("cust").alias("page_id"), F.col("posting_id").alias("pos"), "title", F.concat(F.lit("/view.do?nttId="), number).alias("link"))
+    extra = pages.where("page_id % 4 = 0").select("page_id", F.lit(0).cast("long").alias("pos"), F.lit("자주 묻는 질문").alias("title"), F.lit("/faq").alias("link"))
+    return pages, found.unionByName(extra)
+
+
+_BOARD_KEY = f"lower({S.squash(chr(123) + '0' + chr(125))})".replace("{0}", "regexp_replace(title, '[^0-9a-zA-Z가-힣]+', ' ', 'g')")
+_TRACE = f"""{S.POSTINGS}, b AS (SELECT cust AS page_id, posting_id, title, {_BOARD_KEY} AS key, posting_id % 5 <> 0 AS acts, posting_id % 3 <> 0 AS told FROM postings),
+r AS (SELECT *, row_number() OVER (PARTITION BY page_id, key ORDER BY posting_id) AS nth FROM b),
+x AS (SELECT page_id, posting_id AS pos, title, key FROM b WHERE acts AND posting_id % 7 <> 0 UNION ALL SELECT DISTINCT page_id, 0, '자주 묻는 질문', '자주 묻는 질문' FROM b WHERE page_id % 4 = 0),
+c AS (SELECT *, row_number() OVER (PARTITION BY page_id, key ORDER BY pos) AS nth FROM x),
+t AS (SELECT coalesce(r.page_id, c.page_id) AS page_id, coalesce(r.key, c.key) AS key, coalesce(r.nth, c.nth) AS nth, r.title AS row_title, c.title AS candidate_title,
+  CASE WHEN c.page_id IS NULL THEN 'missing' WHEN r.page_id IS NULL THEN 'extra' ELSE 'matched' END AS state,
+  CASE WHEN c.page_id IS NOT NULL THEN '' WHEN NOT acts THEN 'DETAIL_SIGNAL_MISSING' WHEN NOT told THEN 'ROW_SHAPE_NOT_RECOGNIZED' ELSE 'UNMATCHED_BY_EXTRACTOR' END AS reason,
+  CASE WHEN c.page_id IS NULL THEN '' WHEN contains(c.title, '질문') THEN 'FAQ' ELSE 'RECRUIT_POST' END AS kind FROM r FULL JOIN c ON r.page_id = c.page_id AND r.key = c.key AND r.nth = c.nth)"""
+
+
+@query("q62_row_trace", f"WITH {_TRACE} SELECT page_id, key, nth::INT AS nth, row_title, candidate_title, state, reason, kind FROM t")
+def q62(spark, d):
+    pages, found = _boards(spark, d)
+    return trace.row_trace(trace.traced_rows(pages), found).select("page_id", "key", "nth", "row_title", "candidate_title", "state", "reason", "kind")
+
+
+@query(
+    "q63_list_causes",
+    f"""WITH {_TRACE}, k AS (SELECT page_id, key, count(row_title) AS r, count(candidate_title) AS c, count_if(reason = 'DETAIL_SIGNAL_MISSING') AS silent FROM t GROUP BY ALL),
+s AS (SELECT page_id, sum(r)::BIGINT AS rows, count_if(r > 0)::BIGINT AS unique_titles, sum(c)::BIGINT AS candidates, sum(CASE WHEN c = 0 THEN r ELSE 0 END)::BIGINT AS missing, sum(CASE WHEN r = 0 THEN c ELSE 0 END)::BIGINT AS extra, sum(CASE WHEN c = 0 THEN r - silent ELSE 0 END) AS loud FROM k GROUP BY 1),
+v AS (SELECT *, CASE WHEN page_id % 3 <> 0 THEN rows END AS visible FROM s),
+a AS (SELECT page_id, string_agg(reason || '=' || n, ';' ORDER BY reason) AS reasons FROM (SELECT page_id, reason, count(*) AS n FROM t WHERE reason <> '' GROUP BY ALL) GROUP BY 1)
+SELECT page_id, rows, unique_titles, candidates, missing, extra, coalesce(reasons, '') AS reasons, coalesce(missing = 0 AND extra = 0 AND unique_titles = candidates AND candidates = visible, false) AS exact_titles,
+  CASE WHEN candidates = 0 AND loud = 0 THEN 'DETAIL_SIGNAL_NOT_EXPOSED_IN_ROWS' WHEN candidates = 0 THEN 'ROW_TITLE_OR_SHAPE_SELECTOR_MISMATCH' WHEN missing > 0 THEN 'PARTIAL_ROW_REJECTION' WHEN extra > 0 THEN 'NON_ROW_CANDIDATES_OR_COUNTER_MISMATCH' WHEN visible IS NULL THEN 'VISIBLE_ROW_COUNTER_UNAVAILABLE' ELSE 'NO_LIST_ROOT_CAUSE_DETECTED' END AS cause,
+  CASE WHEN visible IS NULL THEN 'COUNTER_SELECTOR_MISMATCH' WHEN unique_titles = candidates AND visible <> candidates THEN 'RAW_ROW_DUPLICATE_COUNT' WHEN candidates = 0 THEN 'EXTRACTOR_REJECTED_ROWS' WHEN candidates < unique_titles THEN 'MISSING_UNIQUE_POSTS' WHEN candidates > unique_titles THEN 'EXTRA_NON_ROW_CANDIDATES' ELSE 'UNKNOWN' END AS counter_reason
+FROM v LEFT JOIN a USING (page_id)""",
+)
+def q63(spark, d):
+    pages, found = _boards(spark, d)
+    counted = pages.withColumn("visible", F.when(F.col("page_id") % 3 != 0, F.col("n")))
+    got = trace.page_causes(counted, trace.row_trace(trace.traced_rows(pages), found))
+    reasons = F.array_join(F.transform(F.map_entries(F.coalesce("reasons", F.create_map().cast("map<string, bigint>"))), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ";")
+    return got.select("page_id", "rows", "unique_titles", "candidates", "missing", "extra", reasons.alias("reasons"), "exact_titles", "cause", "counter_reason")
