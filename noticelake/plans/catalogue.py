@@ -93,26 +93,48 @@ def q04(spark, d):
     return page_ops.selector_counts(_pages(spark, d))
 
 
-#: A page for each rung of the ladder and what it is; the last one is the page itself.
+#: A page for each rung of the ladder.
 _BOARDS = [
-    ("<p>잡알리오</p>", "JOB_ALIO", "high"),
-    ("<iframe src='/x'></iframe>", "IFRAME", "high"),
-    ('{"content": []}', "API", "high"),
-    ('<div id="root"></div><script src="/a/app.1.js"></script>', "SPA", "medium"),
-    ("<table><tr><td>x</td></tr></table><ul><li>y</li></ul>", "HTML_TABLE", "high"),
-    ("<ol><li>x</li></ol>", "UL_LIST", "medium"),
-    ("<div class='board-item'>x</div><div id='post1'>y</div>", "DIV_CARD", "medium"),
-    ("<p>x</p><script>fetch('/y')</script>", "API", "low"),
-    ("<p>x</p>", "UNKNOWN", "low"),
-    (None, "UL_LIST", "medium"),
+    "<p>잡알리오</p>",
+    "<iframe src='/x'></iframe>",
+    '{"content": []}',
+    '<div id="root"></div><script src="/a/app.1.js"></script>',
+    "<table><tr><td>x</td></tr></table><ul><li>y</li></ul>",
+    "<ol><li>x</li></ol>",
+    "<div class='board-item'>x</div><div id='post1'>y</div>",
+    "<p>x</p><script>fetch('/y')</script>",
+    "<p>x</p>",
 ]
 
 
-@query("q05_board_type", f"SELECT page_id, {[t for _, t, _ in _BOARDS]}[page_id % {len(_BOARDS)} + 1] AS type, {[c for _, _, c in _BOARDS]}[page_id % {len(_BOARDS)} + 1] AS confidence FROM pages")
+def _with_shapes(pages: DataFrame, shapes: list[str]) -> DataFrame:
+    """All pages, and beside each a made one of a negative page_id."""
+    made = F.element_at(F.array(*[F.lit(h) for h in shapes]), (F.col("page_id") % len(shapes) + 1).cast("int"))
+    pages = pages.select("page_id", "url", "html")
+    return pages.unionByName(pages.select((-F.col("page_id") - 1).alias("page_id"), "url", made.alias("html")))
+
+
+def _shapes_sql(shapes: list[str]) -> str:
+    made = ", ".join("'" + x.replace("'", "''") + "'" for x in shapes)
+    return f"shown AS (SELECT page_id, url, html FROM pages UNION ALL SELECT -page_id - 1, url, [{made}][page_id % {len(shapes)} + 1] FROM pages)"
+
+
+def _matches(pattern: str, c: str = "html") -> str:
+    return f"regexp_matches({c}, '{pattern.replace(chr(39), chr(39) * 2)}')"
+
+
+@query(
+    "q05_board_type",
+    rf"""WITH {_shapes_sql(_BOARDS)}, p AS (SELECT *, {" + ".join(f"CAST({_matches(x)} AS INT)" for x in page_ops.SPA)} AS spa,
+  length(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?i)<script\b[^>]*>[\s\S]*?</script>', '', 'g'), '(?i)<style\b[^>]*>[\s\S]*?</style>', '', 'g'), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))) AS bare FROM shown),
+t AS (SELECT page_id, CASE WHEN regexp_matches(url, '(?i)job-?alio|alio\.go\.kr') OR regexp_matches(html, '잡알리오|(?i)JOB-?ALIO') THEN ['JOB_ALIO', 'high'] WHEN regexp_matches(html, '(?i)<iframe\b') THEN ['IFRAME', 'high'] WHEN regexp_matches(html, '^\s*[\[{{]') THEN ['API', 'high']
+  WHEN spa >= 2 AND bare < 2500 THEN ['SPA', 'medium'] WHEN regexp_matches(html, '(?i)<table\b') AND regexp_matches(html, '(?i)<tr\b') THEN ['HTML_TABLE', 'high'] WHEN regexp_matches(html, '(?i)<(?:ul|ol)\b') AND regexp_matches(html, '(?i)<li\b') THEN ['UL_LIST', 'medium']
+  WHEN len(regexp_extract_all(html, '{page_ops.CARD.replace(chr(39), chr(39) * 2)}')) >= 2 THEN ['DIV_CARD', 'medium'] WHEN regexp_matches(html, '(?i)fetch\s*\(|axios\.|XMLHttpRequest|\.ajax\s*\(') THEN ['API', 'low'] ELSE ['UNKNOWN', 'low'] END AS told FROM p)
+SELECT page_id, told[1] AS type, told[2] AS confidence FROM t""",
+)
 def q05(spark, d):
-    made = F.element_at(F.array(*[F.lit(h) for h, _, _ in _BOARDS]), (F.col("page_id") % len(_BOARDS) + 1).cast("int"))
-    kind = page_ops.board_type(F.coalesce(made, "html"), F.col("url"), F.lit("text/html"))
-    return _pages(spark, d).select("page_id", kind["type"].alias("type"), kind["confidence"].alias("confidence"))
+    kind = page_ops.board_type(F.col("html"), F.col("url"), F.lit("text/html"))
+    return _with_shapes(_pages(spark, d), _BOARDS).select("page_id", kind["type"].alias("type"), kind["confidence"].alias("confidence"))
 
 
 def _verified(spark, d):
@@ -168,16 +190,13 @@ _BODY_TEXTS = ["alpha beta " * 9, "alpha too short alpha", "omega " * 30]
 
 @query(
     "q09_detail_body",
-    "WITH b AS (SELECT page_id, regexp_extract(html, '(?i)<article\\b[^>]*>([\\s\\S]*?)</article>', 1) AS inner_html, html AS whole FROM pages), "
+    f"WITH {_shapes_sql(_BODIES)}, b AS (SELECT page_id, regexp_extract(html, '(?i)<article\\b[^>]*>([\\s\\S]*?)</article>', 1) AS inner_html, html AS whole FROM shown), "
     f"c AS (SELECT page_id, (SELECT {_CLEAN} FROM (SELECT inner_html AS html)) AS t, (SELECT {_CLEAN} FROM (SELECT whole AS html)) AS w FROM b), "
-    f"d AS (SELECT page_id, CASE WHEN page_id % 6 < 3 THEN {[t.strip() for t in _BODY_TEXTS]}[page_id % 6 + 1] WHEN length(t) >= 80 THEN t ELSE w END AS t FROM c) SELECT page_id, length(t) AS chars, md5(t) AS digest FROM d",
+    f"d AS (SELECT page_id, CASE WHEN page_id < 0 THEN {[t.strip() for t in _BODY_TEXTS]}[(-page_id - 1) % 3 + 1] WHEN length(t) >= 80 THEN t ELSE w END AS t FROM c) SELECT page_id, length(t) AS chars, md5(t) AS digest FROM d",
 )
 def q09(spark, d):
-    made = F.element_at(F.array(*[F.lit(h) for h in [*_BODIES, None, None, None]]), (F.col("page_id") % 6 + 1).cast("int"))
-    html = F.coalesce(made, "html")
-    rows = _pages(spark, d).select("page_id", html.alias("html"))
     t = page_ops.detail_body(F.col("html"), page_ops.page_title(F.col("html")))
-    return rows.select("page_id", F.length(t).cast("long").alias("chars"), F.md5(t).alias("digest"))
+    return _with_shapes(_pages(spark, d), _BODIES).select("page_id", F.length(t).cast("long").alias("chars"), F.md5(t).alias("digest"))
 
 
 # Listings
