@@ -15,7 +15,7 @@ from noticelake.functions import rules as R
 from noticelake.functions.dates import extract_deadline, is_expired
 from noticelake.functions.text import clean_html, context_lines, title_key
 from noticelake.functions.urls import canonical_url
-from noticelake.operators import adapters, attachments, candidates, classify, documents, enrich, evidence, feed, listing, publish, quality, reports, requirements, trace, vacancies
+from noticelake.operators import adapters, attachments, candidates, classify, documents, enrich, evidence, feed, listing, probe, publish, quality, reports, requirements, trace, vacancies
 from noticelake.operators import pages as page_ops
 from noticelake.plans import posting_sql as S
 from noticelake.plans.postings import postings, spread
@@ -1000,3 +1000,48 @@ def q63(spark, d):
     got = trace.page_causes(counted, trace.row_trace(trace.traced_rows(pages), found))
     reasons = F.array_join(F.transform(F.map_entries(F.coalesce("reasons", F.create_map().cast("map<string, bigint>"))), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ";")
     return got.select("page_id", "rows", "unique_titles", "candidates", "missing", "extra", reasons.alias("reasons"), "exact_titles", "cause", "counter_reason")
+
+
+# A source's report
+
+
+@query(
+    "q64_source_report",
+    f"""WITH e AS (SELECT user_id % 300 AS org, event_id, event_type, CAST(floor(value) AS BIGINT) AS v FROM events),
+o AS (SELECT org, max(v) % 29 <> 0 AS http_ok, max(v) % 31 <> 0 AS verify_ok FROM e GROUP BY 1),
+l AS (SELECT org, event_id AS page_id, v % 4 AS candidates, CASE WHEN v % 11 = 0 THEN NULL WHEN v % 3 = 0 THEN v % 4 + 1 ELSE v % 4 END AS visible, v % 5 <> 0 AS verified FROM e WHERE event_type = 'view'),
+m AS (SELECT *, CASE WHEN visible = 0 AND candidates = 0 AND verified THEN 'verified-empty' WHEN visible IS NOT NULL THEN CASE WHEN visible = candidates THEN 'exact' WHEN candidates = 0 THEN 'failed' ELSE 'partial' END WHEN candidates = 0 THEN 'empty-or-wrong-page' ELSE 'count-unavailable' END AS status FROM l),
+b AS (SELECT *, count(*) OVER (PARTITION BY org) AS pages FROM m QUALIFY row_number() OVER (PARTITION BY org ORDER BY status <> 'exact', coalesce(visible, -1) DESC, candidates DESC, page_id) = 1),
+c AS (SELECT b.org, b.page_id, unnest(range(candidates)) AS i FROM b),
+d AS (SELECT org, page_id, i, (page_id + i) % 9 = 0 AS list_only, CASE WHEN (page_id + i) % 9 = 0 THEN NULL ELSE (page_id + i) % 8 <> 0 END AS ok, (page_id + i) % 3 AS attachments, page_id % 6 = 1 OR (page_id + i) % 5 = 2 AS explicitly_none FROM c),
+f AS (SELECT org, (page_id + i + k) % 10 <> 0 AS downloaded, (page_id + i + k) % 10 NOT IN (0, 1) AS parsed FROM (SELECT *, unnest(range(attachments)) AS k FROM d WHERE ok)),
+s AS (SELECT o.org, http_ok, verify_ok, status, visible, coalesce(candidates, 0) AS candidates, verified, coalesce(targets, 0) AS targets, coalesce(missing_urls, 0) AS missing_urls, coalesce(attempted, 0) AS attempted, coalesce(validated, 0) AS validated, coalesce(files, 0) AS files, coalesce(silent, false) AS silent,
+  coalesce(downloads, 0) AS downloads, coalesce(downloaded, 0) AS downloaded, coalesce(parsed, 0) AS parsed FROM o LEFT JOIN b USING (org)
+  LEFT JOIN (SELECT org, count(*) AS targets, count_if(list_only) AS missing_urls, count(ok) AS attempted, count_if(ok) AS validated, sum(attachments) AS files, count(ok) > 0 AND count_if(ok IS NOT NULL AND explicitly_none) = count(ok) AS silent FROM d GROUP BY 1) USING (org)
+  LEFT JOIN (SELECT org, count(*) AS downloads, count_if(downloaded) AS downloaded, count_if(parsed) AS parsed FROM f GROUP BY 1) USING (org)),
+t AS (SELECT *, CASE WHEN NOT (http_ok AND verify_ok) THEN 'unknown' WHEN status IS NULL THEN 'fetch-failed' WHEN status IN ('empty-or-wrong-page', 'count-unavailable') THEN 'count-unavailable-or-empty' WHEN status = 'exact' THEN CASE WHEN verified THEN 'verified-exact' ELSE 'count-exact-unverified' END ELSE status END AS list_status FROM s),
+u AS (SELECT *, list_status IN ('verified-exact', 'verified-empty') AS list_ok, list_status = 'verified-empty' AND candidates = 0 AS nothing FROM t),
+w AS (SELECT *, list_ok AND (nothing AND targets = 0 OR targets = candidates AND missing_urls = 0 AND attempted = targets AND validated = targets) AS detail_ok,
+  CASE WHEN nothing THEN 'not-required-no-posts' WHEN silent THEN 'not-required-no-attachments' WHEN files > 0 THEN 'success' ELSE 'failed' END AS discovery_status,
+  CASE WHEN nothing OR silent THEN 'not-required' WHEN downloads > 0 THEN CASE WHEN downloaded = downloads THEN 'sample-success' WHEN downloaded > 0 THEN 'sample-partial' ELSE 'sample-failed' END ELSE 'blocked-by-discovery' END AS download_status,
+  CASE WHEN nothing OR silent THEN 'not-required' WHEN downloads > 0 THEN CASE WHEN parsed = downloads THEN 'sample-success' WHEN parsed > 0 THEN 'sample-partial' ELSE 'sample-failed' END ELSE 'blocked-by-download' END AS analysis_status FROM u)
+SELECT org, list_status, CAST(validated AS BIGINT) AS validated, detail_ok, discovery_status, download_status, analysis_status, CASE WHEN NOT http_ok THEN '{probe.NO_ACCESS}' WHEN NOT verify_ok THEN '{probe.NO_BOARD}'
+  WHEN NOT list_ok THEN CASE list_status WHEN 'count-exact-unverified' THEN '{probe.UNVERIFIED}' WHEN 'partial' THEN '목록 부분 추출 (' || candidates || '/' || visible || ')' WHEN 'count-unavailable-or-empty' THEN '{probe.UNCOUNTED}' ELSE '{probe.NO_LIST}' END
+  WHEN list_status = 'verified-empty' THEN '{probe.EMPTY}' WHEN targets = missing_urls THEN '{probe.NO_URLS}' WHEN NOT detail_ok THEN '{probe.NO_DETAIL}' WHEN discovery_status = 'failed' THEN '{probe.NO_FILES}'
+  WHEN download_status NOT IN ('not-required', 'sample-success') THEN '{probe.NO_DOWNLOAD}' WHEN analysis_status NOT IN ('not-required', 'sample-success') THEN '{probe.NO_ANALYSIS}' ELSE '{probe.PASSED}' END AS bottleneck FROM w""",
+)
+def q64(spark, d):
+    """Listings from views, with as many candidates as a view's value says, and candidates' details and files by their numbers."""
+    e = _read(spark, d, "events").select((F.col("user_id") % 300).alias("org"), "event_id", "event_type", F.floor("value").cast("long").alias("v"))
+    access = e.groupBy("org").agg((F.max("v") % 29 != 0).alias("http_ok"), (F.max("v") % 31 != 0).alias("verify_ok"))
+    v = F.col("v")
+    found = e.where("event_type = 'view'").select("org", F.col("event_id").alias("page_id"), (v % 4).alias("candidates"), F.when(v % 11 == 0, None).when(v % 3 == 0, v % 4 + 1).otherwise(v % 4).alias("visible"), (v % 5 != 0).alias("verified"))
+    empty = (F.col("visible") == 0) & (F.col("candidates") == 0) & F.col("verified")
+    found = found.withColumn("status", F.when(empty, "verified-empty").otherwise(listing.listing_status(F.col("visible"), F.col("candidates"))))
+    each = found.where("candidates > 0").select("org", "page_id", F.explode(F.sequence(F.lit(0), F.col("candidates") - 1)).alias("i"))
+    at = F.col("page_id") + F.col("i")
+    tried = each.select("org", "page_id", at.alias("at"), (at % 9 == 0).alias("list_only"), F.when(at % 9 != 0, at % 8 != 0).alias("ok"), (at % 3).alias("attachments"), ((F.col("page_id") % 6 == 1) | (at % 5 == 2)).alias("explicitly_none"), F.when(at % 8 == 0, "HTTP 404").otherwise("").alias("error"))
+    files = tried.where("ok AND attachments > 0").select("org", "page_id", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("attachments") - 1)).alias("k"))
+    files = files.select("org", "page_id", (F.col("k") % 10 != 0).alias("downloaded"), (F.col("k") % 10 > 1).alias("parsed"))
+    got = probe.source_report(access, found, tried.drop("at"), files)
+    return got.select("org", "list_status", "validated", "detail_ok", "discovery_status", "download_status", "analysis_status", "bottleneck")
