@@ -10,6 +10,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from noticelake.functions import rules as R
 from noticelake.functions.dates import extract_deadline, is_expired
@@ -887,7 +888,7 @@ def q60(spark, d):
 _PAD = "근무조건과 전형절차에 관한 문의는 담당부서로 하시기 바라며 자세한 내용은 붙임 문서를 확인하시고 기한 안에 서류를 내시기 바랍니다. 제출한 서류는 돌려드립니다."
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def _docx(text: pd.Series) -> pd.Series:
     """A document of one paragraph."""
 
