@@ -76,7 +76,7 @@ def eligibility(df: DataFrame, profile: DataFrame) -> DataFrame:
 def samples(postings: DataFrame, order: str) -> DataFrame:
     """One row for each real posting or vacancy of an organisation: sample_key, org, requirements and what backs them, the first by ``order``.
 
-    postings has requirements and the texts they come from. The key is the link, else the vacancy's name, else the title; a row without any
+    postings has requirements and the texts they come from. The key is the link, else the vacancy's id, its name or the title; a row without any
     text is no sample, and neither is one that only a file's name names. The first of a key comes from a struct's minimum, combined before the shuffle.
     """
     filled = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
@@ -84,7 +84,8 @@ def samples(postings: DataFrame, order: str) -> DataFrame:
     df = postings.withColumns({"from_document": filled("document_text"), "from_detail": filled("detail_text"), "from_list": filled("list_text"), "_name": F.coalesce(name, F.lit(""))})
     file_only = F.trim("_name").rlike(r"(?i)\.(?:pdf|hwp|hwpx|docx?|xlsx?|zip)$") & ~filled("link")
     df = df.where((F.col("from_document") | F.col("from_detail") | F.col("from_list")) & ~file_only)
-    df = df.withColumn("sample_key", F.concat_ws("::", "org", F.coalesce(F.nullif(F.col("link"), F.lit("")), F.col("_name"))))
+    vacancy = F.nullif(F.col("vacancy_id").cast("string"), F.lit("")) if "vacancy_id" in postings.columns else F.lit(None).cast("string")
+    df = df.withColumn("sample_key", F.concat_ws("::", "org", F.coalesce(F.nullif(F.col("link"), F.lit("")), vacancy, F.col("_name"))))
     kept = ["org", "title", "requirements", "from_document", "from_detail", "from_list"]
     return df.groupBy("sample_key").agg(F.min_by(F.struct(*kept), order).alias("s")).select("sample_key", "s.*")
 
