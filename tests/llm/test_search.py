@@ -188,6 +188,6 @@ def test_stages_of_odd_rows(spark):
 def test_registered_queries_run(spark):
     from noticelake.llm import queries
 
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES) == list(range(1, 14))
     for name in ("op3_pages", "op6_vectors"):
         assert queries.QUERIES[name](spark, SF).count() > 0
