@@ -939,7 +939,7 @@ notices AS (SELECT * EXCLUDE (reasons, whole, told) FROM decided WHERE told IS N
 late AS (SELECT *, CASE WHEN excluded THEN 'excluded' WHEN NOT recommended THEN 'review-needed' WHEN NOT quality_passed THEN 'quality-rejected' WHEN len(errors) > 0 THEN 'invalid' ELSE 'accepted' END AS verdict, list_concat({short}, conflicts, {late}) AS short FROM validated)
 SELECT posting_id AS candidate, CASE told WHEN 'list-rejected' THEN 'list-selection' WHEN 'list-extracted' THEN 'list-only' ELSE '' END AS vacancy_id, title, told AS status,
   CASE told WHEN 'list-rejected' THEN array_to_string(reasons, ', ') WHEN 'list-extracted' THEN '{enrich.PENDING}' WHEN 'detail-rejected' THEN 'HTTP 404' WHEN 'expired' THEN '{enrich.EXPIRED}' ELSE '{enrich.CLOSED_REASON}' END AS reason FROM decided WHERE told IS NOT NULL
-UNION ALL SELECT posting_id, vacancy_id, title, verdict, CASE verdict WHEN 'excluded' THEN array_to_string(exclude_reasons, ', ') WHEN 'invalid' THEN array_to_string(errors, ', ') WHEN 'accepted' THEN '' ELSE array_to_string(short, ', ') END FROM late"""
+UNION ALL SELECT posting_id, vacancy_id, title, verdict, CASE verdict WHEN 'excluded' THEN array_to_string(exclude_reasons, ', ') WHEN 'invalid' THEN array_to_string(errors, ', ') WHEN 'accepted' THEN '' ELSE coalesce(nullif(array_to_string(short, ', '), ''), '{enrich.BELOW}') END FROM late"""
     return "WITH " + sql[:at] + before + sql[at:] + after
 
 
