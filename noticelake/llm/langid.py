@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from noticelake.llm.common import checkpoint, fresh, pieces, slices
+from noticelake.llm.common import checkpoint, fresh, pieces, slices, tidy
 
 ORDERS = (2, 3, 4)
 HASHES = 2
@@ -135,7 +135,7 @@ def held_out(doc_id: Column) -> Column:
 
 def _counted(labelled: DataFrame) -> DataFrame:
     """(gram, lang, fold, n, texts) of labelled (text, lang, fold); rows with a null in text or lang are left out."""
-    counts = labelled.select("text", "lang", "fold").dropna().mapInArrow(_count, COUNTED)
+    counts = labelled.select("text", "lang", "fold").dropna().mapInArrow(tidy(_count), COUNTED)
     return checkpoint(counts.groupBy("gram", "lang", "fold").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts")))
 
 
@@ -252,7 +252,7 @@ def identify(docs: DataFrame, filters: Filters | list[Filters], lang: str = "lan
                         langs[rows[i]], scores[rows[i]] = found.languages[best[i]], shares[i, best[i]]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(scores)], names=[*part.schema.names, lang, score])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def language_documents(docs: DataFrame) -> DataFrame:

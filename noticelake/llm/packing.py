@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from noticelake.llm.common import tidy
 
 SEPARATOR = 1
 TIERS = (128, 256, 512, 1024, 2048)
@@ -250,4 +251,4 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, tiers: tuple =
         yield from _pack(texts, tokenizer, tiers, group_tokens, TaskContext.get().partitionId())
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(tidy(run), SCHEMA)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from noticelake.llm.common import checkpoint, fresh, partitions, slices
+from noticelake.llm.common import checkpoint, fresh, partitions, slices, tidy
 
 ORDER = 5
 START, END = "\x02", "\x03"
@@ -26,16 +26,25 @@ RUN = 32 << 20
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _windows(texts: list[str], chars: int = 1 << 20) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
-    """The texts with marks of start and end, the places where an n-gram starts, and the texts these are of; a long text comes in several windows."""
-    marked = [START * (ORDER - 1) + t + END for t in texts]
-    if len(marked) == 1:
-        for i in range(0, len(marked[0]) - ORDER + 1, chars):
-            window = marked[0][i : i + chars + ORDER - 1]
-            yield window, np.arange(len(window) - ORDER + 1), np.zeros(len(window) - ORDER + 1, np.int32)
-    elif marked:
-        owner = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) - (ORDER - 1) for t in marked])
-        yield "".join(marked), np.arange(len(owner)) + owner.astype(np.int64) * (ORDER - 1), owner
+def _windows(texts: list[str], chars: int = 1 << 18) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """Lots of the texts with marks of start and end, the places where an n-gram starts, and the texts these are of; a long text comes in several windows."""
+    lots: list[list[int]] = []
+    size = 0
+    for i, t in enumerate(texts):
+        if not lots or size + len(t) > chars:
+            lots.append([])
+            size = 0
+        lots[-1].append(i)
+        size += len(t)
+    for lot in lots:
+        marked = [START * (ORDER - 1) + texts[i] + END for i in lot]
+        if len(marked) == 1:
+            for i in range(0, len(marked[0]) - ORDER + 1, chars):
+                window = marked[0][i : i + chars + ORDER - 1]
+                yield window, np.arange(len(window) - ORDER + 1), np.full(len(window) - ORDER + 1, lot[0], np.int32)
+        else:
+            within = np.repeat(np.arange(len(lot), dtype=np.int32), [len(t) - (ORDER - 1) for t in marked])
+            yield "".join(marked), np.arange(len(within)) + within.astype(np.int64) * (ORDER - 1), within + np.int32(lot[0])
 
 
 def _keys(joined: str) -> np.ndarray:
@@ -67,27 +76,36 @@ def _unpack(data: bytes, kind: type) -> np.ndarray:
 
 
 class Grams:
-    """Distinct n-grams with counts: keys in order, the code points of each and its count; additions are merged in large lots."""
+    """Distinct n-grams with counts: keys in order, the code points of each and its count.
 
-    def __init__(self, lot: int = 1 << 20):
-        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    An addition holds each key once. Counts of known keys are added where they stand; only new ones wait, for a merge in lots.
+    """
+
+    def __init__(self, lot: int = 1 << 18):
+        self.keys, self.points, self.n = np.zeros(0, np.uint64), np.zeros((0, ORDER), np.uint32), np.zeros(0, np.int64)
+        self.new: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.lot, self.rows = lot, 0
 
     def add(self, keys: np.ndarray, points: np.ndarray, n: np.ndarray) -> None:
-        self.parts.append((keys, points, n))
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            known = self.keys[at] == keys
+            self.n[at[known]] += n[known]
+            keys, points, n = keys[~known], points[~known], n[~known]
+        self.new.append((keys, points, n))
         self.rows += len(keys)
-        if self.rows > 2 * len(self.parts[0][0]) + self.lot:
+        if self.rows > self.lot + len(self.keys) // 8:
             self.merge()
 
     def merge(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        if not self.parts:
-            return np.zeros(0, np.uint64), np.zeros((0, ORDER), np.uint32), np.zeros(0, np.int64)
-        if len(self.parts) > 1:
-            keys, first, place = np.unique(np.concatenate([p[0] for p in self.parts]), return_index=True, return_inverse=True)
-            n = np.bincount(place, np.concatenate([p[2] for p in self.parts]), len(keys)).astype(np.int64)
-            self.parts = [(keys, np.concatenate([p[1] for p in self.parts])[first], n)]
-            self.rows = len(keys)
-        return self.parts[0]
+        if self.rows:
+            keys, first, place = np.unique(np.concatenate([k for k, _, _ in self.new]), return_index=True, return_inverse=True)
+            n = np.bincount(place, np.concatenate([n for _, _, n in self.new]), len(keys)).astype(np.int64)
+            points = np.concatenate([p for _, p, _ in self.new])[first]
+            at = np.searchsorted(self.keys, keys)
+            self.keys, self.points, self.n = np.insert(self.keys, at, keys), np.insert(self.points, at, points, axis=0), np.insert(self.n, at, n)
+        self.new, self.rows = [], 0
+        return self.keys, self.points, self.n
 
 
 def _run_numbers(batches: Iterator[pa.RecordBatch], size: int, partition: str) -> Iterator[tuple[int, pa.RecordBatch, list[str]]]:
@@ -139,7 +157,7 @@ def _asked(docs: DataFrame, shards: int, size: int = RUN) -> DataFrame:
         if current >= 0:
             yield rows(current, found)
 
-    return docs.select("text", "trusted", F.spark_partition_id().alias("partition")).mapInArrow(run, ASKED)
+    return docs.select("text", "trusted", F.spark_partition_id().alias("partition")).mapInArrow(tidy(run), ASKED)
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +196,7 @@ def _discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
 def probabilities(asked: DataFrame) -> DataFrame:
     """(gram, logp) of every n-gram of asked: the interpolated modified Kneser-Ney model of all its trusted text."""
     n = partitions(asked.sparkSession)
-    orders = {ORDER: checkpoint(asked.select("shard", "grams", "n").repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(_merged, "gram string, n long"))}
+    orders = {ORDER: checkpoint(asked.select("shard", "grams", "n").repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(tidy(_merged), "gram string, n long"))}
     for k in range(ORDER - 1, 0, -1):
         orders[k] = checkpoint(orders[k + 1].groupBy(F.substring("gram", 2, k).alias("gram")).agg(F.count_if(F.col("n") > 0).alias("n")))
     below: DataFrame | None = None
@@ -298,15 +316,15 @@ def with_scores(docs: DataFrame, logp: DataFrame, nll: str, chars: str, kept: li
     kept = kept or docs.columns
     if asked is None:
         asked = _asked(docs.select("text", F.lit(False).alias("trusted")), n, size)
-    packed = logp.mapInArrow(_by_shard(n), ASKED)
+    packed = logp.mapInArrow(tidy(_by_shard(n)), ASKED)
     both = packed.unionByName(asked).repartition(n, "shard").sortWithinPartitions("shard", F.asc_nulls_first("run"))
-    answers = both.mapInArrow(_answers, "run long, grams binary, data binary")
+    answers = both.mapInArrow(tidy(_answers), "run long, grams binary, data binary")
     partition = fresh(docs, "partition")
-    texts = docs.select(*[F.col(f"`{c}`") for c in kept], *([] if "text" in kept else ["text"]), F.spark_partition_id().alias(partition)).mapInArrow(_carried(size, partition), "run long, grams binary, data binary")
+    texts = docs.select(*[F.col(f"`{c}`") for c in kept], *([] if "text" in kept else ["text"]), F.spark_partition_id().alias(partition)).mapInArrow(tidy(_carried(size, partition)), "run long, grams binary, data binary")
     rows = answers.unionByName(texts).repartition(n, "run").sortWithinPartitions("run", F.col("grams").isNull())
     fields = {f.name: f for f in docs.schema.fields}
     schema = T.StructType([*[fields[c] for c in kept], T.StructField(nll, T.DoubleType()), T.StructField(chars, T.LongType())])
-    return rows.mapInArrow(_scored(kept, [f.name for f in schema.fields]), schema)
+    return rows.mapInArrow(tidy(_scored(kept, [f.name for f in schema.fields])), schema)
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticelake.llm.common import checkpoint, fresh, join_sized, pieces, slices
+from noticelake.llm.common import checkpoint, fresh, join_sized, pieces, slices, tidy
 from noticelake.llm.langid import letters
 
 WORDS, THRESHOLD = 5, 0.8
@@ -236,7 +236,7 @@ def _buckets(rows: DataFrame, sets: DataFrame, full: int) -> DataFrame:
         asked = deep.groupBy("digest").agg(F.collect_list(F.struct("bucket", "n")).alias("full"))
         asked = checkpoint(asked.join(sets.select("digest", F.col("own.doc_id").alias("doc_id")), "digest"))
         texts = join_sized(rows, asked, ["doc_id"], "inner", row_bytes=300).select("text", "digest", "full")
-        split = checkpoint(texts.mapInArrow(_split, "digest binary, bucket long, whole long").distinct())
+        split = checkpoint(texts.mapInArrow(tidy(_split), "digest binary, bucket long, whole long").distinct())
         level = checkpoint(split.join(_sized(split), "bucket"))
         ends = (F.col("n") <= full) | (F.col("n") > ALIKE * F.col("whole")) | F.lit(depth == DEPTH - 1)
         final = final.unionByName(level.where(ends).select("digest", "bucket", "n"))
@@ -249,7 +249,7 @@ def _links(rows: DataFrame, sets: DataFrame, threshold: float, full: int) -> Dat
     of = _buckets(rows, sets, full).groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("own_buckets"))
     candidates = checkpoint(of.join(sets.select("digest", "copies", F.col("own.doc_id").alias("doc_id")), "digest"))
     filled = join_sized(rows, candidates, ["doc_id"], "inner", row_bytes=400).select("text", "digest", "copies", "own_buckets")
-    filled = filled.mapInArrow(_sets, "digest binary, copies long, own_buckets array<struct<bucket: long, n: long>>, shingles binary")
+    filled = filled.mapInArrow(tidy(_sets), "digest binary, copies long, own_buckets array<struct<bucket: long, n: long>>, shingles binary")
     at = filled.select("digest", "copies", "shingles", F.col("own_buckets.bucket").alias("buckets"), F.explode("own_buckets").alias("at"))
     at = at.select("*", "at.bucket", F.when(F.col("at.n") > full, F.ceil(F.col("at.n") / (full // 2))).otherwise(1).cast("int").alias("blocks")).drop("at")
     at = at.withColumn("block", F.pmod(F.xxhash64("digest", F.lit(7)), F.col("blocks")).cast("int"))
@@ -267,7 +267,7 @@ def measured_recall(rows: DataFrame, sets: DataFrame, found: DataFrame, threshol
     share = min(1.0, measured / max(sets.count(), 1))
     picked = sets.where(F.pmod(F.xxhash64(F.lit("measured"), "digest"), F.lit(1 << 20)) < int(share * (1 << 20))).select("digest", "copies", F.col("own.doc_id").alias("doc_id"))
     picked = checkpoint(picked.limit(4 * measured))
-    sample = rows.join(F.broadcast(picked), "doc_id").select("text", "digest", "copies").mapInArrow(_sets, "digest binary, copies long, shingles binary")
+    sample = rows.join(F.broadcast(picked), "doc_id").select("text", "digest", "copies").mapInArrow(tidy(_sets), "digest binary, copies long, shingles binary")
     asked = {r["digest"]: (r["copies"], r["shingles"]) for r in sample.where(F.length("shingles") <= 8 * longest).toLocalIterator()}
     asked = {bytes(d): (n, np.frombuffer(x, np.uint64)) for d, (n, x) in asked.items()}
     digests = list(asked)
@@ -288,7 +288,7 @@ def measured_recall(rows: DataFrame, sets: DataFrame, found: DataFrame, threshol
                     links += both * (1 + threshold) >= threshold * (sizes + len(s)) - 1e-3
         yield _rows({"at": np.flatnonzero(links), "links": links[links > 0]}, {"at": pa.int64(), "links": pa.int64()})
 
-    exact = {digests[r["at"]]: r["n"] for r in rows.select("text").mapInArrow(count, "at long, links long").groupBy("at").agg(F.sum("links").alias("n")).collect()}
+    exact = {digests[r["at"]]: r["n"] for r in rows.select("text").mapInArrow(tidy(count), "at long, links long").groupBy("at").agg(F.sum("links").alias("n")).collect()}
     mine = found.join(F.broadcast(picked.select("digest")), "digest").groupBy("digest").agg(F.sum("links").alias("n")).collect()
     got = sum(r["n"] for r in mine if bytes(r["digest"]) in asked)
     want = sum(exact.get(d, 0) - asked[d][0] for d in digests)
@@ -310,7 +310,7 @@ def similar_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     runs = runs or runs_for(recall, threshold)
     own = F.min(F.struct("doc_id", "text_key")).alias("own")
     for _ in range(4):
-        sketched = checkpoint(rows.mapInArrow(_sketch(runs, threshold), "doc_id long, text_key string, digest binary, paths array<long>"))
+        sketched = checkpoint(rows.mapInArrow(tidy(_sketch(runs, threshold)), "doc_id long, text_key string, digest binary, paths array<long>"))
         sets = sketched.where(F.col("digest").isNotNull()).groupBy("digest").agg(own, F.count(F.lit(1)).alias("copies"), F.first("paths").alias("paths"))
         sets = checkpoint(sets)
         found = _links(rows, sets, threshold, full)
