@@ -9,15 +9,15 @@ piece. Full windows leave at once, so a task holds a bounded number of ids, howe
 
 from __future__ import annotations
 
-import re
 import zlib
+from array import array
 from bisect import bisect_right, insort
 from collections import deque
 from collections.abc import Iterable, Iterator
-from struct import pack
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +28,8 @@ TIERS = (128, 256, 512, 1024, 2048)
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, context int, step_group long"
 NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
 
-_WORD = re.compile(r"([^\W\d_]*)([!-&(-/:-@\[-`{-~]*)\Z")
+_MARKS = "".join(chr(i) for i in range(33, 127) if chr(i) != "'" and not chr(i).isalnum())
+_PLAIN = "^[A-Za-zªµºÀ-ÖØ-öø-įı-ſ]*$"
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
@@ -38,12 +39,20 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _places(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of ranges, one range after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class WordEncoder:
-    """Ids of a text, word by word, from the tokenizer file's own model.
+    """Ids of texts, word by word, from the tokenizer file's own model.
 
     The tokenizer splits at white space before anything else, so a text's ids are those of its
-    blank-parted chunks in a row, and a chunk met before costs one lookup. A chunk of plain Latin letters
-    and punctuation goes to the model straight, any other one through the whole tokenizer.
+    blank-parted chunks in a row. Each distinct chunk of a lot of texts is looked at once. One of plain Latin
+    letters with punctuation behind is parted into these two, and they go to the model straight, a word once for
+    all its spellings in capitals; any other one goes through the whole tokenizer. The ids of pieces met before are kept,
+    those met last if there are over ``most``.
     """
 
     def __init__(self, path: str, most: int = 300_000):
@@ -51,30 +60,74 @@ class WordEncoder:
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
-        self.most = most
-        self.known: dict[str, bytes] = {"": b""}
+        self.most, self.lots = most, 0
+        self.known, self.met = pa.array([], pa.string()), np.zeros(0, np.int64)
+        self.ids, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int32)
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.bytes_as = {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in visible)}
 
-    def _piece(self, piece: str) -> bytes:
+    def _piece(self, piece: str) -> list[int]:
         if not piece.isascii():
             piece = piece.encode().decode("latin-1").translate(self.bytes_as)
-        ids = [t.id for t in self.model.tokenize(piece)]
-        return pack(f"<{len(ids)}I", *ids)
-
-    def _chunk(self, chunk: str) -> bytes:
-        if chunk.isalpha() and max(chunk) < "ƀ" and "İ" not in chunk:
-            return self._piece(chunk.lower())
-        m = _WORD.match(chunk)
-        if m and (not m[1] or m[1].isalpha() and max(m[1]) < "ƀ" and "İ" not in m[1]):
-            word = m[1].lower()
-            if word not in self.known and word:
-                self.known[word] = self._piece(word)
-            if m[2] not in self.known:
-                self.known[m[2]] = self._piece(m[2])
-            return self.known[word] + self.known[m[2]]
-        ids = self.whole.encode(chunk, add_special_tokens=False).ids
-        return pack(f"<{len(ids)}I", *ids)
+        return [t.id for t in self.model.tokenize(piece)] if piece else []
+
+    def _learn(self, new: pa.StringArray) -> None:
+        plain = pc.match_substring_regex(pc.ascii_rtrim(new, characters=_MARKS), _PLAIN).to_pylist()
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(new)], pa.int32()), new), " ")[0].as_py().split(" ")  # no chunk holds a blank
+        ids, lengths = array("I"), []
+        for text, direct in zip(texts, plain, strict=True):
+            found = self._piece(text) if direct else self.whole.encode(text, add_special_tokens=False).ids
+            ids.extend(found)
+            lengths.append(len(found))
+        self.known, self.met = pa.concat_arrays([self.known, new]), np.append(self.met, np.full(len(new), self.lots))
+        self.ids, self.lengths = np.append(self.ids, np.asarray(ids, np.uint32)), np.append(self.lengths, np.asarray(lengths, np.int32))
+
+    def _look_up(self, pieces: pa.StringArray) -> np.ndarray:
+        """The numbers of distinct pieces among those known."""
+        self.lots += 1
+        at = pc.index_in(pieces, value_set=self.known)
+        if at.null_count and len(self.known) + at.null_count > self.most and len(self.known):
+            self.met[at.drop_null().to_numpy()] = self.lots
+            left = np.sort(np.argsort(-self.met, kind="stable")[: max(self.most // 2, len(at) - at.null_count)])
+            starts = np.cumsum(self.lengths, dtype=np.int64) - self.lengths
+            self.ids = self.ids[_places(starts[left], self.lengths[left])]
+            self.known, self.met, self.lengths = self.known.take(pa.array(left)), self.met[left], self.lengths[left]
+            at = pc.index_in(pieces, value_set=self.known)
+        found = pc.fill_null(at, -1).to_numpy().copy()
+        self.met[found[found >= 0]] = self.lots
+        if at.null_count:
+            found[found < 0] = np.arange(len(self.known), len(self.known) + at.null_count)
+            self._learn(pieces.filter(pc.is_null(at)))
+        return found
+
+    def _chunks(self, chunks: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of distinct chunks, where each one's start there and how many it has."""
+        words = pc.ascii_rtrim(chunks, characters=_MARKS)
+        plain = pc.match_substring_regex(words, _PLAIN)
+        size = pc.binary_length(chunks).to_numpy()
+        behind = np.where(plain.to_numpy(zero_copy_only=False), size - pc.binary_length(words).to_numpy(), 0)
+        _, offsets, data = chunks.buffers()
+        starts = np.frombuffer(offsets, np.int32)[chunks.offset : chunks.offset + len(chunks)]
+        marks = np.frombuffer(data, np.uint8)[_places(starts + size - behind, behind)] if behind.any() else np.zeros(0, np.uint8)
+        marks = pa.StringArray.from_buffers(len(chunks), pa.py_buffer(np.append(0, np.cumsum(behind)).astype(np.int32)), pa.py_buffer(marks))
+        pieces = pa.concat_arrays([pc.if_else(plain, pc.utf8_lower(words), chunks), marks]).dictionary_encode()
+        at = self._look_up(pieces.dictionary)[pieces.indices.to_numpy().reshape(2, -1).T]
+        lengths = self.lengths[at]
+        starts = np.cumsum(self.lengths, dtype=np.int64) - self.lengths
+        ids = self.ids[_places(starts[at].ravel(), lengths.ravel())]
+        lengths = lengths.sum(1)
+        return ids, np.cumsum(lengths) - lengths, lengths
+
+    def encode_all(self, texts: pa.StringArray) -> Iterator[np.ndarray]:
+        """The ids of each text; what is held beside grows with all texts together."""
+        parts = pc.ascii_split_whitespace(texts)
+        offsets = parts.offsets.to_numpy() - parts.offsets[0].as_py()
+        parts = parts.flatten().dictionary_encode()
+        ids, starts, lengths = self._chunks(parts.dictionary)
+        of = parts.indices.to_numpy()
+        for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+            at = of[i:j]
+            yield ids[_places(starts[at], lengths[at])]
 
     def encode(self, text: str, chars: int = 1 << 20) -> np.ndarray:
         parts, start = [], 0
@@ -88,14 +141,7 @@ class WordEncoder:
         return np.concatenate(parts) if len(parts) > 1 else parts[0]
 
     def _encode(self, text: str) -> np.ndarray:
-        known, chunks = self.known, text.replace("\n", " ").split(" ")
-        if len(known) > self.most:
-            known.clear()
-            known[""] = b""
-        for c in set(chunks):
-            if c not in known:
-                known[c] = self._chunk(c)
-        return np.frombuffer(b"".join([known[c] for c in chunks]), "<u4")
+        return next(self.encode_all(pa.array([text], pa.string())))
 
 
 def encoder(path: str) -> WordEncoder:
@@ -189,7 +235,25 @@ class Packer:
             self._fill(context, first)
 
 
-def _pack(texts: Iterable[tuple[int | None, str]], tokenizer: str, tiers: tuple, group_tokens: int, partition: int) -> Iterator[pa.RecordBatch]:
+def _encoded(enc: WordEncoder, batches: Iterable[pa.RecordBatch], lot: int = 1 << 22) -> Iterator[tuple[int | None, np.ndarray]]:
+    """Each row's first column and the ids of its second, a text; texts go to the encoder in lots of about so many bytes, one of half as many or more alone."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        size = pc.binary_length(b.column(1)).to_numpy().astype(np.int64)
+        alone = size >= lot // 2
+        lots = np.cumsum(np.where(alone, 0, size)) // lot
+        cuts = np.flatnonzero((np.diff(lots) != 0) | alone[1:] | alone[:-1]) + 1
+        for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), len(size)], strict=True):
+            part = b.slice(i, j - i)
+            if j - i == 1:
+                found = [enc.encode(t.as_py()) for t in part.column(1)]
+            else:
+                found = enc.encode_all(part.column(1).cast(pa.string()))
+            yield from zip(part.column(0).to_pylist(), found, strict=True)
+
+
+def _pack(batches: Iterable[pa.RecordBatch], tokenizer: str, tiers: tuple, group_tokens: int, partition: int) -> Iterator[pa.RecordBatch]:
     enc, packer = encoder(tokenizer), Packer(tiers)
     docs: dict[int, tuple] = {}
     left: dict[int, int] = {}
@@ -220,8 +284,8 @@ def _pack(texts: Iterable[tuple[int | None, str]], tokenizer: str, tiers: tuple,
         columns = zip(*rows, strict=True) if rows else [[]] * len(NAMES)
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if n == "context" else pa.int64()) for n, c in zip(NAMES, columns, strict=True)], names=NAMES)
 
-    for doc_id, text in texts:
-        ids = np.append(enc.encode(text), np.uint32(SEPARATOR)).astype("<u4")
+    for doc_id, ids in _encoded(enc, batches):
+        ids = np.append(ids, np.uint32(SEPARATOR)).astype("<u4", copy=False)
         docs[serial] = (doc_id, ids)
         left[serial] = len(ids)
         packer.add(serial, len(ids))
@@ -246,9 +310,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, tiers: tuple =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        # one text at a time leaves the batch
-        texts = ((i.as_py(), t.as_py()) for b in batches for i, t in zip(b.column(0), b.column(1), strict=True))
-        yield from _pack(texts, tokenizer, tiers, group_tokens, TaskContext.get().partitionId())
+        yield from _pack(batches, tokenizer, tiers, group_tokens, TaskContext.get().partitionId())
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInArrow(tidy(run), SCHEMA)

@@ -34,6 +34,46 @@ def test_word_encoder_equals_the_tokenizer():
         assert fast.encode(t).tolist() == whole.encode(t, add_special_tokens=False).ids, t
 
 
+class Counted:
+    """A tokenizer's model that notes what it is asked."""
+
+    def __init__(self, model):
+        self.model, self.asked = model, []
+
+    def tokenize(self, piece):
+        self.asked.append(piece)
+        return self.model.tokenize(piece)
+
+
+def test_a_word_goes_to_the_model_once_for_all_its_spellings():
+    enc = packing.WordEncoder(packing.default_tokenizer())
+    want = [enc.whole.encode(t, add_special_tokens=False).ids for t in ("Noticelake noticelake, NOTICELAKE!", "noticelake! Noticelake")]
+    enc.model = Counted(enc.model)
+    assert [enc.encode(t).tolist() for t in ("Noticelake noticelake, NOTICELAKE!", "noticelake! Noticelake")] == want
+    assert sorted(enc.model.asked) == ["!", ",", "noticelake"]
+
+
+def test_words_met_last_stay_known():
+    enc = packing.WordEncoder(packing.default_tokenizer(), most=20)
+    enc.model = Counted(enc.model)
+    for i in range(40):  # a new word each time beside one that always comes back
+        enc.encode("always " + "".join(chr(97 + int(d)) for d in str(1000 + i)))
+    assert enc.model.asked.count("always") == 1 and len(enc.known) <= 21
+
+
+def test_lots_of_texts_have_the_ids_of_each():
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["Wort", "für", "it's", "x1,", "(und)", "", "\t", "日本", "Ende."]) for _ in range(rng.choice([0, 1, 30, 400, 900]))) for _ in range(90)]
+    enc = packing.WordEncoder(packing.default_tokenizer(), most=5)
+    batches = [pa.record_batch([pa.array(range(len(t)), pa.int64()), pa.array(t, kind)], ["doc_id", "text"]) for t, kind in ((texts, pa.string()), ([], pa.string()), (texts[::-1], pa.large_string()))]
+    got = list(packing._encoded(enc, [batches[0].slice(1), *batches[1:]], lot=3000))
+    assert [i for i, _ in got] == [*range(1, 90), *range(90)]
+    for (_, ids), t in zip(got, texts[1:] + texts[::-1], strict=True):
+        assert ids.tolist() == enc.whole.encode(t, add_special_tokens=False).ids
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(1, 9000), max_size=60), st.sampled_from([64, 5000, 1 << 20]))
 def test_packer_keeps_every_id_and_pads_one_window(sizes, hold):
