@@ -75,6 +75,32 @@ def _unpack(data: bytes, kind: type) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(data), kind)
 
 
+class Places:
+    """Where keys stand in an array of distinct ones in order. Keys are hashes, so their first bits tell the place within a few steps."""
+
+    def __init__(self, keys: np.ndarray):
+        bits = len(keys).bit_length() + 1
+        self.keys, self.shift = keys, np.uint64(64 - bits)
+        before = np.cumsum(np.bincount((keys >> self.shift).view(np.int64), minlength=1 << bits), dtype=np.int32)
+        self.first = np.append(np.int32(0), np.minimum(before[:-1], max(len(keys) - 1, 0)))
+
+    def find(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each key its place, or any where there is none, and whether it is there."""
+        if not len(self.keys):
+            return np.zeros(len(asked), np.int32), np.zeros(len(asked), bool)
+        at = self.first[(asked >> self.shift).view(np.int64)]
+        late = np.flatnonzero(self.keys[at] < asked)
+        for _ in range(16):
+            late = late[at[late] < len(self.keys) - 1]
+            if not len(late):
+                break
+            at[late] += 1
+            late = late[self.keys[at[late]] < asked[late]]
+        if len(late):  # more keys than chance gives begin with the same bits
+            at[late] = np.minimum(np.searchsorted(self.keys, asked[late]), len(self.keys) - 1)
+        return at, self.keys[at] == asked
+
+
 class Grams:
     """Distinct n-grams with counts: keys in order, the code points of each and its count.
 
@@ -84,12 +110,18 @@ class Grams:
     def __init__(self, lot: int = 1 << 18):
         self.keys, self.points, self.n = np.zeros(0, np.uint64), np.zeros((0, ORDER), np.uint32), np.zeros(0, np.int64)
         self.new: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.lot, self.rows = lot, 0
+        self.lot, self.rows, self.places = lot, 0, Places(self.keys)
+
+    def count(self, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Count known keys, in any order and any number of times, where ``counts``; which of them are not known."""
+        at, known = self.places.find(keys)
+        if (counted := known & counts).any():
+            self.n += np.bincount(at[counted], minlength=len(self.n))
+        return np.flatnonzero(~known)
 
     def add(self, keys: np.ndarray, points: np.ndarray, n: np.ndarray) -> None:
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            known = self.keys[at] == keys
+        at, known = self.places.find(keys)
+        if known.any():
             self.n[at[known]] += n[known]
             keys, points, n = keys[~known], points[~known], n[~known]
         self.new.append((keys, points, n))
@@ -104,6 +136,7 @@ class Grams:
             points = np.concatenate([p for _, p, _ in self.new])[first]
             at = np.searchsorted(self.keys, keys)
             self.keys, self.points, self.n = np.insert(self.keys, at, keys), np.insert(self.points, at, points, axis=0), np.insert(self.n, at, n)
+            self.places = Places(self.keys)
         self.new, self.rows = [], 0
         return self.keys, self.points, self.n
 
@@ -151,9 +184,11 @@ def _asked(docs: DataFrame, shards: int, size: int = RUN) -> DataFrame:
             current = number
             trusted = part.column("trusted").to_numpy(zero_copy_only=False).astype(bool)
             for joined, at, owner in _windows(texts):
-                keys, first, place = np.unique(_keys(joined)[at], return_index=True, return_inverse=True)
-                code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-                found.add(keys, code[at[first][:, None] + np.arange(ORDER)], np.bincount(place[trusted[owner]], minlength=len(keys)))
+                keys, counts = _keys(joined)[at], trusted[owner]
+                if len(new := found.count(keys, counts)):
+                    keys, first, place = np.unique(keys[new], return_index=True, return_inverse=True)
+                    code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+                    found.add(keys, code[at[new[first]][:, None] + np.arange(ORDER)], np.bincount(place[counts[new]], minlength=len(keys)))
         if current >= 0:
             yield rows(current, found)
 
@@ -235,24 +270,28 @@ def _by_shard(shards: int):
     return run
 
 
+def _valued(got: list[tuple[np.ndarray, np.ndarray]]) -> tuple[Places, np.ndarray]:
+    keys, values = np.concatenate([k for k, _ in got]), np.concatenate([v for _, v in got])
+    order = np.argsort(keys)
+    return Places(keys[order]), values[order]
+
+
 def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of one shard after the other, its probabilities (without a run) first; each run's n-grams come out with theirs."""
-    shard, got, keys, values = -1, [], None, None
+    shard, got, places, values = -1, [], None, None
     for b in batches:
         out = []
         for run, s, grams, n in zip(b.column("run").to_pylist(), b.column("shard").to_pylist(), b.column("grams"), b.column("n"), strict=True):
             if s != shard:
-                shard, got, keys = s, [], None
+                shard, got, places = s, [], None
             if run is None:
                 got.append((np.frombuffer(grams.as_py(), np.uint64), np.frombuffer(n.as_py(), np.float32)))
                 continue
-            if keys is None:
-                keys, values = np.concatenate([k for k, _ in got]), np.concatenate([v for _, v in got])
-                order = np.argsort(keys)
-                keys, values, got = keys[order], values[order], []
-            asked = _point_keys(np.ascontiguousarray(_unpack(grams.as_py(), np.uint32).reshape(ORDER, -1).T))
-            at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-            if (keys[at] != asked).any():
+            if places is None:
+                places, values = _valued(got)
+                got = []
+            at, known = places.find(_point_keys(np.ascontiguousarray(_unpack(grams.as_py(), np.uint32).reshape(ORDER, -1).T)))
+            if not known.all():
                 raise KeyError("an n-gram of the corpus has no probability")
             out.append((run, grams.as_py(), _pack(values[at])))
         if out:
@@ -278,25 +317,23 @@ def _scored(kept: list[str], names: list[str]):
     """Rows of one run after the other, its n-grams' probabilities first; its texts' sums come out with the columns ``kept``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, got, keys, values = None, [], None, None
+        current, got, places, values = None, [], None, None
         for b in batches:
             for number, grams, data in zip(b.column("run").to_pylist(), b.column("grams"), b.column("data"), strict=True):
                 if number != current:
-                    current, got, keys = number, [], None
+                    current, got, places = number, [], None
                 if grams.is_valid:
                     got.append((_point_keys(np.ascontiguousarray(_unpack(grams.as_py(), np.uint32).reshape(ORDER, -1).T)), _unpack(data.as_py(), np.float32)))
                     continue
-                if keys is None:
-                    keys, values = np.concatenate([k for k, _ in got]), np.concatenate([v for _, v in got])
-                    order = np.argsort(keys)
-                    keys, values, got = keys[order], values[order], []
+                if places is None:
+                    places, values = _valued(got)
+                    got = []
                 for part in pa.ipc.open_stream(zstandard.decompress(data.as_py())):
                     texts = [t or "" for t in part.column("text").to_pylist()]
                     nll = np.zeros(len(texts))
                     for joined, at, owner in _windows(texts):
-                        asked = _keys(joined)[at]
-                        place = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-                        if (keys[place] != asked).any():
+                        place, known = places.find(_keys(joined)[at])
+                        if not known.all():
                             raise KeyError("the rows of a run are not those that asked")
                         nll -= np.bincount(owner, values[place].astype(np.float64), len(texts))
                     columns = [part.column(c) for c in kept]

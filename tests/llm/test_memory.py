@@ -59,6 +59,24 @@ def test_gathering_the_ngrams_of_a_run_takes_little_beside_them(spark):
     assert grams > 100_000 and peak < 40 * MB + 100 * grams, (peak / MB, grams)
 
 
+def test_known_ngrams_are_not_sorted_again(monkeypatch):
+    run, batch = asking(prose(1500, 3))
+    sizes, unique = [], np.unique
+    monkeypatch.setattr(np, "unique", lambda x, *more, **named: sizes.append(len(x)) or unique(x, *more, **named))
+    list(run(iter([batch])))
+    assert sum(sizes) < sum(map(len, batch.column("text").to_pylist())) // 2, sizes
+
+
+@pytest.mark.parametrize("bits", [64, 20, 6])
+def test_places_of_keys(bits):
+    rng = np.random.default_rng(bits)
+    keys = np.unique(np.append(rng.integers(0, (1 << bits) - 1, 5000, np.uint64, endpoint=True), [np.uint64(0), np.uint64((1 << 64) - 1)]))
+    for held_keys in (keys, keys[1:-1], keys[:1], keys[-1:], keys[:0]):
+        asked = rng.permutation(np.concatenate([keys, keys + np.uint64(1), keys]))
+        at, known = quality.Places(held_keys).find(asked)
+        assert (known == np.isin(asked, held_keys)).all() and (held_keys[at[known]] == asked[known]).all()
+
+
 def test_ngrams_are_counted_once_each_however_they_are_merged():
     rng = random.Random(2)
     for lot in (0, 3, 50, 1 << 18):
