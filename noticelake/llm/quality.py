@@ -396,7 +396,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, prior:
     asked = checkpoint(_asked(flagged.select("text", trains.alias("trusted")), partitions(docs.sparkSession), size))
     logp = probabilities(asked)
     judges = flagged.where(F.col(mark) & apart).select("lang", "text")
-    judged = checkpoint(with_scores(judges, logp, "nll", "chars", ["lang"], size=size))
+    judged = checkpoint(with_scores(judges, logp, "nll", "chars", ["lang"], size=size).hint("rebalance"))  # few numbers: not a file for each shuffle partition
     means = judged.groupBy("lang").agg((F.sum("nll") / F.sum("chars")).alias("mean"), F.count(F.lit(1)).alias("docs"))
     shrunk = lambda s, n, mean: (s + prior * mean) / (n + prior)
     each = judged.join(means.withColumnRenamed("lang", "l"), F.col("lang").eqNullSafe(F.col("l"))).withColumn("x", shrunk(F.col("nll"), F.col("chars"), F.col("mean")))

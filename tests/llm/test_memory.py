@@ -128,3 +128,23 @@ def test_tidy_passes_rows_and_errors_on():
     assert list(tidy(lambda batches: (b.slice(1) for b in batches))(iter([batch]))) == [batch.slice(1)]
     with pytest.raises(ZeroDivisionError):
         list(tidy(lambda batches: (1 // 0 for _ in batches))(iter([batch])))
+
+
+def test_scores_of_the_judges_are_not_a_file_for_each_shuffle_partition(spark, monkeypatch):
+    written, checkpoint = {}, quality.checkpoint
+
+    def noted(df):
+        done = checkpoint(df)
+        written[tuple(done.columns)] = done.rdd.getNumPartitions()
+        return done
+
+    monkeypatch.setattr(quality, "checkpoint", noted)
+    n = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(prose(40, 4))], "doc_id long, text string, lang string")
+        labels = docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic")
+        assert quality.classify(docs, labels).count() == 40
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+    assert written["lang", "nll", "chars"] == 1, written
