@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticelake.llm.common import tidy
+from noticelake.llm.common import give_back, tidy
 
 SEPARATOR = 1
 TIERS = (128, 256, 512, 1024, 2048)
@@ -251,6 +251,8 @@ def _encoded(enc: WordEncoder, batches: Iterable[pa.RecordBatch], lot: int = 1 <
             else:
                 found = enc.encode_all(part.column(1).cast(pa.string()))
             yield from zip(part.column(0).to_pylist(), found, strict=True)
+            found = None
+            give_back()  # else what a lot took stands beside what the next one takes
 
 
 def _pack(batches: Iterable[pa.RecordBatch], tokenizer: str, tiers: tuple, group_tokens: int, partition: int) -> Iterator[pa.RecordBatch]:

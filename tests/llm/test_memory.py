@@ -123,6 +123,27 @@ def test_a_worker_gives_back_what_a_task_freed():
     assert float(done.stdout) < 25, done.stdout
 
 
+ENCODES = """
+import pyarrow as pa
+from noticelake.llm import packing
+from noticelake.llm.common import give_back
+from tests.llm.test_memory import held, prose
+
+enc = packing.encoder(packing.default_tokenizer())
+batch = pa.RecordBatch.from_arrays([pa.array(range(3500)), pa.array(prose(3500, 5))], names=["doc_id", "text"])
+give_back()
+before = held()
+ids = sum(len(x) for _, x in packing._encoded(enc, [batch]))
+print(held() - before)
+"""
+
+
+@pytest.mark.skipif(not sys.platform.startswith("linux"), reason="reads /proc")
+def test_the_encoder_gives_back_what_a_lot_took():
+    done = subprocess.run([sys.executable, "-c", ENCODES], capture_output=True, text=True, check=True, cwd=Path(__file__).parents[2])
+    assert float(done.stdout) < 12, done.stdout
+
+
 def test_tidy_passes_rows_and_errors_on():
     batch = pa.RecordBatch.from_arrays([pa.array([1, 2])], names=["a"])
     assert list(tidy(lambda batches: (b.slice(1) for b in batches))(iter([batch]))) == [batch.slice(1)]
