@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from noticelake.functions.text import squash
+from noticelake.functions.scan import portable
 
 # How postings write their periods.
 RANGE = r"(?:20)?(\d{2})[.\-/]\s*(\d{1,2})[.\-/]\s*(\d{1,2})\s*~\s*(?:20)?(\d{2})[.\-/]\s*(\d{1,2})[.\-/]\s*(\d{1,2})"
@@ -22,13 +26,32 @@ def _date(year: Column, month: Column, day: Column, reference_year: int) -> Colu
 
 def extract_deadline(text: Column, reference_year: int) -> Column:
     """The end of a range (no other rule if it is no date), else the until-phrase's date, else the last labelled one, else empty."""
-    c = squash(text)
-    g = lambda pattern, i: F.regexp_extract(c, pattern, i)
-    last = lambda i: F.element_at(F.regexp_extract_all(c, F.lit(LABELLED), F.lit(i)), -1)
-    labelled = F.when(F.size(F.regexp_extract_all(c, F.lit(LABELLED), F.lit(0))) > 0, _date(last(1), last(2), last(3), reference_year))
-    until = F.when(c.rlike(UNTIL), _date(g(UNTIL, 1), g(UNTIL, 2), g(UNTIL, 3), reference_year))
-    ends = _date(g(RANGE, 4), g(RANGE, 5), g(RANGE, 6), reference_year)
-    return F.when(c.rlike(RANGE), F.coalesce(ends, F.lit(""))).otherwise(F.coalesce(until, labelled, F.lit("")))
+    d = told_dates(text)
+    date = lambda rule: F.when(d[rule].isNotNull(), _date(*[d[rule][k] for k in "ymd"], reference_year))
+    return F.when(d["range"].isNotNull(), F.coalesce(date("range"), F.lit(""))).otherwise(F.coalesce(date("until"), date("labelled"), F.lit("")))
+
+
+def told_dates(text: Column) -> Column:
+    """range, until and labelled: year, month and day as the text of single spaces writes them by each rule, null where it does not."""
+    blank, ends, until, labelled = portable(r"\s+"), *(portable(p) for p in (RANGE, UNTIL, LABELLED))
+    named = lambda pattern, names: re.sub(r"\((?!\?)", lambda _, it=iter(names): f"(?P<{next(it)}>", pattern)
+    ends, until = named(ends, ("y0", "m0", "d0", "y", "m", "d")), named(until, "ymd")
+    mark, part = "\x01", "\x02"
+
+    @F.arrow_udf("struct<" + ", ".join(f"`{rule}`: struct<y: string, m: string, d: string>" for rule in ("range", "until", "labelled")) + ">")
+    def told(v: pa.Array) -> pa.Array:
+        v = pc.utf8_trim(pc.replace_substring_regex(v, blank, " "), " ")
+        found = [pc.extract_regex(v, p) for p in (ends, until)]
+        # each labelled date between two marks: what stands before the last mark is the last date
+        clear = pc.replace_substring_regex(v, f"[{mark}{part}]", "\x03")
+        parts = pc.split_pattern(pc.replace_substring_regex(clear, labelled, rf"{mark}\1{part}\2{part}\3{mark}"), mark)
+        many = pc.greater(pc.list_value_length(parts), 1)
+        at = pc.if_else(many, pc.subtract(parts.offsets[1:], 2), pa.scalar(None, pa.int32()))
+        found.append(pc.extract_regex(parts.values.take(at), rf"(?P<y>[^{part}]*){part}(?P<m>[^{part}]*){part}(?P<d>[^{part}]*)"))
+        ymd = [pa.StructArray.from_arrays([pc.struct_field(x, k) for k in "ymd"], list("ymd"), mask=x.is_null()) for x in found]
+        return pa.StructArray.from_arrays(ymd, ["range", "until", "labelled"])
+
+    return told(text)
 
 
 def is_expired(deadline: Column, as_of: Column) -> Column:

@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from noticelake.functions.scan import ASCII_SPACES, marked_lines, replaced
+
 #: The only named references that are decoded; the ampersand comes last so that nothing is decoded twice.
 NAMED = [("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "), ("&amp;", "&")]
 
@@ -78,25 +80,42 @@ def board_key(c: Column) -> Column:
 
 def title_key(c: Column) -> Column:
     """A title without marks of revision, numbers of rounds, dates and punctuation."""
-    for pattern in (r"\[(?:수정|변경|재공고|재재공고)\]", r"\((?:수정|변경|재공고|재재공고)\)", r"(?:수정|변경|재재?공고)", r"제?\d+차", r"\d{4}[-.년\s]*\d{0,2}[-.월\s]*\d{0,2}일?", r"[^0-9a-zA-Z가-힣]+"):
-        c = F.regexp_replace(c, pattern, " ")
-    return F.lower(squash(c))
+    marks = (r"\[(?:수정|변경|재공고|재재공고)\]", r"\((?:수정|변경|재공고|재재공고)\)", r"(?:수정|변경|재재?공고)", r"제?\d+차", r"\d{4}[-.년\s]*\d{0,2}[-.월\s]*\d{0,2}일?", r"[^0-9a-zA-Z가-힣]+")
+    return F.lower(F.trim(replaced(c, *[(p, " ") for p in marks])))
 
 
 def title_tokens(c: Column) -> Column:
-    for pattern in (r"\[[^\]]+\]|\([^)]*\)", r"(?:채용|모집|공고|직원|신입|경력|정규직|공무직|무기계약직)", r"[^0-9a-zA-Z가-힣]+"):
-        c = F.regexp_replace(c, pattern, " ")
-    return F.slice(F.filter(F.split(strip(c), r"\s+"), lambda x: F.length(x) >= 2), 1, 8)
+    marks = (r"\[[^\]]+\]|\([^)]*\)", r"(?:채용|모집|공고|직원|신입|경력|정규직|공무직|무기계약직)", r"[^0-9a-zA-Z가-힣]+")
+    words = F.split(F.trim(replaced(c, *[(p, " ") for p in marks])), " ")
+    return F.slice(F.filter(words, lambda x: F.length(x) >= 2), 1, 8)
+
+
+CELL_END, LINE_END = r"\n|\r|\t| {2,}", r"\r?\n|。"
 
 
 def cell_lines(c: Column) -> Column:
     """The trimmed, non-empty parts between line ends, tabs and runs of spaces."""
-    return F.filter(F.transform(F.split(c, r"\n|\r|\t| {2,}"), strip), lambda x: x != "")
+    return F.filter(F.transform(F.split(c, CELL_END), strip), lambda x: x != "")
 
 
 def context_lines(c: Column) -> Column:
     blank = lambda x: F.trim(F.regexp_replace(F.replace(x, F.lit(" "), F.lit(" ")), r"[ \t]+", " "))
-    return F.filter(F.transform(F.split(c, r"\r?\n|。"), blank), lambda x: x != "")
+    return F.filter(F.transform(F.split(c, LINE_END), blank), lambda x: x != "")
+
+
+def marked_cells(c: Column, **patterns: str) -> Column:
+    """cell_lines, each with whether the patterns are in it (see scan.marked_lines)."""
+    return marked_lines(c, CELL_END, [], ASCII_SPACES, patterns)
+
+
+def marked_context(c: Column, **patterns: str) -> Column:
+    """context_lines, each with whether the patterns are in it (see scan.marked_lines)."""
+    return marked_lines(c, LINE_END, [("\u00a0", " "), (r"[ \t]+", " ")], " ", patterns)
+
+
+def marked_evidence(lines: Column, mark: str, limit: int, chars: int) -> Column:
+    """evidence, of marked lines."""
+    return F.array_distinct(F.transform(F.slice(F.filter(lines, lambda x: x[mark]), 1, limit), lambda x: F.left(x["line"], F.lit(chars))))
 
 
 def evidence(lines: Column, pattern: str, limit: int, chars: int) -> Column:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticelake.functions import rules as R
-from noticelake.functions.text import cell_lines, evidence
+from noticelake.functions.scan import ASCII_SPACES, found, lists_like, portable, split_lines, substituted
+from noticelake.functions.text import CELL_END, marked_cells, marked_evidence
 
 EXCLUDED, UNKNOWN_EMPLOYMENT = "제외 고용형태", "고용형태 확인 필요"
 HIGH_SCHOOL, DEGREE, UNKNOWN_EDUCATION = "고졸 가능", "고졸 지원 어려움", "학력 확인 필요"
@@ -20,41 +21,67 @@ NOT_REGULAR = r"비정규직|정규직\s*전환\s*(?:없음|불가)"
 
 def has_excluded_employment(text: Column) -> Column:
     """Harmless mentions of temporary work go first, all of them, and then any excluded kind counts."""
-    rest = reduce(lambda c, p: F.regexp_replace(c, p, " "), R.TEMPORARY_BENIGN, text)
-    rest = F.when(text.contains(R.TEMPORARY), rest).otherwise(text)
-    return R.any_of(rest, [*R.EXCLUDED_EMPLOYMENT, *R.TEMPORARY_STRONG])
+    harmless = [(portable(p), " ") for p in R.TEMPORARY_BENIGN]
+    counts = portable(R.fused([*R.EXCLUDED_EMPLOYMENT, *R.TEMPORARY_STRONG]))
+
+    @F.arrow_udf("boolean")
+    def excluded(v: pa.Array) -> pa.Array:
+        return pc.match_substring_regex(substituted(v, harmless), counts)
+
+    return excluded(text)
 
 
 def employment(text: Column, excluded: Column | None = None) -> Column:
     """excluded: has_excluded_employment of the text, where it is at hand."""
-    regular = text.rlike(REGULAR) & ~text.rlike(NOT_REGULAR)
-    kinds = F.when(has_excluded_employment(text) if excluded is None else excluded, EXCLUDED).when(text.rlike(r"무기계약직|기간의\s*정함이\s*없는\s*근로계약"), "무기계약직")
+    regular = text.contains(REGULAR) & ~found(text, NOT_REGULAR)
+    kinds = F.when(has_excluded_employment(text) if excluded is None else excluded, EXCLUDED).when(found(text, r"무기계약직|기간의\s*정함이\s*없는\s*근로계약"), "무기계약직")
     for kind in ("공무직", "상용직", "일반직"):
         kinds = kinds.when(text.contains(kind), kind)
     return kinds.when(regular, REGULAR).otherwise(UNKNOWN_EMPLOYMENT)
 
 
 def education(text: Column) -> Column:
-    return F.when(R.any_of(text, R.DEGREE_REQUIRED), DEGREE).when(R.any_of(text, R.HIGH_SCHOOL_OK), HIGH_SCHOOL).otherwise(UNKNOWN_EDUCATION)
+    return F.when(found(text, R.fused(R.DEGREE_REQUIRED)), DEGREE).when(found(text, R.fused(R.HIGH_SCHOOL_OK)), HIGH_SCHOOL).otherwise(UNKNOWN_EDUCATION)
+
+
+def places(text: Column) -> Column:
+    """labelled (whether lines are labelled as a place of work), and here, nationwide and elsewhere: what these lines name, or else the head of the text.
 
+    Other regions count in labelled lines only.
+    """
+    ends, label, here, nationwide, elsewhere = (portable(p) for p in (CELL_END, "(?i)" + R.LOCATION_LABEL, R.ULSAN, R.NATIONWIDE, R.OTHER_REGION))
+
+    @F.arrow_udf("struct<labelled: boolean, here: boolean, nationwide: boolean, elsewhere: boolean>")
+    def places(v: pa.Array) -> pa.Array:
+        lists, flat, keep = split_lines(v, ends, [], ASCII_SPACES)
+        named = lists_like(lists, pc.and_(keep, pc.match_substring_regex(flat, label)), flat)
+        lines = pc.utf8_slice_codeunits(pc.binary_join(named, " "), 0, 1200)
+        labelled = pc.not_equal(lines, "")
+        target = pc.if_else(labelled, lines, pc.utf8_slice_codeunits(v, 0, 2400))
+        other = pc.replace_substring(lines, "울산", "")
+        signs = [labelled, pc.match_substring_regex(target, here), pc.match_substring_regex(target, nationwide), pc.match_substring_regex(other, elsewhere)]
+        return pa.StructArray.from_arrays(signs, ["labelled", "here", "nationwide", "elsewhere"])
 
-def labelled_places(text: Column) -> Column:
-    """The lines that are labelled as a place of work."""
-    return F.left(F.array_join(F.filter(cell_lines(text), lambda x: x.rlike("(?i)" + R.LOCATION_LABEL)), " "), F.lit(1200))
+    return places(text)
 
 
-def location(text: Column, labelled: Column | None = None) -> Column:
-    """From the labelled lines if there are any, else from the head of the text; other regions count in labelled lines only."""
-    if labelled is None:
-        return R.bind(labelled_places(text), lambda x: location(text, x))
-    target = F.when(labelled != "", labelled).otherwise(F.left(text, F.lit(2400)))
-    here, nationwide = target.rlike(R.ULSAN), target.rlike(R.NATIONWIDE)
-    elsewhere = F.replace(labelled, F.lit("울산"), F.lit("")).rlike(R.OTHER_REGION)
-    return F.when(here & ~elsewhere & ~nationwide, ULSAN).when((labelled != "") & (~here | elsewhere | nationwide), ELSEWHERE).otherwise(UNKNOWN_LOCATION)
+def location(text: Column, signs: Column | None = None) -> Column:
+    """signs: places of the text, where they are at hand."""
+    signs = places(text) if signs is None else signs
+    here, elsewhere = signs["here"], signs["elsewhere"] | signs["nationwide"]
+    return F.when(here & ~elsewhere, ULSAN).when(signs["labelled"] & (~here | elsewhere), ELSEWHERE).otherwise(UNKNOWN_LOCATION)
 
 
 def category(text: Column) -> Column:
-    return R.first_of(text, R.CATEGORIES, "기타")
+    """The first category, in order, whose pattern the text holds."""
+    rules = [(name, portable(p)) for name, p in R.CATEGORIES]
+
+    @F.arrow_udf("string")
+    def category(v: pa.Array) -> pa.Array:
+        conditions = pa.StructArray.from_arrays([pc.fill_null(pc.match_substring_regex(v, p), False) for _, p in rules], [name for name, _ in rules])
+        return pc.case_when(conditions, *[name for name, _ in rules], "기타")
+
+    return category(text)
 
 
 def cross_validate(detail: Column, document: Column) -> Column:
@@ -71,12 +98,13 @@ def cross_validate(detail: Column, document: Column) -> Column:
 
 
 def decision_evidence(text: Column) -> Column:
-    lines = cell_lines(text)
-    return F.struct(
-        evidence(lines, R.fused([*R.HIGH_SCHOOL_OK, *R.DEGREE_REQUIRED]), 4, 240).alias("education"),
-        evidence(lines, R.fused(["정규직|무기계약직|공무직|일반직|상용직", *R.EXCLUDED_EMPLOYMENT, *R.TEMPORARY_STRONG]), 4, 240).alias("employment"),
-        evidence(lines, R.fused(["(?i)(?:근무지|근무지역|근무장소|근무예정지|배치예정지|소재지)", "울산|울주군|새울"]), 4, 240).alias("location"),
-    )
+    patterns = {
+        "education": R.fused([*R.HIGH_SCHOOL_OK, *R.DEGREE_REQUIRED]),
+        "employment": R.fused(["정규직|무기계약직|공무직|일반직|상용직", *R.EXCLUDED_EMPLOYMENT, *R.TEMPORARY_STRONG]),
+        "location": R.fused(["(?i)(?:근무지|근무지역|근무장소|근무예정지|배치예정지|소재지)", "울산|울주군|새울"]),
+    }
+    lines = marked_cells(text, **patterns)
+    return F.struct(*[marked_evidence(lines, name, 4, 240).alias(name) for name in patterns])
 
 
 def analyze(postings: DataFrame, structured: Column | None = None) -> DataFrame:
@@ -89,17 +117,17 @@ def analyze(postings: DataFrame, structured: Column | None = None) -> DataFrame:
     df = postings.withColumns({c: text(c) for c in ("title", "list_text", "detail_text", "document_text")})
     df = df.withColumn("full_text", F.regexp_replace(F.concat_ws("\n", F.trim("title"), "list_text", "detail_text", "document_text"), r"[ \t]+", " "))
     full = F.col("full_text")
-    df = df.withColumns({"_excluded": has_excluded_employment(full), "_places": labelled_places(full)})  # each is used twice and more
+    df = df.withColumns({"_excluded": has_excluded_employment(full), "_places": places(full)})  # each is used twice and more
     df = df.withColumns({"education": education(full), "employment": employment(full, F.col("_excluded")), "location": location(full, F.col("_places")), "category": category(full), "cross": cross_validate(F.col("detail_text"), F.col("document_text"))})
     allowed, high, ulsan = F.col("employment").isin(R.ALLOWED_EMPLOYMENT), F.col("education") == HIGH_SCHOOL, F.col("location") == ULSAN
     ok, detail = F.coalesce(F.col("detail_ok"), F.lit(False)), F.col("detail_text")
-    signals = high.cast("int") + ulsan.cast("int") + allowed.cast("int") + detail.rlike(r"채용인원|모집인원|\d+명").cast("int")
+    signals = high.cast("int") + ulsan.cast("int") + allowed.cast("int") + found(detail, r"채용인원|모집인원|\d+명").cast("int")
     least = F.when(structured, 3).otherwise(4) if structured is not None else F.lit(4)
     sufficient = (F.length(detail) >= 120) | ((signals >= least) & (F.length(detail) >= 55))
     excludes = R.reasons(
-        (R.any_of(F.trim("title"), R.NON_JOB), "채용공고가 아닌 안내·결과 공지"),
+        (found(F.trim("title"), R.fused(R.NON_JOB)), "채용공고가 아닌 안내·결과 공지"),
         (F.col("_excluded"), "인턴·기간제·계약직 등 제외 고용형태"),
-        (R.any_of(F.trim("title"), R.LICENSE_JOB) | R.any_of(full, R.REQUIRED_LICENSE), "전문면허·전문자격 필수 직무"),
+        (found(F.trim("title"), R.fused(R.LICENSE_JOB)) | found(full, R.fused(R.REQUIRED_LICENSE)), "전문면허·전문자격 필수 직무"),
         (F.col("education") == DEGREE, "전문학사·학사 이상 조건"),
         (F.col("location") == ELSEWHERE, "울산 단일 근무가 아님"),
     )
@@ -133,18 +161,18 @@ def analyze(postings: DataFrame, structured: Column | None = None) -> DataFrame:
 def legacy_analyze(postings: DataFrame, deadline: Column, as_of: str) -> DataFrame:
     """The older rule set: both education signs leave it open, an empty deadline is not open, and the score starts from 30."""
     text = F.concat_ws("\n", "title", "detail_text")
-    high, degree = R.any_of(text, R.HIGH_SCHOOL_OK), R.any_of(text, R.DEGREE_REQUIRED)
+    high, degree = found(text, R.fused(R.HIGH_SCHOOL_OK)), found(text, R.fused(R.DEGREE_REQUIRED))
     eligibility = F.when(high & ~degree, HIGH_SCHOOL).when(degree & ~high, DEGREE).otherwise(UNKNOWN_EDUCATION)
     score = F.when(eligibility == HIGH_SCHOOL, 100).when(eligibility == DEGREE, 0).otherwise(30)
-    score = score + F.when(text.rlike("울산"), 15).otherwise(0) + F.when(R.any_of(text, R.ALLOWED_EMPLOYMENT), 10).otherwise(0)
+    score = score + F.when(text.rlike("울산"), 15).otherwise(0) + F.when(found(text, R.fused(R.ALLOWED_EMPLOYMENT)), 10).otherwise(0)
     return postings.withColumns({"legacy_eligibility": eligibility, "legacy_score": F.least(F.greatest(score, F.lit(0)), F.lit(100)), "legacy_open": (deadline != "") & (deadline >= as_of)})
 
 
 def target_job(postings: DataFrame, deadline: Column, as_of: str) -> DataFrame:
     """Adds target and target_reasons, the rules of the oldest gate that a posting breaks: nine, over title and detail together."""
     both = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("detail_text", F.lit("")))
-    broken = [(R.any_of(F.col("_both"), patterns), name) for name, patterns in R.TARGET_EXCLUDED.items()]
-    broken += [(~F.col("_both").rlike(pattern), f"no {name}") for name, pattern in R.TARGET_REQUIRED.items()]
+    broken = [(found(F.col("_both"), R.fused(patterns)), name) for name, patterns in R.TARGET_EXCLUDED.items()]
+    broken += [(~found(F.col("_both"), pattern), f"no {name}") for name, pattern in R.TARGET_REQUIRED.items()]
     broken += [(~((F.coalesce(deadline, F.lit("")) != "") & (deadline >= as_of)), "not open")]
     df = postings.withColumn("_both", both).withColumn("target_reasons", R.reasons(*broken)).drop("_both")
     return df.withColumn("target", F.size("target_reasons") == 0)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticelake.functions import rules as R
+from noticelake.functions.scan import found
 from noticelake.functions.text import squash, title_tokens
 from noticelake.functions.urls import has_detail_signal, is_url
 from noticelake.operators.classify import EXCLUDED, HIGH_SCHOOL, ULSAN, has_excluded_employment
@@ -14,7 +15,7 @@ THRESHOLD = 90
 
 
 def detail_confidence(text: Column, title: Column) -> Column:
-    signals = sum((text.rlike(p).cast("int") for p in R.STRUCTURE_SIGNALS), F.lit(0))
+    signals = sum((found(text, p).cast("int") for p in R.STRUCTURE_SIGNALS), F.lit(0))
     tokens = title_tokens(title)
     matched = F.size(F.filter(tokens, lambda t: text.contains(t)))
     ratio = F.when(F.size(tokens) > 0, matched / F.size(tokens)).otherwise(1.0)
@@ -85,8 +86,8 @@ def validate(jobs: DataFrame) -> DataFrame:
         ((link != "") & ~is_url(link), "원문 링크 형식 오류"),
         (is_url(link) & ~link.rlike(r"^(?i:https?)://"), "HTTP 원문 링크 아님"),
         (is_url(link) & path.rlike(R.LIST_OR_HOME) & ~link.contains("?"), "목록 또는 메인 링크"),
-        (raw.rlike(R.ERROR_TEXT), "오류 페이지 문구 포함"),
-        (raw.rlike(R.CLOSED_TEXT), "마감 문구 포함"),
+        (found(raw, R.ERROR_TEXT), "오류 페이지 문구 포함"),
+        (found(raw, R.CLOSED_TEXT), "마감 문구 포함"),
         ((F.col("employment") == EXCLUDED) | has_excluded_employment(raw), "제외 고용형태 포함"),
         (F.col("education") != HIGH_SCHOOL, "고졸 지원 확인 안 됨"),
         (F.col("location") != ULSAN, "울산 단일 근무 확인 안 됨"),
