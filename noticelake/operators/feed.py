@@ -46,8 +46,8 @@ def favorites(flagged: DataFrame, state: DataFrame) -> DataFrame:
 def recent_jobs(flagged: DataFrame, recent: DataFrame, tie: str) -> DataFrame:
     """The first job of each recent key (pos, job_key), in the order of pos; keys without a job are left out."""
     asked = flagged.join(recent.select("job_key"), "job_key", "left_semi")
-    firsts = asked.groupBy("job_key").agg(F.min_by(F.struct(*[c for c in flagged.columns if c != "job_key"]), tie).alias("r"))
-    return recent.join(firsts, "job_key").select("pos", "job_key", "r.*").orderBy("pos")
+    firsts = asked.groupBy("job_key").agg(*[F.min_by(c, tie).alias(c) for c in flagged.columns if c != "job_key"])  # one by one, so that what nobody reads is not computed
+    return recent.join(firsts, "job_key").select("pos", "job_key", *[c for c in flagged.columns if c != "job_key"]).orderBy("pos")
 
 
 def most_recent(recent: Column, key: Column, keep: int = 10) -> Column:
