@@ -2,45 +2,67 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticelake.functions import rules as R
-from noticelake.functions.text import context_lines, evidence
+from noticelake.functions.scan import found
+from noticelake.functions.text import marked_context, marked_evidence
 
 REQUIRED, PREFERRED, UNKNOWN = "required", "preferred", "unknown"
 
 
+# What is looked for in each line of a text.
+PLACE, KIND = r"근무지|근무지역|근무장소|근무예정지|배치예정지", r"(채용|고용|근로)\s*(형태|유형|구분)|정규직|무기계약직|공무직|기간제|계약직|인턴"
+LINES = {
+    "licenses": R.LICENSE_LINE,
+    "experience": R.EXPERIENCE_LINE,
+    "major": R.MAJOR_LINE,
+    "identity": R.IDENTITY_LINE,
+    "other": R.OTHER_LINE,
+    "preferred": R.PREFERRED_LEVEL,
+    "required": R.REQUIRED_LEVEL,
+    "any_experience": r"신입\s*가능|경력\s*무관",
+    "years": r"\d+\s*년\s*이상",
+    "place": R.fused([PLACE, *R.LOCATION_VALUES]),
+    "kind": R.fused(R.EMPLOYMENT_VALUES),
+    **{f"school{i}": p for i, (_, p) in enumerate(R.EDUCATION_VALUES)},
+}
+SCHOOLS = [(v, f"school{i}") for i, (v, _) in enumerate(R.EDUCATION_VALUES)]
+
+
 def level(line: Column) -> Column:
     """Words of preference beat words of requirement."""
-    return F.when(line.rlike(R.PREFERRED_LEVEL), PREFERRED).when(line.rlike(R.REQUIRED_LEVEL), REQUIRED).otherwise(UNKNOWN)
+    return F.when(line["preferred"], PREFERRED).when(line["required"], REQUIRED).otherwise(UNKNOWN)
 
 
-def _items(lines: Column, pattern: str, limit: int, of=level) -> Column:
-    return F.transform(F.slice(F.filter(lines, lambda x: x.rlike(pattern)), 1, limit), lambda x: F.struct(F.left(x, F.lit(260)).alias("value"), of(x).alias("level")))
+def _items(lines: Column, mark: str, limit: int, of=level) -> Column:
+    return F.transform(F.slice(F.filter(lines, lambda x: x[mark]), 1, limit), lambda x: F.struct(F.left(x["line"], F.lit(260)).alias("value"), of(x).alias("level")))
 
 
 def _experience_level(line: Column) -> Column:
-    return F.when(line.rlike(r"신입\s*가능|경력\s*무관"), UNKNOWN).when(line.rlike(r"\d+\s*년\s*이상"), REQUIRED).otherwise(level(line))
+    return F.when(line["any_experience"], UNKNOWN).when(line["years"], REQUIRED).otherwise(level(line))
 
 
 def requirements(text: Column) -> Column:
     """education, licenses, experience, major, identity, location, employment and other, as one struct."""
-    lines = context_lines(text)
-    values = F.array_distinct(F.flatten(F.transform(lines, lambda x: F.array_compact(F.array(*[F.when(x.rlike(p), v) for v, p in R.EDUCATION_VALUES])))))
-    said = F.filter(lines, lambda x: x.rlike(R.fused([p for _, p in R.EDUCATION_VALUES])))
-    found = lambda labels: F.filter(F.array(*[F.lit(v) for v in labels]), lambda v: text.contains(v))
-    place, kind = r"근무지|근무지역|근무장소|근무예정지|배치예정지", r"(채용|고용|근로)\s*(형태|유형|구분)|정규직|무기계약직|공무직|기간제|계약직|인턴"
+    lines = marked_context(text, **LINES)
+    values = F.array_distinct(F.flatten(F.transform(lines, lambda x: F.array_compact(F.array(*[F.when(x[mark], v) for v, mark in SCHOOLS])))))
+    said = F.transform(F.filter(lines, lambda x: reduce(or_, [x[mark] for _, mark in SCHOOLS])), lambda x: x["line"])
+    named = lambda labels: F.filter(F.array(*[F.lit(v) for v in labels]), lambda v: text.contains(v))
     block = lambda v, needed, e: F.struct(v.alias("values"), F.when(needed, REQUIRED).otherwise(UNKNOWN).alias("level"), e.alias("evidence"))
     return F.struct(
         block(values, F.size(values) > 0, F.slice(F.array_distinct(said), 1, 5)).alias("education"),
-        _items(lines, R.LICENSE_LINE, 12).alias("licenses"),
-        _items(lines, R.EXPERIENCE_LINE, 8, _experience_level).alias("experience"),
-        _items(lines, R.MAJOR_LINE, 8).alias("major"),
-        _items(lines, R.IDENTITY_LINE, 8).alias("identity"),
-        block(found(R.LOCATION_VALUES), text.rlike(place), evidence(lines, R.fused([place, *R.LOCATION_VALUES]), 5, 260)).alias("location"),
-        block(found(R.EMPLOYMENT_VALUES), text.rlike(kind), evidence(lines, R.fused(R.EMPLOYMENT_VALUES), 5, 260)).alias("employment"),
-        _items(lines, R.OTHER_LINE, 8).alias("other"),
+        _items(lines, "licenses", 12).alias("licenses"),
+        _items(lines, "experience", 8, _experience_level).alias("experience"),
+        _items(lines, "major", 8).alias("major"),
+        _items(lines, "identity", 8).alias("identity"),
+        block(named(R.LOCATION_VALUES), found(text, PLACE), marked_evidence(lines, "place", 5, 260)).alias("location"),
+        block(named(R.EMPLOYMENT_VALUES), found(text, KIND), marked_evidence(lines, "kind", 5, 260)).alias("employment"),
+        _items(lines, "other", 8).alias("other"),
     )
 
 
