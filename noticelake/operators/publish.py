@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticelake.functions.dates import is_expired
+from noticelake.functions.lineage import cut
 from noticelake.functions.text import title_key
 from noticelake.operators.classify import HIGH_SCHOOL, REVIEW
+from noticelake.operators.quality import validate, vacancy_key
 
 
 def revision_rank(title: Column) -> Column:
@@ -86,6 +88,50 @@ def statistics(jobs: DataFrame, sources: DataFrame, issues: DataFrame, passing:
     return of_sources.crossJoin(of_jobs).crossJoin(of_issues)  # each side is one row
 
 
+def statistics_by_source(jobs: DataFrame, sources: DataFrame, counters: dict[str, Column], passing: int = 85) -> DataFrame:
+    """statistics of scored jobs, in one pass over them: sources has org, ok, degraded and failed, counters are the numbers that a job adds to those of its source.
+
+    ``jobs`` are told apart by rows: of those with one vacancy_key all but one are duplicates. Sums by key and organisation are combined before they are shuffled, and those by
+    organisation, a row each, are kept for the totals. Jobs of no source count as jobs, but in no source's counters.
+    """
+    score = F.coalesce(F.col("quality_score"), F.lit(0))
+    threshold = F.coalesce(F.col("quality_threshold"), F.lit(passing)) if "quality_threshold" in jobs.columns else F.lit(passing)
+    is_ = lambda c: F.coalesce(c, F.lit(False)).cast("int")
+    of_job = {
+        "total": F.lit(1),
+        "recommended": is_(F.col("recommended")),
+        "high_school_suitable": is_(F.col("education") == HIGH_SCHOOL),
+        "detail_checked": is_(F.col("detail_ok")),
+        "review_needed": is_(F.col("status") == REVIEW),
+        "quality_passed": is_(score >= threshold),
+        "_score": score,
+        "retained_jobs": is_(F.col("retained")) if "retained" in jobs.columns else F.lit(0),
+    }
+    of_source = {f"_{n}": counters.get(n, F.lit(0)) for n in COUNTERS}
+    rows = validate(jobs)
+    rows = rows.select("org", vacancy_key(jobs).alias("_key"), F.size("errors").alias("_issues"), *[c.alias(n) for n, c in (of_job | of_source).items()])
+    sums = ["_issues", *of_job, *of_source]
+    add = [F.sum(F.col(c).cast("long")).alias(c) for c in sums]
+    keys = rows.groupBy("_key", "org").agg(*add)
+    # a key is nearly always of one organisation; its first one pays for the job that is no duplicate
+    told = keys.groupBy("_key").agg(F.collect_list(F.struct("org", *sums)).alias("o")).select(F.posexplode("o").alias("at", "o")).select("at", "o.*")
+    told = told.withColumn("_issues", F.col("_issues") + F.col("total") - F.when(F.col("at") == 0, 1).otherwise(0))
+    by_org = cut(told.groupBy("org").agg(*add))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    average = F.coalesce(F.floor(F.sum("_score") / F.sum("total") + 0.5), F.lit(0)).cast("long").alias("average_quality_score")
+    of_jobs = by_org.agg(*[average if c == "_score" else total(c).alias(c) for c in of_job])
+    known = sources.select("org", "ok", "degraded", "failed").join(by_org.select("org", *of_source), "org", "left")
+    of_sources = known.agg(
+        F.count(F.lit(1)).alias("source_count"),
+        F.count_if("ok").alias("success"),
+        F.count_if("degraded").alias("degraded_sources"),
+        F.count_if("failed").alias("failed_sources"),
+        *[total(f"_{c}").alias(c) for c in COUNTERS],
+    )
+    of_issues = by_org.agg(total("_issues").alias("qa_issue_count")).withColumn("qa_passed", F.col("qa_issue_count") == 0)
+    return of_sources.crossJoin(of_jobs).crossJoin(of_issues)  # each side is one row
+
+
 def feed_order(jobs: DataFrame) -> list[Column]:
     """The order of the feed, of the columns that jobs has; an unknown deadline comes last."""
     orders = {"recommended": F.desc("recommended"), "quality_score": F.desc("quality_score"), "fit_score": F.desc("fit_score"), "deadline": F.coalesce(F.nullif(F.col("deadline"), F.lit("")), F.lit("9999-12-31"))}
